@@ -1,124 +1,252 @@
-"""Decoding filters on a row's candidate list, ARRAY<STRUCT<id INT, s DOUBLE>>.
+"""Decoding filters for one prompt (G3-G8) and the Arrow-batch helpers that apply them to a table of prompts.
 
-All are built-in array functions inside one row, so a step of generation moves no candidate between tasks.
+A prompt's candidates are two arrays, ids and scores. One prompt has at most one candidate per vocabulary id, so this
+row-local work is bounded; looking the candidates up, and everything across prompts, is Spark's.
 """
 
-from collections.abc import Callable
+import hashlib
+import sys
+from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 
-from tokenloom.functions.text import hash_number, shuffle_key
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+BACKOFF = 0.4
+EOS_ID = 1
 
-def bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it many times in ``body`` (array lambdas repeat what they enclose)."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
 
+@dataclass(frozen=True)
+class Options:
+    """The generation settings of the demos."""
 
-def candidate(token_id: Column, score: Column) -> Column:
-    return F.struct(token_id.alias("id"), score.alias("s"))
+    max_new_tokens: int = 80
+    do_sample: bool = True
+    temperature: float = 0.7
+    top_p: float = 0.9
+    top_k: int = 0
+    repetition_penalty: float = 1.1
+    no_repeat_ngram_size: int = 4
+    seed: int = 42
 
 
-def penalise(candidates: Column, history: Column, penalty: float = 1.1) -> Column:
-    """Scores of ids already seen shrink: positive ones are divided, negative ones multiplied."""
-
-    def one(c: Column) -> Column:
-        less = F.when(c["s"] > 0, c["s"] / penalty).otherwise(c["s"] * penalty)
-        return candidate(c["id"], F.when(F.array_contains(history, c["id"]), less).otherwise(c["s"]))
-
-    return F.transform(candidates, one)
-
-
-def banned_ids(history: Column, n: int = 4) -> Column:
-    """Ids that would complete an n-gram the history already holds."""
-    last = F.slice(history, F.greatest(F.size(history) - (n - 2), F.lit(1)), F.lit(n - 1))
-    starts = F.when(F.size(history) >= n, F.sequence(F.lit(1), F.size(history) - (n - 1))).otherwise(
-        F.array().cast("array<int>")
-    )
-
-    def following(ending: Column) -> Column:
-        earlier = F.filter(starts, lambda i: F.slice(history, i, F.lit(n - 1)) == ending)
-        return F.transform(earlier, lambda i: F.get(history, i + (n - 2)))
+def among(ids, others):
+    """Which ids occur in ``others``; for short id lists a flag table beats sorting."""
+    if not len(ids) or not len(others):
+        return np.zeros(len(ids), bool)
+    flags = np.zeros(1 + max(ids.max(), others.max()), bool)
+    flags[others] = True
+    return flags[ids]
 
-    return bind(last, following)
 
+def merge_levels(levels):
+    """G2, stupid back-off: an id takes its share from the longest context it follows, times BACKOFF per level down.
 
-def ban_repeats(candidates: Column, history: Column, n: int = 4) -> Column:
-    """Drop candidates that would repeat an n-gram."""
-    return bind(
-        banned_ids(history, n), lambda banned: F.filter(candidates, lambda c: ~F.array_contains(banned, c["id"]))
-    )
-
+    ``levels`` holds (ids, shares) per context length, longest first.
+    """
+    ids, scores = [], []
+    for down, (level_ids, shares) in enumerate(levels):
+        fresh = ~among(level_ids, np.concatenate(ids) if ids else level_ids[:0])
+        ids.append(level_ids[fresh])
+        scores.append(np.log(shares[fresh] * BACKOFF**down))
+    return np.concatenate(ids), np.concatenate(scores)
 
-def best_first(candidates: Column) -> Column:
-    """Highest score first, ties by id."""
-    keyed = F.array_sort(F.transform(candidates, lambda c: F.struct((-c["s"]).alias("k"), c["id"].alias("id"))))
-    return F.transform(keyed, lambda c: candidate(c["id"], -c["k"]))
 
+def penalise(ids, scores, history, penalty):
+    """Scores of ids already seen shrink: positive ones are divided, negative ones multiplied."""
+    shrunk = np.where(scores > 0, scores / penalty, scores * penalty)
+    return ids, np.where(among(ids, history), shrunk, scores)
 
-def mass(candidates: Column) -> Column:
-    return F.aggregate(candidates, F.lit(0.0), lambda acc, c: acc + c["s"])
 
+def ban_repeats(ids, scores, history, n):
+    """Drop ids that would complete an n-gram the history already holds."""
+    if not n or len(history) < n:
+        return ids, scores
+    starts = np.ones(len(history) - n + 1, bool)
+    for i in range(n - 1):
+        starts &= history[i : i + len(starts)] == history[len(history) - n + 1 + i]
+    keep = ~among(ids, history[n - 1 :][starts])
+    return ids[keep], scores[keep]
 
-def as_probabilities(candidates: Column, temperature: float = 0.7) -> Column:
-    """Divide log-probabilities by the temperature and renormalise; 0 leaves the best candidate only.
 
-    The result is best first, as the later filters expect.
-    """
+def as_probabilities(ids, scores, temperature):
+    """Divide log-scores by the temperature and renormalise; 0 keeps the best only. Best first, ties by id."""
+    order = np.lexsort((ids, -scores))
+    ids, scores = ids[order], scores[order]
     if temperature == 0:
-        best = F.slice(best_first(candidates), 1, 1)
-        return F.transform(best, lambda c: candidate(c["id"], F.lit(1.0)))
-
-    def raised(ranked: Column) -> Column:
-        return bind(
-            F.get(ranked, F.lit(0))["s"],
-            lambda top: F.transform(ranked, lambda c: candidate(c["id"], F.exp((c["s"] - top) / temperature))),
-        )
-
-    def shared(scores: Column) -> Column:
-        return bind(mass(scores), lambda m: F.transform(scores, lambda c: candidate(c["id"], c["s"] / m)))
-
-    return bind(bind(best_first(candidates), raised), shared)
+        return ids[:1], np.ones(len(ids[:1]))
+    shares = np.exp((scores - scores[:1]) / temperature)
+    return ids, shares / shares.sum()
 
 
-def top_k(candidates: Column, k: int = 0) -> Column:
+def keep_top_k(ids, shares, k):
     """The k best; 0 keeps all."""
-    return F.slice(candidates, 1, k) if k else candidates
+    return (ids[:k], shares[:k]) if k else (ids, shares)
 
 
-def top_p(candidates: Column, p: float = 0.9) -> Column:
-    """The shortest best-first list whose share of the whole mass reaches p."""
+def keep_top_p(ids, shares, p):
+    """The shortest best-first list whose part of the whole mass reaches p."""
+    before = np.r_[0.0, np.cumsum(shares)[:-1]] if len(shares) else shares
+    keep = before < p * shares.sum()
+    return ids[keep], shares[keep]
 
-    def cut_off(ranked: Column, whole: Column) -> Column:
-        start = F.struct(F.lit(0.0).alias("before"), F.lit(0).alias("kept"))
 
-        def add(acc: Column, c: Column) -> Column:
-            kept = acc["kept"] + F.when(acc["before"] < whole * p, 1).otherwise(0)
-            return F.struct((acc["before"] + c["s"]).alias("before"), kept.alias("kept"))
+def draw(ids, shares, u):
+    """The first id whose running mass exceeds ``u`` times the whole mass; -1 if there is no candidate."""
+    if not len(ids):
+        return -1
+    upto = np.cumsum(shares)
+    return int(ids[min(np.searchsorted(upto, u * upto[-1], side="right"), len(ids) - 1)])
 
-        return F.slice(ranked, F.lit(1), F.aggregate(ranked, start, add, lambda acc: acc["kept"]))
 
-    return bind(candidates, lambda ranked: bind(mass(ranked), lambda whole: cut_off(ranked, whole)))
-
-
-def uniform(seed: int, prompt: Column, step: Column) -> Column:
+def uniform(seed, prompt_id, step):
     """A reproducible number in [0, 1) for one prompt and step."""
-    return hash_number(shuffle_key(seed, prompt, step), 12).cast("double") / float(16**12)
+    return int(hashlib.md5(f"{seed}:{prompt_id}:{step}".encode()).hexdigest()[:12], 16) / 16**12
 
 
-def draw(candidates: Column, u: Column) -> Column:
-    """The first id whose running mass exceeds ``u`` times the whole mass; null if there is no candidate."""
+STAGES = ("candidates", "penalty", "no_repeat", "temperature", "top_k", "top_p")
 
-    def pick(ranked: Column, goal: Column) -> Column:
-        start = F.struct(F.lit(0.0).alias("upto"), F.lit(None).cast("int").alias("id"))
 
-        def add(acc: Column, c: Column) -> Column:
-            upto = acc["upto"] + c["s"]
-            taken = F.when(acc["id"].isNull() & (upto > goal), c["id"]).otherwise(acc["id"])
-            return F.struct(upto.alias("upto"), taken.alias("id"))
+def filtered(levels, history, options, upto=STAGES[-1]):
+    """The candidates of one prompt after the filters up to ``upto``, in their fixed order."""
+    temperature = options.temperature if options.do_sample else 0
+    filters = (
+        lambda ids, s: (ids, s),
+        lambda ids, s: penalise(ids, s, history, options.repetition_penalty),
+        lambda ids, s: ban_repeats(ids, s, history, options.no_repeat_ngram_size),
+        lambda ids, s: as_probabilities(ids, s, temperature),
+        lambda ids, s: keep_top_k(ids, s, options.top_k),
+        lambda ids, s: keep_top_p(ids, s, options.top_p),
+    )
+    ids, scores = merge_levels(levels)
+    for apply in filters[: STAGES.index(upto) + 1]:
+        ids, scores = apply(ids, scores)
+    return ids, scores
+
+
+def next_id(levels, history, options, prompt_id, step):
+    ids, shares = filtered(levels, history, options)
+    return draw(ids, shares, uniform(options.seed, prompt_id, step))
+
+
+def list_items(column: pa.Array) -> list[np.ndarray]:
+    """The rows of a list column as arrays."""
+    flat, offsets = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    return [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
+
+
+def batch_levels(batch: pa.RecordBatch, grams: int) -> list[list[tuple[np.ndarray, np.ndarray]]]:
+    """Per row, (ids, shares) of each level, from columns ids<gram> and shares<gram>, longest first."""
+    names = range(grams, 0, -1)
+    columns = [
+        zip(list_items(batch.column(f"ids{g}")), list_items(batch.column(f"shares{g}"))) for g in names
+    ]
+    return list(zip(*columns))
+
+
+def stage_rows(options: Options, grams: int, upto: str):
+    """Looked-up prompts -> one row per candidate left after the named filter."""
+
+    def run(batches):
+        for batch in batches:
+            histories = list_items(batch.column("history"))
+            kept = [filtered(lv, h, options, upto) for lv, h in zip(batch_levels(batch, grams), histories)]
+            sizes = [len(ids) for ids, _ in kept]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.repeat(batch.column("prompt_id").to_numpy(), sizes)),
+                    pa.array(np.concatenate([ids for ids, _ in kept]).astype(np.int32)),
+                    pa.array(np.concatenate([s for _, s in kept]).astype(np.float64)),
+                ],
+                names=["prompt_id", "token_id", "score"],
+            )
+
+    return run
+
+
+def one_step(options: Options, grams: int):
+    """Looked-up prompts -> the state after one more id each. End-of-text, or no candidate left, ends a prompt."""
+
+    def run(batches):
+        for batch in batches:
+            prompts, steps = batch.column("prompt_id").to_pylist(), batch.column("n_new").to_pylist()
+            histories = list_items(batch.column("history"))
+            new = [
+                next_id(lv, h, options, p, s)
+                for lv, h, p, s in zip(batch_levels(batch, grams), histories, prompts, steps)
+            ]
+            ends = [i in (-1, EOS_ID) for i in new]
+            grown = [h if end else np.append(h, np.int32(i)) for h, i, end in zip(histories, new, ends)]
+            yield state_batch(prompts, grown, [s + (not end) for s, end in zip(steps, ends)], ends)
+
+    return run
+
+
+def state_batch(prompts, histories, n_new, done) -> pa.RecordBatch:
+    offsets = np.r_[0, np.cumsum([len(h) for h in histories])].astype(np.int32)
+    items = np.concatenate(histories).astype(np.int32) if histories else np.empty(0, np.int32)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(prompts, pa.int64()),
+            pa.ListArray.from_arrays(pa.array(offsets), pa.array(items)),
+            pa.array(n_new, pa.int32()),
+            pa.array(done, pa.bool_()),
+        ],
+        names=["prompt_id", "history", "n_new", "done"],
+    )
 
-        found = F.aggregate(ranked, start, add, lambda acc: acc["id"])
-        return F.coalesce(found, F.get(ranked, F.size(ranked) - 1)["id"])
 
-    return bind(candidates, lambda ranked: bind(u * mass(ranked), lambda goal: pick(ranked, goal)))
+class Contexts:
+    """A small model in look-up form: the sorted contexts of one gram, and the ids and shares of each."""
+
+    def __init__(self, table: pa.Table):
+        table = table.combine_chunks().sort_by("ctx").combine_chunks()
+        self.keys = table["ctx"].to_numpy()
+        self.entries = [
+            (ids.astype(np.int64), shares)
+            for ids, shares in zip(*(list_items(table[name].chunk(0)) for name in ("ids", "shares")))
+        ] if len(table) else []
+        self.none = (np.empty(0, np.int64), np.empty(0))
+
+    def of(self, context: int) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(self.keys, context)
+        return self.entries[at] if at < len(self.keys) and self.keys[at] == context else self.none
+
+
+def all_steps(options: Options, model: dict[int, Contexts], n_ids: int):
+    """Prompts -> their final state, with a small model held in the task."""
+    grams = max(model)
+
+    def levels(history):
+        for gram in range(grams, 0, -1):
+            if len(history) >= gram - 1:
+                context = 0
+                for digit in history[len(history) - gram + 1 :] if gram > 1 else ():
+                    context = context * n_ids + int(digit)
+                yield model[gram].of(context)
+            else:
+                yield model[gram].none
+
+    def run(batches):
+        for batch in batches:
+            prompts = batch.column("prompt_id").to_pylist()
+            grown, counts, ends = [], [], []
+            for prompt_id, start in zip(prompts, list_items(batch.column("history"))):
+                held = np.empty(len(start) + options.max_new_tokens, np.int64)
+                held[: len(start)] = start
+                n_new, done = 0, False
+                while n_new < options.max_new_tokens and not done:
+                    history = held[: len(start) + n_new]
+                    new = next_id(list(levels(history)), history, options, prompt_id, n_new)
+                    done = new in (-1, EOS_ID)
+                    if not done:
+                        held[len(history)] = new
+                        n_new += 1
+                grown.append(held[: len(start) + n_new])
+                counts.append(n_new)
+                ends.append(done)
+            yield state_batch(prompts, grown, counts, ends)
+
+    return run

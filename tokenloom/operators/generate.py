@@ -2,32 +2,20 @@
 
 from dataclasses import dataclass
 from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions import sampling
-from tokenloom.functions.alphabet import BYTE_VOCAB_SIZE, EOS_ID
+from tokenloom.functions.alphabet import BYTE_VOCAB_SIZE
+from tokenloom.functions.sampling import Options
 from tokenloom.functions.text import byte_codes, code_ids
 from tokenloom.operators import encode
-from tokenloom.operators.lookup import left_lookup
-from tokenloom.operators.ngram import BACKOFF, followers
+from tokenloom.operators.lookup import BROADCAST_ROWS, left_lookup
+from tokenloom.operators.ngram import followers
 from tokenloom.session import cut
 
-
-@dataclass(frozen=True)
-class Options:
-    """The generation settings of the demos."""
-
-    max_new_tokens: int = 80
-    do_sample: bool = True
-    temperature: float = 0.7
-    top_p: float = 0.9
-    top_k: int = 0
-    repetition_penalty: float = 1.1
-    no_repeat_ngram_size: int = 4
-    seed: int = 42
+STATE = "prompt_id long, history array<int>, n_new int, done boolean"
 
 
 def prompts(df: DataFrame, key: Column, text: str = "text") -> DataFrame:
@@ -38,92 +26,94 @@ def prompts(df: DataFrame, key: Column, text: str = "text") -> DataFrame:
 
 def context(history: Column, gram: int, n_ids: int = BYTE_VOCAB_SIZE) -> Column:
     """G1: the last gram-1 ids as one number; null where the history is shorter."""
-    digits = [F.get(history, F.size(history) - back) for back in range(gram - 1, 0, -1)]
     number = F.lit(0).cast("long")
-    for digit in digits:
-        number = number * n_ids + digit
+    for back in range(gram - 1, 0, -1):
+        number = number * n_ids + F.get(history, F.size(history) - back)
     return F.when(F.size(history) >= gram - 1, number)
 
 
-def model_tables(counts: DataFrame, n: int) -> dict[int, DataFrame]:
-    """The model by context for each gram, written once so that every step reads it and no step refits it."""
-    table = cut(followers(counts))
-    return {gram: table.where(F.col("gram") == gram).select("ctx", "next") for gram in range(1, n + 1)}
+@dataclass(frozen=True)
+class Model:
+    """The model by context, one table (ctx, ids, shares) per gram, and whether each was counted to be small."""
 
+    tables: dict[int, DataFrame]
+    small: dict[int, bool]
+    n_ids: int
 
-def candidates(state: DataFrame, model: dict[int, DataFrame], n_ids: int = BYTE_VOCAB_SIZE) -> DataFrame:
-    """Add ``candidates``: every id the model knows, with its log-score.
 
-    Stupid back-off: an id takes its share from the longest context it follows, times BACKOFF per level down. Each
-    level is one look-up of a bounded row per prompt.
+def written_model(counts: DataFrame, n: int, n_ids: int = BYTE_VOCAB_SIZE) -> Model:
+    """Write the model once, so that every step reads it and no step refits it.
+
+    Small is counted in candidates, not in contexts, since a context row holds up to a vocabulary of them.
     """
-    n = max(model)
-    for gram in range(n, 0, -1):
-        table = model[gram].withColumnRenamed("next", f"next{gram}").withColumnRenamed("ctx", f"ctx{gram}")
-        keyed = state.withColumn(f"ctx{gram}", context(F.col("history"), gram, n_ids))
-        state = left_lookup(keyed, table, [f"ctx{gram}"], ["prompt_id"]).drop(f"ctx{gram}")
-    empty = F.array().cast("array<struct<id:int,p:double>>")
-    for gram in range(n, 0, -1):
-        found = F.coalesce(f"next{gram}", empty)
-        state = state.withColumn(f"next{gram}", found).withColumn(f"ids{gram}", F.transform(found, lambda c: c["id"]))
-    levels = [_level(gram, range(gram + 1, n + 1), BACKOFF ** (n - gram)) for gram in range(n, 0, -1)]
-    dropped = [f"{name}{gram}" for gram in model for name in ("next", "ids")]
-    return state.withColumn("candidates", F.concat(*levels)).drop(*dropped)
-
-
-def _level(gram: int, longer: range, weight: float) -> Column:
-    """Candidates of one gram that no longer context has, with their log-scores."""
-
-    def unseen(c: Column) -> Column:
-        return reduce(and_, [~F.array_contains(f"ids{g}", c["id"]) for g in longer], F.lit(True))
-
-    own = F.filter(f"next{gram}", unseen)
-    return F.transform(own, lambda c: sampling.candidate(c["id"], F.ln(c["p"] * weight)))
-
-
-def next_ids(found: Column, history: Column, options: Options, prompt: Column, step: Column) -> Column:
-    """G3-G8 in order: penalty, 4-gram ban, temperature, top-k, top-p, draw. Null where all candidates are banned."""
-    scores = sampling.penalise(found, history, options.repetition_penalty)
-    if options.no_repeat_ngram_size:
-        scores = sampling.ban_repeats(scores, history, options.no_repeat_ngram_size)
-    greedy = not options.do_sample or options.temperature == 0
-    kept = sampling.as_probabilities(scores, 0 if greedy else options.temperature)
-    kept = sampling.top_p(sampling.top_k(kept, options.top_k), options.top_p)
-    return sampling.draw(kept, sampling.uniform(options.seed, prompt, step))
-
-
-def step(state: DataFrame, model: dict[int, DataFrame], options: Options, number: int) -> DataFrame:
-    """One new id for every prompt that is not done; end-of-text, or no candidate left, ends a prompt."""
-    found = candidates(state, model)
-    chosen = next_ids(F.col("candidates"), F.col("history"), options, F.col("prompt_id"), F.lit(number))
-    drawn = found.withColumn("new_id", F.when(~F.col("done"), chosen)).drop("candidates")
-    grows = F.col("new_id").isNotNull() & (F.col("new_id") != EOS_ID)
-    return drawn.select(
-        "prompt_id",
-        F.when(grows, F.concat("history", F.array("new_id"))).otherwise(F.col("history")).alias("history"),
-        (F.col("done") | ~grows).alias("done"),
-    )
-
-
-def run(
-    start: DataFrame, model: dict[int, DataFrame], options: Options = Options(), cut_every: int = 4
-) -> DataFrame:
-    """At most ``max_new_tokens`` steps over all prompts at once, then prompt and continuation as text.
-
-    The state is written every few steps, so a lost executor costs a few steps and plans stay short. Finished
-    prompts leave the loop.
+    table = cut(followers(counts))
+    sizes = {r.gram: r.size for r in table.groupBy("gram").agg(F.sum(F.size("ids")).alias("size")).collect()}
+    tables = {g: table.where(F.col("gram") == g).select("ctx", "ids", "shares") for g in range(1, n + 1)}
+    return Model(tables, {g: sizes.get(g, 0) <= BROADCAST_ROWS for g in tables}, n_ids)
+
+
+def looked_up(state: DataFrame, model: Model) -> DataFrame:
+    """Add the entries of every level to each prompt: one look-up of a bounded row per prompt and level."""
+    contexts = {f"ctx{g}": context(F.col("history"), g, model.n_ids) for g in model.tables}
+    keyed = state.withColumns(contexts)
+    for gram, table in model.tables.items():
+        named = table.toDF(f"ctx{gram}", f"ids{gram}", f"shares{gram}")
+        keyed = left_lookup(keyed, named, [f"ctx{gram}"], ["prompt_id"], model.small[gram])
+    entries = []
+    for gram in model.tables:
+        entries += [
+            F.coalesce(f"ids{gram}", F.array().cast("array<int>")).alias(f"ids{gram}"),
+            F.coalesce(f"shares{gram}", F.array().cast("array<double>")).alias(f"shares{gram}"),
+        ]
+    return keyed.select(*state.columns, *entries)
+
+
+def candidates(state: DataFrame, model: Model, options: Options = Options(), upto: str = "candidates") -> DataFrame:
+    """One row per candidate of each prompt after the named filter (see ``sampling.STAGES``)."""
+    rows = sampling.stage_rows(options, len(model.tables), upto)
+    found = looked_up(state.select("prompt_id", "history"), model)
+    return found.mapInArrow(rows, "prompt_id long, token_id int, score double")
+
+
+def started(start: DataFrame) -> DataFrame:
+    return start.select("prompt_id", "history", F.lit(0).alias("n_new"), F.lit(False).alias("done"))
+
+
+def step(state: DataFrame, model: Model, options: Options = Options()) -> DataFrame:
+    """One more id for every prompt: penalty, n-gram ban, temperature, top-k, top-p, draw."""
+    return looked_up(state, model).mapInArrow(sampling.one_step(options, len(model.tables)), STATE)
+
+
+def run(start: DataFrame, model: Model, options: Options = Options(), cut_every: int = 4) -> DataFrame:
+    """At most ``max_new_tokens`` new ids per prompt, then prompt and continuation as text.
+
+    A model counted to be small travels to the tasks, and every prompt runs to its end in one pass. A larger one stays
+    a table: all prompts go step by step, and ended prompts leave the loop.
     """
-    state = cut(start.select("prompt_id", "history", F.lit(False).alias("done")))
-    finished = []
-    for number in range(options.max_new_tokens):
-        state = step(state, model, options, number)
-        if (number + 1) % cut_every == 0 or number + 1 == options.max_new_tokens:
-            state = cut(state)
-            finished.append(state.where("done"))
-            state = state.where(~F.col("done"))
-    everything = state
-    for part in finished:
-        everything = everything.unionByName(part)
-    return everything.select(
-        "prompt_id", "history", encode.decode("history", skip_special=True).alias("generated_text")
-    )
+    if all(model.small.values()):
+        held = {g: sampling.Contexts(table.toArrow()) for g, table in model.tables.items()}
+        ended = spread(started(start)).mapInArrow(sampling.all_steps(options, held, model.n_ids), STATE)
+    else:
+        ended = run_by_steps(start, model, options, cut_every)
+    text = encode.decode("history", skip_special=True)
+    return ended.select("prompt_id", "history", "n_new", text.alias("generated_text"))
+
+
+def run_by_steps(start: DataFrame, model: Model, options: Options, cut_every: int) -> DataFrame:
+    """The state is written every few steps, so a lost executor costs a few steps and plans stay short."""
+    state = cut(started(start))
+    ended = []
+    for number in range(1, options.max_new_tokens + 1):
+        state = step(state, model, options)
+        ended.append(state.where("done"))
+        state = state.where("not done")
+        if number % cut_every == 0 or number == options.max_new_tokens:
+            written = cut(reduce(DataFrame.unionByName, ended, state))
+            state, ended = written.where("not done"), [written.where("done")]
+    return reduce(DataFrame.unionByName, ended, state)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition per core: generating is heavy per row, and a small prompts file is one partition."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, "prompt_id") if df.rdd.getNumPartitions() < cores else df

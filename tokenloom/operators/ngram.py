@@ -11,10 +11,9 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions import kernels
 from tokenloom.functions.alphabet import BYTE_VOCAB_SIZE
-from tokenloom.operators.lookup import left_lookup
+from tokenloom.operators.lookup import is_small, left_lookup
 
 ADD_K = 0.01
-BACKOFF = 0.4
 
 
 def counts(
@@ -89,8 +88,9 @@ def score(
     """Loss per document. ``docs`` has counts per ``key``, ``model`` is a written table of counts of one gram."""
     seen = model.select("ctx", "nxt", F.col("n").alias("c"))
     totals = model.groupBy("ctx").agg(F.sum("n").alias("ctx_n"))
-    joined = left_lookup(docs, seen, ["ctx", "nxt"], [key])
-    joined = left_lookup(joined, totals, ["ctx"], [key, "nxt"])
+    small = is_small(model)
+    joined = left_lookup(docs, seen, ["ctx", "nxt"], [key], small)
+    joined = left_lookup(joined, totals, ["ctx"], [key, "nxt"], small)
     return joined.groupBy(key).agg(*loss(F.col("n"), add_k(F.col("c"), F.col("ctx_n"), n_ids, k)))
 
 
@@ -99,6 +99,7 @@ def followers(model: DataFrame) -> DataFrame:
 
     A context has at most one entry per vocabulary id, so a row is bounded.
     """
-    rows = probabilities(model)
-    entry = F.struct(F.col("nxt").alias("id"), F.col("share").alias("p"))
-    return rows.groupBy("gram", "ctx").agg(F.array_sort(F.collect_list(entry)).alias("next"))
+    rows = model.withColumn("whole", F.sum("n").over(Window.partitionBy("gram", "ctx")))
+    entry = F.struct(F.col("nxt"), (F.col("n") / F.col("whole")).alias("share"))
+    listed = rows.groupBy("gram", "ctx").agg(F.array_sort(F.collect_list(entry)).alias("next"))
+    return listed.select("gram", "ctx", F.col("next.nxt").alias("ids"), F.col("next.share").alias("shares"))

@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.functions import alphabet, sampling
+from tokenloom.functions import alphabet
 from tokenloom.functions.text import byte_codes, code_ids, run_name, shuffle_key, hash_number
 from tokenloom.operators.ordering import hash_segment, range_segment, row_rank
 from tokenloom.operators import audit, batches, corpus, encode, generate, ngram, pack, split, vocab
@@ -367,7 +367,7 @@ def label_loss(spark, sf_dir):
 
 
 def model_tables(spark, sf_dir):
-    return generate.model_tables(gram_counts(spark, sf_dir, tuple(range(1, GRAM + 1))), GRAM)
+    return generate.written_model(gram_counts(spark, sf_dir, tuple(range(1, GRAM + 1))), GRAM)
 
 
 def prompt_table(spark, sf_dir) -> DataFrame:
@@ -384,47 +384,32 @@ def prompt_context(spark, sf_dir):
     )
 
 
-def stage(spark, sf_dir, upto: str) -> DataFrame:
-    """Candidate lists after the named filter of a generation step."""
-    found = generate.candidates(prompt_table(spark, sf_dir), model_tables(spark, sf_dir))
-    options = generate.Options(top_k=40)
-    held, lists = F.col("history"), F.col("candidates")
-    filters = {
-        "candidates": lambda c: c,
-        "penalty": lambda c: sampling.penalise(c, held, options.repetition_penalty),
-        "no_repeat": lambda c: sampling.ban_repeats(c, held, options.no_repeat_ngram_size),
-        "temperature": lambda c: sampling.as_probabilities(c, options.temperature),
-        "top_k": lambda c: sampling.top_k(c, options.top_k),
-        "top_p": lambda c: sampling.top_p(c, options.top_p),
-    }
-    for name, apply in filters.items():
-        lists = apply(lists)
-        if name == upto:
-            break
-    return found.select("prompt_id", lists.alias("kept"))
+STEP_OPTIONS = generate.Options(top_k=40)
 
 
 def stage_rows(spark, sf_dir, upto: str) -> DataFrame:
-    rows = stage(spark, sf_dir, upto).select("prompt_id", F.explode("kept").alias("c"))
-    return rows.select("prompt_id", F.col("c.id").alias("token_id"), F.round("c.s", 6).alias("score"))
+    """Candidates left after the named filter of a generation step."""
+    rows = generate.candidates(prompt_table(spark, sf_dir), model_tables(spark, sf_dir), STEP_OPTIONS, upto)
+    return rows.select("prompt_id", "token_id", F.round("score", 6).alias("score"))
+
+
+def stepped(spark, sf_dir, options: generate.Options) -> DataFrame:
+    state = generate.step(generate.started(prompt_table(spark, sf_dir)), model_tables(spark, sf_dir), options)
+    last = F.get("history", F.size("history") - 1)
+    return state.select("prompt_id", "done", F.when(~F.col("done"), last).alias("token_id"))
 
 
 def sample_step(spark, sf_dir):
-    kept = stage(spark, sf_dir, "top_p")
-    u = sampling.uniform(42, F.col("prompt_id"), F.lit(0))
-    return kept.select("prompt_id", F.size("kept").alias("n_kept"), sampling.draw(F.col("kept"), u).alias("token_id"))
+    return stepped(spark, sf_dir, STEP_OPTIONS)
 
 
 def greedy_step(spark, sf_dir):
-    found = generate.candidates(prompt_table(spark, sf_dir), model_tables(spark, sf_dir))
-    options = generate.Options(do_sample=False)
-    chosen = generate.next_ids(F.col("candidates"), F.col("history"), options, F.col("prompt_id"), F.lit(0))
-    return found.select("prompt_id", chosen.alias("token_id"))
+    return stepped(spark, sf_dir, generate.Options(do_sample=False))
 
 
 def generate_text(spark, sf_dir):
     out = generate.run(prompt_table(spark, sf_dir), model_tables(spark, sf_dir))
-    return out.select("prompt_id", F.size("history").alias("n_ids"), "generated_text")
+    return out.select("prompt_id", "n_new", "generated_text")
 
 
 # Bundle audit
