@@ -1,2 +1,446 @@
-def registry():
-    return {}
+"""DuckDB SQL for the registered queries, written per row and per token, apart from how Spark computes them."""
+
+NL = "chr(10)"
+
+# Lines of a text, as a line reader gives them.
+LINES = f"""
+unixtext as (select *, regexp_replace(text, '\\r\\n?', {NL}, 'g') as t from documents where text is not null),
+linelists as (
+  select *, string_split(case when ends_with(t, {NL}) then left(t, length(t) - 1) else t end, {NL}) as ls
+  from unixtext where t <> ''),
+lines as (
+  select doc_id, source, unnest(range(len(ls)))::int as line_no, unnest(ls) as text from linelists),
+keyed as (
+  select *, md5('42:' || doc_id || ':' || line_no) as h from lines)
+"""
+
+EXACT = """
+sided as (
+  select *, case when row_number() over (order by h, doc_id, line_no) <= ceil(0.1::double * count(*) over ())
+            then 'test' else 'train' end as split
+  from keyed)
+"""
+
+HASHED = """
+sided as (
+  select *, case when ('0x' || substr(h, 1, 8))::bigint < 0.1::double * 4294967296 then 'test' else 'train' end as split
+  from keyed)
+"""
+
+ID_OF_BYTE = """case when {b} between 33 and 126 then {b} - 31 when {b} between 161 and 172 then {b} - 65
+ when {b} >= 174 then {b} - 66 when {b} <= 32 then {b} + 190 when {b} = 127 then 223
+ when {b} = 173 then 257 else {b} + 96 end"""
+
+
+def ids_of(text: str) -> str:
+    """A list expression: the token ids of a text column's bytes."""
+    one = ID_OF_BYTE.format(b="b")
+    as_bytes = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::int)"
+    return f"list_transform({as_bytes}, lambda b: ({one})::int)"
+
+
+def ids_md5(ids: str = "ids") -> str:
+    return f"md5(array_to_string({ids}, ','))"
+
+
+def encoded(source: str, text: str = "text", eos: bool = True, name: str = "coded") -> str:
+    ids = ids_of(text)
+    return f"{name} as (select *, {f'list_append({ids}, 1)' if eos else ids} as ids from {source})"
+
+
+def with_(*parts: str) -> str:
+    return "with " + ",\n".join(p.strip() for p in parts) + "\n"
+
+
+def blocks(rows: str, keys: str, order: str, size: int) -> str:
+    """Blocks per token: number the tokens of a batch, group them by block, keep the full ones."""
+    return f"""
+toks as (select {keys}, {order}, unnest(ids) as id, unnest(range(len(ids))) as p from {rows}),
+placed as (select {keys}, id, row_number() over (partition by {keys} order by {order}, p) - 1 as k from toks),
+packed as (
+  select {keys}, k // {size} as block_no, list(id order by k) as ids from placed
+  group by {keys}, k // {size} having count(*) = {size})
+"""
+
+
+BLOCK_OUT = f"block_no, len(ids)::int as n_ids, {ids_md5()} as ids_md5, true as labels_equal"
+
+BY_ROWS = """
+batched as (
+  select *, (row_number() over (partition by split order by h, doc_id, line_no) - 1) // 1000 as batch_id from coded)
+"""
+
+PACKED = (LINES, EXACT, encoded("sided"), BY_ROWS, blocks("batched", "split, batch_id", "h, doc_id, line_no", 256))
+
+MARKED = "marked as (select doc_id, replace(text, '. ', '.<|endoftext|>') || '<|pad|>' as text from documents)"
+
+# Literals first: every piece between end-of-text literals, then the literal's id.
+MARKED_IDS = f"""
+pieces as (
+  select doc_id, unnest(string_split(left(text, length(text) - 7), '<|endoftext|>')) as piece,
+         unnest(range(len(string_split(left(text, length(text) - 7), '<|endoftext|>')))) as p from marked),
+piece_ids as (select doc_id, p, {ids_of("piece")} as ids from pieces),
+coded as (
+  select doc_id, list_append(list_concat(flatten(list(case when p = 0 then ids else list_prepend(1, ids) end order by p)), []), 0) as ids
+  from piece_ids group by doc_id)
+"""
+
+DOC_SPLIT = """
+docsplit as (
+  select *, case when ('0x' || substr(md5('42:' || doc_id), 1, 8))::bigint < 0.1::double * 4294967296
+            then 'test' else 'train' end as split
+  from documents where text is not null)
+"""
+
+DOC_TOKENS = f"""
+{encoded("docsplit")},
+toks as (select doc_id, split, unnest(ids) as id, unnest(range(len(ids))) as p from coded),
+win as (
+  select doc_id, split, p, id as a3, lag(id) over w as a2, lag(id, 2) over w as a1
+  from toks window w as (partition by doc_id order by p))
+"""
+
+MODEL = """
+grams as (
+  select split, doc_id, 1 as gram, 0::bigint as ctx, a3 as nxt from win
+  union all select split, doc_id, 2, a2::bigint, a3 from win where p >= 1
+  union all select split, doc_id, 3, a1::bigint * 258 + a2, a3 from win where p >= 2),
+model as (
+  select gram::int as gram, ctx, nxt, count(*) as n, sum(count(*)) over (partition by gram, ctx) as ctx_n
+  from grams where split = 'train' group by gram, ctx, nxt)
+"""
+
+SCORED = """
+test as (select doc_id, ctx, nxt, count(*) as n from grams where split = 'test' and gram = 3 group by all),
+totals as (select distinct ctx, ctx_n from model where gram = 3),
+pairs as (
+  select t.doc_id, t.n, (coalesce(m.n, 0) + 0.01::double) / (coalesce(c.ctx_n, 0) + 2.58::double) as p
+  from test t left join model m on m.gram = 3 and m.ctx = t.ctx and m.nxt = t.nxt left join totals c on c.ctx = t.ctx),
+scored as (
+  select doc_id, sum(n)::bigint as n_pairs, sum(-n * ln(p)) / sum(n) as loss from pairs group by doc_id)
+"""
+
+LOSS_OUT = "n_pairs, round(loss, 6) as loss, round(exp(loss), 4) as perplexity"
+
+PROMPTS = f"""
+prompts as (
+  select conv_id * 1000 + turn as prompt_id, {ids_of("text")} as h from conversations
+  where role = 'user' and text is not null),
+contexts as (
+  select prompt_id, h, 0::bigint as c1, case when len(h) >= 1 then h[len(h)]::bigint end as c2,
+         case when len(h) >= 2 then h[len(h) - 1]::bigint * 258 + h[len(h)] end as c3 from prompts)
+"""
+
+# Each stage of a generation step, in order; every one reads the one before.
+STAGES = {
+    "candidates": """
+levels as (
+  select prompt_id, h, m.nxt as id, m.gram, ln(m.n / m.ctx_n * 0.4::double ** (3 - m.gram)) as s
+  from contexts c join model m
+    on (m.gram = 3 and m.ctx = c.c3) or (m.gram = 2 and m.ctx = c.c2) or (m.gram = 1 and m.ctx = c.c1)),
+candidates as (
+  select prompt_id, id, arg_max(s, gram) as s from levels group by prompt_id, id)""",
+    "penalty": """
+seen as (select distinct prompt_id, unnest(h) as id from prompts),
+penalty as (
+  select c.prompt_id, c.id, case when x.id is null then s when s > 0 then s / 1.1::double else s * 1.1::double end as s
+  from candidates c left join seen x on x.prompt_id = c.prompt_id and x.id = c.id)""",
+    "no_repeat": """
+fours as (
+  select prompt_id, h[i:i + 2] as three, h[i + 3] as id
+  from (select prompt_id, h, unnest(range(1, len(h) - 2)) as i from prompts)),
+banned as (
+  select distinct f.prompt_id, f.id from fours f join prompts p on p.prompt_id = f.prompt_id
+  where f.three = p.h[len(p.h) - 2:len(p.h)]),
+no_repeat as (
+  select * from penalty c where not exists (
+    select 1 from banned b where b.prompt_id = c.prompt_id and b.id = c.id))""",
+    "temperature": """
+raised as (
+  select prompt_id, id, exp((s - max(s) over (partition by prompt_id)) / 0.7::double) as e from no_repeat),
+temperature as (
+  select prompt_id, id, e / sum(e) over (partition by prompt_id) as s from raised)""",
+    "top_k": """
+top_k as (
+  select prompt_id, id, s from temperature
+  qualify row_number() over (partition by prompt_id order by s desc, id) <= 40)""",
+    "top_p": """
+masses as (
+  select *, coalesce(sum(s) over (partition by prompt_id order by s desc, id
+                                  rows between unbounded preceding and 1 preceding), 0) as before,
+         sum(s) over (partition by prompt_id) as whole from top_k),
+top_p as (select prompt_id, id, s from masses where before < 0.9::double * whole)""",
+}
+
+
+def stage(upto: str) -> tuple[str, ...]:
+    names = list(STAGES)
+    return (DOC_SPLIT, DOC_TOKENS, MODEL, PROMPTS, *(STAGES[n] for n in names[: names.index(upto) + 1]))
+
+
+def stage_rows(upto: str) -> str:
+    return with_(*stage(upto)) + f"\nselect prompt_id, id as token_id, round(s, 6) as score from {upto}"
+
+
+SAMPLED = """
+drawn as (
+  select prompt_id, id, row_number() over w as r, sum(s) over w as upto, sum(s) over (partition by prompt_id) as whole,
+         ('0x' || substr(md5('42:' || prompt_id || ':0'), 1, 12))::bigint / 281474976710656.0::double as u
+  from top_p window w as (partition by prompt_id order by s desc, id rows between unbounded preceding and current row)),
+chosen as (select prompt_id, arg_min(id, r) as token_id from drawn where upto > u * whole group by prompt_id)
+"""
+
+WHITE = "[\\t-\\r\\x{85}\\p{Z}]"
+BLACK = "[^\\t-\\r\\x{85}\\p{Z}]"
+
+# DuckDB's regular expressions have no look-ahead: a mark set before the last space of a run that ends at a word
+# splits the run where the look-ahead would.
+WORDS = f"""
+pieces as (
+  select unnest(regexp_extract_all(text, '[^\\n]*\\n|[^\\n]+')) as line from documents where text is not null),
+spaced as (
+  select regexp_replace(line, '({WHITE})({WHITE}{BLACK})', '\\1' || chr(1) || '\\2', 'g') as line from pieces),
+words as (
+  select unnest(regexp_extract_all(line,
+    '''s|''t|''re|''ve|''m|''ll|''d| ?\\p{{L}}+| ?\\p{{N}}+| ?[^\\x01\\t-\\r\\x{{85}}\\p{{Z}}\\p{{L}}\\p{{N}}]+|{WHITE}+')) as word
+  from spaced)
+"""
+
+LISTING = """
+listing as (
+  select 'bundle-' || (doc_id // 40) as bundle, n_chars as length,
+    ['config.json', 'tokenizer.json', 'tokenizer_config.json', 'special_tokens_map.json', 'onnx/model.onnx',
+     'vocab.json', 'merges.txt', 'pytorch_model.bin', 'weights.pt', 'runs/events.log', '__pycache__/x.pyc',
+     'onnx/decoder.onnx'][1 + ('0x' || substr(md5('3:' || doc_id), 1, 8))::bigint % 12] as rel_path
+  from documents)
+"""
+
+REQUIRED = """
+required as (
+  select unnest(['config.json', 'tokenizer.json', 'tokenizer_config.json', 'special_tokens_map.json',
+                 'onnx/model.onnx']) as path, unnest(range(5)) as nr)
+"""
+
+BYTE_ALPHABET = f"""
+alphabet as (
+  select b, {ID_OF_BYTE.format(b="b")} as token_id,
+    chr((case when b between 33 and 126 or b between 161 and 172 or b >= 174 then b
+         when b <= 32 then 256 + b when b = 127 then 289 when b = 173 then 323 else 162 + b end)::int) as token
+  from (select unnest(range(256))::int as b)),
+known as (
+  select token_id::int as token_id, token from alphabet
+  union all select 0, '<|pad|>' union all select 1, '<|endoftext|>')
+"""
+
+
+def line_tokens() -> tuple[str, ...]:
+    return (LINES, encoded("lines"), "used as (select id, count(*) as n from (select unnest(ids) as id from coded) group by id)")
+
+
+def registry() -> dict[str, str]:
+    found = {
+        "line_scan": with_(LINES)
+        + "select doc_id, line_no, length(text)::int as n_chars, md5(text) as text_md5 from lines",
+        "run_names": """
+select page_id, 'baby-byte-' || coalesce(case when page_id % 3 = 0 then 'tag' || page_id end,
+  regexp_extract(regexp_extract(url, '^([^?#]*)', 1), '([^/]+?)(\\.[^./]*)?$', 1)) as run_name from pages""",
+        "compile_sources": f"""
+with t as (select source, doc_id as ord, regexp_replace(text, '\\r\\n?', {NL}, 'g') as text
+           from documents where text is not null)
+select source, ord, coalesce(sum(length(text) + 2) over (partition by source order by ord
+  rows between unbounded preceding and 1 preceding), 0)::bigint as char_offset, md5(text) as text_md5 from t""",
+        "compile_conversations": f"""
+with t as (select conv_id, turn as ord, regexp_replace(text, '\\r\\n?', {NL}, 'g') as text
+           from conversations where text is not null)
+select conv_id, ord, coalesce(sum(length(text) + 2) over (partition by conv_id order by ord
+  rows between unbounded preceding and 1 preceding), 0)::bigint as char_offset, md5(text) as text_md5 from t""",
+        "compile_summary": f"""
+select source, count(text) as kept, count(*) - count(text) as rejected,
+  strlen(string_agg(regexp_replace(text, '\\r\\n?', {NL}, 'g'), {NL} || {NL}))::bigint as bytes
+from documents group by source""",
+        "split_exact": with_(LINES, EXACT) + "select doc_id, line_no, split from sided",
+        "split_hash": with_(LINES, HASHED) + "select doc_id, line_no, split from sided",
+        "split_grouped": with_(LINES)
+        + """select doc_id, line_no, case when ('0x' || substr(md5('42:' || doc_id), 1, 8))::bigint
+        < 0.1::double * 4294967296 then 'test' else 'train' end as split from lines""",
+        "shuffle_order": with_(LINES, EXACT)
+        + """select doc_id, line_no, split,
+        row_number() over (partition by split order by h, doc_id, line_no) - 1 as rn from sided""",
+        "byte_vocab": with_(*line_tokens(), BYTE_ALPHABET)
+        + "select token_id, token, coalesce(n, 0) as n from known left join used on id = token_id",
+        "special_tokens": with_(*line_tokens())
+        + """select role, literal, token_id, coalesce(n, 0) as n
+        from (values ('pad', '<|pad|>', 0), ('eos', '<|endoftext|>', 1), ('bos', '<|endoftext|>', 1))
+          roles(role, literal, token_id) left join used on id = token_id""",
+        "word_counts": with_(WORDS) + "select word, count(*) as n from words group by word",
+        "byte_encode": with_(LINES, encoded("lines"))
+        + f"select doc_id, line_no, len(ids)::int as n_ids, {ids_md5()} as ids_md5 from coded",
+        "special_literals": with_(MARKED, MARKED_IDS)
+        + f"select doc_id, len(ids)::int as n_ids, {ids_md5()} as ids_md5 from coded",
+        "decode_roundtrip": with_(MARKED)
+        + """select doc_id, md5(text) as text_md5,
+        md5(replace(replace(text, '<|endoftext|>', ''), '<|pad|>', '')) as plain_md5 from marked""",
+        "coverage": "select lang, count(text) as n_rows, 0::bigint as n_broken from documents group by lang",
+        "inspect_encoding": with_(encoded("benchmark", eos=False))
+        + "select item_id, text, array_to_string(ids, ',') as ids from coded",
+        "token_stats": """
+select lang, source, count(text) as n_rows, sum(strlen(text))::bigint as n_tokens,
+  sum(length(text))::bigint as n_chars, max(strlen(text)) as max_tokens
+from documents group by rollup (lang, source)""",
+        "id_frequency": with_(encoded("documents", eos=False))
+        + "select lang, token_id, count(*) as n from (select lang, unnest(ids) as token_id from coded) group by all",
+        "frequent_ids": with_(encoded("documents"))
+        + """select token_id, count(*) as n from (select unnest(ids) as token_id from coded) group by token_id
+        order by n desc, token_id limit 20""",
+        "overflow_chunks": with_(
+            encoded("documents", eos=False),
+            "cuts as (select doc_id, ids, unnest(range(greatest(1, ceil(len(ids) / 512)::bigint))) as c from coded)",
+            "chunks as (select doc_id, c::int as chunk_no, ids[c * 512 + 1:c * 512 + 512] as ids from cuts)",
+        )
+        + f"select doc_id, chunk_no, len(ids)::int as n_ids, {ids_md5()} as ids_md5 from chunks",
+        "pack_blocks": with_(*PACKED) + f"select split, batch_id, {BLOCK_OUT} from packed",
+        "pack_hash": with_(
+            LINES,
+            HASHED,
+            encoded("sided"),
+            "batched as (select *, ('0x' || substr(h, 1, 12))::bigint % 16 as batch_id from coded)",
+            blocks("batched", "split, batch_id", "h, doc_id, line_no", 256),
+        )
+        + f"select split, batch_id, {BLOCK_OUT} from packed",
+        "pack_sources": with_(LINES, encoded("keyed"), blocks("coded", "source", "h, doc_id, line_no", 256))
+        + f"select source, {BLOCK_OUT} from packed",
+        "pack_document_order": with_(
+            LINES,
+            encoded("lines"),
+            "batched as (select *, (row_number() over (order by doc_id, line_no) - 1) // 1000 as batch_id from coded)",
+            blocks("batched", "batch_id", "doc_id, line_no", 256),
+        )
+        + f"select batch_id, {BLOCK_OUT} from packed",
+        "pack_report": with_(LINES, EXACT, encoded("sided"), BY_ROWS)
+        + """select split, batch_id, sum(len(ids))::bigint as n_tokens, (sum(len(ids)) // 256)::bigint as n_blocks,
+        (sum(len(ids)) // 256 * 256)::bigint as kept, (sum(len(ids)) % 256)::bigint as dropped
+        from batched group by split, batch_id""",
+        "map_batches": with_(LINES, EXACT, encoded("sided"), BY_ROWS)
+        + """select split, batch_id, count(*) as n_rows, max(len(ids))::int as longest
+        from batched group by split, batch_id""",
+        "collate_pad": with_(
+            encoded("conversations"),
+            "sized as (select *, (max(len(ids)) over (partition by conv_id) - len(ids))::bigint as gap from coded)",
+            "padded as (select *, list_concat(ids, list_transform(range(gap), lambda i: 1)) as full_ids from sized)",
+        )
+        + f"""select conv_id, turn, {ids_md5("full_ids")} as ids_md5,
+        md5(array_to_string(list_concat(list_transform(ids, lambda i: 1), list_transform(range(gap), lambda i: 0)), ','))
+          as mask_md5,
+        md5(array_to_string(list_transform(full_ids, lambda i: case when i = 1 then -100 else i end), ',')) as labels_md5
+        from padded""",
+        "next_token_pairs": with_(
+            encoded("benchmark"),
+            "places as (select item_id, ids, unnest(range(greatest(0, len(ids) - 3)))::int as place from coded)",
+        )
+        + """select item_id, place, array_to_string(ids[place + 1:place + 3], ',') as context,
+        ids[place + 4] as target from places""",
+        "epoch_manifest": with_(
+            *PACKED,
+            """visits as (
+  select batch_id, block_no, epoch, row_number() over (
+    partition by epoch order by md5('42:' || epoch || ':' || batch_id || ':' || block_no), batch_id, block_no) - 1 as place
+  from packed, (select unnest(range(3))::int as epoch) where split = 'train')""",
+        )
+        + "select batch_id, block_no, epoch, place, place // 8 as micro_batch, place // 8 // 4 as step from visits",
+        "lr_schedule": with_(
+            LINES,
+            EXACT,
+            encoded("sided"),
+            BY_ROWS,
+            """sizes as (select sum(len(ids)) // 256 as n from batched where split = 'train' group by batch_id),
+run as (select 30 * ceil(ceil(sum(n) / 8) / 4)::bigint as t, ceil(0.1::double * t)::bigint as w from sizes),
+steps as (select t, w, unnest(range(t)) as s from run)""",
+        )
+        + """select s + 1 as step, round(1e6::double * 3e-4::double * case when s < w then s / greatest(1, w)
+          else greatest(0, 0.5::double * (1 + cos(pi() * ((s - w) / greatest(1, t - w))))) end, 6) as rate,
+        (s + 1) % 10 = 0 as logs, (s + 1) % 200 = 0 as evaluates, (s + 1) % 200 = 0 as saves from steps""",
+        "ngram_counts": with_(DOC_SPLIT, DOC_TOKENS, MODEL) + "select gram, ctx, nxt, n from model",
+        "ngram_probs": with_(DOC_SPLIT, DOC_TOKENS, MODEL)
+        + """select gram, ctx, nxt, n, ctx_n::bigint as ctx_n, round(n / ctx_n, 6) as share,
+        round((n + 0.01::double) / (ctx_n + 2.58::double), 6) as p from model""",
+        "heldout_loss": with_(
+            *PACKED,
+            """flat as (select split, batch_id, block_no, unnest(ids) as id, unnest(range(256)) as q from packed),
+tri as (
+  select split, q, lag(id, 2) over w * 258 + lag(id) over w as ctx, id as nxt from flat
+  window w as (partition by split, batch_id, block_no order by q)),
+train as (
+  select ctx, nxt, count(*) as n, sum(count(*)) over (partition by ctx) as ctx_n
+  from tri where split = 'train' and q >= 2 group by ctx, nxt),
+totals as (select distinct ctx, ctx_n from train),
+test as (select ctx, nxt, count(*) as n from tri where split = 'test' and q >= 2 group by ctx, nxt),
+pairs as (
+  select t.n, (coalesce(m.n, 0) + 0.01::double) / (coalesce(c.ctx_n, 0) + 2.58::double) as p
+  from test t left join train m on m.ctx = t.ctx and m.nxt = t.nxt left join totals c on c.ctx = t.ctx),
+scored as (select sum(n)::bigint as n_pairs, sum(-n * ln(p)) / sum(n) as loss from pairs)""",
+        )
+        + f"select {LOSS_OUT} from scored",
+        "learning_curve": with_(
+            DOC_SPLIT,
+            DOC_TOKENS,
+            """tri as (
+  select split, (('0x' || substr(md5('7:' || doc_id), 1, 8))::bigint % 4)::int as part, a1 * 258 + a2 as ctx, a3 as nxt
+  from win where p >= 2),
+parts as (select unnest(range(4))::int as part),
+train as (select part, ctx, nxt, count(*) as n from tri where split = 'train' group by all),
+fits as (
+  select s.part, ctx, nxt, sum(n) as n from parts s join train t on t.part <= s.part group by s.part, ctx, nxt),
+totals as (select part, ctx, sum(n) as ctx_n from fits group by part, ctx),
+test as (select ctx, nxt, count(*) as n from tri where split = 'test' group by all),
+pairs as (
+  select s.part, t.n, (coalesce(m.n, 0) + 0.01::double) / (coalesce(c.ctx_n, 0) + 2.58::double) as p
+  from parts s cross join test t left join fits m on m.part = s.part and m.ctx = t.ctx and m.nxt = t.nxt
+  left join totals c on c.part = s.part and c.ctx = t.ctx),
+scored as (select part, sum(n)::bigint as n_pairs, sum(-n * ln(p)) / sum(n) as loss from pairs group by part)""",
+        )
+        + f"select part, {LOSS_OUT} from scored",
+        "doc_scores": with_(DOC_SPLIT, DOC_TOKENS, MODEL, SCORED) + f"select doc_id, {LOSS_OUT} from scored",
+        "worst_documents": with_(DOC_SPLIT, DOC_TOKENS, MODEL, SCORED)
+        + f"select doc_id, {LOSS_OUT} from scored order by round(loss, 6) desc, doc_id limit 20",
+        "label_loss": with_(DOC_SPLIT, DOC_TOKENS, MODEL, SCORED)
+        + """select quality, sum(n_pairs)::bigint as n_pairs, round(sum(loss * n_pairs) / sum(n_pairs), 6) as loss
+        from scored join labels using (doc_id) group by quality""",
+        "prompt_context": with_(PROMPTS)
+        + "select prompt_id, len(h)::int as n_ids, c1 as ctx1, c2 as ctx2, c3 as ctx3 from contexts",
+        "sample_step": with_(*stage("top_p"), SAMPLED)
+        + """select p.prompt_id, coalesce(token_id, -1) in (-1, 1) as done,
+        case when token_id <> 1 then token_id end as token_id from prompts p left join chosen c on c.prompt_id = p.prompt_id""",
+        "greedy_step": with_(
+            *stage("no_repeat"),
+            "chosen as (select prompt_id, id as token_id from no_repeat"
+            " qualify row_number() over (partition by prompt_id order by s desc, id) = 1)",
+        )
+        + """select p.prompt_id, coalesce(token_id, -1) in (-1, 1) as done,
+        case when token_id <> 1 then token_id end as token_id from prompts p left join chosen c on c.prompt_id = p.prompt_id""",
+        "bundle_audit": with_(
+            LISTING,
+            REQUIRED,
+            "bundles as (select bundle, list(rel_path) as paths from listing group by bundle)",
+            """judged as (
+  select bundle, array_to_string((select list(path order by nr) from required where not list_contains(paths, path)), ',')
+           as gaps, list_contains(paths, 'vocab.json') as has_vocab, list_contains(paths, 'merges.txt') as has_merges
+  from bundles)""",
+        )
+        + """select bundle, coalesce(gaps, '') as missing, has_vocab, has_merges,
+        case when coalesce(gaps, '') <> '' or (has_merges and not has_vocab) then 'error'
+             when not has_merges and not has_vocab then 'warning' else 'ok' end as status from judged""",
+        "bundle_missing": with_(LISTING, REQUIRED)
+        + """select b.bundle, path as missing from (select distinct bundle from listing) b cross join required r
+        where not exists (select 1 from listing l where l.bundle = b.bundle and l.rel_path = r.path)""",
+        "bundle_upload": with_(LISTING)
+        + """select bundle, count(*) as n_files, sum(length)::bigint as length from listing
+        where not (ends_with(rel_path, '.pt') or ends_with(rel_path, '.bin') or starts_with(rel_path, '__pycache__/')
+                   or starts_with(rel_path, 'runs/')) group by bundle""",
+        "bundle_export": with_(LISTING)
+        + """select bundle, rel_path, count(*) as n_files from listing
+        where rel_path in ('config.json', 'tokenizer.json', 'tokenizer_config.json', 'special_tokens_map.json',
+                           'merges.txt', 'vocab.json', 'onnx/model.onnx') group by bundle, rel_path""",
+    }
+    for name in STAGES:
+        found[name] = stage_rows(name)
+    return found
