@@ -1,5 +1,6 @@
 """Arrow-batch helpers. Each works on whole batches with numpy; Spark does the partitioning and the shuffles."""
 
+import math
 import sys
 
 import numpy as np
@@ -180,25 +181,52 @@ def pair_counter(byte_table: np.ndarray, merges: Merges):
     return run
 
 
-def ngram_counter(orders: tuple[int, ...], n_ids: int):
-    """(key, token ids) batches -> partial counts per (key, order, context, next id).
-
-    A context is written as one number in base ``n_ids``; no n-gram crosses a row.
+def counted(keys: list[np.ndarray], sizes: list[int]) -> tuple[list[np.ndarray], np.ndarray]:
+    """How often each key tuple occurs; key i is below ``sizes[i]``."""
+    if math.prod(sizes) >= 2**63:
+        return summed(keys, np.ones(len(keys[0]), np.int64))
+    # Sorting one packed number is several times faster than sorting tuples.
+    packed = keys[0].astype(np.int64)
+    for key, size in zip(keys[1:], sizes[1:]):
+        packed = packed * size + key
+    packed.sort()
+    starts = np.flatnonzero(np.r_[True, packed[1:] != packed[:-1]]) if len(packed) else np.empty(0, np.int64)
+    counts = np.diff(np.r_[starts, len(packed)])
+    rest, out = packed[starts], []
+    for size in reversed(sizes[1:]):
+        out.append(rest % size)
+        rest = rest // size
+    return [rest, *reversed(out)], counts
+
+
+def ngram_counter(orders: tuple[int, ...], n_ids: int, table: np.ndarray):
+    """(key, tokens) batches -> partial counts per (key, order, context, next id).
+
+    Tokens are id lists, or byte codes that ``table`` turns into ids. A context is written as one number in base
+    ``n_ids``; no n-gram crosses a row.
     """
 
     def run(batches):
         for batch in batches:
-            offsets, ids = flat_lists(batch.column(1))
-            rows = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
-            place = np.arange(len(ids)) - offsets[:-1][rows]
+            tokens = batch.column(1)
+            if pa.types.is_binary(tokens.type) or pa.types.is_large_binary(tokens.type):
+                offsets, raw = flat_bytes(tokens)
+                ids = table[raw].astype(np.int64)
+            else:
+                offsets, ids = flat_lists(tokens)
+            sizes = np.diff(offsets)
+            place = np.arange(len(ids)) - np.repeat(offsets[:-1], sizes)
             coded = batch.column(0).dictionary_encode(null_encoding="encode")
-            group = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)[rows]
+            groups = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            group = np.repeat(groups, sizes)
             for order in orders:
                 last = np.flatnonzero(place >= order - 1)
                 context = np.zeros(len(last), np.int64)
                 for back in range(order - 1, 0, -1):
                     context = context * n_ids + ids[last - back]
-                (g, ctx, nxt), total = summed([group[last], context, ids[last]], np.ones(len(last), np.int64))
+                n_groups = max(1, len(coded.dictionary))
+                keys, bounds = [group[last], context, ids[last]], [n_groups, n_ids ** (order - 1), n_ids]
+                (g, ctx, nxt), total = counted(keys, bounds)
                 yield pa.RecordBatch.from_arrays(
                     [
                         coded.dictionary.take(pa.array(g)),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions import alphabet, kernels
 from tokenloom.functions.text import as_column, byte_codes, code_ids, whole_div, words
+from tokenloom.operators.ngram import counts
 from tokenloom.operators.vocab import Vocabulary
 
 
@@ -65,9 +66,7 @@ def stats(df: DataFrame, by: Sequence[str], text: str = "text") -> DataFrame:
 
 def id_frequency(df: DataFrame, by: str | None = None, ids: str = "input_ids") -> DataFrame:
     """How often each token id occurs, per value of ``by``; summed per Arrow batch before the shuffle."""
-    key = F.lit(None).cast("string") if by is None else F.col(by).cast("string")
-    counted = df.select(key.alias("key"), F.col(ids).alias("ids")).mapInArrow(
-        kernels.ngram_counter((1,), 1), "key string, gram int, ctx long, nxt int, n long"
-    )
-    total = counted.groupBy("key", F.col("nxt").alias("token_id")).agg(F.sum("n").alias("n"))
-    return total.drop("key") if by is None else total.withColumnRenamed("key", by)
+    key = None if by is None else F.col(by)
+    found = counts(df, (1,), key, ids, 2**31 - 1)
+    total = found.select("nxt", "n") if by is None else found.select(F.col("key").alias(by), "nxt", "n")
+    return total.withColumnRenamed("nxt", "token_id")

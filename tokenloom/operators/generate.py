@@ -13,7 +13,7 @@ from tokenloom.functions.text import byte_codes, code_ids
 from tokenloom.operators import encode
 from tokenloom.operators.lookup import BROADCAST_ROWS, left_lookup
 from tokenloom.operators.ngram import followers
-from tokenloom.session import cut
+from tokenloom.session import cut, spread
 
 STATE = "prompt_id long, history array<int>, n_new int, done boolean"
 
@@ -92,7 +92,7 @@ def run(start: DataFrame, model: Model, options: Options = Options(), cut_every:
     """
     if all(model.small.values()):
         held = {g: sampling.Contexts(table.toArrow()) for g, table in model.tables.items()}
-        ended = spread(started(start)).mapInArrow(sampling.all_steps(options, held, model.n_ids), STATE)
+        ended = spread(started(start), "prompt_id").mapInArrow(sampling.all_steps(options, held, model.n_ids), STATE)
     else:
         ended = run_by_steps(start, model, options, cut_every)
     text = encode.decode("history", skip_special=True)
@@ -111,9 +111,3 @@ def run_by_steps(start: DataFrame, model: Model, options: Options, cut_every: in
             written = cut(reduce(DataFrame.unionByName, ended, state))
             state, ended = written.where("not done"), [written.where("done")]
     return reduce(DataFrame.unionByName, ended, state)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """At least one partition per core: generating is heavy per row, and a small prompts file is one partition."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, "prompt_id") if df.rdd.getNumPartitions() < cores else df

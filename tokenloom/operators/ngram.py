@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenloom.functions import kernels
-from tokenloom.functions.alphabet import BYTE_VOCAB_SIZE
+from tokenloom.functions.alphabet import BYTE_VOCAB_SIZE, code_ids
 from tokenloom.operators.lookup import is_small, left_lookup
 
 ADD_K = 0.01
@@ -19,21 +19,22 @@ ADD_K = 0.01
 def counts(
     df: DataFrame,
     grams: Sequence[int],
-    by: str | None = None,
+    by: Column | None = None,
     ids: str = "input_ids",
     n_ids: int = BYTE_VOCAB_SIZE,
 ) -> DataFrame:
-    """L1: (gram, ctx, nxt, n), per value of ``by`` if given. Each Arrow batch is summed before the shuffle."""
+    """L1: (gram, ctx, nxt, n), per value of ``by`` (as ``key``) if given.
+
+    ``ids`` holds id lists or byte codes. Each Arrow batch is summed before the shuffle.
+    """
     if n_ids ** max(grams) >= 2**63:
         raise ValueError(f"{max(grams)}-grams over {n_ids} ids do not fit a LONG; use a smaller n")
-    key = F.lit(0).cast("long") if by is None else F.col(by)
-    source = df.select(key.alias("key"), F.col(ids).alias("ids"))
+    source = df.select((F.lit(0) if by is None else by).alias("key"), F.col(ids).alias("ids"))
     key_type = source.schema["key"].dataType.simpleString()
-    partial = source.mapInArrow(
-        kernels.ngram_counter(tuple(grams), n_ids), f"key {key_type}, gram int, ctx long, nxt int, n long"
-    )
+    counter = kernels.ngram_counter(tuple(grams), n_ids, code_ids())
+    partial = source.mapInArrow(counter, f"key {key_type}, gram int, ctx long, nxt int, n long")
     total = partial.groupBy("key", "gram", "ctx", "nxt").agg(F.sum("n").alias("n"))
-    return total.drop("key") if by is None else total.withColumnRenamed("key", by)
+    return total.drop("key") if by is None else total
 
 
 def add_k(n: Column, ctx_n: Column, n_ids: int = BYTE_VOCAB_SIZE, k: float = ADD_K) -> Column:
@@ -61,29 +62,39 @@ def loss(weight: Column, p: Column) -> list[Column]:
     return [F.sum(weight).alias("n_pairs"), mean.alias("loss"), F.exp(mean).alias("perplexity")]
 
 
-def evaluate(test: DataFrame, train: DataFrame, n_ids: int = BYTE_VOCAB_SIZE, k: float = ADD_K) -> DataFrame:
-    """L3: held-out loss. Both sides are counts of one gram, so no join key is hot."""
-    seen = train.select("ctx", "nxt", F.col("n").alias("c"))
-    totals = train.groupBy("ctx").agg(F.sum("n").alias("ctx_n"))
-    joined = test.join(seen, ["ctx", "nxt"], "left").join(totals, "ctx", "left")
-    return joined.agg(*loss(F.col("n"), add_k(F.col("c"), F.col("ctx_n"), n_ids, k)))
+def evaluate(sides: DataFrame, n_ids: int = BYTE_VOCAB_SIZE, k: float = ADD_K) -> DataFrame:
+    """L3: held-out loss from counts of one gram whose ``key`` is ``train`` or ``test``.
 
+    Both sides are summed together, so the data is read once and nothing is joined.
+    """
+    return _curve(sides, [F.col("key") == "train"], F.col("key") == "test", n_ids, k).drop("part")
 
-def learning_curve(
-    test: DataFrame, train: DataFrame, parts: int, part: str = "part", n_ids: int = BYTE_VOCAB_SIZE, k: float = ADD_K
-) -> DataFrame:
-    """L4: held-out loss of the models fit on the first 1, 2, ... ``parts`` parts; ``train`` has counts per part."""
-    upto = [F.sum(F.when(F.col(part) <= j, F.col("n")).otherwise(0)) for j in range(parts)]
-    seen = train.groupBy("ctx", "nxt").agg(F.array(*upto).alias("c"))
-    totals = train.groupBy("ctx").agg(F.array(*upto).alias("ctx_n"))
-    joined = test.join(seen, ["ctx", "nxt"], "left").join(totals, "ctx", "left")
-    each = joined.select("n", "c", "ctx_n", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias(part))
-    p = add_k(F.get("c", F.col(part)), F.get("ctx_n", F.col(part)), n_ids, k)
-    return each.groupBy(part).agg(*loss(F.col("n"), p))
+
+def learning_curve(sides: DataFrame, parts: int, n_ids: int = BYTE_VOCAB_SIZE, k: float = ADD_K) -> DataFrame:
+    """L4: held-out loss of the models fit on the first 1, 2, ... ``parts`` parts.
+
+    The ``key`` of the counts is the part of train rows, and -1 for test rows.
+    """
+    key = F.col("key")
+    return _curve(sides, [(key >= 0) & (key <= j) for j in range(parts)], key == -1, n_ids, k)
+
+
+def _curve(sides: DataFrame, fits: list[Column], held_out: Column, n_ids: int, k: float) -> DataFrame:
+    def total(which: Column) -> Column:
+        return F.sum(F.when(which, F.col("n")).otherwise(0))
+
+    columns = [total(fit).alias(f"c{j}") for j, fit in enumerate(fits)]
+    pairs = sides.groupBy("ctx", "nxt").agg(total(held_out).alias("n"), *columns)
+    # A context has at most one row per vocabulary id by now.
+    whole = Window.partitionBy("ctx")
+    rates = [add_k(F.col(f"c{j}"), F.sum(f"c{j}").over(whole), n_ids, k) for j in range(len(fits))]
+    held = pairs.select("n", F.array(*rates).alias("p")).where("n > 0")
+    each = held.select("n", F.posexplode("p").alias("part", "p"))
+    return each.groupBy("part").agg(*loss(F.col("n"), F.col("p")))
 
 
 def score(
-    docs: DataFrame, model: DataFrame, key: str = "doc_id", n_ids: int = BYTE_VOCAB_SIZE, k: float = ADD_K
+    docs: DataFrame, model: DataFrame, key: str = "key", n_ids: int = BYTE_VOCAB_SIZE, k: float = ADD_K
 ) -> DataFrame:
     """Loss per document. ``docs`` has counts per ``key``, ``model`` is a written table of counts of one gram."""
     seen = model.select("ctx", "nxt", F.col("n").alias("c"))

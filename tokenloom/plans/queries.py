@@ -9,7 +9,7 @@ from tokenloom.functions import alphabet
 from tokenloom.functions.text import byte_codes, code_ids, run_name, shuffle_key, hash_number
 from tokenloom.operators.ordering import hash_segment, range_segment, row_rank
 from tokenloom.operators import audit, batches, corpus, encode, generate, ngram, pack, split, vocab
-from tokenloom.session import cut
+from tokenloom.session import cut, spread
 
 LINE = ("doc_id", "line_no")
 SHUFFLED = ("shuffle_key", "doc_id", "line_no")
@@ -22,6 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
 def joined_ids(ids: Column | str) -> Column:
     return F.array_join(ids, ",")
 
@@ -34,7 +38,7 @@ def fingerprint(ids: Column | str) -> Column:
 
 
 def line_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus.lines(table(spark, sf_dir, "documents"))
+    return corpus.lines(documents(spark, sf_dir))
 
 
 def split_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,10 +52,10 @@ def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.blocks(rows, "codes", SHUFFLED, pack.BYTE_BLOCK)
 
 
-def text_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole documents as ids with end-of-text, split by document."""
-    sided = split.hashed(table(spark, sf_dir, "documents"), ["doc_id"])
-    return encode.bytes_(sided.select("doc_id", "lang", "source", "split", "text"))
+def text_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents as byte codes with end-of-text, split by document."""
+    sided = split.hashed(documents(spark, sf_dir).where("text is not null"), ["doc_id"])
+    return sided.select("doc_id", "lang", "split", byte_codes("text").alias("codes"))
 
 
 def block_output(blocks: DataFrame, ids: str) -> DataFrame:
@@ -80,7 +84,7 @@ def run_names(spark, sf_dir):
 
 
 def compile_sources(spark, sf_dir):
-    pieces = corpus.compile_corpus(table(spark, sf_dir, "documents"), ["source"], "doc_id")
+    pieces = corpus.compile_corpus(documents(spark, sf_dir), ["source"], "doc_id")
     return pieces.select("source", "ord", "char_offset", F.md5("text").alias("text_md5"))
 
 
@@ -90,7 +94,7 @@ def compile_conversations(spark, sf_dir):
 
 
 def compile_summary(spark, sf_dir):
-    return corpus.summary(table(spark, sf_dir, "documents"), ["source"])
+    return corpus.summary(documents(spark, sf_dir), ["source"])
 
 
 # Splits
@@ -118,19 +122,19 @@ def shuffle_order(spark, sf_dir):
 
 
 def byte_vocab(spark, sf_dir):
-    used = encode.id_frequency(encode.bytes_(line_table(spark, sf_dir)))
+    used = encode.id_frequency(line_table(spark, sf_dir).select(byte_codes("text").alias("codes")), ids="codes")
     known = alphabet.byte_vocab(spark)
     return known.join(used, "token_id", "left").select("token_id", "token", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def special_tokens(spark, sf_dir):
-    used = encode.id_frequency(encode.bytes_(line_table(spark, sf_dir)))
+    used = encode.id_frequency(line_table(spark, sf_dir).select(byte_codes("text").alias("codes")), ids="codes")
     roles = alphabet.special_tokens(spark)
     return roles.join(used, "token_id", "left").select("role", "literal", "token_id", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def word_counts(spark, sf_dir):
-    return vocab.word_counts(table(spark, sf_dir, "documents"))
+    return vocab.word_counts(documents(spark, sf_dir))
 
 
 def learnt(spark, sf_dir, size: int = MERGED_VOCAB) -> vocab.Vocabulary:
@@ -169,7 +173,7 @@ def byte_encode(spark, sf_dir):
 
 def marked(spark, sf_dir) -> DataFrame:
     """Documents with an end-of-text literal after every sentence and a pad literal at the end."""
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     text = F.concat(F.replace("text", F.lit(". "), F.lit("." + alphabet.EOS)), F.lit(alphabet.PAD))
     return docs.select("doc_id", text.alias("text"))
 
@@ -189,7 +193,7 @@ def decode_roundtrip(spark, sf_dir):
 
 
 def coverage(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("lang", "text")
+    docs = documents(spark, sf_dir).select("lang", "text")
     return docs.groupBy("lang").agg(F.count("text").alias("n_rows")).join(
         encode.coverage(docs).groupBy("lang").agg(F.count(F.lit(1)).alias("bad")), "lang", "left"
     ).select("lang", "n_rows", F.coalesce("bad", F.lit(0)).alias("n_broken"))
@@ -201,20 +205,20 @@ def inspect_encoding(spark, sf_dir):
 
 
 def token_stats(spark, sf_dir):
-    return encode.stats(table(spark, sf_dir, "documents"), ["lang", "source"])
+    return encode.stats(documents(spark, sf_dir), ["lang", "source"])
 
 
 def id_frequency(spark, sf_dir):
-    encoded = encode.bytes_(table(spark, sf_dir, "documents").select("lang", "text"), eos=False)
-    return encode.id_frequency(encoded, "lang")
+    coded = documents(spark, sf_dir).select("lang", byte_codes("text", eos=False).alias("codes"))
+    return encode.id_frequency(coded, "lang", "codes")
 
 
 def frequent_ids(spark, sf_dir):
-    return encode.id_frequency(text_ids(spark, sf_dir)).orderBy(F.desc("n"), "token_id").limit(20)
+    return encode.id_frequency(text_codes(spark, sf_dir), ids="codes").orderBy(F.desc("n"), "token_id").limit(20)
 
 
 def overflow_chunks(spark, sf_dir):
-    encoded = encode.bytes_(table(spark, sf_dir, "documents").select("doc_id", "text"), eos=False)
+    encoded = encode.bytes_(documents(spark, sf_dir).select("doc_id", "text"), eos=False)
     chunks = encode.chunk(encoded, max_length=pack.WORD_BLOCK)
     return chunks.select("doc_id", "chunk_no", F.size("input_ids").alias("n_ids"), fingerprint("input_ids").alias("ids_md5"))
 
@@ -236,7 +240,7 @@ def pack_hash(spark, sf_dir):
 
 def pack_sources(spark, sf_dir):
     """One batch per source, of any size, in shuffled line order."""
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     rows = split.with_shuffle_key(corpus.lines(docs, ("doc_id", "source")), LINE)
     rows = rows.select(*LINE, "source", "shuffle_key", byte_codes("text").alias("codes"))
     segment = hash_segment("shuffle_key")
@@ -246,7 +250,7 @@ def pack_sources(spark, sf_dir):
 def pack_document_order(spark, sf_dir):
     """Reading order kept: batches of 1,000 lines as they stand in the corpus."""
     rows = line_table(spark, sf_dir).select(*LINE, byte_codes("text").alias("codes"))
-    segment = range_segment(table(spark, sf_dir, "documents"), "doc_id", rows=4096)
+    segment = range_segment(documents(spark, sf_dir), "doc_id", rows=4096)
     rows = pack.by_rows(rows, LINE, by=(), segment=segment)
     return block_output(pack.blocks(rows, "codes", LINE, pack.BYTE_BLOCK, ["batch_id"]), "codes")
 
@@ -308,8 +312,8 @@ def lr_schedule(spark, sf_dir):
 
 
 def gram_counts(spark, sf_dir, grams=(GRAM,), by=None, side="train") -> DataFrame:
-    rows = text_ids(spark, sf_dir).where(F.col("split") == side)
-    return ngram.counts(rows, grams, by)
+    rows = text_codes(spark, sf_dir).where(F.col("split") == side)
+    return ngram.counts(rows, grams, by, "codes")
 
 
 def ngram_counts(spark, sf_dir):
@@ -327,24 +331,21 @@ def rounded(df: DataFrame) -> DataFrame:
 
 def heldout_loss(spark, sf_dir):
     """Fit on the train blocks, measure on the test blocks."""
-    blocks = packed(spark, sf_dir).select("split", code_ids("codes").alias("input_ids"))
-    both = ngram.counts(blocks, (GRAM,), "split")
-    train, test = (both.where(F.col("split") == side).drop("split") for side in ("train", "test"))
-    return rounded(ngram.evaluate(test, train))
+    sides = ngram.counts(packed(spark, sf_dir), (GRAM,), F.col("split"), "codes")
+    return rounded(ngram.evaluate(sides))
 
 
 def learning_curve(spark, sf_dir):
-    rows = text_ids(spark, sf_dir)
-    part = F.pmod(hash_number(shuffle_key(7, "doc_id")), F.lit(CURVE_PARTS)).cast("int")
-    train = ngram.counts(rows.where("split = 'train'").withColumn("part", part), (GRAM,), "part")
-    test = ngram.counts(rows.where("split = 'test'"), (GRAM,))
-    return rounded(ngram.learning_curve(test, train, CURVE_PARTS))
+    part = F.pmod(hash_number(shuffle_key(7, "doc_id")), F.lit(CURVE_PARTS))
+    key = F.when(F.col("split") == "test", -1).otherwise(part)
+    sides = ngram.counts(text_codes(spark, sf_dir), (GRAM,), key, "codes")
+    return rounded(ngram.learning_curve(sides, CURVE_PARTS))
 
 
 def scored(spark, sf_dir) -> DataFrame:
     model = cut(gram_counts(spark, sf_dir))
-    docs = gram_counts(spark, sf_dir, by="doc_id", side="test")
-    return ngram.score(docs, model)
+    docs = gram_counts(spark, sf_dir, by=F.col("doc_id"), side="test")
+    return ngram.score(docs, model).withColumnRenamed("key", "doc_id")
 
 
 def doc_scores(spark, sf_dir):
@@ -429,7 +430,7 @@ LISTED = (
 
 def listing(spark, sf_dir) -> DataFrame:
     """A bundle listing derived from the documents: every document stands for one file of a 40-document bundle."""
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     names = F.array(*[F.lit(n) for n in LISTED])
     pick = F.pmod(hash_number(shuffle_key(3, "doc_id")), F.lit(len(LISTED))).cast("int")
     bundle = F.concat(F.lit("bundle-"), F.call_function("div", F.col("doc_id"), F.lit(40)))

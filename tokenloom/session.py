@@ -50,3 +50,13 @@ def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from the written copy."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give a table read as fewer partitions than there are cores one per core.
+
+    A small file is often a single row group, so one task would do all the row-local work. Large tables have more
+    partitions than cores already and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
