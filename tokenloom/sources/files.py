@@ -1,6 +1,8 @@
 """Text sources and corpus, block and listing files."""
 
-from pyspark.sql import DataFrame, SparkSession
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.operators.corpus import SEPARATOR
@@ -17,16 +19,27 @@ def read_files(spark: SparkSession, folder: str, pattern: str = "*.txt") -> Data
     ``text`` is null where the file is not readable as text. A missing folder is an error, an empty match no rows.
     """
     found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    text = F.when(F.is_valid_utf8(F.col("content").cast("string")), F.col("content").cast("string"))
-    return found.select(
+    # The reader gives no row for a file of length 0; the file index, which Spark keeps on the driver, lists it.
+    names = [(unquote(p).replace("file:///", "file:/", 1),) for p in found.inputFiles()]
+    listed = spark.createDataFrame(names, "path string").withColumn("place", _place(F.col("path")))
+    empty = listed.join(found.select(_place(F.col("path")).alias("place")), "place", "left_anti")
+    files = found.select("path", "length", F.col("content").cast("string").alias("text")).unionByName(
+        empty.select("path", F.lit(0).cast("long").alias("length"), F.lit("").alias("text"))
+    )
+    return files.select(
         F.regexp_extract("path", "^(.*)/[^/]+$", 1).alias("folder"),
         F.regexp_extract("path", "([^/]+)$", 1).alias("name"),
         "length",
-        text.alias("text"),
-        text.isNotNull().alias("readable"),
+        F.when(F.is_valid_utf8("text"), F.col("text")).alias("text"),
+        F.is_valid_utf8("text").alias("readable"),
     )
 
 
+def _place(path: Column) -> Column:
+    """A path without its scheme, whose slashes differ between Spark's listings."""
+    return F.regexp_replace(path, "^[a-zA-Z0-9]+:/+", "/")
+
+
 def read_listing(spark: SparkSession, root: str) -> DataFrame:
     """Every file below ``root/<bundle>/`` as (bundle, rel_path, length); contents are not read."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
