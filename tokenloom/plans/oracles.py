@@ -105,7 +105,7 @@ grams as (
   select split, doc_id, 1 as gram, 0::bigint as ctx, a3 as nxt from win
   union all select split, doc_id, 2, a2::bigint, a3 from win where p >= 1
   union all select split, doc_id, 3, a1::bigint * 258 + a2, a3 from win where p >= 2),
-model as (
+model as materialized (
   select gram::int as gram, ctx, nxt, count(*) as n, sum(count(*)) over (partition by gram, ctx) as ctx_n
   from grams where split = 'train' group by gram, ctx, nxt)
 """
@@ -195,17 +195,64 @@ BLACK = "[^\\t-\\r\\x{85}\\p{Z}]"
 
 # DuckDB's regular expressions have no look-ahead: a mark set before the last space of a run that ends at a word
 # splits the run where the look-ahead would.
+def words_of(text: str) -> str:
+    marked = f"regexp_replace({text}, '({WHITE})({WHITE}{BLACK})', '\\1' || chr(1) || '\\2', 'g')"
+    other = "[^\\x01\\t-\\r\\x{85}\\p{Z}\\p{L}\\p{N}]+"
+    pattern = f"''s|''t|''re|''ve|''m|''ll|''d| ?\\p{{L}}+| ?\\p{{N}}+| ?{other}|{WHITE}+"
+    return f"regexp_extract_all({marked}, '{pattern}')"
+
+
 WORDS = f"""
-pieces as (
+withends as (
   select unnest(regexp_extract_all(text, '[^\\n]*\\n|[^\\n]+')) as line from documents where text is not null),
-spaced as (
-  select regexp_replace(line, '({WHITE})({WHITE}{BLACK})', '\\1' || chr(1) || '\\2', 'g') as line from pieces),
-words as (
-  select unnest(regexp_extract_all(line,
-    '''s|''t|''re|''ve|''m|''ll|''d| ?\\p{{L}}+| ?\\p{{N}}+| ?[^\\x01\\t-\\r\\x{{85}}\\p{{Z}}\\p{{L}}\\p{{N}}]+|{WHITE}+')) as word
-  from spaced)
+words as (select unnest({words_of("line")}) as word from withends)
+"""
+
+LINE_WORDS = f"""
+wordlists as (select doc_id, line_no, {words_of("text")} as ws from lines),
+linewords as (select doc_id, line_no, unnest(ws) as word, unnest(range(len(ws))) as pos from wordlists)
+"""
+
+# 42 merges, one at a time: a word is a string with one character per token, the best pair is found over all words and
+# replaced in all of them. Words that only occur in encoding ride along with count 0.
+MERGED = """
+counted as (
+  select word, sum(n)::bigint as n from (
+    select word, count(*) as n from words group by word union all select distinct word, 0 from linewords) group by word),
+learned as (
+  with recursive run as (
+    select 0 as step, word, n, '' as pair,
+      array_to_string(list_transform(regexp_extract_all(hex(encode(word)), '..'),
+                                     lambda x: chr(65536 + byte_id[1 + ('0x' || x)::int])), '') as form
+    from counted, (select list(token_id order by b) as byte_id from alphabet)
+    union all
+    select step + 1, word, n, best.pair, replace(form, best.pair, chr(65536 + 258 + step))
+    from run, (
+      select arg_min(pair, (-c, pair)) as pair from (
+        select substr(form, i, 2) as pair, sum(n) as c
+        from (select form, n, unnest(range(1, length(form))) as i from run) group by 1)) best
+    where step < 42)
+  select * from run),
+rules as materialized (
+  select distinct step, unicode(pair[1]) - 65536 as l, unicode(pair[2]) - 65536 as r from learned where step > 0),
+tokens as (
+  with recursive grown as (
+    select 0 as step, list(token order by token_id) as toks from known
+    union all
+    select g.step + 1, list_append(toks, toks[l + 1] || toks[r + 1]) from grown g join rules on rules.step = g.step + 1)
+  select toks from grown order by step desc limit 1),
+forms as (
+  select word, list_transform(range(1, length(form) + 1), lambda i: (unicode(substr(form, i, 1)) - 65536)::int) as ids
+  from learned where step = 42)
+"""
+
+MERGED_LINES = """
+joined as (
+  select doc_id, line_no, flatten(list(ids order by pos)) as ids from linewords join forms using (word)
+  group by doc_id, line_no)
 """
 
+
 LISTING = """
 listing as (
   select 'bundle-' || (doc_id // 40) as bundle, n_chars as length,
@@ -233,11 +280,62 @@ known as (
 """
 
 
+# All steps of generation: the stages above with the default options, once per step over the prompts still going.
+GENERATED = """
+gen as (
+  with recursive run as (
+    select prompt_id, h, 0 as step, false as done from prompts
+    union all
+    select r.prompt_id, case when c.token_id is null or c.token_id = 1 then r.h else list_append(r.h, c.token_id) end,
+           r.step + 1, c.token_id is null or c.token_id = 1
+    from run r left join (
+      with going as (select prompt_id, h, step, h[len(h) - 2:len(h)] as ending from run where not done),
+      levels as (
+        select prompt_id, m.nxt as id, 3 as gram, ln(m.n / m.ctx_n) as s from going join model m
+          on m.gram = 3 and len(h) >= 2 and m.ctx = h[len(h) - 1]::bigint * 258 + h[len(h)]
+        union all
+        select prompt_id, m.nxt, 2, ln(m.n / m.ctx_n * 0.4::double) from going join model m
+          on m.gram = 2 and len(h) >= 1 and m.ctx = h[len(h)]::bigint
+        union all
+        select prompt_id, m.nxt, 1, ln(m.n / m.ctx_n * (0.4::double * 0.4::double)) from going join model m
+          on m.gram = 1 and m.ctx = len(h) * 0),
+      found as (select prompt_id, id, arg_max(s, gram) as s from levels group by prompt_id, id),
+      seen as (select distinct prompt_id, unnest(h) as id from going),
+      fours as (
+        select prompt_id, ending, h[i:i + 2] as three, h[i + 3] as id
+        from (select prompt_id, h, ending, unnest(range(1, len(h) - 2)) as i from going)),
+      banned as (select distinct prompt_id, id from fours where three = ending),
+      shrunk as (
+        select f.prompt_id, f.id, case when x.id is null then s when s > 0 then s / 1.1::double else s * 1.1::double end as s
+        from found f left join seen x on x.prompt_id = f.prompt_id and x.id = f.id
+        left join banned b on b.prompt_id = f.prompt_id and b.id = f.id where b.id is null),
+      raised as (
+        select prompt_id, id, exp((s - max(s) over (partition by prompt_id)) / 0.7::double) as e from shrunk),
+      shares as (select prompt_id, id, e / sum(e) over (partition by prompt_id) as s from raised),
+      masses as (
+        select *, coalesce(sum(s) over (partition by prompt_id order by s desc, id
+                                        rows between unbounded preceding and 1 preceding), 0) as before,
+               sum(s) over (partition by prompt_id) as whole from shares),
+      top_p as (select prompt_id, id, s from masses where before < 0.9::double * whole),
+      drawn as (
+        select t.prompt_id, id, row_number() over w as r, sum(s) over w as upto,
+               sum(s) over (partition by t.prompt_id) as whole,
+               ('0x' || substr(md5('42:' || t.prompt_id || ':' || g.step), 1, 12))::bigint / 281474976710656.0::double as u
+        from top_p t join going g on g.prompt_id = t.prompt_id
+        window w as (partition by t.prompt_id order by s desc, id rows between unbounded preceding and current row))
+      select prompt_id, arg_min(id, r) as token_id from drawn where upto > u * whole group by prompt_id
+    ) c on c.prompt_id = r.prompt_id
+    where not r.done and r.step < 80)
+  select prompt_id, arg_max(h, step) as h from run group by prompt_id)
+"""
+
+
 def line_tokens() -> tuple[str, ...]:
     return (LINES, encoded("lines"), "used as (select id, count(*) as n from (select unnest(ids) as id from coded) group by id)")
 
 
 def registry() -> dict[str, str]:
+    merging = (LINES, WORDS, LINE_WORDS, BYTE_ALPHABET, MERGED)
     found = {
         "line_scan": with_(LINES)
         + "select doc_id, line_no, length(text)::int as n_chars, md5(text) as text_md5 from lines",
@@ -273,6 +371,27 @@ from documents group by source""",
         from (values ('pad', '<|pad|>', 0), ('eos', '<|endoftext|>', 1), ('bos', '<|endoftext|>', 1))
           roles(role, literal, token_id) left join used on id = token_id""",
         "word_counts": with_(WORDS) + "select word, count(*) as n from words group by word",
+        "bpe_merges": with_(*merging)
+        + """select (step - 1)::int as rank, toks[l + 1] as left, toks[r + 1] as right from rules, tokens""",
+        "bpe_vocab": with_(*merging)
+        + "select unnest(range(len(toks)))::int as token_id, unnest(toks) as token from tokens",
+        "bpe_encode": with_(*merging, MERGED_LINES)
+        + f"""select doc_id, line_no, coalesce(len(ids), 0)::int as n_ids, {ids_md5("coalesce(ids, [])")} as ids_md5
+        from lines left join joined using (doc_id, line_no)""",
+        "bpe_blocks": with_(
+            *merging,
+            EXACT,
+            MERGED_LINES,
+            """rowids as (select s.*, coalesce(j.ids, []) as ids from sided s left join joined j using (doc_id, line_no)),
+cuts as (select *, unnest(range(greatest(1, ceil(len(ids) / 512)::bigint))) as chunk_no from rowids),
+chunks as (
+  select split, h, doc_id, line_no, chunk_no, ids[chunk_no * 512 + 1:chunk_no * 512 + 512] as ids from cuts),
+batched as (
+  select *, (row_number() over (partition by split order by h, doc_id, line_no, chunk_no) - 1) // 1000 as batch_id
+  from chunks)""",
+            blocks("batched", "split, batch_id", "h, doc_id, line_no, chunk_no", 512),
+        )
+        + f"select split, batch_id, {BLOCK_OUT} from packed",
         "byte_encode": with_(LINES, encoded("lines"))
         + f"select doc_id, line_no, len(ids)::int as n_ids, {ids_md5()} as ids_md5 from coded",
         "special_literals": with_(MARKED, MARKED_IDS)
@@ -417,6 +536,9 @@ scored as (select part, sum(n)::bigint as n_pairs, sum(-n * ln(p)) / sum(n) as l
         )
         + """select p.prompt_id, coalesce(token_id, -1) in (-1, 1) as done,
         case when token_id <> 1 then token_id end as token_id from prompts p left join chosen c on c.prompt_id = p.prompt_id""",
+        "generate_ids": with_(DOC_SPLIT, DOC_TOKENS, MODEL, PROMPTS, GENERATED)
+        + f"""select prompt_id, (len(g.h) - len(p.h))::int as n_new, {ids_md5("g.h")} as ids_md5
+        from gen g join prompts p using (prompt_id)""",
         "bundle_audit": with_(
             LISTING,
             REQUIRED,

@@ -413,6 +413,11 @@ def generate_text(spark, sf_dir):
     return out.select("prompt_id", "n_new", "generated_text")
 
 
+def generate_ids(spark, sf_dir):
+    out = generate.run(prompt_table(spark, sf_dir), model_tables(spark, sf_dir))
+    return out.select("prompt_id", "n_new", fingerprint("history").alias("ids_md5"))
+
+
 # Bundle audit
 
 
@@ -465,7 +470,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         pack_blocks, pack_hash, pack_sources, pack_document_order, pack_report, map_batches, collate_pad,
         next_token_pairs, epoch_manifest, lr_schedule,
         ngram_counts, ngram_probs, heldout_loss, learning_curve, doc_scores, worst_documents, label_loss,
-        prompt_context, sample_step, greedy_step,
+        prompt_context, sample_step, greedy_step, generate_ids,
         bundle_audit, bundle_missing, bundle_upload, bundle_export,
     ]
     found = {fn.__name__: fn for fn in plain}
