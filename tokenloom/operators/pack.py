@@ -43,8 +43,15 @@ def by_rows(
     return ranked.withColumn("batch_id", whole_div(F.col("rn"), batch_rows)).drop("rn")
 
 
-def by_hash(df: DataFrame, n_batches: int, key: str = "shuffle_key") -> DataFrame:
-    """K1 at scale: a row's batch follows from its key, so no row number and one shuffle less."""
+def by_hash(
+    df: DataFrame, n_batches: int | None = None, key: str = "shuffle_key", batch_rows: int = BATCH_ROWS
+) -> DataFrame:
+    """K1 at scale: a row's batch follows from its key, so no row number and one shuffle less.
+
+    Unless ``n_batches`` is given, rows are counted so that a batch holds about ``batch_rows``.
+    """
+    if n_batches is None:
+        n_batches = max(1, -(-df.count() // batch_rows))
     return df.withColumn("batch_id", F.pmod(hash_number(key, 12), F.lit(n_batches)))
 
 

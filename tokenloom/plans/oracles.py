@@ -422,7 +422,8 @@ from documents group by rollup (lang, source)""",
             LINES,
             HASHED,
             encoded("sided"),
-            "batched as (select *, ('0x' || substr(h, 1, 12))::bigint % 16 as batch_id from coded)",
+            """batched as (
+  select *, ('0x' || substr(h, 1, 12))::bigint % ceil(count(*) over () / 1000)::bigint as batch_id from coded)""",
             blocks("batched", "split, batch_id", "h, doc_id, line_no", 256),
         )
         + f"select split, batch_id, {BLOCK_OUT} from packed",
@@ -443,11 +444,14 @@ from documents group by rollup (lang, source)""",
         + """select split, batch_id, count(*) as n_rows, max(len(ids))::int as longest
         from batched group by split, batch_id""",
         "collate_pad": with_(
-            encoded("conversations"),
-            "sized as (select *, (max(len(ids)) over (partition by conv_id) - len(ids))::bigint as gap from coded)",
+            """turns as (
+  select *, (row_number() over (order by md5('42:' || conv_id || ':' || turn), conv_id, turn) - 1) // 8 as micro_batch
+  from conversations where text is not null)""",
+            encoded("turns"),
+            "sized as (select *, (max(len(ids)) over (partition by micro_batch) - len(ids))::bigint as gap from coded)",
             "padded as (select *, list_concat(ids, list_transform(range(gap), lambda i: 1)) as full_ids from sized)",
         )
-        + f"""select conv_id, turn, {ids_md5("full_ids")} as ids_md5,
+        + f"""select conv_id, turn, micro_batch, {ids_md5("full_ids")} as ids_md5,
         md5(array_to_string(list_concat(list_transform(ids, lambda i: 1), list_transform(range(gap), lambda i: 0)), ','))
           as mask_md5,
         md5(array_to_string(list_transform(full_ids, lambda i: case when i = 1 then -100 else i end), ',')) as labels_md5

@@ -1,14 +1,15 @@
 """The registered queries: each wires operators to the given tables and returns a comparable result."""
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.functions import alphabet
-from tokenloom.functions.text import byte_codes, code_ids, run_name, shuffle_key, hash_number
-from tokenloom.operators.ordering import hash_segment, range_segment, row_rank
+from tokenloom.functions.text import byte_codes, hash_number, run_name, shuffle_key, whole_div
 from tokenloom.operators import audit, batches, corpus, encode, generate, ngram, pack, split, vocab
+from tokenloom.operators.ordering import hash_segment, range_segment, row_rank
 from tokenloom.session import cut, spread
 
 LINE = ("doc_id", "line_no")
@@ -73,7 +74,8 @@ def block_output(blocks: DataFrame, ids: str) -> DataFrame:
 
 
 def line_scan(spark, sf_dir):
-    return line_table(spark, sf_dir).select(*LINE, F.char_length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
+    size = F.char_length("text").alias("n_chars")
+    return line_table(spark, sf_dir).select(*LINE, size, F.md5("text").alias("text_md5"))
 
 
 def run_names(spark, sf_dir):
@@ -234,8 +236,7 @@ def pack_hash(spark, sf_dir):
     """The scale form: hash split, hash batches, no row numbers."""
     sided = split.hashed(line_table(spark, sf_dir), LINE)
     rows = sided.select(*LINE, "shuffle_key", "split", byte_codes("text").alias("codes"))
-    rows = pack.by_hash(rows, 16)
-    return block_output(pack.blocks(rows, "codes", SHUFFLED, pack.BYTE_BLOCK), "codes")
+    return block_output(pack.blocks(pack.by_hash(rows), "codes", SHUFFLED, pack.BYTE_BLOCK), "codes")
 
 
 def pack_sources(spark, sf_dir):
@@ -274,12 +275,15 @@ def map_batches(spark, sf_dir):
 
 
 def collate_pad(spark, sf_dir):
-    """Micro-batches of the turns of one conversation, padded with end-of-text."""
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
-    out = pack.collate(encode.bytes_(turns), ["conv_id"])
+    """Conversation turns in shuffled order, eight to a micro-batch, padded with end-of-text."""
+    turn = ("conv_id", "turn")
+    turns = split.with_shuffle_key(table(spark, sf_dir, "conversations").select(*turn, "text"), turn)
+    ranked = row_rank(turns, ["shuffle_key", *turn], hash_segment("shuffle_key"))
+    rows = ranked.select(*turn, "text", whole_div(F.col("rn"), batches.BYTE_PLAN.micro).alias("micro_batch"))
+    out = pack.collate(encode.bytes_(rows), ["micro_batch"])
     return out.select(
-        "conv_id",
-        "turn",
+        *turn,
+        "micro_batch",
         fingerprint("input_ids").alias("ids_md5"),
         fingerprint("attention_mask").alias("mask_md5"),
         fingerprint("labels").alias("labels_md5"),
@@ -296,10 +300,9 @@ def next_token_pairs(spark, sf_dir):
 
 
 def epoch_manifest(spark, sf_dir):
-    return batches.manifest(packed(spark, sf_dir).where("split = 'train'").select("batch_id", "block_no"), ["batch_id", "block_no"], EPOCHS)
-
-
-EPOCHS = batches.Plan(epochs=3, micro=8, accum=4, log_every=10, eval_every=200, save_every=200)
+    keys = ["batch_id", "block_no"]
+    plan = replace(batches.BYTE_PLAN, epochs=3)
+    return batches.manifest(packed(spark, sf_dir).where("split = 'train'").select(*keys), keys, plan)
 
 
 def lr_schedule(spark, sf_dir):
