@@ -38,10 +38,10 @@ def test_grouped_split_keeps_groups_whole(spark):
 
 def test_prefix_sums_over_hot_and_null_groups(spark):
     # One group holds most rows, another has a null key.
-    rows = [("hot", i, i % 7) for i in range(3000)] + [(None, i, 2) for i in range(40)] + [("b", 5, 9)]
+    rows = [("hot", None, 3)] + [("hot", i, i % 7) for i in range(3000)] + [(None, i, 2) for i in range(40)] + [("b", 5, 9)]
     df = spark.createDataFrame(rows, "g string, ord long, v int").repartition(6)
     wanted, sums = {}, {}
-    for g, o, v in sorted(rows, key=lambda r: (str(r[0]), r[1])):
+    for g, o, v in sorted(rows, key=lambda r: (str(r[0]), r[1] is not None, r[1] or 0)):
         wanted[g, o] = sums.get(g, 0)
         sums[g] = wanted[g, o] + v
     segment = range_segment(df, "ord", rows=100)

@@ -12,12 +12,11 @@ from pyspark.sql import functions as F
 from tokenloom.functions.text import hash_number, whole_div
 
 HASH_DIGITS = 4
-HASH_SEGMENTS = 16**HASH_DIGITS
 
 
 def hash_segment(key: Column | str) -> Column:
     """Segment of a shuffle key: its leading digits, so segments are of even size and follow the key order."""
-    return hash_number(key, HASH_DIGITS)
+    return F.coalesce(hash_number(key, HASH_DIGITS), F.lit(0))
 
 
 def range_segment(df: DataFrame, order: str, rows: int = 65_536) -> Column:
@@ -30,7 +29,8 @@ def range_segment(df: DataFrame, order: str, rows: int = 65_536) -> Column:
         return F.lit(0).cast("long")
     parts = max(1, -(-n // rows))
     width = max(1, -(-(int(high) - int(low) + 1) // parts))
-    return whole_div(F.col(order) - F.lit(low), width)
+    # Rows without an order value come first, as in a sort.
+    return F.coalesce(whole_div(F.col(order) - F.lit(low), width), F.lit(-1))
 
 
 def prefix_sum(
