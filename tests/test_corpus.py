@@ -76,8 +76,8 @@ def test_hot_and_small_groups_get_offsets(spark):
 
 def test_run_names(spark):
     df = spark.createDataFrame([("data/sample.txt", None), ("x/y.tar.gz", ""), ("a.txt", "mine"), ("d/.rc", None)], "path string, tag string")
-    names = [r[0] for r in df.select(run_name("path", F.col("tag"), "baby-byte-")).collect()]
-    assert names == ["baby-byte-sample", "baby-byte-y.tar", "baby-byte-mine", "baby-byte-.rc"]
+    names = [r[0] for r in df.select(run_name("path", F.col("tag"), "byte-")).collect()]
+    assert names == ["byte-sample", "byte-y.tar", "byte-mine", "byte-.rc"]
 
 
 def test_blocks_are_written_by_split(spark, tmp_path):

@@ -340,7 +340,7 @@ def registry() -> dict[str, str]:
         "line_scan": with_(LINES)
         + "select doc_id, line_no, length(text)::int as n_chars, md5(text) as text_md5 from lines",
         "run_names": """
-select page_id, 'baby-byte-' || coalesce(case when page_id % 3 = 0 then 'tag' || page_id end,
+select page_id, 'byte-' || coalesce(case when page_id % 3 = 0 then 'tag' || page_id end,
   regexp_extract(regexp_extract(url, '^([^?#]*)', 1), '([^/]+?)(\\.[^./]*)?$', 1)) as run_name from pages""",
         "compile_sources": f"""
 with t as (select source, doc_id as ord, regexp_replace(text, '\\r\\n?', {NL}, 'g') as text

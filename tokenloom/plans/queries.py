@@ -82,7 +82,7 @@ def run_names(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     tag = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("tag"), "page_id"))
     path = F.regexp_extract("url", r"^([^?#]*)", 1)
-    return pages.select("page_id", run_name(path, tag, "baby-byte-").alias("run_name"))
+    return pages.select("page_id", run_name(path, tag, "byte-").alias("run_name"))
 
 
 def compile_sources(spark, sf_dir):
