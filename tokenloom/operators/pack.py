@@ -24,6 +24,9 @@ def is_codes(df: DataFrame, ids: str) -> bool:
 
 
 def token_count(df: DataFrame, ids: str) -> Column:
+    """Tokens of a row; a numeric column is taken as that count itself."""
+    if isinstance(df.schema[ids].dataType, T.NumericType):
+        return F.col(ids).cast("long")
     return (F.octet_length(ids) if is_codes(df, ids) else F.size(ids)).cast("long")
 
 
@@ -115,7 +118,10 @@ def with_labels(packed: DataFrame, ids: str) -> DataFrame:
 
 
 def report(df: DataFrame, ids: str, block_size: int, keys: Sequence[str] = ("split", "batch_id")) -> DataFrame:
-    """K9: tokens, full blocks, and kept and dropped tokens per batch, from lengths alone."""
+    """K9: tokens, full blocks, and kept and dropped tokens per batch, from lengths alone.
+
+    ``ids`` may be a column of lengths, so that no tokens need to move.
+    """
     sized = df.groupBy(*keys).agg(F.sum(token_count(df, ids)).alias("n_tokens"))
     n_blocks = whole_div(F.col("n_tokens"), block_size)
     return (
@@ -125,6 +131,12 @@ def report(df: DataFrame, ids: str, block_size: int, keys: Sequence[str] = ("spl
     )
 
 
+def block_keys(batch_report: DataFrame, keys: Sequence[str] = ("split", "batch_id")) -> DataFrame:
+    """The keys of all blocks that packing will give, from a report and without packing."""
+    full = batch_report.where("n_blocks > 0")
+    return full.select(*keys, F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)).alias("block_no"))
+
+
 def collate(
     df: DataFrame, keys: Sequence[str], ids: str = "input_ids", pad_id: int = EOS_ID
 ) -> DataFrame:

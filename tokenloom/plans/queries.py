@@ -53,6 +53,12 @@ def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.blocks(rows, "codes", SHUFFLED, pack.BYTE_BLOCK)
 
 
+def sized_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batches of ``packed`` with token counts in place of the tokens."""
+    sizes = split_codes(spark, sf_dir).select(*SHUFFLED, "split", F.octet_length("codes").alias("n_ids"))
+    return pack.by_rows(sizes, SHUFFLED)
+
+
 def text_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents as byte codes with end-of-text, split by document."""
     sided = split.hashed(documents(spark, sf_dir).where("text is not null"), ["doc_id"])
@@ -257,20 +263,18 @@ def pack_document_order(spark, sf_dir):
 
 
 def pack_report(spark, sf_dir):
-    rows = pack.by_rows(split_codes(spark, sf_dir), SHUFFLED)
-    return pack.report(rows, "codes", pack.BYTE_BLOCK)
+    return pack.report(sized_batches(spark, sf_dir), "n_ids", pack.BYTE_BLOCK)
 
 
 def map_batches(spark, sf_dir):
     """A user function over batches of 1,000 rows that returns fewer rows than it gets."""
-    rows = pack.by_rows(split_codes(spark, sf_dir), SHUFFLED).withColumn("n_ids", F.octet_length("codes"))
 
     def longest(batch):
         size = batch["n_ids"].max()
         row = {"split": batch["split"].iloc[0], "batch_id": batch["batch_id"].iloc[0]}
         return type(batch)([{**row, "n_rows": len(batch), "longest": size}])
 
-    narrow = rows.select("split", "batch_id", "n_ids")
+    narrow = sized_batches(spark, sf_dir).select("split", "batch_id", "n_ids")
     return pack.map_batches(narrow, longest, "split string, batch_id long, n_rows long, longest int")
 
 
@@ -302,7 +306,8 @@ def next_token_pairs(spark, sf_dir):
 def epoch_manifest(spark, sf_dir):
     keys = ["batch_id", "block_no"]
     plan = replace(batches.BYTE_PLAN, epochs=3)
-    return batches.manifest(packed(spark, sf_dir).where("split = 'train'").select(*keys), keys, plan)
+    blocks = pack.block_keys(pack_report(spark, sf_dir).where("split = 'train'"))
+    return batches.manifest(blocks.select(*keys), keys, plan)
 
 
 def lr_schedule(spark, sf_dir):
