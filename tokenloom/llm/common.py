@@ -6,6 +6,7 @@ partition. A document larger than a slice makes a slice of its own.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,6 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from tokenloom.session import ensure_checkpoint_dir
+
 SLICE_BYTES = 1 << 20
 U64 = np.uint64
 
@@ -152,3 +155,11 @@ def ragged(lengths: np.ndarray) -> np.ndarray:
     """0, 1, ... within each of a row of runs."""
     ends = np.cumsum(lengths)
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths, lengths)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` to a new folder below the shared checkpoint folder and read it back: cuts lineage, outlives executors."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
