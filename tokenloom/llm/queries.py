@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tokenloom.llm import bpe, near, quality
+from tokenloom.llm import bpe, near, quality, repeats
 from tokenloom.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -23,6 +23,11 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the byte strings of 200 bytes that occur more than once, as a digest."""
+    return repeats.spans(table(spark, sf_dir, "documents"))
+
+
 def op9_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate group of every document: 2-word shingles, similarity 0.8 and more."""
     return near.groups(table(spark, sf_dir, "documents"), width=2, percent=80)
