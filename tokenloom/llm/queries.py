@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tokenloom.llm import bpe, near, quality, repeats
+from tokenloom.llm import bpe, decontaminate, near, quality, repeats
 from tokenloom.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -18,6 +18,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), quality.trusted_ids(table(spark, sf_dir, "labels")))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of a benchmark item in a document, up to a fifth of the item's words edited."""
+    return decontaminate.findings(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the bytes they decode to, as digests."""
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
