@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tokenloom.llm import bpe, decontaminate, near, quality, repeats
+from tokenloom.llm import bpe, chat, decontaminate, licences, near, quality, repeats, sharding
 from tokenloom.llm.common import table
 
+SHARDS = [f"shard-{i:04d}" for i in range(256)]
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -18,6 +20,17 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), quality.trusted_ids(table(spark, sf_dir, "labels")))
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slot and shard of every document, over 256 shards."""
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    return sharding.place(docs, ["doc_id"], SHARDS)
+
+
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation from the perspective of each of its participants, turn by turn."""
+    return chat.perspectives(table(spark, sf_dir, "conversations"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every passage of a benchmark item in a document, up to a fifth of the item's words edited."""
     return decontaminate.findings(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -38,5 +51,18 @@ def op9_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.groups(table(spark, sf_dir, "documents"), width=2, percent=80)
 
 
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document, its own or that of its directory.
+
+    Documents have no paths, so one is derived: source, language and a folder of 1,000 ids; a document that begins with a
+    line about a licence stands for a licence file of its folder.
+    """
+    folder = F.floor(F.col("doc_id") / 1000).cast("string")
+    starts = F.regexp_extract(F.coalesce("text", F.lit("")), "^[^\n]*", 0).rlike(licences.MARKERS)
+    name = F.concat(F.when(starts, "LICENSE.").otherwise("text."), F.col("doc_id").cast("string"))
+    path = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), folder, name)
+    return licences.scan(table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
