@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import bpe, chat, decontaminate, licences, near, quality, repeats, sharding
+from tokenloom.llm import bpe, chat, decontaminate, language, licences, near, quality, repeats, sharding
 from tokenloom.llm.common import table
 
 SHARDS = [f"shard-{i:04d}" for i in range(256)]
@@ -20,6 +20,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), quality.trusted_ids(table(spark, sf_dir, "labels")))
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by cross-parsing entropy."""
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slot and shard of every document, over 256 shards."""
     docs = table(spark, sf_dir, "documents").select("doc_id")
