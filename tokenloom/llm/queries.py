@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import bpe, chat, decontaminate, language, licences, near, quality, repeats, sharding
+from tokenloom.llm import bpe, chat, decontaminate, language, licences, near, pitman_yor, quality, repeats, sharding
 from tokenloom.llm.common import table
 
 SHARDS = [f"shard-{i:04d}" for i in range(256)]
@@ -36,6 +36,11 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.perspectives(table(spark, sf_dir, "conversations"))
 
 
+def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability of every document under the hierarchical Pitman-Yor model of words."""
+    return pitman_yor.score(table(spark, sf_dir, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every passage of a benchmark item in a document, up to a fifth of the item's words edited."""
     return decontaminate.findings(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
