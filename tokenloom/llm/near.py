@@ -6,9 +6,12 @@ rounds each remaining bin gets a round of its own, so all t coordinates are fill
 the probability of their similarity, with concentration as for independent samples. 40 bands of 5 coordinates miss a
 pair at similarity 0.8 with probability below 2e-7; a pair found is confirmed on the full sets.
 
-Equal sets are one class and only classes are compared, so copies make no pairs. A bucket of a band links its classes with
-its smallest one first. Only where that leaves several components in a bucket are the pairs across them tried, each once,
-so no link between different components is lost and a large group never gives all its pairs.
+Equal sets are one class and only classes are compared, so copies make no pairs. A bucket of a band tries its classes with
+its smallest one first, then, in ``ROUNDS`` rounds, each class with its next one in a hashed order where their components
+differ. That joins a large group with few pairs. Only where several components are left in a bucket are the pairs across
+them tried, each in the first bucket it shares, so no link between different components is lost.
+In a bucket of more than ``SMALL`` classes that work is cut into blocks of two portions of about ``BLOCK`` classes, in
+which the intersections are counted side by side and only links come out.
 
 Edge cases: a text that is null or has no word has no shingles and links with nothing; one with fewer words than a shingle
 is one shingle; repeated rows belong to one class and each gets its row back; a null id is kept as it is, and a class's
@@ -21,13 +24,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenloom.llm.common import U64, Slice, fold, mix, slices, stored, words
 from tokenloom.llm.graph import components
 
 BANDS, BAND_ROWS = 40, 5
+ROUNDS = 2
+SMALL, BLOCK = 32, 256
+CHAIN = 512
 COORDINATES = BANDS * BAND_ROWS
 UNSET = U64(0xFFFFFFFFFFFFFFFF)
 
@@ -152,6 +158,35 @@ def _confirm(percent: int):
     return run
 
 
+def _block(percent: int):
+    """Links between the components of one block, a group of at most two portions of a bucket."""
+
+    def run(group: pa.Table) -> pa.Table:
+        names = group["digest"].to_pylist()
+        portion, label = group["own"].to_numpy(), group["label"].to_pandas().to_numpy()
+        sets = [np.frombuffer(x, U64) for x in group["elements"].to_pylist()]
+        sizes = np.array([len(x) for x in sets])
+        element, at = np.unique(np.concatenate(sets), return_inverse=True)
+        row = np.repeat(np.arange(len(sets)), sizes)
+        shared = np.bincount(at)[at] > 1
+        column, at = np.unique(at[shared], return_inverse=True)
+        found: list[tuple[bytes, bytes]] = []
+        if len(column):
+            left, right = np.flatnonzero(portion == portion.min()), np.flatnonzero(portion == portion.max())
+            common = np.zeros((len(left), len(right)), np.float32)
+            for low in range(0, len(column), 4096):
+                grid = np.zeros((len(sets), 4096), np.float32)
+                inside = (at >= low) & (at < low + 4096)
+                grid[row[shared][inside], at[inside] - low] = 1
+                common += grid[left] @ grid[right].T
+            union = sizes[left][:, None] + sizes[right][None, :] - common
+            good = (100 * common >= percent * union) & (label[left][:, None] != label[right][None, :])
+            found = [(names[left[i]], names[right[j]]) for i, j in zip(*np.nonzero(good))]
+        return pa.table([pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)], names=["a", "b"])
+
+    return run
+
+
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     left = sets.select(F.col("digest").alias("a"), F.col("elements").alias("x"))
@@ -159,6 +194,15 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a binary, b binary")
 
 
+def _open(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """Members of the buckets that still hold several components."""
+    labelled = members.join(parts, members["digest"] == parts["node"], "left").select(
+        "band", "place", "many", "digest", "n", F.coalesce("component", "digest").alias("label")
+    )
+    mixed = labelled.groupBy("band").agg((F.min("label") < F.max("label")).alias("mixed")).where("mixed").select("band")
+    return stored(labelled.join(mixed, "band"))
+
+
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 2, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row."""
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -166,9 +210,9 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
     classes = rows.where("digest is not null").groupBy("digest").agg(
         F.min("doc_id").alias("first"), F.any_value("n_shingles").alias("n"), F.any_value("bands").alias("bands")
     )
-    banded = classes.select("digest", "first", "n", F.explode("bands").alias("band"))
+    banded = classes.select("digest", "first", "n", F.posexplode("bands").alias("place", "band"))
     shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("many"), F.min("digest").alias("pivot")).where("many > 1")
-    members = stored(banded.join(shared.drop("many"), "band"))
+    members = stored(banded.join(shared, "band"))
 
     wanted = members.select("first").distinct().withColumnRenamed("first", "__first")
     texts = source.join(wanted, source["doc_id"].eqNullSafe(wanted["__first"]), "left_semi").select("text")
@@ -181,21 +225,43 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
     stars = stored(linked(tried, sets, percent))
 
     parts = components(stars)
-    labelled = members.join(parts, members["digest"] == parts["node"], "left").select(
-        "band", "digest", "n", F.coalesce("component", "digest").alias("label")
+    for number in range(ROUNDS):
+        open_ = _open(members, parts)
+        if open_.isEmpty():
+            break
+        # A bucket of any size is walked in chains of about CHAIN classes.
+        chain = F.pmod(F.xxhash64("digest", F.lit(number)), F.ceil(F.col("many") / CHAIN))
+        order = Window.partitionBy("band", chain).orderBy(F.xxhash64("digest", F.lit(-1 - number)), "digest")
+        step = open_.select("digest", "label", F.lead("digest").over(order).alias("next"), F.lead("label").over(order).alias("next_label"))
+        pairs = step.where("label <> next_label").select(F.least("digest", "next").alias("a"), F.greatest("digest", "next").alias("b"))
+        fresh = stored(pairs.distinct().join(tried, ["a", "b"], "left_anti"))
+        tried = tried.union(fresh)
+        parts = components(parts.selectExpr("node as a", "component as b").union(linked(fresh, sets, percent)))
+
+    left = stored(_open(members, parts).join(classes.select("digest", "bands"), "digest"))
+    small, large = left.where(F.col("many") <= SMALL), left.where(F.col("many") > SMALL)
+    x, y = small.alias("x"), small.alias("y")
+    earlier = F.exists(
+        F.zip_with(F.slice("x.bands", 1, F.col("x.place")), F.slice("y.bands", 1, F.col("y.place")), lambda p, q: p == q), lambda same: same
     )
-    mixed = labelled.groupBy("band").agg((F.min("label") < F.max("label")).alias("mixed")).where("mixed").select("band")
-    open_ = stored(labelled.join(mixed, "band"))
-    x, y = open_.alias("x"), open_.alias("y")
     across = (
         (F.col("x.band") == F.col("y.band"))
         & (F.col("x.digest") < F.col("y.digest"))
         & (F.col("x.label") != F.col("y.label"))
         # The intersection is no larger than the smaller set, the union no smaller than the larger one.
         & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
+        & ~earlier
+    )
+    rest = x.join(y, across).select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b"))
+    more = linked(stored(rest.join(tried, ["a", "b"], "left_anti")), sets, percent)
+    parts_of = F.ceil(F.col("many") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("digest"), parts_of).cast("int")
+    blocks = (
+        large.select("band", "digest", "label", own.alias("own"), F.explode(F.sequence(F.lit(0), parts_of - 1)).alias("other"))
+        .join(sets, "digest")
+        .select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "digest", "label", "elements")
     )
-    rest = x.join(y, across).select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b")).distinct()
-    more = stored(linked(rest.join(tried, ["a", "b"], "left_anti"), sets, percent))
+    more = more.union(blocks.groupBy("band", "i", "j").applyInArrow(_block(percent), "a binary, b binary")).distinct()
 
     final = components(parts.selectExpr("node as a", "component as b").union(more))
     named = classes.select("digest", "first").join(final, classes["digest"] == final["node"])
