@@ -288,14 +288,32 @@ class Level:
         return tables
 
 
+class Packed:
+    """An array that is pickled compressed, as broadcasts are files on every machine."""
+
+    def __init__(self, values: np.ndarray) -> None:
+        self.values = values
+
+    def __getstate__(self):
+        return str(self.values.dtype), zstandard.ZstdCompressor(level=3).compress(self.values.tobytes())
+
+    def __setstate__(self, state) -> None:
+        kind, body = state
+        self.values = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), kind)
+
+
 @dataclass
 class Sweep:
-    """Totals after a sweep: tables of each context, and customers and tables of the parent."""
+    """Totals after a sweep: tables of each context (a broadcast array), and customers and tables of the parent."""
 
-    tables: np.ndarray
+    shared: object
     customers: int
     root_tables: int
 
+    @property
+    def tables(self) -> np.ndarray:
+        return self.shared.value.values
+
 
 @dataclass
 class Model:
@@ -303,11 +321,15 @@ class Model:
 
     tokens: int
     words: int
-    customers: np.ndarray  # of each context
+    shared: object  # customers of each context, a broadcast array
     pair: Level
     root: Level
     sweeps: list[Sweep] = field(default_factory=list)
 
+    @property
+    def customers(self) -> np.ndarray:
+        return self.shared.value.values
+
     def word_chance(self, customers: np.ndarray, tables: np.ndarray, sweep: Sweep) -> np.ndarray:
         base = 1.0 / (self.words + 1)
         spare = (STRENGTH + self.root.discount * sweep.root_tables) / (STRENGTH + sweep.customers)
@@ -339,11 +361,10 @@ class Model:
             yield tables, served, seated
 
 
-def _sweep(shared):
+def _sweep(model: Model):
     """Totals of the newest sweep: tables of contexts, and a row with context -1 for the parent's tables."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
         for batch in batches:
             for i in range(batch.num_rows):
                 single = _read(batch.column("single")[i], np.int32).astype(np.int64)
@@ -380,22 +401,22 @@ def fit(train: DataFrame) -> Model:
     customers, dishes = np.zeros(CONTEXTS, np.int64), np.zeros(CONTEXTS, np.int64)
     at = found["context"].to_numpy()
     customers[at], dishes[at] = found["n"].to_numpy(), found["d"].to_numpy()
-    model = Model(sums["tokens"], sums["words"], customers, Level.fitted(sums["ones"], sums["twos"]), Level.fitted(sums["word_ones"], sums["word_twos"]))
-    model.sweeps.append(Sweep(dishes.astype(np.int32), int(dishes.sum()), model.words))
+    send = lambda values: spark.sparkContext.broadcast(Packed(values))
+    model = Model(sums["tokens"], sums["words"], send(customers), Level.fitted(sums["ones"], sums["twos"]), Level.fitted(sums["word_ones"], sums["word_twos"]))
+    model.sweeps.append(Sweep(send(dishes), int(dishes.sum()), model.words))
     for _ in range(SWEEPS):
-        part = counted.select("bucket", "single", "word", "context", "count").mapInArrow(_sweep(spark.sparkContext.broadcast(model)), "context int, n long")
+        part = counted.select("bucket", "single", "word", "context", "count").mapInArrow(_sweep(model), "context int, n long")
         total = part.groupBy("context").agg(F.sum("n").alias("n")).toArrow()  # at most CONTEXTS + 1 rows
         context, n = total["context"].to_numpy(), total["n"].to_numpy()
         tables = dishes.copy()
         inside = context >= 0
         tables[context[inside]] += n[inside]
-        model.sweeps.append(Sweep(tables.astype(np.int32), int(tables.sum()), int(n[~inside].sum())))
+        model.sweeps.append(Sweep(send(tables), int(tables.sum()), int(n[~inside].sum())))
     return model
 
 
-def _score(shared):
+def _score(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
         held: dict[int, list] = {}
         for known in gathered(batches, held):
             n = known.num_rows
@@ -469,7 +490,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     keyed = docs.select(docs[key].cast("long").alias("doc_id"), held_out(docs[key], 7).alias("held_out"), docs[text].alias("text"))
     model = fit(keyed.where(~F.col("held_out")))
     dealt = keyed.mapInArrow(_deal(buckets, True), DEALT).repartition(buckets, "bucket")
-    parts = dealt.mapInArrow(_score(spark.sparkContext.broadcast(model)), PART)
+    parts = dealt.mapInArrow(_score(model), PART)
     summed = parts.groupBy("doc_row").agg(
         F.max("doc_id").alias("doc_id"),
         F.max("held_out").alias("held_out"),
