@@ -444,8 +444,8 @@ def _score(model: Model):
             more = np.flatnonzero(count > 1)
             discount, customers = model.pair.discount, model.customers[context]
             used = 0
-            for number, (tables, served, seated) in enumerate(model.chain(bucket, pairs), 1):
-                if number <= BURN or number >= len(model.sweeps):
+            for number, (tables, served, seated) in zip(range(1, len(model.sweeps)), model.chain(bucket, pairs)):
+                if number <= BURN:
                     continue
                 used += 1
                 after = model.sweeps[number]

@@ -161,5 +161,10 @@ def score(docs: DataFrame, trusted: DataFrame, **options) -> DataFrame:
 
 
 def filter_documents(docs: DataFrame, trusted: DataFrame, **options) -> DataFrame:
-    """The documents that pass, with their own columns."""
-    return with_rules(docs, trusted, **options).where("__rules.kept").drop("__rules")
+    """The documents that pass, with their own columns.
+
+    The row number keeps the optimizer from moving the filter below the steps, which would repeat each step's expression
+    wherever the next one uses it.
+    """
+    judged = with_rules(docs, trusted, **options).withColumn("__row", F.monotonically_increasing_id())
+    return judged.where(F.col("__rules.kept") & (F.col("__row") >= 0)).drop("__rules", "__row")
