@@ -38,6 +38,7 @@ CONTEXTS = 1 << CONTEXTS_BITS
 SWEEPS, BURN, RESEATS = 4, 2, 3
 STRENGTH = 1.0
 FLUSH_TOKENS = 1_500_000
+FLUSH_DOCS = 500_000
 END, START = mix(np.array([1, 2], U64), 501)
 EXACT = 256
 
@@ -145,26 +146,61 @@ def _deal(buckets: int, with_docs: bool):
     return run
 
 
-def _unpack(batch: pa.RecordBatch, i: int):
-    word = _read(batch.column("word")[i], U64)
-    size, context, value = (
-        np.ascontiguousarray(_read(batch.column(c)[i], np.uint8).reshape(4, -1).T).view(np.uint32).ravel() for c in ("size", "context", "value")
-    )
-    return np.repeat(word, size), context, value
+@dataclass
+class Chunk:
+    """A packed row, kept compressed until its turn: distinct words with run lengths, and a context and value a token."""
+
+    cells: dict[str, pa.Scalar]
+
+    def words(self) -> tuple[np.ndarray, np.ndarray]:
+        return _read(self.cells["word"], U64), self._planes("size")
+
+    def context(self) -> np.ndarray:
+        return self._planes("context")
+
+    def value(self) -> np.ndarray:
+        return self._planes("value")
+
+    def docs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Row numbers of the documents that values point to, and whether they are learnt from."""
+        return _read(self.cells["doc_row"], np.int64), _read(self.cells["doc_train"], np.bool_)
 
+    def _planes(self, name: str) -> np.ndarray:
+        return np.ascontiguousarray(_read(self.cells[name], np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
 
-def gathered(batches: Iterator[pa.RecordBatch], buckets_seen: dict[int, list]) -> Iterator[pa.RecordBatch]:
-    """Collect packed rows by bucket; rows with documents' facts are passed on."""
+
+def gathered(batches: Iterator[pa.RecordBatch], buckets_seen: dict[int, list[Chunk]]) -> Iterator[pa.RecordBatch]:
+    """Collect packed rows by bucket, still compressed; rows with documents' facts are passed on."""
     for batch in batches:
         for i in range(batch.num_rows):
             direct = batch.column("direct")[i].as_py()
             if direct is not None:
                 yield pa.ipc.open_stream(direct).read_next_batch()
                 continue
-            docs = None
-            if batch.column("doc_row")[i].as_py():
-                docs = _read(batch.column("doc_row")[i], np.int64), _read(batch.column("doc_train")[i], np.bool_)
-            buckets_seen.setdefault(batch.column("bucket")[i].as_py(), []).append((*_unpack(batch, i), docs))
+            # Cells are copied, so that the batch they came in can be freed.
+            cells = {c: pa.scalar(batch.column(c)[i].as_py(), pa.binary()) for c in _names(DEALT)[1:7]}
+            buckets_seen.setdefault(batch.column("bucket")[i].as_py(), []).append(Chunk(cells))
+
+
+def summed_pairs(chunks: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (word, context) in order with the sum of their counts; parts are merged as they grow."""
+    held: list[tuple] = []
+    size, merged = 0, 0
+    for chunk in chunks:
+        held.append(chunk)
+        size += len(chunk[0])
+        if size > 2 * merged + FLUSH_TOKENS:
+            held = [_merged(held)]
+            size = merged = len(held[0][0])
+    return _merged(held)
+
+
+def _merged(held: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    word, context, count = (np.concatenate(x) for x in zip(*held))
+    order = np.lexsort((context, word))
+    word, context, count = word[order], context[order], count[order]
+    first = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (context[1:] != context[:-1])])
+    return word[first], context[first], np.add.reduceat(count, first)
 
 
 @dataclass
@@ -191,12 +227,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[int, list] = {}
     yield from gathered(batches, held)
     for bucket in sorted(held):
-        word, context, value = (np.concatenate(x) for x in list(zip(*held.pop(bucket)))[:3])
-        order = np.lexsort((context, word))
-        word, context, value = word[order], context[order], value[order].astype(np.int64)
-        first = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (context[1:] != context[:-1])])
-        count = np.add.reduceat(value, first)
-        word, context = word[first], context[first]
+        chunks = held.pop(bucket)
+        word, context, count = summed_pairs((np.repeat(*x.words()), x.context(), x.value().astype(np.int64)) for x in chunks)
+        del chunks
         pairs = Pairs.of_counts(word, context, count)
         dishes = np.bincount(pairs.of, minlength=len(pairs.word)) + pairs.single
         seen, at = np.unique(context, return_inverse=True)
@@ -425,16 +458,8 @@ def _score(model: Model):
         sums: list[tuple] = []
         for bucket in sorted(held):
             chunks = held.pop(bucket)
-            word, context = (np.concatenate(x) for x in list(zip(*chunks))[:2])
-            rows = np.concatenate([docs[0][value] for _, _, value, docs in chunks])
-            train = np.concatenate([docs[1][value] for _, _, value, docs in chunks])
-            del chunks
-            order = np.lexsort((context, word))
-            word, context, rows, train = word[order], context[order], rows[order], train[order]
-            first = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (context[1:] != context[:-1])])
-            size = np.diff(np.r_[first, len(word)])
-            count = np.add.reduceat(train.astype(np.int64), first)
-            word, context = word[first], context[first].astype(np.int64)
+            word, context, count = summed_pairs(_learnt(x) for x in chunks)
+            context = context.astype(np.int64)
             learnt = count > 0
             pairs = Pairs.of_counts(word[learnt], context[learnt], count[learnt])
             place = np.searchsorted(pairs.word, word)
@@ -457,16 +482,34 @@ def _score(model: Model):
                 total += np.where(customers > 0, (own + spare * word_p) / (STRENGTH + customers), word_p)
             seen = np.bincount(place[is_known], count[is_known], len(pairs.word) + 1)[np.where(is_known, place, len(pairs.word))]
             base = np.log10((seen + 1) / (model.tokens + model.words + 1))
-            sums.append((rows, np.repeat(is_known, size), np.repeat(base, size), np.repeat(np.log10(total / used), size)))
-            if sum(len(x[0]) for x in sums) > 4_000_000:
-                yield _by_document(sums)
-                sums = []
+            gain = np.log10(total / used)
+            # The chunks are read again, one at a time, and give a row for each of their documents.
+            names, at = np.unique(word, return_inverse=True)
+            code = (at << CONTEXTS_BITS) | context
+            for chunk in chunks:
+                found, size = chunk.words()
+                token = np.repeat(np.searchsorted(names, found) << CONTEXTS_BITS, size) | chunk.context()
+                token = np.searchsorted(code, token)
+                of, docs = chunk.value(), chunk.docs()[0]
+                sums.append((docs, *(np.bincount(of, x[token], len(docs)) for x in (is_known, base, gain))))
+                if sum(len(x[0]) for x in sums) > FLUSH_DOCS:
+                    yield _by_document(sums)
+                    sums = []
         if sums:
             yield _by_document(sums)
 
     return run
 
 
+def _learnt(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (word, context) of a chunk and how often each stands in a document that is learnt from."""
+    word, size = chunk.words()
+    code = np.repeat(np.arange(len(word)) << CONTEXTS_BITS, size) | chunk.context()
+    code, at = np.unique(code, return_inverse=True)
+    count = np.bincount(at, chunk.docs()[1][chunk.value()], len(code)).astype(np.int64)
+    return word[code >> CONTEXTS_BITS], (code & (CONTEXTS - 1)).astype(np.uint32), count
+
+
 def _by_document(sums: list[tuple]) -> pa.RecordBatch:
     rows, known, base, score = (np.concatenate(x) for x in zip(*sums))
     used, at = np.unique(rows, return_inverse=True)
