@@ -38,15 +38,15 @@ CONTEXTS = 1 << CONTEXTS_BITS
 SWEEPS, BURN, RESEATS = 4, 2, 3
 STRENGTH = 1.0
 FLUSH_TOKENS = 1_500_000
-FLUSH_DOCS = 500_000
 END, START = mix(np.array([1, 2], U64), 501)
 EXACT = 256
 
-DEALT = "bucket int, word binary, size binary, context binary, value binary, doc_row binary, doc_train binary, direct binary"
+DEALT = "bucket int, word binary, size binary, context binary, value binary, doc_row binary, doc_train binary, direct binary, lot long"
 COUNTED = (
     "bucket int, tokens long, words long, ones long, twos long, word_ones long, word_twos long, single binary, word binary, "
     "context binary, count binary, seen_context binary, seen binary, seen_single binary"
 )
+SUMMED = "lot long, direct binary, doc_row binary, known binary, base binary, score binary"
 PART = "doc_row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"
 
 
@@ -118,7 +118,7 @@ def _deal(buckets: int, with_docs: bool):
             planes = [np.ascontiguousarray(x).view(np.uint8).reshape(-1, 4).T for x in (size, c, value)]
             cells = [_press(w[first]), *(_press(p) for p in planes)]
             cells += [_press(docs[used]), _press(trains[used])] if with_docs else [b"", b""]
-            yield pa.record_batch([pa.array([b], pa.int32()), *(_pack([x]) for x in cells), _pack([None])], _names(DEALT))
+            yield pa.record_batch([pa.array([b], pa.int32()), *(_pack([x]) for x in cells), _pack([None]), pa.array([docs[0]])], _names(DEALT))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, count, held, waiting = TaskContext.get().partitionId() << 33, 0, [], 0
@@ -128,6 +128,8 @@ def _deal(buckets: int, with_docs: bool):
                 n = part.last - part.first
                 trains = ~batch.column(1).slice(part.first, n).to_numpy(zero_copy_only=False).astype(bool)
                 number = base + count + np.arange(n)
+                # A lot is what is dealt at once; its documents are numbered on from its own number.
+                lot = int(held[0][3][0]) if held else int(number[0])
                 held.append((word, context, row + sum(len(x[3]) for x in held), number, trains))
                 count, waiting = count + n, waiting + len(word)
                 if with_docs:
@@ -136,7 +138,7 @@ def _deal(buckets: int, with_docs: bool):
                     sink = pa.BufferOutputStream()
                     with pa.ipc.new_stream(sink, known.schema) as out:
                         out.write_batch(known)
-                    yield pa.record_batch([pa.array([int(count) % buckets], pa.int32()), *(_pack([None]) for _ in range(6)), _pack([sink.getvalue().to_pybytes()])], _names(DEALT))
+                    yield pa.record_batch([pa.array([int(count) % buckets], pa.int32()), *(_pack([None]) for _ in range(6)), _pack([sink.getvalue().to_pybytes()]), pa.array([lot])], _names(DEALT))
                 if waiting >= FLUSH_TOKENS:
                     yield from flush(held)
                     held, waiting = [], 0
@@ -150,6 +152,7 @@ def _deal(buckets: int, with_docs: bool):
 class Chunk:
     """A packed row, kept compressed until its turn: distinct words with run lengths, and a context and value a token."""
 
+    lot: int
     cells: dict[str, pa.Scalar]
 
     def words(self) -> tuple[np.ndarray, np.ndarray]:
@@ -169,17 +172,17 @@ class Chunk:
         return np.ascontiguousarray(_read(self.cells[name], np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
 
 
-def gathered(batches: Iterator[pa.RecordBatch], buckets_seen: dict[int, list[Chunk]]) -> Iterator[pa.RecordBatch]:
-    """Collect packed rows by bucket, still compressed; rows with documents' facts are passed on."""
+def gathered(batches: Iterator[pa.RecordBatch], buckets_seen: dict[int, list[Chunk]]) -> Iterator[tuple[int, bytes]]:
+    """Collect packed rows by bucket, still compressed; documents' facts are passed on with their lot."""
     for batch in batches:
         for i in range(batch.num_rows):
-            direct = batch.column("direct")[i].as_py()
+            lot, direct = batch.column("lot")[i].as_py(), batch.column("direct")[i].as_py()
             if direct is not None:
-                yield pa.ipc.open_stream(direct).read_next_batch()
+                yield lot, direct
                 continue
             # Cells are copied, so that the batch they came in can be freed.
             cells = {c: pa.scalar(batch.column(c)[i].as_py(), pa.binary()) for c in _names(DEALT)[1:7]}
-            buckets_seen.setdefault(batch.column("bucket")[i].as_py(), []).append(Chunk(cells))
+            buckets_seen.setdefault(batch.column("bucket")[i].as_py(), []).append(Chunk(lot, cells))
 
 
 def summed_pairs(chunks: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -225,7 +228,8 @@ class Pairs:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Training counts of the buckets of a partition."""
     held: dict[int, list] = {}
-    yield from gathered(batches, held)
+    for _ in gathered(batches, held):
+        pass
     for bucket in sorted(held):
         chunks = held.pop(bucket)
         word, context, count = summed_pairs((np.repeat(*x.words()), x.context(), x.value().astype(np.int64)) for x in chunks)
@@ -451,11 +455,8 @@ def fit(train: DataFrame) -> Model:
 def _score(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
-        for known in gathered(batches, held):
-            n = known.num_rows
-            zeros = [pa.array(np.zeros(n, k)) for k in (np.int64, np.float64, np.float64)]
-            yield pa.record_batch([*known.columns, *zeros], _names(PART))
-        sums: list[tuple] = []
+        for lot, direct in gathered(batches, held):
+            yield pa.record_batch([pa.array([lot]), _pack([direct]), *(_pack([None]) for _ in range(4))], _names(SUMMED))
         for bucket in sorted(held):
             chunks = held.pop(bucket)
             word, context, count = summed_pairs(_learnt(x) for x in chunks)
@@ -483,7 +484,7 @@ def _score(model: Model):
             seen = np.bincount(place[is_known], count[is_known], len(pairs.word) + 1)[np.where(is_known, place, len(pairs.word))]
             base = np.log10((seen + 1) / (model.tokens + model.words + 1))
             gain = np.log10(total / used)
-            # The chunks are read again, one at a time, and give a row for each of their documents.
+            # The chunks are read again, one at a time, and give the sums of their documents.
             names, at = np.unique(word, return_inverse=True)
             code = (at << CONTEXTS_BITS) | context
             for chunk in chunks:
@@ -491,12 +492,8 @@ def _score(model: Model):
                 token = np.repeat(np.searchsorted(names, found) << CONTEXTS_BITS, size) | chunk.context()
                 token = np.searchsorted(code, token)
                 of, docs = chunk.value(), chunk.docs()[0]
-                sums.append((docs, *(np.bincount(of, x[token], len(docs)) for x in (is_known, base, gain))))
-                if sum(len(x[0]) for x in sums) > FLUSH_DOCS:
-                    yield _by_document(sums)
-                    sums = []
-        if sums:
-            yield _by_document(sums)
+                sums = [np.bincount(of, x[token], len(docs)) for x in (is_known, base, gain)]
+                yield pa.record_batch([pa.array([chunk.lot]), _pack([None]), *(_pack([_press(x)]) for x in (docs, *sums))], _names(SUMMED))
 
     return run
 
@@ -510,20 +507,28 @@ def _learnt(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return word[code >> CONTEXTS_BITS], (code & (CONTEXTS - 1)).astype(np.uint32), count
 
 
-def _by_document(sums: list[tuple]) -> pa.RecordBatch:
-    rows, known, base, score = (np.concatenate(x) for x in zip(*sums))
-    used, at = np.unique(rows, return_inverse=True)
-    n = len(used)
-    columns = [
-        pa.array(used),
-        pa.nulls(n, pa.int64()),
-        pa.nulls(n, pa.bool_()),
-        pa.array(np.zeros(n, np.int64)),
-        pa.array(np.bincount(at, known, n).astype(np.int64)),
-        pa.array(np.bincount(at, base, n)),
-        pa.array(np.bincount(at, score, n)),
-    ]
-    return pa.record_batch(columns, _names(PART))
+def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Facts and sums of the documents of the lots of a partition; only the sums of a lot are held, not its parts."""
+    facts: dict[int, list[pa.RecordBatch]] = {}
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for i in range(batch.num_rows):
+            lot, direct = batch.column("lot")[i].as_py(), batch.column("direct")[i].as_py()
+            if direct is not None:
+                facts.setdefault(lot, []).append(pa.ipc.open_stream(direct).read_next_batch())
+                continue
+            at = _read(batch.column("doc_row")[i], np.int64) - lot
+            total = sums.get(lot, np.zeros((3, 0)))
+            if at.max() >= total.shape[1]:
+                total = np.pad(total, ((0, 0), (0, int(at.max()) + 1 - total.shape[1])))
+            # Documents are distinct within a part.
+            total[:, at] += [_read(batch.column(c)[i], np.float64) for c in ("known", "base", "score")]
+            sums[lot] = total
+    for lot, held in facts.items():
+        known, base, gain = sums[lot]
+        for rows in held:
+            at = rows.column(0).to_numpy() - lot
+            yield pa.record_batch([*rows.columns, pa.array(known[at].astype(np.int64)), pa.array(base[at]), pa.array(gain[at])], _names(PART))
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -533,13 +538,6 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     keyed = docs.select(docs[key].cast("long").alias("doc_id"), held_out(docs[key], 7).alias("held_out"), docs[text].alias("text"))
     model = fit(keyed.where(~F.col("held_out")))
     dealt = keyed.mapInArrow(_deal(buckets, True), DEALT).repartition(buckets, "bucket")
-    parts = dealt.mapInArrow(_score(model), PART)
-    summed = parts.groupBy("doc_row").agg(
-        F.max("doc_id").alias("doc_id"),
-        F.max("held_out").alias("held_out"),
-        F.sum("n_tokens").alias("n_tokens"),
-        F.sum("n_known").alias("n_known"),
-        F.sum("base").alias("base_score"),
-        F.sum("score").alias("score"),
-    )
-    return summed.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    parts = dealt.mapInArrow(_score(model), SUMMED).repartition(buckets, "lot")
+    found = parts.mapInArrow(_by_document, PART)
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")
