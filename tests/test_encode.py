@@ -83,6 +83,14 @@ def test_broken_sequence_and_special_ids(spark):
     assert (row.shown, row.hidden) == ("a<|endoftext|><|pad|>b", "ab")
 
 
+def test_special_ids_are_those_of_the_vocabulary(spark):
+    """In a ready-made vocabulary the first ids are real tokens and the end-of-text literal stands last."""
+    ready = Vocabulary(["a", "b", "<|endoftext|>"])
+    df = spark.createDataFrame([([0, 2, 1],)], "ids array<int>")
+    row = df.select(encode.decode("ids", ready).alias("shown"), encode.decode("ids", ready, skip_special=True).alias("hidden")).first()
+    assert (row.shown, row.hidden) == ("a<|endoftext|>b", "ab")
+
+
 def test_unicode_spaces_split_words(spark):
     df = texts(spark, ["a　　b !\xa0\xa0c"])
     assert df.select(words("text").alias("w")).first().w == ["a", "　", "　", "b", " !", "\xa0", "\xa0", "c"]

@@ -42,7 +42,8 @@ def chunk(df: DataFrame, ids: str = "input_ids", max_length: int = 512, out: str
 def decode(ids: Column | str, vocabulary: Vocabulary | None = None, skip_special: bool = False) -> Column:
     """E5: ids -> bytes -> text; partial characters become U+FFFD."""
     tokens = vocabulary.tokens if vocabulary else [alphabet.PAD, alphabet.EOS, *sorted(alphabet.stand_ins())]
-    skip = (alphabet.PAD_ID, alphabet.EOS_ID) if skip_special else ()
+    # Where the special literals stand is the vocabulary's matter: in a ready-made one the ids 0 and 1 are real tokens.
+    skip = tuple(i for i, token in enumerate(tokens) if skip_special and token in (alphabet.PAD, alphabet.EOS))
     to_bytes = F.arrow_udf(kernels.id_bytes(alphabet.token_bytes(tokens), skip), "binary")
     return F.make_valid_utf8(to_bytes(as_column(ids)).cast("string"))
 
