@@ -451,8 +451,11 @@ def near_groups(docs, width, percent):
     return out
 
 
-def test_near_duplicates_equal_brute_force(spark, sample):
+@pytest.mark.parametrize("small, portion", [(near.SMALL, near.PORTION_CLASSES), (2, 16)])
+def test_near_duplicates_equal_brute_force(spark, sample, monkeypatch, small, portion):
     width = 2
+    monkeypatch.setattr(near, "SMALL", small)
+    monkeypatch.setattr(near, "PORTION_CLASSES", portion)
     draw = random.Random(6)
     many = []
     for g in range(6):

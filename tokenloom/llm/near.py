@@ -6,12 +6,14 @@ rounds each remaining bin gets a round of its own, so all t coordinates are fill
 the probability of their similarity, with concentration as for independent samples. 40 bands of 5 coordinates miss a
 pair at similarity 0.8 with probability below 2e-7; a pair found is confirmed on the full sets.
 
-Equal sets are one class and only classes are compared, so copies make no pairs. A bucket of a band tries its classes with
-its smallest one first, then, in ``ROUNDS`` rounds, each class with its next one in a hashed order where their components
-differ. That joins a large group with few pairs. Only where several components are left in a bucket are the pairs across
-them tried, each in the first bucket it shares, so no link between different components is lost.
-In a bucket of more than ``SMALL`` classes that work is cut into blocks of two portions of about ``BLOCK`` classes, in
-which the intersections are counted side by side and only links come out.
+Equal sets are one class and only classes are compared, so copies make no pairs. Each class of a shared bucket is first
+compared with the bucket's smallest one; that joins most of a large group with few pairs. Where several components are left
+in a bucket of at most ``SMALL`` classes, the pairs across them are tried. Larger such
+buckets that overlap are one pool of classes; a pool is cut into portions of bounded size and every two portions are
+compared side by side in one task, from which only links come out. So a class's set is sent once for each portion of its
+pool, not once for each pair or bucket, and no link between different components is lost.
+Before sets are sent, a pair must agree in ``AGREE`` of the 200 coordinates' marks of one byte; at similarity 0.8 fewer
+agree with probability below 1e-7.
 
 Edge cases: a text that is null or has no word has no shingles and links with nothing; one with fewer words than a shingle
 is one shingle; repeated rows belong to one class and each gets its row back; a null id is kept as it is, and a class's
@@ -31,10 +33,10 @@ from tokenloom.llm.common import U64, Slice, fold, mix, slices, stored, words
 from tokenloom.llm.graph import components
 
 BANDS, BAND_ROWS = 40, 5
-ROUNDS = 2
-SMALL, BLOCK = 32, 256
-CHAIN = 512
 COORDINATES = BANDS * BAND_ROWS
+AGREE = 125
+SMALL = 32
+PORTION_CLASSES, PORTION_ELEMENTS = 1024, 1 << 20
 UNSET = U64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -137,7 +139,23 @@ def _sets(width: int):
                 full = sizes[sizes > 0]
                 if len(full):
                     packed = [x.tobytes() for x in np.split(elements, np.cumsum(full)[:-1])]
-                    yield pa.record_batch([pa.array(_digest(elements, full), pa.binary()), pa.array(packed, pa.binary())], ["digest", "elements"])
+                    marks = [x.tobytes() for x in sketch(elements, full).astype(np.uint8)]
+                    columns = [pa.array(x, pa.binary()) for x in (_digest(elements, full), packed, marks)]
+                    yield pa.record_batch(columns, ["digest", "elements", "marks"])
+
+    return run
+
+
+def _agreeing(percent: int):
+    """Pairs whose marks agree often enough for the similarity asked for."""
+    least = AGREE * percent // 80
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, COORDINATES) for k in (2, 3))
+                keep = pa.array((x == y).sum(axis=1) >= least)
+                yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(keep)
 
     return run
 
@@ -159,11 +177,12 @@ def _confirm(percent: int):
 
 
 def _block(percent: int):
-    """Links between the components of one block, a group of at most two portions of a bucket."""
+    """Links between the components of one block, a group of at most two portions of a pool."""
 
     def run(group: pa.Table) -> pa.Table:
         names = group["digest"].to_pylist()
-        portion, label = group["own"].to_numpy(), group["label"].to_pandas().to_numpy()
+        portion = group["own"].to_numpy()
+        label = np.unique(np.array([x.hex() for x in group["label"].to_pylist()]), return_inverse=True)[1]
         sets = [np.frombuffer(x, U64) for x in group["elements"].to_pylist()]
         sizes = np.array([len(x) for x in sets])
         element, at = np.unique(np.concatenate(sets), return_inverse=True)
@@ -171,7 +190,7 @@ def _block(percent: int):
         shared = np.bincount(at)[at] > 1
         column, at = np.unique(at[shared], return_inverse=True)
         found: list[tuple[bytes, bytes]] = []
-        if len(column):
+        if len(column) and label.min() < label.max():
             left, right = np.flatnonzero(portion == portion.min()), np.flatnonzero(portion == portion.max())
             common = np.zeros((len(left), len(right)), np.float32)
             for low in range(0, len(column), 4096):
@@ -189,20 +208,53 @@ def _block(percent: int):
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
-    left = sets.select(F.col("digest").alias("a"), F.col("elements").alias("x"))
-    right = sets.select(F.col("digest").alias("b"), F.col("elements").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a binary, b binary")
+    left, right = (sets.select(F.col("digest").alias(k), F.col("marks").alias(m)) for k, m in (("a", "x"), ("b", "y")))
+    marked = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    likely = stored(marked.mapInArrow(_agreeing(percent), "a binary, b binary"))
+    left, right = (sets.select(F.col("digest").alias(k), F.col("elements").alias(e)) for k, e in (("a", "x"), ("b", "y")))
+    return likely.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a binary, b binary")
 
 
 def _open(members: DataFrame, parts: DataFrame) -> DataFrame:
-    """Members of the buckets that still hold several components."""
+    """Members of the buckets that still hold several components, and the component of each."""
     labelled = members.join(parts, members["digest"] == parts["node"], "left").select(
-        "band", "place", "many", "digest", "n", F.coalesce("component", "digest").alias("label")
+        "band", "many", "pivot", "digest", "n", F.coalesce("component", "digest").alias("label")
     )
     mixed = labelled.groupBy("band").agg((F.min("label") < F.max("label")).alias("mixed")).where("mixed").select("band")
     return stored(labelled.join(mixed, "band"))
 
 
+def _across(small: DataFrame, percent: int) -> DataFrame:
+    """Pairs across the components of buckets of at most ``SMALL`` classes."""
+    x, y = small.alias("x"), small.alias("y")
+    pairs = x.join(
+        y,
+        (F.col("x.band") == F.col("y.band"))
+        & (F.col("x.digest") < F.col("y.digest"))
+        & (F.col("x.label") != F.col("y.label"))
+        # The intersection is no larger than the smaller set, the union no smaller than the larger one.
+        & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")),
+    )
+    return pairs.select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b")).distinct()
+
+
+def _pooled(large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links across the components of larger buckets: overlapping buckets are a pool, compared in blocks of two portions."""
+    pools = components(large.select(F.col("pivot").alias("a"), F.col("digest").alias("b")))
+    classes = large.select("digest", "label", "n").distinct()
+    pooled = stored(classes.join(pools, classes["digest"] == pools["node"]).select("component", "digest", "label", "n"))
+    portions = F.greatest(F.ceil(F.count(F.lit(1)) / PORTION_CLASSES), F.ceil(F.sum("n") / PORTION_ELEMENTS)).cast("int")
+    sizes = pooled.groupBy("component").agg(portions.alias("portions"))
+    own = F.pmod(F.xxhash64("digest"), F.col("portions")).cast("int")
+    spread = pooled.join(sizes, "component").select(
+        "component", "digest", "label", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("portions") - 1)).alias("other")
+    )
+    blocks = spread.join(sets.select("digest", "elements"), "digest").select(
+        "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "label", "digest", "elements"
+    )
+    return blocks.groupBy("component", "i", "j").applyInArrow(_block(percent), "a binary, b binary")
+
+
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 2, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row."""
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -210,14 +262,16 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
     classes = rows.where("digest is not null").groupBy("digest").agg(
         F.min("doc_id").alias("first"), F.any_value("n_shingles").alias("n"), F.any_value("bands").alias("bands")
     )
-    banded = classes.select("digest", "first", "n", F.posexplode("bands").alias("place", "band"))
-    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("many"), F.min("digest").alias("pivot")).where("many > 1")
-    members = stored(banded.join(shared, "band"))
+    banded = classes.select("digest", F.explode("bands").alias("band"))
+    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
+    found = stored(banded.join(shared, "band"))
+    pivots = found.groupBy("band").agg(F.min("digest").alias("pivot"))
+    members = stored(found.join(pivots, "band").join(classes.select("digest", "first", "n"), "digest"))
 
     wanted = members.select("first").distinct().withColumnRenamed("first", "__first")
     texts = source.join(wanted, source["doc_id"].eqNullSafe(wanted["__first"]), "left_semi").select("text")
     sets = stored(
-        texts.mapInArrow(_sets(width), "digest binary, elements binary")
+        texts.mapInArrow(_sets(width), "digest binary, elements binary, marks binary")
         .join(members.select("digest").distinct(), "digest", "left_semi")
         .dropDuplicates(["digest"])
     )
@@ -225,43 +279,9 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
     stars = stored(linked(tried, sets, percent))
 
     parts = components(stars)
-    for number in range(ROUNDS):
-        open_ = _open(members, parts)
-        if open_.isEmpty():
-            break
-        # A bucket of any size is walked in chains of about CHAIN classes.
-        chain = F.pmod(F.xxhash64("digest", F.lit(number)), F.ceil(F.col("many") / CHAIN))
-        order = Window.partitionBy("band", chain).orderBy(F.xxhash64("digest", F.lit(-1 - number)), "digest")
-        step = open_.select("digest", "label", F.lead("digest").over(order).alias("next"), F.lead("label").over(order).alias("next_label"))
-        pairs = step.where("label <> next_label").select(F.least("digest", "next").alias("a"), F.greatest("digest", "next").alias("b"))
-        fresh = stored(pairs.distinct().join(tried, ["a", "b"], "left_anti"))
-        tried = tried.union(fresh)
-        parts = components(parts.selectExpr("node as a", "component as b").union(linked(fresh, sets, percent)))
-
-    left = stored(_open(members, parts).join(classes.select("digest", "bands"), "digest"))
-    small, large = left.where(F.col("many") <= SMALL), left.where(F.col("many") > SMALL)
-    x, y = small.alias("x"), small.alias("y")
-    earlier = F.exists(
-        F.zip_with(F.slice("x.bands", 1, F.col("x.place")), F.slice("y.bands", 1, F.col("y.place")), lambda p, q: p == q), lambda same: same
-    )
-    across = (
-        (F.col("x.band") == F.col("y.band"))
-        & (F.col("x.digest") < F.col("y.digest"))
-        & (F.col("x.label") != F.col("y.label"))
-        # The intersection is no larger than the smaller set, the union no smaller than the larger one.
-        & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
-        & ~earlier
-    )
-    rest = x.join(y, across).select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b"))
-    more = linked(stored(rest.join(tried, ["a", "b"], "left_anti")), sets, percent)
-    parts_of = F.ceil(F.col("many") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("digest"), parts_of).cast("int")
-    blocks = (
-        large.select("band", "digest", "label", own.alias("own"), F.explode(F.sequence(F.lit(0), parts_of - 1)).alias("other"))
-        .join(sets, "digest")
-        .select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "digest", "label", "elements")
-    )
-    more = more.union(blocks.groupBy("band", "i", "j").applyInArrow(_block(percent), "a binary, b binary")).distinct()
+    left = _open(members, parts)
+    rest = stored(_across(left.where(F.col("many") <= SMALL), percent).join(tried, ["a", "b"], "left_anti"))
+    more = linked(rest, sets, percent).union(_pooled(left.where(F.col("many") > SMALL), sets, percent))
 
     final = components(parts.selectExpr("node as a", "component as b").union(more))
     named = classes.select("digest", "first").join(final, classes["digest"] == final["node"])
