@@ -36,6 +36,7 @@ BANDS, BAND_ROWS = 40, 5
 COORDINATES = BANDS * BAND_ROWS
 AGREE = 125
 SMALL = 32
+SIEVE = 1 << 25
 PORTION_CLASSES, PORTION_ELEMENTS = 1024, 1 << 20
 UNSET = U64(0xFFFFFFFFFFFFFFFF)
 
@@ -255,6 +256,18 @@ def _pooled(large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return blocks.groupBy("component", "i", "j").applyInArrow(_block(percent), "a binary, b binary")
 
 
+def _sifted(source: DataFrame, members: DataFrame) -> DataFrame:
+    """Texts of the members' first documents and perhaps a few more, found without a shuffle of texts.
+
+    The ids are set in a bitmap of ``SIEVE`` bits, at most SIEVE / 64 rows of 16 bytes, whatever the number of ids.
+    """
+    word, bit = (lambda c: F.shiftright(F.pmod(F.xxhash64(c), F.lit(SIEVE)), 6)), (lambda c: F.pmod(F.xxhash64(c), F.lit(64)).cast("int"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit("first"))
+    sieve = members.select(word("first").alias("word"), one.alias("one")).groupBy("word").agg(F.bit_or("one").alias("bits"))
+    found = source.withColumn("word", word("doc_id")).join(F.broadcast(sieve), "word")
+    return found.where(F.getbit("bits", bit("doc_id")) == 1).select("text")
+
+
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 2, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row."""
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -268,10 +281,8 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
     pivots = found.groupBy("band").agg(F.min("digest").alias("pivot"))
     members = stored(found.join(pivots, "band").join(classes.select("digest", "first", "n"), "digest"))
 
-    wanted = members.select("first").distinct().withColumnRenamed("first", "__first")
-    texts = source.join(wanted, source["doc_id"].eqNullSafe(wanted["__first"]), "left_semi").select("text")
     sets = stored(
-        texts.mapInArrow(_sets(width), "digest binary, elements binary, marks binary")
+        _sifted(source, members).mapInArrow(_sets(width), "digest binary, elements binary, marks binary")
         .join(members.select("digest").distinct(), "digest", "left_semi")
         .dropDuplicates(["digest"])
     )
