@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import ODD, documents, lower, words
 from tokenloom.llm import bpe, chat, decontaminate, language, licences, near, pitman_yor, quality, queries, repeats, sharding
@@ -74,6 +75,17 @@ def test_quality_without_trusted_documents_or_rows(spark):
     assert kept.columns == documents(spark, []).columns
 
 
+def test_quality_can_be_filtered(spark, sample):
+    docs = documents(spark, sample).withColumns({"words": F.lit(1), "rules": F.lit(2), "own": F.lit(3)})
+    none = spark.createDataFrame([], "doc_id long")
+    whole = quality.score(docs, none)
+    steps = [x._jdf.queryExecution().optimizedPlan().toString().count("zip_with") for x in (whole, whole.where("kept"))]
+    assert steps[0] == steps[1]
+    kept = quality.filter_documents(docs, none)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in whole.where("kept").collect())
+
+
 # language
 
 
@@ -486,6 +498,31 @@ def test_one_document_of_each_group_stays(spark):
     assert kept.columns == docs.columns
     assert sorted([r.doc_id for r in kept.collect()], key=str) == sorted([None, 1, 2, 3, 4, 5, 7, 8, 9], key=str)
     assert rows(near.groups(documents(spark, []))) == []
+    shared = [(None, "one two three"), (None, "four five six"), (4, "seven eight"), (4, "nine ten"), (4, "nine ten")]
+    assert Counter(r.text for r in near.keep_one(documents(spark, shared)).collect()) == Counter(
+        ["one two three", "four five six", "seven eight", "nine ten"]
+    )
+
+
+def thue_morse():
+    """Two words that a polynomial hash modulo 2^64 can't tell apart, whatever its base."""
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_thue_morse_words_differ(spark):
+    one, other = thue_morse()
+    docs = documents(spark, [(1, f"{one} tail"), (2, f"{other} tail")])
+    assert Counter(rows(near.groups(docs))) == Counter([(1, 1, 1, True), (2, 1, 2, True)])
+    bodies = [f"x{one}", f"y{other}"]
+    cut = [(i, *c[:3]) for i, c in enumerate(cut_repeats([b.encode() for b in bodies], 200))]
+    found = repeats.spans(documents(spark, list(enumerate(bodies)))).collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans) for r in found) == cut
+    held_out, trained = (next(i for i in range(99) if (zlib.crc32(str(i).encode()) % 7 == 2) == side) for side in (True, False))
+    scored = pitman_yor.score(documents(spark, [(trained, one), (held_out, other)])).collect()
+    assert {r.doc_id: r.n_known for r in scored} == {trained: 2, held_out: 1}
 
 
 # licences

@@ -21,7 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tokenloom.llm.common import U64, RangeHash, mix, ragged, slices, text_parts
+from tokenloom.llm.common import U64, QuickHash, mix, ragged, slices, text_parts
 
 CACHE_ENTRIES = 500_000
 ENCODED = "doc_id long, ids binary, decoded binary"
@@ -38,7 +38,7 @@ def hash_tokens(column: pa.Array) -> np.ndarray:
     bounds, data = text_parts(column)
     low = bounds[0]
     body = data[low : bounds[-1]]
-    return mix(RangeHash(body)(bounds[:-1] - low, bounds[1:] - low) + np.diff(bounds).astype(U64))
+    return mix(QuickHash(body)(bounds[:-1] - low, bounds[1:] - low) + np.diff(bounds).astype(U64))
 
 
 @dataclass

@@ -17,7 +17,8 @@ agree with probability below 1e-7.
 
 Edge cases: a text that is null or has no word has no shingles and links with nothing; one with fewer words than a shingle
 is one shingle; repeated rows belong to one class and each gets its row back; a null id is kept as it is, and a class's
-smallest id ignores nulls; extra columns are ignored. Elements are 64-bit hashes.
+smallest id ignores nulls; extra columns are ignored. Elements are 64-bit hashes. ``keep_one`` knows a row by its id and
+its text: unlike texts under one id, or without an id, are documents of their own.
 """
 
 from __future__ import annotations
@@ -125,8 +126,9 @@ def _sketches(width: int):
                         pa.array(sizes, pa.int64()),
                         pa.array(digests.tolist(), pa.binary()),
                         pa.array(bands.tolist(), pa.list_(pa.int64())),
+                        batch.column(2).slice(part.first, len(sizes)),
                     ],
-                    ["doc_id", "n_shingles", "digest", "bands"],
+                    ["doc_id", "n_shingles", "digest", "bands", "row"],
                 )
 
     return run
@@ -268,10 +270,9 @@ def _sifted(source: DataFrame, members: DataFrame) -> DataFrame:
     return found.where(F.getbit("bits", bit("doc_id")) == 1).select("text")
 
 
-def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 2, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row."""
-    source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = stored(source.mapInArrow(_sketches(width), "doc_id long, n_shingles long, digest binary, bands array<long>"))
+def _labelled(source: DataFrame, width: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles, row, the component's name (null without shingles) and its smallest id, for (doc_id, text, row)."""
+    rows = stored(source.mapInArrow(_sketches(width), "doc_id long, n_shingles long, digest binary, bands array<long>, row binary"))
     classes = rows.where("digest is not null").groupBy("digest").agg(
         F.min("doc_id").alias("first"), F.any_value("n_shingles").alias("n"), F.any_value("bands").alias("bands")
     )
@@ -295,20 +296,32 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
     more = linked(rest, sets, percent).union(_pooled(left.where(F.col("many") > SMALL), sets, percent))
 
     final = components(parts.selectExpr("node as a", "component as b").union(more))
-    named = classes.select("digest", "first").join(final, classes["digest"] == final["node"])
-    lowest = named.groupBy("component").agg(F.min("first").alias("low"))
-    low_of = named.join(lowest, "component").select("digest", "low")
-    copies = classes.select("digest", F.col("first").alias("own"))
-    found = copies.join(low_of, "digest", "left").select("digest", F.coalesce("low", "own").alias("component_id"))
+    named = classes.select("digest", "first").join(final, classes["digest"] == final["node"], "left").select(
+        "digest", "first", F.coalesce("component", "digest").alias("component")
+    )
+    lowest = named.groupBy("component").agg(F.min("first").alias("component_id"))
+    labels = named.join(lowest, "component").select("digest", "component", "component_id")
+    return rows.drop("bands").join(labels, "digest", "left").drop("digest")
+
+
+def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 2, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every row."""
+    source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), F.lit(None).cast("binary").alias("row"))
     return (
-        rows.select("doc_id", "n_shingles", "digest")
-        .join(found, "digest", "left")
-        .select("doc_id", "n_shingles", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        _labelled(source, width, percent)
+        .select("doc_id", "n_shingles", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One document of each group, with its own columns; repeated rows of one id leave one row."""
-    kept = groups(docs, key, text, **options).where("kept").select(F.col("doc_id").alias("__key")).distinct()
-    return docs.join(kept, docs[key].eqNullSafe(kept["__key"]), "left_semi").dropDuplicates([key])
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 2, percent: int = 80) -> DataFrame:
+    """One document of each group, with its own columns: the one of smallest id; repeated rows leave one row."""
+    parts = (F.coalesce(F.concat(F.lit("="), c), F.lit("")) for c in (F.col(key).cast("string"), F.col(text)))
+    row = F.unhex(F.sha2(F.concat_ws(":", *parts), 256))
+    source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), row.alias("row"))
+    found = _labelled(source, width, percent)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row"))["row"]
+    kept = found.groupBy(F.coalesce("component", "row")).agg(first.alias("row")).select("row").distinct()
+    own = [docs[c] for c in docs.columns]
+    named = docs.select(F.struct(*own).alias("own"), row.alias("row"))
+    return named.join(kept, "row", "left_semi").dropDuplicates(["row"]).select("own.*")

@@ -10,7 +10,8 @@ the id first), small enough to broadcast; raw counts cover every document.
 
 Edge cases: a null or empty text has no words, zero everywhere, score 0 and fails the base rule (fewer than 50 words);
 without any trusted document every score is 0, so only the base rule decides; repeated rows are judged each on their own;
-an id that is null is never trusted; extra columns are ignored by ``score`` and kept by ``with_rules``.
+an id that is null is never trusted; extra columns are ignored by ``score`` and kept by ``with_rules``, whatever their
+names; only ``__rules`` is taken.
 """
 
 from __future__ import annotations
@@ -110,61 +111,51 @@ def with_rules(
     buckets: int = BUCKETS,
     threshold: float = THRESHOLD,
 ) -> DataFrame:
-    """Add the struct ``__rules`` to every row: the statistics, ``llr``, ``base_failed`` and ``kept``."""
+    """Add the struct ``__rules`` to every row: the statistics, ``llr``, ``base_failed`` and ``kept``.
+
+    The last step stands behind a generator of one row, below which the optimizer moves no filter. A filter moved into the
+    chain of steps would repeat each step's expression wherever the next one uses it.
+    """
     # As many doubles as there are buckets, a parameter, so they may pass through the driver as one literal.
     table = F.lit(np.array(weights(docs, trusted, key, text, buckets).first()["weights"]))
-    body = F.coalesce(F.col(text), F.lit(""))
-    ordered, places, covered = repeated_words(F.col("__threes"), F.col("__ordered"), F.col("__places"))
-    lines = F.filter(F.split(body, "\n"), lambda line: line.rlike(SOLID))
+    ordered, places, covered = repeated_words(F.col("threes"), F.col("ordered"), F.col("places"))
+    lines = F.filter(F.split("body", "\n"), lambda line: line.rlike(SOLID))
     add = lambda total, gram: total + F.get(table, bucket_of(gram, buckets))
-    total = F.aggregate("__twos", F.aggregate("__ones", F.lit(0.0), add), add)
-    n_grams = F.size("__ones") + F.size("__twos")
+    total = F.aggregate("twos", F.aggregate("ones", F.lit(0.0), add), add)
+    n_grams = F.size("ones") + F.size("twos")
+    # The caller's columns travel as one struct, so that none can clash with a step's name.
     base = (
-        docs.withColumns({"__words": words_of(F.col(text)), "__lines": lines})
-        .withColumn("__ones", hashes(F.col("__words")))
-        .withColumn("__twos", chained(F.col("__ones"), F.col("__ones")))
-        .withColumn("__threes", chained(F.col("__twos"), F.slice("__ones", 2, F.greatest(F.size("__ones"), F.lit(1)))))
-        .withColumn("__ordered", ordered)
-        .withColumn("__places", places)
+        docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("own"), F.coalesce(F.col(text), F.lit("")).alias("body"))
+        .withColumns({"words": words_of(F.col("body")), "lines": lines})
+        .withColumn("ones", hashes(F.col("words")))
+        .withColumn("twos", chained(F.col("ones"), F.col("ones")))
+        .withColumn("threes", chained(F.col("twos"), F.slice("ones", 2, F.greatest(F.size("ones"), F.lit(1)))))
+        .withColumn("ordered", ordered)
+        .withColumn("places", places)
     )
-    return (
-        base.withColumn(
-            "__rules",
-            F.struct(
-                F.size("__words").cast("long").alias("n_words"),
-                F.length(F.array_join("__words", "")).cast("long").alias("word_chars"),
-                F.length(F.regexp_replace(body, SYMBOLS, "")).cast("long").alias("n_symbols"),
-                (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
-                covered.alias("n_repeat_words"),
-                F.when(n_grams > 0, total / n_grams).otherwise(0.0).alias("llr"),
-            ),
-        )
-        .drop("__words", "__lines", "__ones", "__twos", "__threes", "__ordered", "__places")
-        .withColumn(
-            "__rules",
-            F.col("__rules").withField(
-                "base_failed",
-                (F.col("__rules.n_words") < 50) | (100 * F.col("__rules.n_repeat_words") > 50 * F.col("__rules.n_words")),
-            ),
-        )
-        .withColumn(
-            "__rules",
-            F.col("__rules").withField("kept", ~F.col("__rules.base_failed") & (F.col("__rules.llr") >= F.lit(threshold))),
-        )
+    rules = base.withColumn(
+        "rules",
+        F.struct(
+            F.size("words").cast("long").alias("n_words"),
+            F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+            F.length(F.regexp_replace("body", SYMBOLS, "")).cast("long").alias("n_symbols"),
+            (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
+            covered.alias("n_repeat_words"),
+            F.when(n_grams > 0, total / n_grams).otherwise(0.0).alias("llr"),
+        ),
     )
+    counted = rules.select("own", F.explode(F.array("rules")).alias("rules"))
+    failed = (F.col("rules.n_words") < 50) | (100 * F.col("rules.n_repeat_words") > 50 * F.col("rules.n_words"))
+    kept = ~failed & (F.col("rules.llr") >= F.lit(threshold))
+    return counted.select("own.*", F.struct("rules.*", failed.alias("base_failed"), kept.alias("kept")).alias("__rules"))
 
 
-def score(docs: DataFrame, trusted: DataFrame, **options) -> DataFrame:
+def score(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """doc_id and the statistics of every document."""
-    key = options.get("key", "doc_id")
-    return with_rules(docs, trusted, **options).select(F.col(key).alias("doc_id"), "__rules.*")
+    judged = with_rules(docs.select(key, text), trusted, key, text, **options)
+    return judged.select(F.col(key).alias("doc_id"), "__rules.*")
 
 
 def filter_documents(docs: DataFrame, trusted: DataFrame, **options) -> DataFrame:
-    """The documents that pass, with their own columns.
-
-    The row number keeps the optimizer from moving the filter below the steps, which would repeat each step's expression
-    wherever the next one uses it.
-    """
-    judged = with_rules(docs, trusted, **options).withColumn("__row", F.monotonically_increasing_id())
-    return judged.where(F.col("__rules.kept") & (F.col("__row") >= 0)).drop("__rules", "__row")
+    """The documents that pass, with their own columns."""
+    return with_rules(docs, trusted, **options).where("__rules.kept").drop("__rules")

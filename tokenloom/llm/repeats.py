@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import U64, RangeHash, Slice, mix, ragged, slices, stored
+from tokenloom.llm.common import U64, QuickHash, RangeHash, Slice, mix, ragged, slices, stored
 
 LENGTH = 200
 GRAM = 64
@@ -61,9 +61,10 @@ def anchor_runs(part: Slice, length: int) -> tuple[np.ndarray, ...] | None:
     starts[part.bounds[:-1][fits]] += 1
     starts[part.bounds[1:][fits] - length + 1] -= 1
     valid = np.flatnonzero(np.cumsum(starts[:-1], dtype=np.int8))
-    hashed = RangeHash(data)
+    # The choice of anchors concludes nothing from equal grams; the hash of all bytes covered does.
+    quick, hashed = QuickHash(data), RangeHash(data)
     at = np.arange(n - GRAM + 1)
-    grams = mix(hashed(at, at + GRAM))
+    grams = mix(quick(at, at + GRAM))
     low = U64((1 << int(n).bit_length()) - 1)
     best = (grams & ~low) | at.astype(U64)
     span = 1
