@@ -42,7 +42,7 @@ def test_stages_against_brute_force(spark):
 
 def test_all_queries_are_registered():
     found = entry_points.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in found) == 1
     assert "pipeline" in found
     assert set(entry_points.oracle_sql()) <= set(found)

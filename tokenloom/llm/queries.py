@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import bpe, chat, decontaminate, language, licences, near, pitman_yor, quality, repeats, sharding
+from tokenloom.llm import bpe, chat, collocations, decontaminate, embeddings, language, licences, near, pitman_yor, quality, repeats, sharding, spelling
 from tokenloom.llm.common import table
 
 SHARDS = [f"shard-{i:04d}" for i in range(256)]
@@ -74,5 +74,28 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants of the words of all documents and the form each is led to.
+
+    By the query's contract a run whose checksum with the document's id is divisible by 31 loses one letter.
+    """
+    found = spelling.runs(table(spark, sf_dir, "documents"))
+    name = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "run")
+    check, length = F.crc32(name.cast("binary")), F.char_length("run")
+    place = (check % length).cast("int")
+    cut = F.concat(F.substring("run", F.lit(1), place), F.substring("run", place + 2, length))
+    return spelling.group(spelling.counts(F.when(check % 31 == 0, cut).otherwise(F.col("run")), found))
+
+
+def op12_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate group of every vector: cosine 0.95 and more."""
+    return embeddings.groups(table(spark, sf_dir, "embeddings"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of two and three words of each language."""
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
