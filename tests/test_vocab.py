@@ -1,10 +1,12 @@
 from collections import Counter
 
+import numpy as np
+import public_tokenizers
 import pytest
-from tokenizers import ByteLevelBPETokenizer
+from tokenizers import ByteLevelBPETokenizer, Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
-from tokenloom.functions import alphabet
+from tokenloom.functions import alphabet, kernels
 from tokenloom.operators import encode, vocab
 from tokenloom.sources import vocabulary as disk
 
@@ -107,3 +109,60 @@ def test_public_files_can_be_read(spark, tmp_path):
     got = encode.bpe(lines.withColumn("shown", lines.text), read).collect()
     tok.add_special_tokens([alphabet.PAD, alphabet.EOS])
     assert {r.shown: r.input_ids for r in got} == {line: tok.encode(line).ids for line in LINES}
+
+
+def ready(spark):
+    return vocab.Vocabulary.from_tables(*disk.read_tokenizer_json(spark, public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def test_ready_made_vocabulary_equals_the_public_tokenizer(spark):
+    words = ready(spark)
+    assert (len(words.tokens), words.specials) == (50257, {alphabet.EOS: 50256})
+    assert words.role_id("pad") == words.role_id("eos") == words.role_id("bos") == 50256
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [*LINES, "", "a<|pad|>b  <|endoftext|>  c", "<|endoftext|><|endoftext|>", "<|endoftext", "x" * 5000, "日本語 🙂"]
+    texts += [r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("text").collect()]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, text string")
+    got = encode.bpe(df, words)
+    assert {r.n: r.input_ids for r in got.collect()} == {n: tok.encode(t, add_special_tokens=False).ids for n, t in enumerate(texts)}
+    shown = got.select("n", encode.decode("input_ids", words).alias("all"), encode.decode("input_ids", words, True).alias("plain"))
+    assert {r.n: (r.all, r.plain) for r in shown.collect()} == {n: (t, t.replace(alphabet.EOS, "")) for n, t in enumerate(texts)}
+
+
+def test_rules_may_be_lines_or_pairs(spark, tmp_path):
+    for merges in ('[["a", "b"], ["[", "]"]]', '["a b", "[ ]"]'):
+        path = tmp_path / "tokenizer.json"
+        tokens = '{"a": 5, "b": 2, "[": 7, "]": 8, "ab": 4, "[]": 9}'
+        path.write_text(f'{{"model": {{"vocab": {tokens}, "merges": {merges}}}, "added_tokens": [{{"id": 12, "content": "<x>", "special": true}}]}}')
+        words = vocab.Vocabulary.from_tables(*disk.read_tokenizer_json(spark, str(path)))
+        assert words.merges == [(5, 2, 4), (7, 8, 9)] and words.specials == {"<x>": 12} and len(words.tokens) == 13
+        # Bytes without a token give nothing, ids may have gaps.
+        df = spark.createDataFrame([("ab[]?<x>ba",)], "text string")
+        assert encode.bpe(df, words).first().input_ids == [4, 9, 12, 2, 5]
+
+
+def test_special_literals_leftmost_and_longest():
+    names = {"<a>": 1, "<a><b>": 2, "a><b>c": 3, "<": 4, "é": 5, "zz": 6}
+    rows = ["<a><b>c", "x<a><", "", "zzz é<a", "<<a", "z", "z", "a><b>c"]
+    data = "".join(rows).encode()
+    offsets = np.cumsum([0, *(len(r.encode()) for r in rows)])
+    start, end, found = kernels.Literals(names).find(offsets, np.frombuffer(data, np.uint8))
+    got = [(int(np.searchsorted(offsets, s, "right")) - 1, data[s:e].decode(), i) for s, e, i in zip(start, end, found.tolist())]
+    want = []
+    for n, row in enumerate(rows):
+        at = 0
+        while at < len(row):
+            best = max((t for t in names if row.startswith(t, at)), key=len, default=None)
+            if best:
+                want.append((n, best, names[best]))
+            at += len(best) if best else 1
+    # Rows of no bytes begin where the next one does, so only the texts are compared.
+    assert [(t, i) for _, t, i in got] == [(t, i) for _, t, i in want]
+
+
+def test_thousands_of_literals(spark):
+    names = {f"<extra_{i}>": 300 + i for i in range(5000)}
+    words = vocab.Vocabulary(vocab.Vocabulary().tokens + [None] * 42 + list(names), [], {alphabet.EOS: 1, **names})
+    df = spark.createDataFrame([("a<extra_4999><extra_1>b<extra_5000><|pad|>",)], "text string")
+    plain = [int(i) for i in alphabet.byte_ids()[list(b"b<extra_5000><|pad|>")]]
+    assert encode.bpe(df, words).first().input_ids == [int(alphabet.byte_ids()[ord("a")]), 5299, 301, *plain]

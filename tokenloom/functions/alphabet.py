@@ -52,12 +52,6 @@ def byte_vocab(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "token_id int, token string").orderBy("token_id")
 
 
-def token_bytes(tokens: list[str]) -> list[bytes]:
-    """The raw bytes a printable token stands for; special literals are their own text."""
-    back = {c: b for b, c in enumerate(stand_ins())}
-    return [t.encode() if t in (PAD, EOS) else bytes(back[c] for c in t) for t in tokens]
-
-
 def readable(column):
     """Bytes of a binary column written with their stand-ins."""
     latin = F.decode(column, "ISO-8859-1")

@@ -77,13 +77,14 @@ def id_bytes(pieces: list[bytes], skip: tuple[int, ...]):
 class Merges:
     """Merge rules in lookup form: sorted pair keys with the rank and the merged id of each."""
 
-    def __init__(self, pairs: list[tuple[int, int]], merged: list[int], n_ids: int):
+    def __init__(self, pairs: list[tuple[int, int]], merged: list[int], n_ids: int, ranks: list[int] | None = None):
         self.n_ids = n_ids
         keys = np.array([left * n_ids + right for left, right in pairs], np.int64)
         order = np.argsort(keys)
         self.keys = keys[order]
-        self.ranks = order.astype(np.int64)
-        self.merged = np.array(merged, np.int64)
+        self.ranks = (np.arange(len(keys)) if ranks is None else np.array(ranks, np.int64))[order]
+        self.merged = np.zeros(1 + max(self.ranks, default=-1), np.int64)
+        self.merged[self.ranks] = np.array(merged, np.int64)[order]
 
     def rank_pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         if not len(self.keys):
@@ -139,24 +140,107 @@ def summed(keys: list[np.ndarray], weights: np.ndarray) -> tuple[list[np.ndarray
     return [k[starts] for k in keys], np.add.reduceat(weights[order], starts)
 
 
-def word_encoder(byte_table: np.ndarray, merges: Merges, specials: dict[str, int]):
-    """list of words per row -> token ids per row. Each distinct word of a batch is merged once."""
+class Literals:
+    """A byte trie over any number of literals, walked from all places of a batch side by side.
 
-    def run(words: pa.Array) -> pa.Array:
-        row_at = np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False))]
-        coded = words.flatten().dictionary_encode()
+    A walk starts wherever some literal's first byte stands and is as long as the longest literal at most, so no place is
+    read more often than that. Of overlapping matches the leftmost counts, of those at one place the longest.
+    """
+
+    def __init__(self, literals: dict[str, int]):
+        self.next = np.zeros((1, 256), np.int32)
+        self.ids = np.full(1, -1, np.int64)
+        for literal, token_id in literals.items():
+            state = 0
+            for byte in literal.encode():
+                if not self.next[state, byte]:
+                    self.next[state, byte] = len(self.next)
+                    self.next = np.concatenate([self.next, np.zeros((1, 256), np.int32)])
+                    self.ids = np.r_[self.ids, -1]
+                state = self.next[state, byte]
+            if state:
+                self.ids[state] = token_id
+
+    def find(self, offsets: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, end and id of every match; no match crosses a row."""
+        start = np.flatnonzero(self.next[0][raw] > 0)
+        limit = offsets[np.searchsorted(offsets, start, "right")] if len(start) else start
+        end, found = np.zeros(len(start), np.int64), np.full(len(start), -1, np.int64)
+        going, at, state = np.arange(len(start)), start.copy(), np.zeros(len(start), np.int32)
+        while len(going):
+            state = self.next[state, raw[at]]
+            at = at + 1
+            hit = self.ids[state] >= 0
+            end[going[hit]], found[going[hit]] = at[hit], self.ids[state[hit]]
+            on = (state > 0) & (at < limit[going])
+            going, at, state = going[on], at[on], state[on]
+        hit = found >= 0
+        start, end, found = start[hit], end[hit], found[hit]
+        if (start[1:] < end[:-1]).any():
+            keep, free = np.zeros(len(start), bool), 0
+            for i, (s, e) in enumerate(zip(start.tolist(), end.tolist())):
+                if s >= free:
+                    keep[i], free = True, e
+            start, end, found = start[keep], end[keep], found[keep]
+        return start, end, found
+
+
+def literal_splitter(literals: Literals):
+    """text -> the pieces between special literals, and the id of the literal after each piece (-1 after the last)."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        offsets, raw = flat_bytes(texts)
+        start, end, found = literals.find(offsets, raw)
+        row = np.searchsorted(offsets, start, "right") - 1
+        sizes = np.bincount(row, minlength=len(texts)) + 1
+        bounds = np.r_[0, np.cumsum(sizes)]
+        # A row's pieces begin at its start and after each literal, and end before each literal and at its end.
+        last = np.zeros(bounds[-1], bool)
+        last[bounds[1:] - 1] = True
+        first = np.zeros(bounds[-1], bool)
+        first[bounds[:-1]] = True
+        begins, ends, marks = np.empty(bounds[-1], np.int64), np.empty(bounds[-1], np.int64), np.full(bounds[-1], -1)
+        begins[first], begins[~first] = offsets[:-1], end
+        ends[last], ends[~last], marks[~last] = offsets[1:], start, found
+        lengths = ends - begins
+        data = raw if not len(start) else raw[expand(begins, lengths)]
+        at = np.r_[0, np.cumsum(lengths)].astype(np.int32)
+        pieces = pa.StringArray.from_buffers(len(lengths), pa.py_buffer(at.tobytes()), pa.py_buffer(np.ascontiguousarray(data)))
+        lists = pa.array(bounds.astype(np.int32))
+        columns = [pa.ListArray.from_arrays(lists, x) for x in (pieces, pa.array(marks.astype(np.int32)))]
+        return pa.StructArray.from_arrays(columns, ["pieces", "marks"])
+
+    return run
+
+
+def word_encoder(byte_table: np.ndarray, merges: Merges):
+    """list of words per piece and row, and the literal after each piece -> token ids per row.
+
+    Each distinct word of a batch is merged once. Bytes without a token give nothing.
+    """
+
+    def run(words: pa.Array, marks: pa.Array) -> pa.Array:
+        piece_at = np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False))]
+        pieces = words.flatten()
+        word_at = np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(pieces), 0).to_numpy(zero_copy_only=False))]
+        coded = pieces.flatten().dictionary_encode()
         which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         offsets, raw = flat_bytes(coded.dictionary)
         at, ids = merge_words(offsets, byte_table[raw], merges)
-        starts, sizes = at[:-1].copy(), np.diff(at)
-        for literal, token_id in specials.items():
-            found = pc.index(coded.dictionary, literal).as_py()
-            if found >= 0:
-                starts[found], sizes[found] = len(ids), 1
-                ids = np.r_[ids, token_id]
-        lengths = sizes[which]
-        flat = ids[expand(starts[which], lengths)]
-        ends = np.r_[0, np.cumsum(lengths)][row_at]
+        starts, sizes = at[:-1], np.diff(at)
+        mark = marks.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        # The words of a piece, then its literal.
+        order = np.empty(len(which) + len(mark), np.int64)
+        piece = np.repeat(np.arange(len(mark)), np.diff(word_at))
+        order[np.arange(len(which)) + piece] = which
+        order[word_at[1:] + np.arange(len(mark))] = len(sizes) + np.arange(len(mark))
+        starts, sizes = np.r_[starts, len(ids) + np.arange(len(mark))], np.r_[sizes, (mark >= 0).astype(np.int64)]
+        lengths = sizes[order]
+        flat = np.r_[ids, mark][expand(starts[order], lengths)]
+        ends = np.r_[0, np.cumsum(lengths)][(word_at + np.arange(len(word_at)))[piece_at]]
+        known = flat < merges.n_ids - 1
+        if not known.all():
+            flat, ends = flat[known], np.r_[0, np.cumsum(known)][ends]
         return as_lists(ends, flat, words)
 
     return run

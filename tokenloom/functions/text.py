@@ -1,7 +1,5 @@
 """Row-local column functions on text: newline rules, names, hashing, words and byte codes."""
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,12 +9,6 @@ from tokenloom.functions import alphabet, kernels
 _WORDS = (r"'s|'t|'re|'ve|'m|'ll|'d", r" ?\p{L}+", r" ?\p{N}+", r" ?[^\s\p{L}\p{N}]+", r"\s+(?!\S)|\s+")
 WORD_PATTERN = "(?U)" + "|".join(_WORDS)
 
-# The same split when special literals are set apart first: they match whole, and nothing runs into one.
-_LITERAL = "|".join(re.escape(t) for t in (alphabet.PAD, alphabet.EOS))
-WORD_OR_LITERAL_PATTERN = "(?U)" + "|".join(
-    (_LITERAL, *_WORDS[:3], rf" ?(?:(?!{_LITERAL})[^\s\p{{L}}\p{{N}}])+", rf"\s+(?={_LITERAL})", _WORDS[4])
-)
-
 
 def as_column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -61,10 +53,9 @@ def hash_number(key: Column | str, digits: int = 8) -> Column:
     return F.conv(F.substring(as_column(key), 1, digits), 16, 10).cast("long")
 
 
-def words(text: Column | str, literals: bool = False) -> Column:
+def words(text: Column | str) -> Column:
     """The pre-tokenised words of a text, each with its leading space."""
-    pattern = WORD_OR_LITERAL_PATTERN if literals else WORD_PATTERN
-    return F.regexp_extract_all(as_column(text), F.lit(pattern), F.lit(0))
+    return F.regexp_extract_all(as_column(text), F.lit(WORD_PATTERN), F.lit(0))
 
 
 def byte_codes(text: Column | str, eos: bool = True) -> Column:

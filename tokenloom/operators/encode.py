@@ -19,14 +19,15 @@ def bytes_(df: DataFrame, text: str = "text", eos: bool = True, out: str = "inpu
 def bpe(df: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str = "input_ids") -> DataFrame:
     """Pre-tokenised words with merges applied in rank order; nothing is added at row ends.
 
-    Map-only: the merge table, whose size the vocabulary bounds, travels with the job, and each distinct word of an
-    Arrow batch is merged once.
+    The vocabulary's special literals are set apart first, leftmost and longest first, and nothing runs into one; any other
+    literal is ordinary text. Map-only: the merge table, whose size the vocabulary bounds, travels with the job, and each
+    distinct word of an Arrow batch is merged once.
     """
-    specials = {alphabet.PAD: alphabet.PAD_ID, alphabet.EOS: alphabet.EOS_ID}
-    encode = F.arrow_udf(
-        kernels.word_encoder(alphabet.byte_ids(), vocabulary.merge_table(), specials), "array<int>"
-    )
-    return df.where(F.col(text).isNotNull()).withColumn(out, encode(words(text, literals=True))).drop(text)
+    split = F.arrow_udf(kernels.literal_splitter(kernels.Literals(vocabulary.specials)), "struct<pieces:array<string>,marks:array<int>>")
+    encode = F.arrow_udf(kernels.word_encoder(vocabulary.byte_ids(), vocabulary.merge_table()), "array<int>")
+    parts = df.where(F.col(text).isNotNull()).withColumn("__parts", split(F.make_valid_utf8(F.col(text))))
+    worded = F.transform("__parts.pieces", lambda piece: words(piece))
+    return parts.withColumn(out, encode(worded, F.col("__parts.marks"))).drop("__parts", text)
 
 
 def chunk(df: DataFrame, ids: str = "input_ids", max_length: int = 512, out: str = "chunk_no") -> DataFrame:
@@ -41,10 +42,9 @@ def chunk(df: DataFrame, ids: str = "input_ids", max_length: int = 512, out: str
 
 def decode(ids: Column | str, vocabulary: Vocabulary | None = None, skip_special: bool = False) -> Column:
     """E5: ids -> bytes -> text; partial characters become U+FFFD."""
-    tokens = vocabulary.tokens if vocabulary else [alphabet.PAD, alphabet.EOS, *sorted(alphabet.stand_ins())]
-    # Where the special literals stand is the vocabulary's matter: in a ready-made one the ids 0 and 1 are real tokens.
-    skip = tuple(i for i, token in enumerate(tokens) if skip_special and token in (alphabet.PAD, alphabet.EOS))
-    to_bytes = F.arrow_udf(kernels.id_bytes(alphabet.token_bytes(tokens), skip), "binary")
+    vocabulary = vocabulary or Vocabulary()
+    skip = tuple(vocabulary.specials.values()) if skip_special else ()
+    to_bytes = F.arrow_udf(kernels.id_bytes(vocabulary.byte_strings(), skip), "binary")
     return F.make_valid_utf8(to_bytes(as_column(ids)).cast("string"))
 
 

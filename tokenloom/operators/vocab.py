@@ -2,6 +2,7 @@
 
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,27 +16,67 @@ CANDIDATES = 512
 
 @dataclass
 class Vocabulary:
-    """Tokens by id, and merges in rank order as (left id, right id, merged id)."""
+    """Tokens by id, merges in rank order as (left id, right id, merged id), and the literals that are matched whole.
 
-    tokens: list[str] = field(default_factory=lambda: [alphabet.PAD, alphabet.EOS, *sorted(alphabet.stand_ins())])
+    ``tokens`` may have gaps (None). ``specials`` maps each literal to its id and ``roles`` a role (pad, eos, bos) to its
+    literal; a vocabulary without a pad literal pads with end-of-text. Literals without an id are ordinary text.
+    """
+
+    tokens: list[str | None] = field(default_factory=lambda: [alphabet.PAD, alphabet.EOS, *sorted(alphabet.stand_ins())])
     merges: list[tuple[int, int, int]] = field(default_factory=list)
+    specials: dict[str, int] | None = None
+    roles: dict[str, str] = field(default_factory=dict)
+
+    def __post_init__(self) -> None:
+        if self.specials is None:
+            self.specials = {t: i for i, t in enumerate(self.tokens) if t in (alphabet.PAD, alphabet.EOS)}
+        end = alphabet.EOS if alphabet.EOS in self.specials else None
+        own = {"eos": end, "bos": end, "pad": alphabet.PAD if alphabet.PAD in self.specials else end}
+        self.roles = {role: t for role, t in {**own, **self.roles}.items() if t is not None}
+
+    def role_id(self, role: str) -> int:
+        return self.specials[self.roles[role]]
+
+    def byte_ids(self) -> np.ndarray:
+        """Token id of each byte by its printable stand-in; a byte without a token gets the id past the last one."""
+        known = {t: i for i, t in enumerate(self.tokens) if t is not None}
+        return np.array([known.get(c, len(self.tokens)) for c in alphabet.stand_ins()], np.int32)
+
+    def byte_strings(self) -> list[bytes]:
+        """What each id stands for: the bytes of a token's stand-ins; a special literal is its own text."""
+        back = {c: b for b, c in enumerate(alphabet.stand_ins())}
+        special = set(self.specials.values())
+        return [
+            b"" if t is None else t.encode() if i in special or not back.keys() >= set(t) else bytes(back[c] for c in t)
+            for i, t in enumerate(self.tokens)
+        ]
 
     def merge_table(self) -> kernels.Merges:
-        return kernels.Merges([(a, b) for a, b, _ in self.merges], [m for _, _, m in self.merges], len(self.tokens))
+        # Where a pair stands twice in the list, the later rule holds, as in a table read line by line.
+        rules = {(a, b): (rank, m) for rank, (a, b, m) in enumerate(self.merges)}
+        return kernels.Merges(list(rules), [m for _, m in rules.values()], len(self.tokens) + 1, [r for r, _ in rules.values()])
 
     def tables(self, spark: SparkSession) -> tuple[DataFrame, DataFrame]:
         """``vocab(token_id, token)`` and ``merges(rank, left, right)``; T5 is ``vocab.count()``."""
-        vocab = spark.createDataFrame(list(enumerate(self.tokens)), "token_id int, token string")
+        vocab = spark.createDataFrame([(i, t) for i, t in enumerate(self.tokens) if t is not None], "token_id int, token string")
         rules = [(rank, self.tokens[a], self.tokens[b]) for rank, (a, b, _) in enumerate(self.merges)]
         return vocab, spark.createDataFrame(rules, "rank int, left string, right string")
 
     @classmethod
-    def from_tables(cls, vocab: DataFrame, merges: DataFrame) -> "Vocabulary":
-        """Read a vocabulary; its size is what its own tables hold, a bound known before any text is read."""
-        tokens = [r.token for r in vocab.orderBy("token_id").collect()]
-        ids = {t: i for i, t in enumerate(tokens)}
+    def from_tables(cls, vocab: DataFrame, merges: DataFrame, specials: DataFrame | None = None) -> "Vocabulary":
+        """Read a vocabulary; its size is what its own tables hold, a bound known before any text is read.
+
+        ``specials(token_id, token)`` names the literals matched whole; without it, the pad and end-of-text literals that
+        have an id. A literal may stand in ``vocab`` as well or only here.
+        """
+        ids = {r.token: r.token_id for r in vocab.collect()}
+        literals = None if specials is None else {r.token: r.token_id for r in specials.collect()}
+        ids |= literals or {}
+        tokens: list[str | None] = [None] * (1 + max(ids.values(), default=-1))
+        for token, i in ids.items():
+            tokens[i] = token
         rules = merges.orderBy("rank").collect()
-        return cls(tokens, [(ids[r.left], ids[r.right], ids[r.left + r.right]) for r in rules])
+        return cls(tokens, [(ids[r.left], ids[r.right], ids[r.left + r.right]) for r in rules], literals)
 
 
 def word_counts(df: DataFrame, text: str = "text") -> DataFrame:

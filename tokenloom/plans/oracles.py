@@ -52,6 +52,10 @@ def with_(*parts: str) -> str:
     return "with " + ",\n".join(p.strip() for p in parts) + "\n"
 
 
+def with_recursive(*parts: str) -> str:
+    return "with recursive " + ",\n".join(p.strip() for p in parts) + "\n"
+
+
 def blocks(rows: str, keys: str, order: str, size: int) -> str:
     """Blocks per token: number the tokens of a batch, group them by block, keep the full ones."""
     return f"""
@@ -253,6 +257,65 @@ joined as (
 """
 
 
+def ready_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def ready_rules(path: str) -> str:
+    """The ready-made vocabulary's file as tables: ids by token, ids of the bytes, and merge rules by pair of ids."""
+    return f"""
+file as (select content::json as j from read_text('{path}')),
+vocab as materialized (
+  select unnest(map_keys(m)) as token, unnest(map_values(m)) as token_id
+  from (select cast(json_extract(j, '$.model.vocab') as map(varchar, int)) as m from file)),
+listed as (
+  select unnest(r) as r, unnest(range(len(r))) as rank from (select json_extract(j, '$.model.merges[*]') as r from file)),
+pairs as (
+  select rank, case when json_type(r) = 'ARRAY' then json_extract_string(r, '$[0]') else string_split(json_extract_string(r, '$'), ' ')[1] end as a,
+    case when json_type(r) = 'ARRAY' then json_extract_string(r, '$[1]') else string_split(json_extract_string(r, '$'), ' ')[2] end as b
+  from listed),
+ready_rules as materialized (
+  select rank, chr(65536 + x.token_id) || chr(65536 + y.token_id) as pair, chr(65536 + z.token_id) as made
+  from pairs join vocab x on x.token = a join vocab y on y.token = b join vocab z on z.token = a || b),
+ready_bytes as (
+  select list(v.token_id order by b) as byte_id from (
+    select range as b, case when range between 33 and 126 or range between 161 and 172 or range >= 174 then chr(range::int)
+      when range <= 32 then chr((256 + range)::int) when range between 127 and 160 then chr((256 + range - 94)::int) else chr(323) end as c
+    from range(256)) s join vocab v on v.token = s.c)
+"""
+
+
+def ready_words(texts: str) -> str:
+    """Every piece between literals as words, and every distinct word as its ids: one character for each id."""
+    return f"""
+pieces as (
+  select doc_id, unnest(string_split(text, '<|endoftext|>')) as piece, unnest(range(len(string_split(text, '<|endoftext|>')))) as k
+  from {texts} where text is not null),
+piecewords as (select doc_id, k, {words_of("piece")} as ws from pieces),
+docwords as (select doc_id, k, unnest(ws) as word, unnest(range(len(ws))) as pos from piecewords),
+run as (
+    select word, 0 as step, array_to_string(list_transform(regexp_extract_all(hex(encode(word)), '..'),
+      lambda x: chr(65536 + byte_id[1 + ('0x' || x)::int])), '') as form
+    from (select distinct word from docwords), ready_bytes
+    union all
+    select word, step, replace(form, best[1], best[2]) from (
+      select word, step + 1 as step, form, arg_min([pair, made], rank) as best
+      from (select word, step, form, unnest(list_transform(range(1, length(form)), lambda i: substr(form, i, 2))) as p from run)
+      join ready_rules on pair = p group by word, step, form)),
+readyforms as (select word, arg_max(form, step) as form from run group by word),
+readydocs as (
+  select p.doc_id, p.k, coalesce(string_agg(form, '' order by pos), '') as form
+  from pieces p left join (docwords join readyforms using (word)) d on d.doc_id = p.doc_id and d.k = p.k group by all),
+readycodes as (
+  select doc_id, string_agg(form, chr(65536 + 50256) order by k) as form from readydocs group by doc_id),
+readyids as (
+  select doc_id, list_transform(range(1, length(form) + 1), lambda i: (unicode(substr(form, i, 1)) - 65536)::int) as ids
+  from readycodes)
+"""
+
+
 LISTING = """
 listing as (
   select 'bundle-' || (doc_id // 40) as bundle, n_chars as length,
@@ -569,4 +632,17 @@ scored as (select part, sum(n)::bigint as n_pairs, sum(-n * ln(p)) / sum(n) as l
     }
     for name in STAGES:
         found[name] = stage_rows(name)
+    rules = ready_rules(ready_file())
+    found["bpe_encode_ready"] = (
+        with_recursive(MARKED, rules, ready_words("marked"))
+        + f"""select doc_id, len(ids)::int as n_ids, {ids_md5()} as ids_md5, md5(replace(text, '<|endoftext|>', '')) as plain_md5
+        from readyids join marked using (doc_id)"""
+    )
+    found["ready_vocab"] = (
+        with_recursive(rules, ready_words("documents"))
+        + """, used as (select id, count(*) as n from (select unnest(ids) as id from readyids) group by id)
+        select role, token, token_id, coalesce(n, 0) as n from (
+          select 'word' as role, token, token_id from vocab where token_id <> 50256
+          union all select unnest(['pad', 'eos', 'bos']), '<|endoftext|>', 50256) left join used on id = token_id"""
+    )
     return found

@@ -11,11 +11,13 @@ from tokenloom.functions.text import byte_codes, hash_number, run_name, shuffle_
 from tokenloom.operators import audit, batches, corpus, encode, generate, ngram, pack, split, vocab
 from tokenloom.operators.ordering import hash_segment, range_segment, row_rank
 from tokenloom.session import cut, spread
+from tokenloom.sources import vocabulary as disk
 
 LINE = ("doc_id", "line_no")
 SHUFFLED = ("shuffle_key", "doc_id", "line_no")
 GRAM = 3
 MERGED_VOCAB = 300
+READY_VOCAB = "byte_bpe_50k.json"
 CURVE_PARTS = 4
 
 
@@ -162,6 +164,34 @@ def bpe_encode(spark, sf_dir):
     return encoded.select(*LINE, F.size("input_ids").alias("n_ids"), fingerprint("input_ids").alias("ids_md5"))
 
 
+def ready(spark) -> vocab.Vocabulary:
+    """The ready-made vocabulary of 50,257 ids; it pads with end-of-text."""
+    import public_tokenizers
+
+    return vocab.Vocabulary.from_tables(*disk.read_tokenizer_json(spark, public_tokenizers.path(READY_VOCAB)))
+
+
+def ready_vocab(spark, sf_dir):
+    """The ready-made vocabulary's special roles and how often each id occurs in the documents."""
+    words = ready(spark)
+    used = encode.id_frequency(encode.bpe(documents(spark, sf_dir).select("text"), words))
+    roles = spark.createDataFrame([(role, t, words.specials[t]) for role, t in sorted(words.roles.items())], "role string, token string, token_id int")
+    named = words.tables(spark)[0].withColumn("role", F.lit("word")).join(roles.select("token_id"), "token_id", "left_anti")
+    return named.select("role", "token", "token_id").union(roles).join(used, "token_id", "left").select(
+        "role", "token", "token_id", F.coalesce("n", F.lit(0)).alias("n")
+    )
+
+
+def bpe_encode_ready(spark, sf_dir):
+    """Documents with end-of-text literals inside; the pad literal has no id there and stays text."""
+    words = ready(spark)
+    encoded = encode.bpe(marked(spark, sf_dir), words)
+    back = encode.decode("input_ids", words, skip_special=True)
+    return encoded.select(
+        "doc_id", F.size("input_ids").alias("n_ids"), fingerprint("input_ids").alias("ids_md5"), F.md5(back).alias("plain_md5")
+    )
+
+
 def bpe_blocks(spark, sf_dir):
     """The ready-made-vocabulary path: encode, cut over-long rows, batch the chunks, pack."""
     sided = split.exact(line_table(spark, sf_dir), LINE)
@@ -473,6 +503,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         line_scan, run_names, compile_sources, compile_conversations, compile_summary,
         split_exact, split_hash, split_grouped, shuffle_order,
         byte_vocab, special_tokens, word_counts, bpe_merges, bpe_vocab, bpe_encode, bpe_blocks,
+        ready_vocab, bpe_encode_ready,
         byte_encode, special_literals, decode_roundtrip, coverage, inspect_encoding, token_stats,
         id_frequency, frequent_ids, overflow_chunks,
         pack_blocks, pack_hash, pack_sources, pack_document_order, pack_report, map_batches, collate_pad,

@@ -43,5 +43,18 @@ def read_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return vocab, lines.select("rank", parts[0].alias("left"), parts[1].alias("right"))
 
 
+def read_tokenizer_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A ready-made vocabulary in one file: (vocab, merges, specials), the specials as (token_id, token)."""
+    schema = "model struct<vocab:map<string,int>,merges:array<string>>, added_tokens array<struct<id:int,content:string,special:boolean>>"
+    whole = spark.read.text(path, wholetext=True).select(F.from_json("value", schema).alias("t"))
+    vocab = whole.select(F.explode("t.model.vocab").alias("token", "token_id")).select("token_id", "token")
+    # A rule is written as a pair or as a line with one blank.
+    rules = whole.select(F.posexplode("t.model.merges").alias("rank", "rule"))
+    pair = F.from_json("rule", "array<string>")
+    parts = F.when(F.col("rule").startswith("[") & (F.size(pair) == 2), pair).otherwise(F.split("rule", " "))
+    added = whole.select(F.explode("t.added_tokens").alias("a")).where("a.special")
+    return vocab, rules.select("rank", parts[0].alias("left"), parts[1].alias("right")), added.select(F.col("a.id").alias("token_id"), F.col("a.content").alias("token"))
+
+
 def _is_rule(line):
     return (line != "") & ~line.startswith("#version")
