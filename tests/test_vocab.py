@@ -1,13 +1,16 @@
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import ByteLevelBPETokenizer, Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
 from tokenloom.functions import alphabet, kernels
 from tokenloom.operators import encode, vocab
+from tokenloom.session import ensure_checkpoint_dir
 from tokenloom.sources import vocabulary as disk
 
 from conftest import SMALL
@@ -166,3 +169,37 @@ def test_thousands_of_literals(spark):
     df = spark.createDataFrame([("a<extra_4999><extra_1>b<extra_5000><|pad|>",)], "text string")
     plain = [int(i) for i in alphabet.byte_ids()[list(b"b<extra_5000><|pad|>")]]
     assert encode.bpe(df, words).first().input_ids == [int(alphabet.byte_ids()[ord("a")]), 5299, 301, *plain]
+
+
+def test_two_thousand_ids_equal_the_public_trainer(spark, tmp_path):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("text")
+    path, df = corpus(spark, tmp_path, [r.text + "\n" for r in docs.collect()])
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    learnt = vocab.learn_merges(vocab.word_counts(df), 2000)
+    assert own_merges(learnt) == saved(trained(path, 2000), tmp_path)
+    # Every written copy is deleted once a newer one stands.
+    assert set(folder.iterdir()) == before
+
+
+@pytest.mark.parametrize("rewrite,candidates", [(1, 512), (3, 5), (10_000, 512)])
+def test_copies_do_not_change_the_merges(spark, tmp_path, monkeypatch, rewrite, candidates):
+    monkeypatch.setattr(vocab, "REWRITE", rewrite)
+    monkeypatch.setattr(vocab, "CANDIDATES", candidates)
+    # Many ways to the same token, so that merges make ids that exist already.
+    lines = ["abcabc abc bcabc aabc abcc cab\n", "aaaa aaa bbbb abab baba ababab\n", *LINES]
+    path, df = corpus(spark, tmp_path, lines)
+    learnt = vocab.learn_merges(vocab.word_counts(df), 330)
+    assert own_merges(learnt) == saved(trained(path, 330), tmp_path)
+
+
+def test_changes_are_counted_in_touched_words_only():
+    words = pa.array([[1, 2, 3, 1, 2], [4, 5], [2, 1]], pa.list_(pa.int32()))
+    at, ids = kernels.flat_lists(words)
+    batch = pa.RecordBatch.from_arrays([kernels.packed_lists(at, ids), pa.array([10, 100, 1000])], names=["ids", "n"])
+    merges = kernels.Merges([(1, 2)], [9], 10)
+    (changes,) = kernels.pair_changes(merges)([batch])
+    assert {(r["left_id"], r["right_id"]): r["n"] for r in changes.to_pylist()} == {(1, 2): -20, (2, 3): -10, (3, 1): -10, (9, 3): 10, (3, 9): 10}
+    assert kernels.touched(at, ids, merges).tolist() == [True, False, False]
+    (after,) = kernels.merged_words(merges)([batch])
+    assert [kernels.unpacked_lists(after.column(0))[1].tolist()] == [[9, 3, 9, 4, 5, 2, 1]]

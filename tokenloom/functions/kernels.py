@@ -246,21 +246,91 @@ def word_encoder(byte_table: np.ndarray, merges: Merges):
     return run
 
 
-def pair_counter(byte_table: np.ndarray, merges: Merges):
-    """(word, n) batches -> partial counts of adjacent id pairs once ``merges`` are applied."""
+def pair_sums(at: np.ndarray, ids: np.ndarray, weight: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Adjacent pairs (left, right) of words side by side, with the weights of their words summed."""
+    word = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    inside = word[:-1] == word[1:]
+    return summed([ids[:-1][inside], ids[1:][inside]], weight[word[:-1][inside]])
+
+
+def pair_batch(pairs: list[np.ndarray], total: np.ndarray) -> pa.RecordBatch:
+    columns = [*(pa.array(x.astype(np.int32)) for x in pairs), pa.array(total.astype(np.int64))]
+    return pa.RecordBatch.from_arrays(columns, names=["left_id", "right_id", "n"])
+
+
+def packed_lists(at: np.ndarray, ids: np.ndarray) -> pa.Array:
+    """Id lists as BINARY of 32-bit numbers."""
+    return pa.BinaryArray.from_buffers(
+        pa.binary(), len(at) - 1, [None, pa.py_buffer((at * 4).astype(np.int32).tobytes()), pa.py_buffer(ids.astype(np.int32).tobytes())]
+    )
+
+
+def unpacked_lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    offsets, raw = flat_bytes(column)
+    return offsets // 4, raw.view(np.int32).astype(np.int64)
+
+
+def word_ids(byte_table: np.ndarray):
+    """(word, n) batches -> (ids, n), one id per byte."""
 
     def run(batches):
         for batch in batches:
             offsets, raw = flat_bytes(batch.column(0))
-            at, ids = merge_words(offsets, byte_table[raw], merges)
-            word = np.repeat(np.arange(len(at) - 1), np.diff(at))
-            inside = word[:-1] == word[1:]
-            weight = batch.column(1).to_numpy()[word[:-1][inside]]
-            (left, right), total = summed([ids[:-1][inside], ids[1:][inside]], weight)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32)), pa.array(total)],
-                names=["left_id", "right_id", "n"],
-            )
+            yield pa.RecordBatch.from_arrays([packed_lists(offsets, byte_table[raw]), batch.column(1)], names=["ids", "n"])
+
+    return run
+
+
+def pair_counter():
+    """(ids, n) batches -> counts of adjacent id pairs, summed per batch."""
+
+    def run(batches):
+        for batch in batches:
+            yield pair_batch(*pair_sums(*unpacked_lists(batch.column(0)), batch.column(1).to_numpy()))
+
+    return run
+
+
+def touched(at: np.ndarray, ids: np.ndarray, merges: Merges) -> np.ndarray:
+    """Words in which some merge applies."""
+    word = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    hit = (word[:-1] == word[1:]) & (merges.rank_pairs(ids[:-1], ids[1:]) != NO_RANK)
+    out = np.zeros(len(at) - 1, bool)
+    out[word[:-1][hit]] = True
+    return out
+
+
+def some_lists(at: np.ndarray, ids: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    rows = np.flatnonzero(which)
+    sizes = np.diff(at)[rows]
+    return np.r_[0, np.cumsum(sizes)], ids[expand(at[:-1][rows], sizes)]
+
+
+def pair_changes(merges: Merges):
+    """(ids, n) batches -> signed changes of pair counts once ``merges`` apply; only the words they touch are counted."""
+
+    def run(batches):
+        for batch in batches:
+            at, ids = unpacked_lists(batch.column(0))
+            which = touched(at, ids, merges)
+            if which.any():
+                weight = batch.column(1).to_numpy()[which]
+                before = some_lists(at, ids, which)
+                gone, gone_n = pair_sums(*before, weight)
+                made, made_n = pair_sums(*merge_words(*before, merges), weight)
+                pairs, total = summed([np.r_[g, m] for g, m in zip(gone, made)], np.r_[-gone_n, made_n])
+                changed = total != 0
+                yield pair_batch([p[changed] for p in pairs], total[changed])
+
+    return run
+
+
+def merged_words(merges: Merges):
+    """(ids, n) batches with ``merges`` applied."""
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([packed_lists(*merge_words(*unpacked_lists(batch.column(0)), merges)), batch.column(1)], names=["ids", "n"])
 
     return run
 

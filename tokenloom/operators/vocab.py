@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions import alphabet, kernels
 from tokenloom.functions.text import words
-from tokenloom.session import cut
+from tokenloom.session import discard, written
 
 # Merges are learnt in batches; this many candidate pairs come back to the driver per pass.
 CANDIDATES = 512
+# After this many merges the words are written with the merges applied.
+REWRITE = 64
+WORD_IDS = "ids binary, n long"
+PAIRS = "left_id int, right_id int, n long"
 
 
 @dataclass
@@ -91,50 +95,85 @@ def learn_merges(
 ) -> Vocabulary:
     """T4: learn byte-pair merges from ``word_counts``: most frequent pair first, ties to the lowest id pair.
 
-    The distinct words are written once. Every pass applies all merges known so far to them, counts pairs in
-    parallel and brings back the best few hundred. From that list all merges that cannot influence each other are
-    taken at once, so the result is the one-by-one result in far fewer passes and no lineage builds up.
+    The distinct words (as ids) and the totals of all pairs are written tables. A pass applies the merges learnt since then
+    to the words they touch, adds what that changes to the totals, and brings back the best few hundred pairs. From that
+    list all merges that cannot influence each other are taken at once, so the result is the one-by-one result in far fewer
+    passes. After ``REWRITE`` merges both tables are written anew and the superseded ones deleted, so a pass costs the same
+    however many merges there are.
     """
     vocabulary = Vocabulary()
     if vocab_size <= len(vocabulary.tokens):
         return vocabulary
-    base = cut(counts.select(F.col("word").cast("binary").alias("word"), "n"))
+    source = counts.select(F.col("word").cast("binary").alias("word"), F.col("n").cast("long").alias("n"))
+    words_ = written(source.mapInArrow(kernels.word_ids(alphabet.byte_ids()), WORD_IDS))
+    totals = written(words_.mapInArrow(kernels.pair_counter(), PAIRS).groupBy("left_id", "right_id").agg(F.sum("n").alias("n")))
     known = {t: i for i, t in enumerate(vocabulary.tokens)}
+    base = 0
     while len(vocabulary.tokens) < vocab_size:
-        ranked = best_pairs(base, vocabulary, min_frequency)
+        fresh = len(vocabulary.merges) - base
+        ranked = best_pairs(words_, totals, rules(vocabulary, base), min_frequency)
         if not ranked:
             break
-        take_independent(ranked, vocabulary, known, vocab_size)
+        if fresh and (fresh >= REWRITE or not take_independent(ranked, vocabulary, known, vocab_size, after=fresh)):
+            words_, totals = rewritten(words_, totals, rules(vocabulary, base))
+            base = len(vocabulary.merges)
+            fresh = 0
+        if not fresh:
+            take_independent(ranked, vocabulary, known, vocab_size)
+    discard(words_)
+    discard(totals)
     return vocabulary
 
 
-def best_pairs(words_: DataFrame, vocabulary: Vocabulary, min_frequency: int) -> list:
-    pairs = words_.mapInArrow(
-        kernels.pair_counter(alphabet.byte_ids(), vocabulary.merge_table()), "left_id int, right_id int, n long"
-    )
-    totals = pairs.groupBy("left_id", "right_id").agg(F.sum("n").alias("n"))
-    enough = totals.where(F.col("n") >= max(1, min_frequency))
+def rules(vocabulary: Vocabulary, since: int) -> kernels.Merges:
+    """The merges from number ``since`` on, in look-up form."""
+    some = vocabulary.merges[since:]
+    return kernels.Merges([(a, b) for a, b, _ in some], [m for _, _, m in some], len(vocabulary.tokens))
+
+
+def changed_totals(words_: DataFrame, totals: DataFrame, merges: kernels.Merges) -> DataFrame:
+    if not len(merges.keys):
+        return totals
+    changes = words_.mapInArrow(kernels.pair_changes(merges), PAIRS)
+    return totals.union(changes).groupBy("left_id", "right_id").agg(F.sum("n").alias("n"))
+
+
+def best_pairs(words_: DataFrame, totals: DataFrame, merges: kernels.Merges, min_frequency: int) -> list:
+    enough = changed_totals(words_, totals, merges).where(F.col("n") >= max(1, min_frequency))
     return enough.orderBy(F.desc("n"), "left_id", "right_id").limit(CANDIDATES).collect()
 
 
-def take_independent(ranked: list, vocabulary: Vocabulary, known: dict[str, int], vocab_size: int) -> None:
-    """Take merges from the ranked list for as long as earlier ones leave the next one's rank alone.
+def rewritten(words_: DataFrame, totals: DataFrame, merges: kernels.Merges) -> tuple[DataFrame, DataFrame]:
+    """Both tables with the merges applied; the old ones go once the new ones are written."""
+    new = written(words_.mapInArrow(kernels.merged_words(merges), WORD_IDS)), written(changed_totals(words_, totals, merges).where("n > 0"))
+    discard(words_)
+    discard(totals)
+    return new
+
+
+def take_independent(ranked: list, vocabulary: Vocabulary, known: dict[str, int], vocab_size: int, after: int = 0) -> int:
+    """Take merges from the ranked list for as long as earlier ones leave the next one's rank alone; returns how many.
 
     Merging (a, b) changes only pairs that end in a or start with b. A new pair made by it holds a fresh, highest id
     and is no more frequent than the pair it replaces, so it cannot overtake a listed pair. The list ends at the
-    first changed pair, after a pair of equal ids, and after a merge whose text is already a token.
+    first changed pair, after a pair of equal ids, and after a merge whose text is already a token. Such a merge makes an
+    old id, to which a merge waiting to be written (``after`` of them) could apply, so none may wait when it is taken.
     """
-    lefts, rights = set(), set()
+    lefts, rights, taken = set(), set(), 0
     for left, right, _ in ranked:
         if right in lefts or left in rights or len(vocabulary.tokens) >= vocab_size:
-            return
+            return taken
         text = vocabulary.tokens[left] + vocabulary.tokens[right]
         fresh = text not in known
+        if not fresh and after + taken:
+            return taken
         if fresh:
             known[text] = len(vocabulary.tokens)
             vocabulary.tokens.append(text)
         vocabulary.merges.append((left, right, known[text]))
+        taken += 1
         if left == right or not fresh:
-            return
+            return taken
         lefts.add(left)
         rights.add(right)
+    return taken

@@ -1,6 +1,8 @@
 """Session helpers: settings this package relies on, and lineage cuts that survive lost executors."""
 
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,6 +54,23 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Write ``df`` to a folder of its own below the shared checkpoint folder and read it back."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the folder of a table that ``written`` gave and nothing reads any more."""
+    files = df.inputFiles()
+    if files:
+        folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        if re.fullmatch("[0-9a-f]{32}", folder.getName()):
+            folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give a table read as fewer partitions than there are cores one per core.
 
