@@ -1,7 +1,6 @@
-"""Decoding filters for one prompt (G3-G8) and the Arrow-batch helpers that apply them to a table of prompts.
+"""Settings of generation, and its decoding filters (G3-G8) for one prompt, whose candidates are two arrays, ids and scores.
 
-A prompt's candidates are two arrays, ids and scores. One prompt has at most one candidate per vocabulary id, so this
-row-local work is bounded; looking the candidates up, and everything across prompts, is Spark's.
+Tables of prompts go through ``decoding``, which applies the same filters to all prompts of a batch at once.
 """
 
 import hashlib
@@ -9,7 +8,6 @@ import sys
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -124,129 +122,3 @@ def filtered(levels, history, options, upto=STAGES[-1]):
     for apply in filters[: STAGES.index(upto) + 1]:
         ids, scores = apply(ids, scores)
     return ids, scores
-
-
-def next_id(levels, history, options, prompt_id, step):
-    ids, shares = filtered(levels, history, options)
-    return draw(ids, shares, uniform(options.seed, prompt_id, step))
-
-
-def list_items(column: pa.Array) -> list[np.ndarray]:
-    """The rows of a list column as arrays."""
-    flat, offsets = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
-    return [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
-
-
-def batch_levels(batch: pa.RecordBatch, grams: int) -> list[list[tuple[np.ndarray, np.ndarray]]]:
-    """Per row, (ids, shares) of each level, from columns ids<gram> and shares<gram>, longest first."""
-    names = range(grams, 0, -1)
-    columns = [
-        zip(list_items(batch.column(f"ids{g}")), list_items(batch.column(f"shares{g}"))) for g in names
-    ]
-    return list(zip(*columns))
-
-
-def stage_rows(options: Options, grams: int, upto: str):
-    """Looked-up prompts -> one row per candidate left after the named filter."""
-
-    def run(batches):
-        for batch in batches:
-            histories = list_items(batch.column("history"))
-            kept = [filtered(lv, h, options, upto) for lv, h in zip(batch_levels(batch, grams), histories)]
-            sizes = [len(ids) for ids, _ in kept]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.repeat(batch.column("prompt_id").to_numpy(), sizes)),
-                    pa.array(np.concatenate([ids for ids, _ in kept]).astype(np.int32)),
-                    pa.array(np.concatenate([s for _, s in kept]).astype(np.float64)),
-                ],
-                names=["prompt_id", "token_id", "score"],
-            )
-
-    return run
-
-
-def one_step(options: Options, grams: int):
-    """Looked-up prompts -> the state after one more id each. End-of-text, or no candidate left, ends a prompt."""
-
-    def run(batches):
-        for batch in batches:
-            prompts, steps = batch.column("prompt_id").to_pylist(), batch.column("n_new").to_pylist()
-            histories = list_items(batch.column("history"))
-            new = [
-                next_id(lv, h, options, p, s)
-                for lv, h, p, s in zip(batch_levels(batch, grams), histories, prompts, steps)
-            ]
-            ends = [i in (-1, EOS_ID) for i in new]
-            grown = [h if end else np.append(h, np.int32(i)) for h, i, end in zip(histories, new, ends)]
-            yield state_batch(prompts, grown, [s + (not end) for s, end in zip(steps, ends)], ends)
-
-    return run
-
-
-def state_batch(prompts, histories, n_new, done) -> pa.RecordBatch:
-    offsets = np.r_[0, np.cumsum([len(h) for h in histories])].astype(np.int32)
-    items = np.concatenate(histories).astype(np.int32) if histories else np.empty(0, np.int32)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(prompts, pa.int64()),
-            pa.ListArray.from_arrays(pa.array(offsets), pa.array(items)),
-            pa.array(n_new, pa.int32()),
-            pa.array(done, pa.bool_()),
-        ],
-        names=["prompt_id", "history", "n_new", "done"],
-    )
-
-
-class Contexts:
-    """A small model in look-up form: the sorted contexts of one gram, and the ids and shares of each."""
-
-    def __init__(self, table: pa.Table):
-        table = table.combine_chunks().sort_by("ctx").combine_chunks()
-        self.keys = table["ctx"].to_numpy()
-        self.entries = [
-            (ids.astype(np.int64), shares)
-            for ids, shares in zip(*(list_items(table[name].chunk(0)) for name in ("ids", "shares")))
-        ] if len(table) else []
-        self.none = (np.empty(0, np.int64), np.empty(0))
-
-    def of(self, context: int) -> tuple[np.ndarray, np.ndarray]:
-        at = np.searchsorted(self.keys, context)
-        return self.entries[at] if at < len(self.keys) and self.keys[at] == context else self.none
-
-
-def all_steps(options: Options, model: dict[int, Contexts], n_ids: int):
-    """Prompts -> their final state, with a small model held in the task."""
-    grams = max(model)
-
-    def levels(history):
-        for gram in range(grams, 0, -1):
-            if len(history) >= gram - 1:
-                context = 0
-                for digit in history[len(history) - gram + 1 :] if gram > 1 else ():
-                    context = context * n_ids + int(digit)
-                yield model[gram].of(context)
-            else:
-                yield model[gram].none
-
-    def run(batches):
-        for batch in batches:
-            prompts = batch.column("prompt_id").to_pylist()
-            grown, counts, ends = [], [], []
-            for prompt_id, start in zip(prompts, list_items(batch.column("history"))):
-                held = np.empty(len(start) + options.max_new_tokens, np.int64)
-                held[: len(start)] = start
-                n_new, done = 0, False
-                while n_new < options.max_new_tokens and not done:
-                    history = held[: len(start) + n_new]
-                    new = next_id(list(levels(history)), history, options, prompt_id, n_new)
-                    done = new in (-1, EOS_ID)
-                    if not done:
-                        held[len(history)] = new
-                        n_new += 1
-                grown.append(held[: len(start) + n_new])
-                counts.append(n_new)
-                ends.append(done)
-            yield state_batch(prompts, grown, counts, ends)
-
-    return run
