@@ -35,7 +35,8 @@ COUNT = 2
 RATIO = 10
 COLUMNS = 191
 PORTION = 2048
-CELLS = 1 << 22
+CELLS = 1 << 20
+ROWS = 40_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLOCKS = "block long, word string, n long"
 LINKS = "word string, near string, near_n long"
@@ -56,7 +57,7 @@ def counts(words: Column, rows: DataFrame, letters: int = LETTERS, least: int =
 
 def parts_for(words: int) -> int:
     """Number of parts of the alphabet for a number of words: one more for each four times as many."""
-    return int(np.clip(4 + np.floor(np.log(max(words, 1) / 400_000) / np.log(4)), 4, 9))
+    return int(np.clip(4 + np.floor(np.log(max(words, 1) / 150_000) / np.log(4)), 4, 9))
 
 
 def letter_codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -118,20 +119,22 @@ def _products(order_by: list[np.ndarray]) -> tuple[np.ndarray, ...]:
     return new[left], size[left], new[right], size[right]
 
 
-def near_counts(table: np.ndarray, block: np.ndarray, length: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows of one block and adjacent lengths whose letter counts are at a squared distance of ``least`` to 2."""
+def near_counts(table: np.ndarray, block: np.ndarray, length: np.ndarray, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one block and adjacent lengths whose letter counts are at a squared distance of ``least`` to 2.
+
+    Products of nearly the same size are padded to one and multiplied together, about ``CELLS`` cells at a time.
+    """
     a_from, a_size, b_from, b_size = _products([block, length])
-    table = table[:, table.any(0)].astype(np.float64)
+    table = table.astype(np.float64)
     square = (table**2).sum(1)
     # Sums below 2^24 are exact in single precision; above 2^53, a bound on the rounding errors is allowed for.
     loose = 0.0 if square.max(initial=0) < 2**50 else float(square.max()) * 2.0**-48
     if square.max(initial=0) < 2**22:
         table, square = table.astype(np.float32), square.astype(np.float32)
     padded = lambda n: 1 << np.ceil(np.log2(n)).astype(np.int64)
-    a_pad, b_pad = padded(np.maximum(a_size, 1)), padded(np.maximum(b_size, 1))
-    found = [np.zeros((2, 0), np.int64)]
-    for shape in np.unique(a_pad * (1 << 32) + b_pad):
-        same = np.flatnonzero(a_pad * (1 << 32) + b_pad == shape)
+    shapes = padded(np.maximum(a_size, 1)) << 32 | padded(np.maximum(b_size, 1))
+    for shape in np.unique(shapes):
+        same = np.flatnonzero(shapes == shape)
         p, q = int(shape >> 32), int(shape & 0xFFFFFFFF)
         step = max(1, CELLS // (p * q + (p + q) * table.shape[1]))
         for low in range(0, len(same), step):
@@ -139,14 +142,15 @@ def near_counts(table: np.ndarray, block: np.ndarray, length: np.ndarray, least:
             i, j = a_from[at][:, None] + np.arange(p), b_from[at][:, None] + np.arange(q)
             fits_i, fits_j = np.arange(p) < a_size[at][:, None], np.arange(q) < b_size[at][:, None]
             i, j = np.where(fits_i, i, 0), np.where(fits_j, j, 0)
-            gram = table[i] @ table[j].transpose(0, 2, 1)
-            distance = square[i][:, :, None] + square[j][:, None, :] - 2 * gram
-            hit = (distance <= 2 + loose) & (distance >= least - loose) & fits_i[:, :, None] & fits_j[:, None, :]
-            hit &= i[:, :, None] < j[:, None, :]
+            # Rows that only fill up are at no small distance from any.
+            distance = table[i] @ table[j].transpose(0, 2, 1)
+            distance *= -2
+            distance += np.where(fits_i, square[i], np.inf)[:, :, None]
+            distance += np.where(fits_j, square[j], np.inf)[:, None, :]
+            hit = distance <= 2 + loose
             which, x, y = np.nonzero(hit)
-            found.append(np.stack([i[which, x], j[which, y]]))
-    i, j = np.concatenate(found, axis=1)
-    return i, j
+            hit = (distance[which, x, y] >= least - loose) & (i[which, x] < j[which, y])
+            yield i[which, x][hit], j[which, y][hit]
 
 
 def one_edit(codes: np.ndarray, start: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -176,33 +180,39 @@ def one_edit(codes: np.ndarray, start: np.ndarray, size: np.ndarray, a: np.ndarr
 
 def _links(part: np.ndarray, parts: int):
     open_parts = np.array(list(itertools.combinations(range(parts), 2)))
+    weight = mix(np.arange(COLUMNS, dtype=U64), 73).view(np.int64)
 
-    def compare(rows: pa.Table) -> pa.RecordBatch:
-        words = rows["word"].to_pylist()
-        codes, sizes = letter_codes(words)
+    def compare(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        rows = rows.combine_chunks()
+        words, n = (rows[c].combine_chunks() for c in ("word", "n"))
+        codes, sizes = letter_codes(words.to_pylist())
         starts = np.cumsum(sizes) - sizes
-        table = letter_counts(codes, sizes)
+        used, column = np.unique(codes % COLUMNS, return_inverse=True)
+        cells = np.repeat(np.arange(len(sizes)), sizes) * len(used) + column
+        table = np.bincount(cells, minlength=len(sizes) * len(used)).reshape(len(sizes), len(used)).astype(np.int32)
+        own_part = part[used]
         block, first, second, own = (rows[c].to_numpy() for c in ("block", "first", "second", "own"))
         group = np.cumsum(np.r_[True, (block[1:] != block[:-1]) | (first[1:] != first[:-1]) | (second[1:] != second[:-1])])
         order = np.lexsort((sizes, group))
         least = 0 if len(codes) and codes.max() > 255 else 1
-        i, j = near_counts(table[order], group[order], sizes[order], least)
-        i, j = order[i], order[j]
-        # Of two portions, only pairs across them; of the blocks a pair meets in, the first that opens all it differs in.
-        i, j = (x[(first[i] == second[i]) | (own[i] != own[j])] for x in (i, j))
-        differs = table[i] != table[j]
-        by_part = np.stack([differs[:, part == p].any(1) for p in range(parts)], axis=1)
-        number = by_part.sum(1)
-        open_ = open_parts[(block[i] & 255).astype(np.int64)]
-        held = number == np.take_along_axis(by_part, open_, 1).sum(1)
-        lowest = np.where(number == 0, (open_ == [0, 1]).all(1), np.where(by_part[:, 0], open_[:, 1] == 1, open_[:, 0] == 0))
-        mine = held & ((number == 2) | lowest)
-        i, j = i[mine], j[mine]
-        i, j = np.where(sizes[i] <= sizes[j], i, j), np.where(sizes[i] <= sizes[j], j, i)
-        good = one_edit(codes, starts, sizes, i, j)
-        i, j = pa.array(np.r_[i[good], j[good]]), pa.array(np.r_[j[good], i[good]])
-        columns = [rows["word"].combine_chunks().take(x) for x in (i, j)]
-        return pa.record_batch([*columns, rows["n"].combine_chunks().take(j)], ["word", "near", "near_n"])
+        # One column for each part, in which the counts of two words are the same or not.
+        marks = np.stack([table[:, own_part == p].astype(np.int64) @ weight[used][own_part == p] for p in range(parts)], 1)
+        for i, j in near_counts(table[order], group[order], sizes[order], least):
+            i, j = order[i], order[j]
+            # Of two portions, only pairs across them; of the blocks a pair meets in, the first that opens all it differs in.
+            some = (first[i] == second[i]) | (own[i] != own[j])
+            i, j = i[some], j[some]
+            by_part = marks[i] != marks[j]
+            number = by_part.sum(1)
+            open_ = open_parts[(block[i] & 255).astype(np.int64)]
+            held = number == np.take_along_axis(by_part, open_, 1).sum(1)
+            lowest = np.where(number == 0, (open_ == [0, 1]).all(1), np.where(by_part[:, 0], open_[:, 1] == 1, open_[:, 0] == 0))
+            mine = held & ((number == 2) | lowest)
+            i, j = i[mine], j[mine]
+            i, j = np.where(sizes[i] <= sizes[j], i, j), np.where(sizes[i] <= sizes[j], j, i)
+            good = one_edit(codes, starts, sizes, i, j)
+            i, j = pa.array(np.r_[i[good], j[good]]), pa.array(np.r_[j[good], i[good]])
+            yield pa.record_batch([words.take(i), words.take(j), n.take(j)], ["word", "near", "near_n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -211,15 +221,17 @@ def _links(part: np.ndarray, parts: int):
                 continue
             new = pa.Table.from_batches([batch])
             held = new if held is None else pa.concat_tables([held, new])
+            if held.num_rows < ROWS:
+                continue
             # Rows are sorted by block: the last group may go on in the next batch.
             ends = [held[c].to_numpy() for c in ("block", "first", "second")]
             last = np.logical_and.reduce([x == x[-1] for x in ends])
             cut = len(last) - int(np.argmin(last[::-1])) if not last.all() else 0
             if cut:
-                yield compare(held.slice(0, cut))
+                yield from compare(held.slice(0, cut))
                 held = held.slice(cut).combine_chunks()
         if held is not None:
-            yield compare(held)
+            yield from compare(held)
 
     return run
 
