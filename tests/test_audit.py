@@ -38,3 +38,25 @@ def test_listing_of_folders(spark, tmp_path):
         (tmp_path / path).write_text("x")
     rows = {(r.bundle, r.rel_path, r.length) for r in files.read_listing(spark, str(tmp_path)).collect()}
     assert rows == {("one", "config.json", 1), ("one", "onnx/model.onnx", 1), ("two", "merges.txt", 1)}
+
+
+def test_bundles_without_files_and_files_without_bytes(spark, tmp_path):
+    for path in ("one/config.json", "one/onnx/model.onnx", "full/vocab.json"):
+        (tmp_path / path).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / path).write_text("" if path.startswith("one/config") else "x")
+    (tmp_path / "empty" / "onnx").mkdir(parents=True)
+    df = files.read_listing(spark, str(tmp_path))
+    assert {(r.bundle, r.rel_path, r.length) for r in df.collect()} == {
+        ("one", "config.json", 0), ("one", "onnx/model.onnx", 1), ("full", "vocab.json", 1)
+    }
+    bundles = files.read_bundles(spark, str(tmp_path))
+    assert sorted(r.bundle for r in bundles.collect()) == ["empty", "full", "one"]
+    assert {r.bundle: r.status for r in audit.check(df, bundles).collect()} == {"one": "error", "full": "error", "empty": "error"}
+    lacks = [tuple(r) for r in audit.missing(df, bundles).collect()]
+    assert {p for b, p in lacks if b == "empty"} == set(audit.REQUIRED)
+    assert {p for b, p in lacks if b == "one"} == set(audit.REQUIRED) - {"config.json", "onnx/model.onnx"}
+
+
+def test_models_are_kept_at_any_depth(spark):
+    df = listing(spark, {"b": ["onnx/sub/model.onnx", "onnx/model.onnx", "onnx/xmodel.onnx", "onnx/model.onnx/x", "model.onnx"]})
+    assert {r.rel_path for r in audit.keep_list(df).collect()} == {"onnx/sub/model.onnx", "onnx/model.onnx"}

@@ -107,3 +107,9 @@ def test_statistics_agree_with_ids(spark):
     total = encode.stats(docs, ["lang"]).where("lang is null").first()
     by_id = encode.id_frequency(encode.bytes_(docs.select("text"), eos=False)).agg(F.sum("n")).first()[0]
     assert total.n_tokens == by_id == docs.agg(F.sum(F.octet_length("text"))).first()[0]
+
+
+def test_coverage_of_all_groups_in_one_pass(spark):
+    df = spark.createDataFrame([("en", "a"), (None, "b"), (None, None), ("x", None)], "lang string, text string")
+    got = {r.lang: (r.n_rows, r.n_broken) for r in encode.coverage_by(df, ["lang"]).collect()}
+    assert got == {"en": (1, 0), None: (1, 0), "x": (0, 0)}

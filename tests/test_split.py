@@ -1,3 +1,4 @@
+import hashlib
 import math
 
 import pytest
@@ -54,3 +55,23 @@ def test_row_rank_without_group(spark):
     df = split.with_shuffle_key(spark.range(5000), ["id"])
     ranked = row_rank(df, ["shuffle_key", "id"], hash_segment("shuffle_key")).orderBy("shuffle_key").collect()
     assert [r.rn for r in ranked] == list(range(5000))
+
+
+@pytest.mark.parametrize("border,digits", [(1, 1), (7, 2), (10_000, 3)])
+def test_the_border_is_found_digit_by_digit(spark, monkeypatch, border, digits):
+    monkeypatch.setattr(split, "BORDER_ROWS", border)
+    monkeypatch.setattr(split, "DIGITS", digits)
+    df = spark.range(501).withColumnRenamed("id", "n")
+    rows = split.exact(df, ["n"]).collect()
+    order = sorted((hashlib.md5(f"42:{n}".encode()).hexdigest(), n) for n in range(501))
+    assert {r.n for r in rows if r.split == "test"} == {n for _, n in order[:51]}
+    # Equal keys have all digits in common and are told apart by the key.
+    twice = split.exact(df.withColumn("n", F.col("n") % 3), ["n"])
+    assert twice.where("split = 'test'").select("n").distinct().count() == 1
+
+
+def test_border_of_tiny_tables(spark):
+    assert [r.split for r in split.exact(spark.range(0).withColumnRenamed("id", "n"), ["n"]).collect()] == []
+    assert sorted(r.split for r in split.exact(spark.range(2).withColumnRenamed("id", "n"), ["n"]).collect()) == ["test", "train"]
+    with pytest.raises(ValueError):
+        split.exact(spark.range(1).withColumnRenamed("id", "n"), ["n"])

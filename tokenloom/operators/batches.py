@@ -7,8 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenloom.functions.permute import places
 from tokenloom.functions.text import shuffle_key, whole_div
 from tokenloom.operators.ordering import hash_segment, row_rank
+from tokenloom.session import cut
 
 
 @dataclass(frozen=True)
@@ -38,14 +40,17 @@ WORD_PLAN = Plan(epochs=15, micro=4, accum=8, log_every=1, eval_every=50, save_e
 def manifest(blocks: DataFrame, key: Sequence[str], plan: Plan = BYTE_PLAN) -> DataFrame:
     """B1, B2: every epoch visits every block once in its own order, cut into micro-batches and optimiser steps.
 
-    Only block keys take part, no tokens. The order inside an epoch is ranked by hash segments, so an epoch is
-    spread over many tasks.
+    Only block keys take part, no tokens. Blocks are numbered once; a block's place in an epoch is then computed from its
+    number by a keyed permutation, so epochs cost no shuffle. The numbers are written, as they are read for the count too.
     """
-    visits = blocks.select(*key, F.explode(F.sequence(F.lit(0), F.lit(plan.epochs - 1))).alias("epoch"))
-    keyed = visits.withColumn("visit_key", shuffle_key(plan.seed, "epoch", *key))
-    ranked = row_rank(keyed, ["visit_key", *key], hash_segment("visit_key"), ["epoch"], out="place")
+    keyed = blocks.select(*key).withColumn("visit_key", shuffle_key(plan.seed, *key))
+    ranked = row_rank(keyed, ["visit_key", *key], hash_segment("visit_key"), out="number")
+    numbered = cut(ranked.select(*key, "number"))
+    place = F.arrow_udf(places(numbered.count(), plan.seed), "long")
+    visits = numbered.select(*key, "number", F.explode(F.sequence(F.lit(0), F.lit(plan.epochs - 1))).alias("epoch"))
     micro = whole_div(F.col("place"), plan.micro)
-    return ranked.withColumn("micro_batch", micro).withColumn("step", whole_div(micro, plan.accum)).drop("visit_key")
+    placed = visits.withColumn("place", place("number", "epoch")).drop("number")
+    return placed.withColumn("micro_batch", micro).withColumn("step", whole_div(micro, plan.accum))
 
 
 def cadence(step: Column, plan: Plan) -> list[Column]:

@@ -40,12 +40,16 @@ def chunk(df: DataFrame, ids: str = "input_ids", max_length: int = 512, out: str
     return df.select(*others, F.posexplode(parts).alias(out, ids))
 
 
-def decode(ids: Column | str, vocabulary: Vocabulary | None = None, skip_special: bool = False) -> Column:
-    """E5: ids -> bytes -> text; partial characters become U+FFFD."""
+def decoded_bytes(ids: Column | str, vocabulary: Vocabulary | None = None, skip_special: bool = False) -> Column:
+    """E5: ids -> the bytes they stand for."""
     vocabulary = vocabulary or Vocabulary()
     skip = tuple(vocabulary.specials.values()) if skip_special else ()
-    to_bytes = F.arrow_udf(kernels.id_bytes(vocabulary.byte_strings(), skip), "binary")
-    return F.make_valid_utf8(to_bytes(as_column(ids)).cast("string"))
+    return F.arrow_udf(kernels.id_bytes(vocabulary.byte_strings(), skip), "binary")(as_column(ids))
+
+
+def decode(ids: Column | str, vocabulary: Vocabulary | None = None, skip_special: bool = False) -> Column:
+    """E5: ids -> bytes -> text; partial characters become U+FFFD."""
+    return F.make_valid_utf8(decoded_bytes(ids, vocabulary, skip_special).cast("string"))
 
 
 def coverage(df: DataFrame, text: str = "text") -> DataFrame:
@@ -54,6 +58,13 @@ def coverage(df: DataFrame, text: str = "text") -> DataFrame:
     return df.where(F.col(text).isNotNull()).withColumn("decoded", back).where(F.col("decoded") != F.col(text))
 
 
+def coverage_by(df: DataFrame, by: Sequence[str], text: str = "text") -> DataFrame:
+    """E6 per group: rows, and rows that don't come back from encoding, in one aggregate."""
+    back = decode(code_ids(byte_codes(text, eos=False)))
+    checked = df.select(*by, F.col(text).alias("text"), back.alias("back"))
+    return checked.groupBy(*by).agg(F.count("text").alias("n_rows"), F.count_if(F.col("back") != F.col("text")).alias("n_broken"))
+
+
 def stats(df: DataFrame, by: Sequence[str], text: str = "text") -> DataFrame:
     """Rows, tokens and characters per group, with subtotals. Needs byte codes only, no ids."""
     tokens = F.octet_length(byte_codes(text, eos=False)).cast("long")

@@ -3,14 +3,17 @@
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions.text import hash_number, shuffle_key
-from tokenloom.operators.ordering import hash_segment
+from tokenloom.session import cut
 
 SEED = 42
 TEST_SIZE = 0.1
+# Rows of the segment the border falls in that are sorted at last, and hex digits of a pass.
+BORDER_ROWS = 10_000
+DIGITS = 3
 
 
 def with_shuffle_key(df: DataFrame, key: Sequence[str], seed: int = SEED, out: str = "shuffle_key") -> DataFrame:
@@ -21,27 +24,38 @@ def with_shuffle_key(df: DataFrame, key: Sequence[str], seed: int = SEED, out: s
 def exact(df: DataFrame, key: Sequence[str], test_size: float = TEST_SIZE, seed: int = SEED) -> DataFrame:
     """Exactly ceil(test_size * n) rows are ``test``: the first ones in shuffled order.
 
-    Two passes over the keys find the last test row: counts per hash segment, then a rank inside the one segment the
-    border falls in. Labelling is then a comparison with that row, so the table itself is never shuffled.
+    The keys are written once. Then the last test row is sought digit by digit: each pass counts the rows by their next
+    digits inside the segment that holds it, until that segment has at most ``BORDER_ROWS`` rows, which are sorted.
+    Labelling is a comparison with the row found, so the table itself is never shuffled and nothing is ranked as a whole.
     ``key`` must identify a row.
     """
     keyed = with_shuffle_key(df, key, seed)
-    order = F.struct("shuffle_key", *key)
-    segments = keyed.groupBy(hash_segment("shuffle_key").alias("segment")).count()
-    upto = F.sum("count").over(Window.orderBy("segment").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    total = F.sum("count").over(Window.partitionBy())
-    sized = segments.select("segment", "count", upto.alias("upto"), total.alias("total"))
-    border = sized.withColumn("wanted", F.ceil(F.col("total") * F.lit(test_size))).where("upto >= wanted and upto - count < wanted").first()
-    if border is None:
+    keys = cut(keyed.select("shuffle_key", *key))
+    total = keys.count()
+    if not total:
         return keyed.withColumn("split", F.lit("train"))
-    if border.wanted >= border.total:
-        raise ValueError(f"no train rows left: {border.total} rows, test_size {test_size}")
-    nth = border.wanted - (border.upto - border["count"])
-    inside = keyed.where(hash_segment("shuffle_key") == border.segment).select("shuffle_key", *key)
-    place = F.row_number().over(Window.orderBy("shuffle_key", *key))
-    last = inside.withColumn("place", place).where(F.col("place") == nth).first()
-    edge = F.struct(*[F.lit(last[c]).cast(inside.schema[c].dataType).alias(c) for c in inside.columns])
-    return keyed.withColumn("split", F.when(order <= edge, "test").otherwise("train"))
+    wanted = math.ceil(test_size * total)
+    if wanted >= total:
+        raise ValueError(f"no train rows left: {total} rows, test_size {test_size}")
+    if not wanted:
+        return keyed.withColumn("split", F.lit("train"))
+    # A null key has no digits and comes first, as in a sort.
+    named = F.coalesce("shuffle_key", F.lit(""))
+    prefix, nth, inside = "", wanted, total
+    while inside > BORDER_ROWS and len(prefix) < 32:
+        digits = F.substring(named, len(prefix) + 1, DIGITS)
+        # At most 16 ** DIGITS rows, and one of null keys.
+        for r in keys.where(named.startswith(prefix)).groupBy(digits.alias("digits")).count().orderBy("digits").collect():
+            if nth <= r["count"]:
+                prefix, inside = prefix + r.digits, r["count"]
+                break
+            nth -= r["count"]
+        if not r.digits:
+            break
+    order = ["shuffle_key", *key]
+    last = keys.where(named.startswith(prefix) if prefix else F.lit(True)).orderBy(*order).limit(nth).collect()[-1]
+    edge = F.struct(*[F.lit(last[c]).cast(keys.schema[c].dataType).alias(c) for c in order])
+    return keyed.withColumn("split", F.when(F.struct(*order) <= edge, "test").otherwise("train"))
 
 
 def hashed(df: DataFrame, key: Sequence[str], test_size: float = TEST_SIZE, seed: int = SEED) -> DataFrame:

@@ -128,8 +128,7 @@ LOSS_OUT = "n_pairs, round(loss, 6) as loss, round(exp(loss), 4) as perplexity"
 
 PROMPTS = f"""
 prompts as (
-  select conv_id * 1000 + turn as prompt_id, {ids_of("text")} as h from conversations
-  where role = 'user' and text is not null),
+  select conv_id::bigint * 4294967296 + turn as prompt_id, {ids_of("text")} as h from conversations where text is not null),
 contexts as (
   select prompt_id, h, 0::bigint as c1, case when len(h) >= 1 then h[len(h)]::bigint end as c2,
          case when len(h) >= 2 then h[len(h) - 1]::bigint * 258 + h[len(h)] end as c3 from prompts)
@@ -316,6 +315,41 @@ readyids as (
 """
 
 
+# Hex digits of the bytes of the ids from 2 on.
+BYTE_OF_ID = f"""
+byte_of_id as (
+  select list(upper(lpad(format('{{:x}}', b), 2, '0')) order by i) as hexes
+  from (select range as b, {ID_OF_BYTE.format(b="range")} as i from range(256)))
+"""
+
+
+def visits(epochs: int, micro: int, accum: int) -> str:
+    """Every block of ``planned`` in every epoch: blocks are numbered, and each epoch permutes the numbers."""
+    def mixed(x: str, turn: int, size: str) -> str:
+        y = f"(({x} + (7919 * 42 + 104729 * epoch + 1299709 * {turn}) % 2147483647) % 2147483647)"
+        return f"({y} * {y} % 2147483647 * {y} % 2147483647 * 48271 % 2147483647) % {size}"
+
+    permuted = f"""
+    select batch_id, block_no, epoch, n, a, b, x // b as l0, x % b as r0, (l0 + {mixed("r0", 1, "a")}) % a as l1,
+      (r0 + {mixed("l1", 2, "b")}) % b as r1, (l1 + {mixed("r1", 3, "a")}) % a as l2, (r1 + {mixed("l2", 4, "b")}) % b as r2,
+      l2 * b + r2 as place from"""
+    keep = "select batch_id, block_no, epoch, n, a, b, place from"
+    return f"""
+numbered as (
+  select batch_id, block_no, row_number() over (order by md5('42:' || batch_id || ':' || block_no), batch_id, block_no) - 1 as x,
+    count(*) over () as n from planned),
+sides as (
+  select *, ceil(n / a)::bigint as b from (
+    select *, (case when floor(sqrt(n - 1)) ^ 2 > n - 1 then floor(sqrt(n - 1)) - 1 else floor(sqrt(n - 1)) end)::bigint + 1 as a from numbered)),
+walk as (
+  {keep} ({permuted} (select s.*, unnest(range({epochs}))::int as epoch from sides s))
+  union all
+  {keep} ({permuted} (select batch_id, block_no, epoch, n, a, b, place as x from walk where place >= n))),
+epoch_places as (
+  select batch_id, block_no, epoch, place, place // {micro} as micro_batch, place // {micro} // {accum} as step from walk where place < n)
+"""
+
+
 LISTING = """
 listing as (
   select 'bundle-' || (doc_id // 40) as bundle, n_chars as length,
@@ -525,14 +559,12 @@ from documents group by rollup (lang, source)""",
         )
         + """select item_id, place, array_to_string(ids[place + 1:place + 3], ',') as context,
         ids[place + 4] as target from places""",
-        "epoch_manifest": with_(
+        "epoch_manifest": with_recursive(
             *PACKED,
-            """visits as (
-  select batch_id, block_no, epoch, row_number() over (
-    partition by epoch order by md5('42:' || epoch || ':' || batch_id || ':' || block_no), batch_id, block_no) - 1 as place
-  from packed, (select unnest(range(3))::int as epoch) where split = 'train')""",
+            "planned as (select batch_id, block_no from packed where split = 'train')",
+            visits(30, 8, 4),
         )
-        + "select batch_id, block_no, epoch, place, place // 8 as micro_batch, place // 8 // 4 as step from visits",
+        + "select batch_id, block_no, epoch, place, micro_batch, step from epoch_places",
         "lr_schedule": with_(
             LINES,
             EXACT,
@@ -638,6 +670,38 @@ scored as (select part, sum(n)::bigint as n_pairs, sum(-n * ln(p)) / sum(n) as l
         + f"""select doc_id, len(ids)::int as n_ids, {ids_md5()} as ids_md5, md5(replace(text, '<|endoftext|>', '')) as plain_md5
         from readyids join marked using (doc_id)"""
     )
+    lines = "readylines as (select doc_id * 1000000 + line_no as doc_id, text from lines)"
+    sizes = """
+sized as (
+  select s.split, s.h, s.doc_id, s.line_no, coalesce(len(r.ids), 0) as n from sided s
+  left join readyids r on r.doc_id = s.doc_id * 1000000 + s.line_no),
+cuts as (select *, unnest(range(greatest(1, ceil(n / 512)::bigint))) as chunk_no from sized),
+rowsizes as (
+  select split, least(512, n - chunk_no * 512) as n,
+    (row_number() over (partition by split order by h, doc_id, line_no, chunk_no) - 1) // 1000 as batch_id from cuts),
+full_blocks as (select split, batch_id, sum(n)::bigint // 512 as n_blocks from rowsizes group by all),
+planned as (select batch_id, unnest(range(n_blocks)) as block_no from full_blocks where split = 'train')
+"""
+    steps = (LINES, EXACT, lines, rules, ready_words("readylines"), sizes)
+    found["word_manifest"] = with_recursive(*steps, visits(15, 4, 8)) + "select batch_id, block_no, epoch, place, micro_batch, step from epoch_places"
+    found["word_schedule"] = (
+        with_recursive(
+            *steps,
+            """totals as (select 15 * ceil(ceil(count(*) / 4) / 8)::bigint as t, ceil(0.1::double * t)::bigint as w from planned),
+turns as (select t, w, unnest(range(t)) as s from totals)""",
+        )
+        + """select s + 1 as step, round(1e6::double * 3e-4::double * case when s < w then s / greatest(1, w)
+          else greatest(0, 0.5::double * (1 + cos(pi() * ((s - w) / greatest(1, t - w))))) end, 6) as rate,
+        true as logs, (s + 1) % 50 = 0 as evaluates, (s + 1) % 100 = 0 as saves from turns"""
+    )
+    found["generate"] = (
+        with_(DOC_SPLIT, DOC_TOKENS, MODEL, PROMPTS, GENERATED, BYTE_OF_ID)
+        + """select prompt_id, (len(g.h) - len(p.h))::int as n_new, raw as generated_hex,
+        len(list_filter(regexp_extract_all(regexp_replace(raw, '(..)', '\\1 ', 'g'), '.. '), lambda x: true)) = length(raw) // 2 and
+        regexp_full_match(regexp_replace(raw, '(..)', '\\1,', 'g'), '([0-7].,|(C[2-9A-F]|D.),[89AB].,|E0,[AB].,[89AB].,|(E[1-9A-CEF]),[89AB].,[89AB].,|ED,[89].,[89AB].,|F0,[9AB].,[89AB].,[89AB].,|F[1-3],[89AB].,[89AB].,[89AB].,|F4,8.,[89AB].,[89AB].,)*') as whole_characters
+        from (select prompt_id, h, array_to_string(list_transform(list_filter(h, lambda i: i > 1), lambda i: hexes[i - 1]), '') as raw from gen, byte_of_id) g
+        join prompts p using (prompt_id)"""
+    )
     found["ready_vocab"] = (
         with_recursive(rules, ready_words("documents"))
         + """, used as (select id, count(*) as n from (select unnest(ids) as id from readyids) group by id)

@@ -1,7 +1,6 @@
 """The registered queries: each wires operators to the given tables and returns a comparable result."""
 
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -231,10 +230,7 @@ def decode_roundtrip(spark, sf_dir):
 
 
 def coverage(spark, sf_dir):
-    docs = documents(spark, sf_dir).select("lang", "text")
-    return docs.groupBy("lang").agg(F.count("text").alias("n_rows")).join(
-        encode.coverage(docs).groupBy("lang").agg(F.count(F.lit(1)).alias("bad")), "lang", "left"
-    ).select("lang", "n_rows", F.coalesce("bad", F.lit(0)).alias("n_broken"))
+    return encode.coverage_by(documents(spark, sf_dir), ["lang"])
 
 
 def inspect_encoding(spark, sf_dir):
@@ -334,10 +330,32 @@ def next_token_pairs(spark, sf_dir):
 
 
 def epoch_manifest(spark, sf_dir):
+    """All epochs of the byte plan."""
     keys = ["batch_id", "block_no"]
-    plan = replace(batches.BYTE_PLAN, epochs=3)
     blocks = pack.block_keys(pack_report(spark, sf_dir).where("split = 'train'"))
-    return batches.manifest(blocks.select(*keys), keys, plan)
+    return batches.manifest(blocks.select(*keys), keys, batches.BYTE_PLAN)
+
+
+def ready_report(spark, sf_dir) -> DataFrame:
+    """Blocks of 512 ids of the ready-made vocabulary, over-long lines cut: sizes only."""
+    sided = split.exact(line_table(spark, sf_dir), LINE)
+    chunks = encode.chunk(encode.bpe(sided, ready(spark)), max_length=pack.WORD_BLOCK)
+    order = (*SHUFFLED, "chunk_no")
+    rows = pack.by_rows(chunks.select(*order, "split", F.size("input_ids").alias("n_ids")), order)
+    return pack.report(rows, "n_ids", pack.WORD_BLOCK)
+
+
+def word_manifest(spark, sf_dir):
+    """All epochs of the plan for the ready-made vocabulary."""
+    keys = ["batch_id", "block_no"]
+    blocks = pack.block_keys(ready_report(spark, sf_dir).where("split = 'train'"))
+    return batches.manifest(blocks.select(*keys), keys, batches.WORD_PLAN)
+
+
+def word_schedule(spark, sf_dir):
+    n_blocks = ready_report(spark, sf_dir).where("split = 'train'").agg(F.sum("n_blocks")).first()[0]
+    plan = batches.schedule(spark, n_blocks, batches.WORD_PLAN)
+    return plan.withColumn("rate", F.round(F.col("rate") * 1e6, 6))
 
 
 def lr_schedule(spark, sf_dir):
@@ -410,8 +428,8 @@ def model_tables(spark, sf_dir):
 
 
 def prompt_table(spark, sf_dir) -> DataFrame:
-    turns = table(spark, sf_dir, "conversations").where("role = 'user'")
-    return generate.prompts(turns, F.col("conv_id") * 1000 + F.col("turn"))
+    turns = table(spark, sf_dir, "conversations")
+    return generate.prompts(turns, F.call_function("shiftleft", F.col("conv_id").cast("long"), F.lit(32)) + F.col("turn"))
 
 
 def prompt_context(spark, sf_dir):
@@ -447,8 +465,10 @@ def greedy_step(spark, sf_dir):
 
 
 def generate_text(spark, sf_dir):
+    """The text, with U+FFFD for partial characters, and the bytes it comes from, as hex digits."""
     out = generate.run(prompt_table(spark, sf_dir), model_tables(spark, sf_dir))
-    return out.select("prompt_id", "n_new", "generated_text")
+    raw = encode.decoded_bytes("history", skip_special=True)
+    return out.select("prompt_id", "n_new", F.hex(raw).alias("generated_hex"), F.is_valid_utf8(raw.cast("string")).alias("whole_characters"))
 
 
 def generate_ids(spark, sf_dir):
@@ -507,7 +527,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         byte_encode, special_literals, decode_roundtrip, coverage, inspect_encoding, token_stats,
         id_frequency, frequent_ids, overflow_chunks,
         pack_blocks, pack_hash, pack_sources, pack_document_order, pack_report, map_batches, collate_pad,
-        next_token_pairs, epoch_manifest, lr_schedule,
+        next_token_pairs, epoch_manifest, lr_schedule, word_manifest, word_schedule,
         ngram_counts, ngram_probs, heldout_loss, learning_curve, doc_scores, worst_documents, label_loss,
         prompt_context, sample_step, greedy_step, generate_ids,
         bundle_audit, bundle_missing, bundle_upload, bundle_export,

@@ -19,10 +19,7 @@ def read_files(spark: SparkSession, folder: str, pattern: str = "*.txt") -> Data
     ``text`` is null where the file is not readable as text. A missing folder is an error, an empty match no rows.
     """
     found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    # The reader gives no row for a file of length 0; the file index, which Spark keeps on the driver, lists it.
-    names = [(unquote(p).replace("file:///", "file:/", 1),) for p in found.inputFiles()]
-    listed = spark.createDataFrame(names, "path string").withColumn("place", _place(F.col("path")))
-    empty = listed.join(found.select(_place(F.col("path")).alias("place")), "place", "left_anti")
+    empty = _empty_files(found)
     files = found.select("path", "length", F.col("content").cast("string").alias("text")).unionByName(
         empty.select("path", F.lit(0).cast("long").alias("length"), F.lit("").alias("text"))
     )
@@ -35,6 +32,13 @@ def read_files(spark: SparkSession, folder: str, pattern: str = "*.txt") -> Data
     )
 
 
+def _empty_files(found: DataFrame) -> DataFrame:
+    """Paths of files of length 0: the reader gives no row for them; the file index, which Spark keeps on the driver, does."""
+    names = [(unquote(p).replace("file:///", "file:/", 1),) for p in found.inputFiles()]
+    listed = found.sparkSession.createDataFrame(names, "path string").withColumn("place", _place(F.col("path")))
+    return listed.join(found.select(_place(F.col("path")).alias("place")), "place", "left_anti").select("path")
+
+
 def _place(path: Column) -> Column:
     """A path without its scheme, whose slashes differ between Spark's listings."""
     return F.regexp_replace(path, "^[a-zA-Z0-9]+:/+", "/")
@@ -44,13 +48,21 @@ def read_listing(spark: SparkSession, root: str) -> DataFrame:
     """Every file below ``root/<bundle>/`` as (bundle, rel_path, length); contents are not read."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     inner = F.regexp_extract("path", "^(?:[a-z0-9]+:)?/*" + "\\Q" + root.strip("/") + "\\E" + "/+(.*)$", 1)
-    return found.select(
+    files = found.select("path", "length").unionByName(_empty_files(found).select("path", F.lit(0).cast("long").alias("length")))
+    return files.select(
         F.substring_index(inner, "/", 1).alias("bundle"),
         F.regexp_replace(inner, "^[^/]*/", "").alias("rel_path"),
         "length",
     )
 
 
+def read_bundles(spark: SparkSession, root: str) -> DataFrame:
+    """The folders below ``root`` as (bundle), those without files included; their names are listed by the driver."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return spark.createDataFrame([(s.getPath().getName(),) for s in found if s.isDirectory()], "bundle string")
+
+
 def write_corpus(pieces: DataFrame, path: str, separator: str = SEPARATOR) -> None:
     """S3: text shards that, read in name order, hold the lines of the compiled file.
 
