@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import SLICE_BYTES, U64, QuickHash, Slice, mix, ragged, slices, stored
+from tokenloom.llm.common import U64, QuickHash, Slice, mix, ragged, slices, stored
 
 LONGEST = 3
 LEAST = 10
@@ -41,8 +41,10 @@ FAN = 1 << FAN_BITS
 BURST = 32_768
 BUDGET = 1_000_000
 WORDS = 500_000
-PARTS = 64
+PARTS = 8
+SPILL = 200_000
 HELD = 2_000_000
+SLICE_BYTES = 4 << 20
 RUNS = "part int, lang string, phrases binary, n binary"
 COUNTS = "lang string, phrase string, words int, f long"
 
@@ -144,16 +146,17 @@ class Counter:
     def number(self, column: pa.Array) -> np.ndarray:
         """The ids of words, new ones included."""
         coded = column.dictionary_encode()
-        known, fresh = [], []
-        for word in coded.dictionary.to_pylist():
-            at = self.ids.setdefault(word, len(self.words))
-            if at == len(self.words):
-                self.words.append(word)
-                fresh.append(word)
-            known.append(at)
+        words = coded.dictionary.to_pylist()
+        known = [self.ids.get(word, 0) for word in words]
+        fresh = [k for k, at in enumerate(known) if not at]
         if fresh:
-            bounds = np.cumsum([0, *map(len, fresh)])
-            hashed = QuickHash(np.frombuffer(b"".join(fresh), np.uint8))(bounds[:-1], bounds[1:])
+            first = len(self.words)
+            for at, k in enumerate(fresh, first):
+                known[k] = self.ids[words[k]] = at
+            new = [words[k] for k in fresh]
+            self.words += new
+            bounds = np.cumsum([0, *map(len, new)])
+            hashed = QuickHash(np.frombuffer(b"".join(new), np.uint8))(bounds[:-1], bounds[1:])
             self.hashes = np.concatenate([self.hashes, mix(hashed, 83)])
         return np.array(known, np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
 
@@ -182,36 +185,46 @@ class Counter:
         elif self.size > BUDGET:
             # A trie that has not burst is a subtree of its own.
             subtrees = [(c.size, lang, t, d) for lang, t in self.tries.items() for d, c in enumerate(t.children or [t]) if c.size]
+            spilled: dict[str, list[Node]] = {}
             for size, lang, trie, d in sorted(subtrees, key=lambda x: -x[0]):
                 if self.size <= BUDGET // 2:
                     break
-                yield from self.run(lang, trie.children[d] if trie.children else trie)
+                spilled.setdefault(lang, []).append(trie.children[d] if trie.children else trie)
                 if trie.children:
                     trie.children[d] = Node(1)
                     trie.size -= size
                 else:
                     self.tries[lang] = Node(0)
                 self.size -= size
+            for lang, trees in spilled.items():
+                yield from self.run(lang, trees)
 
     def finish(self) -> Iterator[pa.RecordBatch]:
         for lang, trie in self.tries.items():
-            for tree in trie.children or [trie]:
-                if tree.size:
-                    yield from self.run(lang, tree)
+            if trie.size:
+                yield from self.run(lang, [trie])
         self._reset()
 
-    def run(self, lang: str, tree: Node) -> Iterator[pa.RecordBatch]:
-        """One subtree as runs in phrase order, one for each prefix partition."""
-        keys, counts = tree.entries()
-        part = (self.prefix(keys) >> U64(32)) * U64(self.parts) >> U64(32)
-        ids = np.stack([keys >> U64(2 * ID_BITS), (keys >> U64(ID_BITS)) & U64((1 << ID_BITS) - 1), keys & U64((1 << ID_BITS) - 1)], 1)
-        used, at = np.unique(ids, return_inverse=True)
-        words = [self.words[i] for i in used.tolist()]
-        rank = np.argsort(np.array(sorted(range(len(words)), key=words.__getitem__)))[at.reshape(ids.shape)]
-        order = np.lexsort((rank[:, 2], rank[:, 1], rank[:, 0], part))
-        part, counts, local = part[order], counts[order], at.reshape(ids.shape)[order]
+    def run(self, lang: str, trees: list[Node]) -> Iterator[pa.RecordBatch]:
+        """Whole subtrees as sorted runs, one for each prefix partition.
+
+        The order is that of the words' hashes, the same in every task, so a run needs no comparison of texts.
+        """
+        keys, counts = (np.concatenate(x) for x in zip(*(t.entries() for t in trees)))
+        prefix = self.prefix(keys)
+        order = np.lexsort((self.hashes[keys & U64((1 << ID_BITS) - 1)], prefix))
+        for low in range(0, len(order), SPILL):
+            yield self._written(lang, keys[order[low : low + SPILL]], counts[order[low : low + SPILL]], prefix[order[low : low + SPILL]])
+
+    def _written(self, lang: str, keys: np.ndarray, counts: np.ndarray, prefix: np.ndarray) -> pa.RecordBatch:
+        part = (prefix >> U64(32)) * U64(self.parts) >> U64(32)
+        ids = np.stack([keys >> U64(2 * ID_BITS), (keys >> U64(ID_BITS)) & U64((1 << ID_BITS) - 1), keys & U64((1 << ID_BITS) - 1)], 1).astype(np.int64)
+        used = np.zeros(len(self.words), bool)
+        used[ids] = True
+        number = np.cumsum(used) - 1
+        local = number[ids]
         # A word is written with a blank after it, and the last blank of a phrase becomes a line end; id 0 writes nothing.
-        spelt = [w + b" " if w else b"" for w in words]
+        spelt = [self.words[i] + b" " if i else b"" for i in np.flatnonzero(used).tolist()]
         size = np.fromiter(map(len, spelt), np.int64, len(spelt))
         start, data = np.cumsum(size) - size, np.frombuffer(b"".join(spelt), np.uint8)
         length = size[local]
@@ -220,12 +233,11 @@ class Counter:
         flat = length.ravel()
         written = data[np.repeat(start[local].ravel(), flat) + ragged(flat)]
         written[ends - 1] = 10
-        texts, numbers = [], []
-        for low, high in zip(cuts[:-1], cuts[1:]):
-            texts.append(written[(ends[low - 1] if low else 0) : ends[high - 1]].tobytes())
-            numbers.append(counts[low:high].tobytes())
-        columns = [pa.array(part[cuts[:-1]].astype(np.int32)), pa.array([lang] * len(texts), pa.string()), pa.array(texts, pa.binary()), pa.array(numbers, pa.binary())]
-        yield pa.record_batch(columns, ["part", "lang", "phrases", "n"])
+        bounds = np.r_[0, ends][cuts]
+        texts = pa.BinaryArray.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(written)])
+        numbers = pa.BinaryArray.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * 8).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(counts))])
+        columns = [pa.array(part[cuts[:-1]].astype(np.int32)), pa.array([lang] * len(texts), pa.string()), texts, numbers]
+        return pa.record_batch(columns, ["part", "lang", "phrases", "n"])
 
 
 def split_words(part: Slice) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -286,48 +298,47 @@ def _merge(least: int):
     """Runs, sorted by partition, to the frequent phrases; a row without a phrase holds a partition's words in all."""
 
     def summed(held: list[pa.Table]) -> pa.Table:
-        table = pa.concat_tables(held).group_by(["lang", "phrase"]).aggregate([("n", "sum")])
+        table = pa.concat_tables(held).group_by(["lang", "phrase"], use_threads=False).aggregate([("n", "sum")])
         return table.rename_columns(["lang", "phrase", "n"])
 
-    def result(held: list[pa.Table]) -> pa.RecordBatch:
+    def result(held: list[pa.Table], names: list[str]) -> pa.RecordBatch:
         table = summed(held).combine_chunks()
-        phrases, n = table["phrase"].combine_chunks(), table["n"].to_numpy()
+        phrases, n, lang = table["phrase"].combine_chunks(), table["n"].to_numpy(), table["lang"].to_numpy()
         bounds = np.frombuffer(phrases.buffers()[1], np.int64)[phrases.offset : phrases.offset + len(phrases) + 1]
-        blanks = np.concatenate([[0], np.cumsum(np.frombuffer(phrases.buffers()[2], np.uint8)[: bounds[-1]] == 32)])
-        words = blanks[bounds[1:]] - blanks[bounds[:-1]] + 1
-        langs = table["lang"].to_numpy()
+        blanks = np.flatnonzero(np.frombuffer(phrases.buffers()[2], np.uint8)[: bounds[-1]] == 32)
+        words = np.diff(np.searchsorted(blanks, bounds)) + 1
         single = words == 1
-        every = np.unique(langs[single].astype(str)) if single.any() else []
-        totals = [int(n[single & (langs == lang)].sum()) for lang in every]
+        totals = np.bincount(lang[single], weights=n[single], minlength=len(names)).astype(np.int64)
+        every = np.flatnonzero(totals)
         at = np.flatnonzero(n >= least)
         # The line end goes.
         text = pa.array([p[:-1].decode() for p in phrases.take(pa.array(at)).to_pylist()] + [None] * len(every), pa.string())
-        lang = pa.array([*langs[at].tolist(), *map(str, every)], pa.string())
-        columns = [lang, text, pa.array(np.r_[words[at], np.zeros(len(every))].astype(np.int32)), pa.array(np.r_[n[at], np.array(totals, np.int64)])]
+        langs = pa.array(names, pa.string()).take(pa.array(np.r_[lang[at], every]))
+        columns = [langs, text, pa.array(np.r_[words[at], np.zeros(len(every))].astype(np.int32)), pa.array(np.r_[n[at], totals[every]])]
         return pa.record_batch(columns, ["lang", "phrase", "words", "f"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
-        size, current = 0, None
+        size, current, names = 0, None, {}
         for batch in batches:
             parts = batch.column(0).to_numpy()
             for i in range(batch.num_rows):
                 if parts[i] != current and held:
-                    yield result(held)
-                    held, size = [], 0
+                    yield result(held, list(names))
+                    held, size, names = [], 0, {}
                 current = parts[i]
                 data = np.frombuffer(batch.column(2)[i].as_buffer(), np.uint8)
                 n = np.frombuffer(batch.column(3)[i].as_buffer(), np.int64)
+                lang = names.setdefault(batch.column(1)[i].as_py(), len(names))
                 bounds = np.r_[0, np.flatnonzero(data == 10) + 1]
                 phrases = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
-                lang = pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(n), np.int32)), pa.array([batch.column(1)[i].as_py()], pa.string())).cast(pa.string())
-                held.append(pa.table([lang, phrases, pa.array(n)], ["lang", "phrase", "n"]))
+                held.append(pa.table([pa.array(np.full(len(n), lang, np.int32)), phrases, pa.array(n)], ["lang", "phrase", "n"]))
                 size += len(n)
                 if size > HELD:
                     held = [summed(held)]
                     size = held[0].num_rows
         if held:
-            yield result(held)
+            yield result(held, list(names))
 
     return run
 
@@ -338,7 +349,8 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
     A row of 0 words and no phrase holds a number of words; their sum over a lang is the number of all its words.
     """
     source = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"))
-    parts = PARTS * max(8, source.rdd.getNumPartitions())
+    # A fixed number of parts for each task that merges, so that a spilled subtree makes no more rows as the input grows.
+    parts = PARTS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     runs = source.mapInArrow(_count(parts), RUNS)
     return runs.repartition("part").sortWithinPartitions("part").mapInArrow(_merge(least), COUNTS)
 
