@@ -236,14 +236,28 @@ class Suffixes:
     """Suffixes of a byte array, compared over at most ``length`` bytes with prefix hashes."""
 
     def __init__(self, data: np.ndarray, length: int) -> None:
-        self.data, self.length, self.hashed = data, length, RangeHash(data)
+        self.data, self.length = data, length
+        self.quick, self.hashed = QuickHash(data), RangeHash(data)
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Length of the common extension of two suffixes, by binary search."""
-        low, high = np.zeros(len(a), np.int64), np.full(len(a), self.length, np.int64)
+        """Length of the common extension of two suffixes, by binary search over the quick hash.
+
+        That is never too short. Where the sound hash of what was found differs, the search is done again with that one.
+        """
+        prefix, down = self.quick.prefix, self.quick.down
+        from_a, from_b, down_a, down_b = prefix[a], prefix[b], down[a], down[b]
+        with np.errstate(over="ignore"):
+            low = self._search(len(a), lambda n: (prefix[a + n] - from_a) * down_a == (prefix[b + n] - from_b) * down_b)
+        wrong = np.flatnonzero(self.hashed(a, a + low) != self.hashed(b, b + low))
+        if len(wrong):
+            low[wrong] = self._search(len(wrong), lambda n: self.hashed(a[wrong], a[wrong] + n) == self.hashed(b[wrong], b[wrong] + n))
+        return low
+
+    def _search(self, number: int, agree) -> np.ndarray:
+        low, high = np.zeros(number, np.int64), np.full(number, self.length, np.int64)
         for _ in range(int(self.length).bit_length()):
             middle = (low + high + 1) >> 1
-            same = self.hashed(a, a + middle) == self.hashed(b, b + middle)
+            same = agree(middle)
             low, high = np.where(same, middle, low), np.where(same, high, middle - 1)
         return low
 
