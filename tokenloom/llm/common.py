@@ -38,84 +38,86 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
         return x ^ (x >> U64(31))
 
 
-# One random number for each byte and prime, and the same with A-Z read as a-z.
+# A random 64-bit code for each byte, and the same with A-Z read as a-z.
+CODES = mix(np.arange(256, dtype=U64), 11)
 _LOWER = np.arange(256)
 _LOWER[65:91] += 32
-PRIMES = (2**31 - 1, 2**31 - 19)
-BASES = (1_283_742_901, 947_301_163)
-CODES = tuple(mix(np.arange(256, dtype=U64), 11 + k) % U64(p) for k, p in enumerate(PRIMES))
-LOWER_CODES = tuple(c[_LOWER] for c in CODES)
+LOWER_CODES = CODES[_LOWER]
+PRIME, PRIME_BASE = 2**31 - 1, 1_283_742_901
+# An odd base of which 1 - base is divisible by 2 only once.
+BASE = 0x5851F42D4C957F2B
 
 
-def _powers(base: int, prime: int, n: int) -> np.ndarray:
-    """1, base, base^2, ... below ``prime``: at least n of them."""
+def _powers(base: int, n: int) -> np.ndarray:
+    """1, base, base^2, ... modulo the prime: at least n of them."""
     out = np.ones(1, U64)
     while len(out) < n:
-        out = np.concatenate([out, out * U64(pow(base, len(out), prime)) % U64(prime)])
+        out = np.concatenate([out, out * U64(pow(base, len(out), PRIME)) % U64(PRIME)])
     return out
 
 
 class _Powers:
-    """Powers of the bases and of their inverses, grown when a longer slice needs them."""
+    """Powers of both bases and of their inverses, modulo 2^64 and modulo the prime, grown when a longer slice needs them."""
 
     def __init__(self) -> None:
-        self.tables: list[tuple[np.ndarray, np.ndarray]] = [(np.ones(1, U64),) * 2] * 2
+        self.up = self.down = self.prime_up = self.prime_down = np.ones(1, U64)
 
-    def get(self, n: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        if len(self.tables[0][0]) < n + 1:
+    def reach(self, n: int) -> "_Powers":
+        if len(self.up) < n + 1:
             n = max(n, SLICE_BYTES) + 1
-            self.tables = [(_powers(b, p, n), _powers(pow(b, -1, p), p, n)) for b, p in zip(BASES, PRIMES)]
-        return self.tables
+            ones = np.ones(n, U64)
+            up, down = ones * U64(BASE), ones * U64(pow(BASE, -1, 1 << 64))
+            up[0] = down[0] = 1
+            self.up, self.down = np.cumprod(up, dtype=U64), np.cumprod(down, dtype=U64)
+            self.prime_up, self.prime_down = _powers(PRIME_BASE, n), _powers(pow(PRIME_BASE, -1, PRIME), n)
+        return self
 
 
 POWERS = _Powers()
 
 
-class RangeHash:
-    """Prefix polynomial hashes modulo two primes over a byte array; any range is hashed in constant time.
+class QuickHash:
+    """Prefix polynomial hashes modulo 2^64 over a byte array; any range is hashed in constant time.
 
-    Modulo a power of two, texts of a known form (Thue-Morse words) have equal hashes for every base; modulo primes two
-    different texts of n bytes agree with a chance of about (n / 2^31)^2.
+    Texts of a known form (Thue-Morse words) have equal hashes for every base, so it is for where more is looked at before
+    equality counts.
     """
 
-    def __init__(self, data: np.ndarray, codes: tuple[np.ndarray, np.ndarray] = CODES) -> None:
-        n = len(data)
-        self.tables = POWERS.get(n)
-        self.prefixes = []
-        for (up, _), code, prime in zip(self.tables, codes, PRIMES):
-            # Sums of up to 2^33 numbers below 2^31 fit in 64 bits, so only the differences are reduced.
-            prefix = np.zeros(n + 1, U64)
-            np.cumsum(code[data] * up[:n] % U64(prime), out=prefix[1:])
-            self.prefixes.append(prefix)
+    def __init__(self, data: np.ndarray, codes: np.ndarray = CODES) -> None:
+        powers = POWERS.reach(len(data))
+        self.down = powers.down
+        self.prefix = np.zeros(len(data) + 1, U64)
+        with np.errstate(over="ignore"):
+            np.cumsum(codes[data] * powers.up[: len(data)], out=self.prefix[1:])
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        first, second = (
-            (prefix[end] - prefix[start]) % U64(prime) * down[start] % U64(prime)
-            for prefix, (_, down), prime in zip(self.prefixes, self.tables, PRIMES)
-        )
-        return (first << U64(32)) | second
-
+        with np.errstate(over="ignore"):
+            return (self.prefix[end] - self.prefix[start]) * self.down[start]
 
-class QuickHash:
-    """Like ``RangeHash`` modulo 2^64 and several times faster, where bytes are compared before equality counts."""
 
-    CODES = mix(np.arange(256, dtype=U64), 11)
-    BASE = 0x5851F42D4C957F2B
-    up = down = np.ones(1, U64)
+class PrimeHash:
+    """The same modulo a prime of 31 bits; two different texts of n bytes agree with a chance of about n / 2^31."""
 
-    def __init__(self, data: np.ndarray) -> None:
-        if len(self.up) < len(data) + 1:
-            ones = np.ones(max(len(data), SLICE_BYTES) + 1, U64)
-            up, down = ones * U64(self.BASE), ones * U64(pow(self.BASE, -1, 1 << 64))
-            up[0] = down[0] = 1
-            QuickHash.up, QuickHash.down = np.cumprod(up, dtype=U64), np.cumprod(down, dtype=U64)
+    def __init__(self, data: np.ndarray, codes: np.ndarray = CODES) -> None:
+        powers = POWERS.reach(len(data))
+        self.down = powers.prime_down
+        # Sums of up to 2^33 numbers below 2^31 fit in 64 bits, so only the differences are reduced.
         self.prefix = np.zeros(len(data) + 1, U64)
-        with np.errstate(over="ignore"):
-            np.cumsum(self.CODES[data] * self.up[: len(data)], out=self.prefix[1:])
+        np.cumsum((codes % U64(PRIME))[data] * powers.prime_up[: len(data)] % U64(PRIME), out=self.prefix[1:])
+
+    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return (self.prefix[end] - self.prefix[start]) % U64(PRIME) * self.down[start] % U64(PRIME)
+
+
+class RangeHash:
+    """Both hashes in one number: 64 bits for texts of no known form, and 31 for those that the quick one can't tell apart."""
+
+    def __init__(self, data: np.ndarray, codes: np.ndarray = CODES) -> None:
+        self.quick, self.prime = QuickHash(data, codes), PrimeHash(data, codes)
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
-            return (self.prefix[end] - self.prefix[start]) * self.down[start]
+            return self.quick(start, end) + self.prime(start, end) * U64(0x9E3779B97F4A7C15)
 
 
 @dataclass

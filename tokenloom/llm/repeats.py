@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import U64, QuickHash, RangeHash, Slice, mix, ragged, slices, stored
+from tokenloom.llm.common import U64, PrimeHash, QuickHash, RangeHash, Slice, mix, ragged, slices, stored
 
 LENGTH = 200
 GRAM = 64
@@ -62,9 +62,9 @@ def anchor_runs(part: Slice, length: int) -> tuple[np.ndarray, ...] | None:
     starts[part.bounds[1:][fits] - length + 1] -= 1
     valid = np.flatnonzero(np.cumsum(starts[:-1], dtype=np.int8))
     # The choice of anchors concludes nothing from equal grams; the hash of all bytes covered does.
-    quick, hashed = QuickHash(data), RangeHash(data)
+    hashed = RangeHash(data)
     at = np.arange(n - GRAM + 1)
-    grams = mix(quick(at, at + GRAM))
+    grams = mix(hashed.quick(at, at + GRAM))
     low = U64((1 << int(n).bit_length()) - 1)
     best = (grams & ~low) | at.astype(U64)
     span = 1
@@ -237,20 +237,20 @@ class Suffixes:
 
     def __init__(self, data: np.ndarray, length: int) -> None:
         self.data, self.length = data, length
-        self.quick, self.hashed = QuickHash(data), RangeHash(data)
+        self.quick, self.prime = QuickHash(data), PrimeHash(data)
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Length of the common extension of two suffixes, by binary search over the quick hash.
 
-        That is never too short. Where the sound hash of what was found differs, the search is done again with that one.
+        That is never too short. Where the prime hash of what was found differs, the search is done again with that one.
         """
         prefix, down = self.quick.prefix, self.quick.down
         from_a, from_b, down_a, down_b = prefix[a], prefix[b], down[a], down[b]
         with np.errstate(over="ignore"):
             low = self._search(len(a), lambda n: (prefix[a + n] - from_a) * down_a == (prefix[b + n] - from_b) * down_b)
-        wrong = np.flatnonzero(self.hashed(a, a + low) != self.hashed(b, b + low))
+        wrong = np.flatnonzero(self.prime(a, a + low) != self.prime(b, b + low))
         if len(wrong):
-            low[wrong] = self._search(len(wrong), lambda n: self.hashed(a[wrong], a[wrong] + n) == self.hashed(b[wrong], b[wrong] + n))
+            low[wrong] = self._search(len(wrong), lambda n: self.prime(a[wrong], a[wrong] + n) == self.prime(b[wrong], b[wrong] + n))
         return low
 
     def _search(self, number: int, agree) -> np.ndarray:
