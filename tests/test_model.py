@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tokenloom.functions import sampling
+from tokenloom.functions import kernels, sampling
 from tokenloom.operators import batches, generate, ngram
 from tokenloom.operators.lookup import left_lookup
 from tokenloom.session import cut
@@ -40,6 +40,32 @@ def test_large_key_space_and_groups(spark):
     assert found == wanted
 
 
+def test_wide_contexts_equal_brute_force(spark, monkeypatch):
+    rows = [[50_000, 3, 50_000, 3, 50_000, 3, 2**31 - 1, 7], [3, 50_000] * 5, [], [9]]
+    monkeypatch.setattr(kernels.row_slices, "__defaults__", (4,))
+    for by in (None, F.col("doc_id")):
+        got = ngram.wide_counts(id_rows(spark, rows), (1, 2, 6), by).collect()
+        wanted = Counter()
+        for d, r in enumerate(rows):
+            for n in (1, 2, 6):
+                wanted.update((d if by is not None else None, n, tuple(r[i : i + n])) for i in range(len(r) - n + 1))
+        found = Counter()
+        for r in got:
+            ctx = np.frombuffer(bytes(r.ctx), ">u4").tolist()
+            found[r.key if by is not None else None, r.gram, (*ctx, r.nxt)] += r.n
+        assert found == wanted
+
+
+def test_wide_and_narrow_contexts_give_one_model(spark):
+    narrow, wide = ngram.counts(id_rows(spark), (1, 2, 3), n_ids=258), ngram.wide_counts(id_rows(spark), (1, 2, 3))
+    key = lambda df: sorted((r.gram, r.nxt, r.n, round(r.p, 9)) for r in ngram.probabilities(df).collect())
+    assert key(narrow) == key(wide)
+    prompts = spark.createDataFrame([(1, [5, 6]), (2, []), (3, [9])], "prompt_id long, history array<int>")
+    options = generate.Options(max_new_tokens=4)
+    texts = [{r.prompt_id: r.history for r in generate.run(prompts, generate.written_model(m, 3), options).collect()} for m in (narrow, wide)]
+    assert texts[0] == texts[1]
+
+
 def test_loss_by_hand(spark):
     train, test = ROWS[:2], ROWS[4:]
     rows = [("train", r) for r in train] + [("test", r) for r in test]

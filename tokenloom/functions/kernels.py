@@ -353,43 +353,82 @@ def counted(keys: list[np.ndarray], sizes: list[int]) -> tuple[list[np.ndarray],
     return [rest, *reversed(out)], counts
 
 
+def row_slices(offsets: np.ndarray, limit: int = 1 << 20):
+    """Ranges of whole rows of about ``limit`` tokens, so that memory follows the slice and not the batch."""
+    low, rows = 0, len(offsets) - 1
+    while low < rows:
+        high = min(rows, max(low + 1, int(np.searchsorted(offsets, offsets[low] + limit, "right")) - 1))
+        yield low, high
+        low = high
+
+
+def token_batches(batches, table: np.ndarray):
+    """(key, tokens) batches -> (keys, group of each token, place of each token in its row, ids), a slice at a time.
+
+    Tokens are id lists, or byte codes that ``table`` turns into ids.
+    """
+    for batch in batches:
+        tokens = batch.column(1)
+        if pa.types.is_binary(tokens.type) or pa.types.is_large_binary(tokens.type):
+            whole, raw = flat_bytes(tokens)
+        else:
+            table, (whole, raw) = None, flat_lists(tokens)
+        coded = batch.column(0).dictionary_encode(null_encoding="encode")
+        groups = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        for low, high in row_slices(whole):
+            offsets, ids = whole[low : high + 1] - whole[low], raw[whole[low] : whole[high]]
+            ids = (ids if table is None else table[ids]).astype(np.int64)
+            sizes = np.diff(offsets)
+            yield coded.dictionary, np.repeat(groups[low:high], sizes), np.arange(len(ids)) - np.repeat(offsets[:-1], sizes), ids
+
+
 def ngram_counter(orders: tuple[int, ...], n_ids: int, table: np.ndarray):
     """(key, tokens) batches -> partial counts per (key, order, context, next id).
 
-    Tokens are id lists, or byte codes that ``table`` turns into ids. A context is written as one number in base
-    ``n_ids``; no n-gram crosses a row.
+    A context is written as one number in base ``n_ids``; no n-gram crosses a row.
     """
 
     def run(batches):
-        for batch in batches:
-            tokens = batch.column(1)
-            if pa.types.is_binary(tokens.type) or pa.types.is_large_binary(tokens.type):
-                offsets, raw = flat_bytes(tokens)
-                ids = table[raw].astype(np.int64)
-            else:
-                offsets, ids = flat_lists(tokens)
-            sizes = np.diff(offsets)
-            place = np.arange(len(ids)) - np.repeat(offsets[:-1], sizes)
-            coded = batch.column(0).dictionary_encode(null_encoding="encode")
-            groups = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            group = np.repeat(groups, sizes)
+        for names, group, place, ids in token_batches(batches, table):
             for order in orders:
                 last = np.flatnonzero(place >= order - 1)
                 context = np.zeros(len(last), np.int64)
                 for back in range(order - 1, 0, -1):
                     context = context * n_ids + ids[last - back]
-                n_groups = max(1, len(coded.dictionary))
-                keys, bounds = [group[last], context, ids[last]], [n_groups, n_ids ** (order - 1), n_ids]
+                keys, bounds = [group[last], context, ids[last]], [max(1, len(names)), n_ids ** (order - 1), n_ids]
                 (g, ctx, nxt), total = counted(keys, bounds)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        coded.dictionary.take(pa.array(g)),
-                        pa.array(np.full(len(g), order, np.int32)),
-                        pa.array(ctx),
-                        pa.array(nxt.astype(np.int32)),
-                        pa.array(total),
-                    ],
-                    names=["key", "gram", "ctx", "nxt", "n"],
-                )
+                yield gram_batch(names, g, order, pa.array(ctx), nxt, total)
+
+    return run
+
+
+def gram_batch(names: pa.Array, group, order: int, context: pa.Array, nxt, total) -> pa.RecordBatch:
+    columns = [names.take(pa.array(group)), pa.array(np.full(len(group), order, np.int32)), context, pa.array(nxt.astype(np.int32)), pa.array(total)]
+    return pa.RecordBatch.from_arrays(columns, names=["key", "gram", "ctx", "nxt", "n"])
+
+
+def wide_ngram_counter(orders: tuple[int, ...], table: np.ndarray):
+    """Like ``ngram_counter`` for any order and any number of ids: a context is BINARY, four bytes for each id, oldest first.
+
+    Inside a slice contexts are numbered: that of one order is the number of the next lower one's and one id more.
+    """
+
+    def run(batches):
+        for names, group, place, ids in token_batches(batches, table):
+            number, at = group, np.arange(len(ids))
+            for order in range(1, max(orders) + 1):
+                if order > 1:
+                    fits = place[at] >= order - 1
+                    at, number = at[fits], number[fits]
+                    number = np.unique(number << 32 | ids[at - order + 1], return_inverse=True)[1]
+                if order not in orders or not len(at):
+                    continue
+                _, first, total = np.unique(number << 32 | ids[at], return_index=True, return_counts=True)
+                here = at[first]
+                older = here[:, None] - np.arange(order - 1, 0, -1)
+                raw = np.ascontiguousarray(ids[older].astype(">u4"))
+                bounds = np.arange(len(here) + 1, dtype=np.int32) * (4 * (order - 1))
+                context = pa.BinaryArray.from_buffers(pa.binary(), len(here), [None, pa.py_buffer(bounds), pa.py_buffer(raw)])
+                yield gram_batch(names, group[here], order, context, ids[here], total)
 
     return run

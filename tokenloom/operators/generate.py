@@ -37,6 +37,13 @@ def context(history: Column, gram: int, n_ids: int = BYTE_VOCAB_SIZE) -> Column:
     return F.when(F.size(history) >= gram - 1, number)
 
 
+def wide_context(history: Column, gram: int) -> Column:
+    """The last gram-1 ids as BINARY, four bytes each, as ``ngram.wide_counts`` writes them."""
+    last = [F.get(history, F.size(history) - back) for back in range(gram - 1, 0, -1)]
+    digits = F.concat(F.lit(""), *[F.lpad(F.hex(i), 8, "0") for i in last])
+    return F.when(F.size(history) >= gram - 1, F.unhex(digits))
+
+
 @dataclass(frozen=True)
 class Model:
     """The model by context, one table (ctx, ids, shares) per gram, and whether each was counted to be small."""
@@ -45,6 +52,7 @@ class Model:
     small: dict[int, bool]
     n_ids: int
     eos_id: int = EOS_ID
+    wide: bool = False
 
 
 def written_model(counts: DataFrame, n: int, n_ids: int = BYTE_VOCAB_SIZE, eos_id: int = EOS_ID) -> Model:
@@ -55,7 +63,7 @@ def written_model(counts: DataFrame, n: int, n_ids: int = BYTE_VOCAB_SIZE, eos_i
     table = cut(followers(counts))
     sizes = {r.gram: r.size for r in table.groupBy("gram").agg(F.sum(F.size("ids")).alias("size")).collect()}
     tables = {g: table.where(F.col("gram") == g).select("ctx", "ids", "shares") for g in range(1, n + 1)}
-    return Model(tables, {g: sizes.get(g, 0) <= BROADCAST_ROWS for g in tables}, n_ids, eos_id)
+    return Model(tables, {g: sizes.get(g, 0) <= BROADCAST_ROWS for g in tables}, n_ids, eos_id, dict(counts.dtypes)["ctx"] == "binary")
 
 
 def looked_up(state: DataFrame, model: Model) -> DataFrame:
@@ -64,7 +72,8 @@ def looked_up(state: DataFrame, model: Model) -> DataFrame:
     Of a table that is not small only the contexts that live prompts have are taken; their rows are then few enough to be
     copied for the prompts that share a context.
     """
-    contexts = {f"ctx{g}": context(F.col("history"), g, model.n_ids) for g in model.tables}
+    history = F.col("history")
+    contexts = {f"ctx{g}": wide_context(history, g) if model.wide else context(history, g, model.n_ids) for g in model.tables}
     keyed = state.withColumns(contexts)
     for gram, table in model.tables.items():
         if not model.small[gram]:
@@ -103,9 +112,11 @@ def run(
     """At most ``max_new_tokens`` new ids per prompt, then prompt and continuation as text.
 
     A model counted to be small is copied to groups of prompts by a shuffle, and every prompt of a group runs to its end in
-    one pass. A larger one stays a table: all prompts go step by step, and ended prompts leave the loop.
+    one pass. A larger one, or one of wide contexts, stays a table: all prompts go step by step, and ended prompts leave the
+    loop.
     """
-    ended = run_by_groups(start, model, options) if all(model.small.values()) else run_by_steps(start, model, options, cut_every)
+    whole = all(model.small.values()) and not model.wide
+    ended = run_by_groups(start, model, options) if whole else run_by_steps(start, model, options, cut_every)
     text = encode.decode("history", vocabulary, skip_special=True)
     return ended.select("prompt_id", "history", "n_new", text.alias("generated_text"))
 

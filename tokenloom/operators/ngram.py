@@ -1,7 +1,8 @@
 """A count-based next-token model fit by aggregation.
 
 A context is one LONG: its ids as digits in base ``n_ids``, oldest first. ``gram`` is the n of an n-gram, so unigrams
-have gram 1 and context 0.
+have gram 1 and context 0. Where that does not fit, ``wide_counts`` writes contexts as BINARY, four bytes for each id; all
+other functions take either.
 """
 
 from collections.abc import Sequence
@@ -28,7 +29,7 @@ def counts(
     ``ids`` holds id lists or byte codes. Each Arrow batch is summed before the shuffle.
     """
     if n_ids ** max(grams) >= 2**63:
-        raise ValueError(f"{max(grams)}-grams over {n_ids} ids do not fit a LONG; use a smaller n")
+        raise ValueError(f"{max(grams)}-grams over {n_ids} ids do not fit a LONG; use wide_counts")
     source = df.select((F.lit(0) if by is None else by).alias("key"), F.col(ids).alias("ids"))
     key_type = source.schema["key"].dataType.simpleString()
     counter = kernels.ngram_counter(tuple(grams), n_ids, code_ids())
@@ -37,6 +38,16 @@ def counts(
     return total.drop("key") if by is None else total
 
 
+def wide_counts(df: DataFrame, grams: Sequence[int], by: Column | None = None, ids: str = "input_ids") -> DataFrame:
+    """L1 for n-grams of any order over any vocabulary: (gram, ctx binary, nxt, n), per value of ``by`` (as ``key``)."""
+    source = df.select((F.lit(0) if by is None else by).alias("key"), F.col(ids).alias("ids"))
+    key_type = source.schema["key"].dataType.simpleString()
+    counter = kernels.wide_ngram_counter(tuple(grams), code_ids())
+    partial = source.mapInArrow(counter, f"key {key_type}, gram int, ctx binary, nxt int, n long")
+    total = partial.groupBy("key", "gram", "ctx", "nxt").agg(F.sum("n").alias("n"))
+    return total.drop("key") if by is None else total
+
+
 def add_k(n: Column, ctx_n: Column, n_ids: int = BYTE_VOCAB_SIZE, k: float = ADD_K) -> Column:
     """L2: smoothed probability; an unseen context gives 1 / n_ids."""
     seen, total = F.coalesce(n, F.lit(0)), F.coalesce(ctx_n, F.lit(0))

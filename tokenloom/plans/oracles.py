@@ -694,6 +694,27 @@ turns as (select t, w, unnest(range(t)) as s from totals)""",
           else greatest(0, 0.5::double * (1 + cos(pi() * ((s - w) / greatest(1, t - w))))) end, 6) as rate,
         true as logs, (s + 1) % 50 = 0 as evaluates, (s + 1) % 100 = 0 as saves from turns"""
     )
+    found["heldout_loss_ready"] = (
+        with_recursive(
+            DOC_SPLIT,
+            rules,
+            ready_words("docsplit"),
+            """
+coded as (select s.split, s.doc_id, coalesce(r.ids, []) as ids from docsplit s left join readyids r using (doc_id)),
+orders as (select unnest([1, 4, 6])::int as gram),
+grams as (
+  select split, gram, array_to_string(ids[i - gram + 1 : i - 1], ',') as ctx, ids[i] as nxt
+  from (select split, gram, ids, unnest(range(gram, len(ids) + 1)) as i from coded, orders)),
+train as materialized (select gram, ctx, nxt, count(*) as n from grams where split = 'train' group by all),
+totals as (select gram, ctx, sum(n) as ctx_n from train group by all),
+losses as (
+  select t.gram, t.n, (coalesce(m.n, 0) + 0.01::double) / (coalesce(c.ctx_n, 0) + 0.01::double * 50257) as p
+  from (select gram, ctx, nxt, count(*) as n from grams where split = 'test' group by all) t
+  left join train m using (gram, ctx, nxt) left join totals c using (gram, ctx)),
+scored as (select gram, sum(n)::bigint as n_pairs, sum(-n * ln(p)) / sum(n) as loss from losses group by gram)""",
+        )
+        + f"select gram, {LOSS_OUT} from scored"
+    )
     found["generate"] = (
         with_(DOC_SPLIT, DOC_TOKENS, MODEL, PROMPTS, GENERATED, BYTE_OF_ID)
         + """select prompt_id, (len(g.h) - len(p.h))::int as n_new, raw as generated_hex,

@@ -1,6 +1,7 @@
 """The registered queries: each wires operators to the given tables and returns a comparable result."""
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from tokenloom.sources import vocabulary as disk
 LINE = ("doc_id", "line_no")
 SHUFFLED = ("shuffle_key", "doc_id", "line_no")
 GRAM = 3
+WIDE_GRAMS = (1, 4, 6)
 MERGED_VOCAB = 300
 READY_VOCAB = "byte_bpe_50k.json"
 CURVE_PARTS = 4
@@ -391,6 +393,15 @@ def heldout_loss(spark, sf_dir):
     return rounded(ngram.evaluate(sides))
 
 
+def heldout_loss_ready(spark, sf_dir):
+    """Orders 1, 4 and 6 over the ready-made vocabulary: fit on the train documents, measured on the test ones."""
+    words = ready(spark)
+    sided = split.hashed(documents(spark, sf_dir).where("text is not null"), ["doc_id"]).select("doc_id", "split", "text")
+    sides = cut(ngram.wide_counts(encode.bpe(sided, words), WIDE_GRAMS, F.col("split")))
+    losses = [ngram.evaluate(sides.where(F.col("gram") == g), len(words.tokens)).select(F.lit(g).alias("gram"), "*") for g in WIDE_GRAMS]
+    return rounded(reduce(DataFrame.unionByName, losses))
+
+
 def learning_curve(spark, sf_dir):
     part = F.pmod(hash_number(shuffle_key(7, "doc_id")), F.lit(CURVE_PARTS))
     key = F.when(F.col("split") == "test", -1).otherwise(part)
@@ -528,7 +539,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         id_frequency, frequent_ids, overflow_chunks,
         pack_blocks, pack_hash, pack_sources, pack_document_order, pack_report, map_batches, collate_pad,
         next_token_pairs, epoch_manifest, lr_schedule, word_manifest, word_schedule,
-        ngram_counts, ngram_probs, heldout_loss, learning_curve, doc_scores, worst_documents, label_loss,
+        ngram_counts, ngram_probs, heldout_loss, heldout_loss_ready, learning_curve, doc_scores, worst_documents, label_loss,
         prompt_context, sample_step, greedy_step, generate_ids,
         bundle_audit, bundle_missing, bundle_upload, bundle_export,
     ]
