@@ -84,3 +84,19 @@ def test_blocks_are_written_by_split(spark, tmp_path):
     df = spark.createDataFrame([("train", [1]), ("test", [2])], "split string, input_ids array<int>")
     files.write_blocks(df, str(tmp_path / "blocks"))
     assert {p.name for p in (tmp_path / "blocks").glob("split=*")} == {"split=train", "split=test"}
+
+
+@pytest.mark.parametrize("separator", ["\n\n", "\n--- new\n", " / "])
+def test_all_corpora_are_written_by_one_call(spark, tmp_path, separator):
+    rows = [("hot", i, f"line {i}\nsecond {i}") for i in range(300)] + [(g, i, f"{g}{i}") for g in "abc" for i in range(3)] + [(None, 0, "none")]
+    df = spark.createDataFrame(rows, "source string, doc_id long, text string").repartition(5)
+    pieces = corpus.compile_corpus(df, ["source"], "doc_id", separator=separator)
+    files.write_corpora(pieces, "source", str(tmp_path / "out"), separator)
+    folders = {p.name.split("=")[1]: p for p in (tmp_path / "out").glob("source=*")}
+    assert len(list(folders["hot"].glob("part-*"))) > 1
+    for name, folder in folders.items():
+        source = None if name.startswith("__HIVE") else name
+        texts = [t for g, _, t in rows if g == source]
+        written = "".join(s.read_text(encoding="utf-8") for s in sorted(folder.glob("part-*")))
+        assert written == separator.join(texts) + ("\n" if "\n" in separator else separator)
+    assert len(folders) == 5

@@ -1,10 +1,11 @@
 import hashlib
 import math
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from tokenloom.operators import split
+from tokenloom.operators import ordering, split
 from tokenloom.operators.ordering import hash_segment, prefix_sum, range_segment, row_rank
 
 
@@ -75,3 +76,17 @@ def test_border_of_tiny_tables(spark):
     assert sorted(r.split for r in split.exact(spark.range(2).withColumnRenamed("id", "n"), ["n"]).collect()) == ["test", "train"]
     with pytest.raises(ValueError):
         split.exact(spark.range(1).withColumnRenamed("id", "n"), ["n"])
+
+
+def test_outliers_and_dense_stretches_leave_no_large_segment(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "QUANTILES", 20)
+    ids = [*range(4000), *range(10**9, 10**9 + 4000, 2), 10**15, -(10**12)]
+    df = spark.createDataFrame([(i,) for i in ids] + [(None,)], "ord long")
+    for rows, most in ((1000, 1500), (10, 8003 // 20 * 2)):
+        cut = df.select("ord", range_segment(df, "ord", rows).alias("s")).collect()
+        sizes = Counter(r.s for r in cut)
+        assert max(sizes.values()) <= most and sizes[-1] == 1
+        inside = sorted((r.ord, r.s) for r in cut if r.ord is not None)
+        assert [s for _, s in inside] == sorted(s for _, s in inside)
+    assert {r.s for r in df.select(range_segment(df, "ord").alias("s")).collect()} == {-1, 0}
+    assert df.where("false").select(range_segment(df.where("false"), "ord").alias("s")).collect() == []

@@ -432,3 +432,15 @@ def wide_ngram_counter(orders: tuple[int, ...], table: np.ndarray):
                 yield gram_batch(names, group[here], order, context, ids[here], total)
 
     return run
+
+
+def segments(edges: np.ndarray, widths: np.ndarray, inner: int):
+    """order value -> number of its range, each of the ranges that begin at ``edges`` cut into ``inner`` equal widths."""
+
+    def run(values: pa.Array) -> pa.Array:
+        v = pc.fill_null(values, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        at = np.searchsorted(edges, v, "right") - 1
+        segment = at * inner + (v - edges[at]) // widths[at]
+        return pa.array(np.where(values.is_null().to_numpy(zero_copy_only=False), -1, segment))
+
+    return run

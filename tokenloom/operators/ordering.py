@@ -6,12 +6,15 @@ each segment is then scanned on its own, so a hot group is spread over as many t
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenloom.functions.text import hash_number, whole_div
+from tokenloom.functions import kernels
+from tokenloom.functions.text import hash_number
 
 HASH_DIGITS = 4
+QUANTILES = 1000
 
 
 def hash_segment(key: Column | str) -> Column:
@@ -20,17 +23,25 @@ def hash_segment(key: Column | str) -> Column:
 
 
 def range_segment(df: DataFrame, order: str, rows: int = 65_536) -> Column:
-    """Segment of a numeric order column: equal-width ranges of about ``rows`` rows on average.
+    """Segment of a whole-number order column: ranges between quantiles, so an outlier or a dense stretch changes nothing.
 
-    One aggregate over a single column decides the width.
+    One aggregate over a single column finds the quantiles. A segment holds about ``rows`` rows. Of a table of more than
+    ``QUANTILES`` times as many, the ranges between quantiles are cut into equal widths, and a segment holds at most
+    1 / ``QUANTILES`` of the table. Rows without an order value come first, as in a sort.
     """
-    low, high, n = df.agg(F.min(order), F.max(order), F.count(F.lit(1))).first()
-    if low is None:
-        return F.lit(0).cast("long")
-    parts = max(1, -(-n // rows))
-    width = max(1, -(-(int(high) - int(low) + 1) // parts))
-    # Rows without an order value come first, as in a sort.
-    return F.coalesce(whole_div(F.col(order) - F.lit(low), width), F.lit(-1))
+    value = F.col(order).cast("long")
+    marks = F.percentile_approx(value, [i / QUANTILES for i in range(1, QUANTILES)], 10 * QUANTILES)
+    low, high, n, found = df.agg(F.min(value), F.max(value), F.count(value), marks).first()
+    parts = -(-n // rows)
+    if parts < 2:
+        return F.when(value.isNull(), -1).otherwise(0).cast("long")
+    picked = found if parts >= QUANTILES else [found[max(0, i * QUANTILES // parts - 1)] for i in range(1, parts)]
+    bounds = np.unique(np.array(picked, np.int64))
+    bounds = bounds[bounds > low]
+    edges = np.r_[low, bounds]
+    inner = max(1, -(-parts // QUANTILES))
+    widths = [max(1, -(-(int(end) - int(start) + 1) // inner)) for start, end in zip(edges, [*bounds, high])]
+    return F.arrow_udf(kernels.segments(edges, np.array(widths, np.int64), inner), "long")(value)
 
 
 def prefix_sum(

@@ -69,18 +69,36 @@ def write_corpus(pieces: DataFrame, path: str, separator: str = SEPARATOR) -> No
     ``pieces`` is one compiled corpus. Where the separator has a newline, the lines of all pieces and separators are
     written. Otherwise the separator is written after every piece, so also after the last.
     """
+    _write_ordered(pieces, [], path, separator)
+
+
+def write_corpora(pieces: DataFrame, group: str, path: str, separator: str = SEPARATOR) -> None:
+    """S3: all corpora of a compiled table in one job, each as ``write_corpus`` would, in a folder ``<group>=<value>``.
+
+    Rows are dealt by ranges of (group, order), so a large corpus is written by many tasks and small ones share a task.
+    """
+    _write_ordered(pieces, [group], path, separator)
+
+
+def _write_ordered(pieces: DataFrame, group: list[str], path: str, separator: str) -> None:
     n = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = pieces.repartitionByRange(n, "ord").sortWithinPartitions("ord")
-    if "\n" not in separator:
-        ordered.select("text").write.mode("overwrite").option("lineSep", separator).text(path)
-        return
-    head, *middle, tail = separator.split("\n")
-    first = F.col("char_offset") == 0
-    last = F.col("ord") == F.lit(pieces.agg(F.max("ord")).first()[0])
-    between = F.when(first, F.array().cast("array<string>")).otherwise(F.array(*[F.lit(m) for m in middle]))
-    own = F.concat(F.when(first, "").otherwise(tail), F.col("text"), F.when(last, "").otherwise(head))
-    lines = F.concat(between, F.split(own, "\n"))
-    ordered.select(F.explode(lines).alias("value")).write.mode("overwrite").text(path)
+    if "\n" in separator:
+        head, *middle, tail = separator.split("\n")
+        if group:
+            end = pieces.groupBy(*group).agg(F.max("ord").alias("__last"))
+            joined = pieces.join(end.withColumnRenamed(group[0], "__group"), F.col(group[0]).eqNullSafe(F.col("__group")))
+            last = F.col("ord") == F.col("__last")
+        else:
+            joined, last = pieces, F.col("ord") == F.lit(pieces.agg(F.max("ord")).first()[0])
+        first = F.col("char_offset") == 0
+        between = F.when(first, F.array().cast("array<string>")).otherwise(F.array(*[F.lit(m) for m in middle]))
+        own = F.concat(F.when(first, "").otherwise(tail), F.col("text"), F.when(last, "").otherwise(head))
+        body, ends = joined.select(*group, "ord", F.concat(between, F.split(own, "\n")).alias("value")), "\n"
+        shown = F.explode("value").alias("value")
+    else:
+        body, ends, shown = pieces.select(*group, "ord", F.col("text").alias("value")), separator, F.col("value")
+    ordered = body.repartitionByRange(n, *group, "ord").sortWithinPartitions(*group, "ord").select(*group, shown)
+    ordered.write.mode("overwrite").partitionBy(*group).option("lineSep", ends).text(path)
 
 
 def write_blocks(blocks: DataFrame, path: str) -> None:
