@@ -9,8 +9,9 @@ Places are prefix sums of segment lengths, summed by blocks of turns first, so a
 
 Edge cases: a null speaker is the participant ``unknown``, a null text is empty, a null turn comes first, null
 conversation ids are one dialogue; turns with equal numbers are ordered by speaker and text, and repeated rows are
-rendered each; a dialogue of system turns alone has no rendering; ``<|`` in texts and names is written ``< |``, so no text
-can pass for a mark; extra columns are ignored.
+rendered each; a dialogue of system turns alone has no rendering; ``<|`` in texts and names is written ``< |``, and in
+names ``|>`` is written ``| >`` and a line end or other control character a blank, so neither can pass for a mark; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,6 +30,28 @@ def plain(text: Column) -> Column:
     return F.replace(text, F.lit("<|"), F.lit("< |"))
 
 
+def plain_name(name: Column) -> Column:
+    """A name on one line that neither ends the mark it stands in nor, with what follows, begins another."""
+    line = F.regexp_replace(name, r"[\p{Cc}\p{Zl}\p{Zp}]", " ")
+    return F.regexp_replace(F.replace(plain(line), F.lit("|>"), F.lit("| >")), "([<|])$", "$1 ")
+
+
+def assembled(turns: DataFrame, chars: int = 1 << 20) -> DataFrame:
+    """conv_id, perspective, chunk, text and masks of the rows of ``perspectives``: renderings as texts.
+
+    A rendering of up to ``chars`` characters is one row with chunk 0; a longer one is cut between turns about every ``chars``
+    characters, so no row grows with its dialogue. Masks are [start, end) within the row's text.
+    """
+    cut = F.floor(F.col("start") / chars).alias("chunk")
+    held = F.struct("start", "segment", "mask_start", "mask_end")
+    rows = turns.groupBy("conv_id", "perspective", cut).agg(F.array_sort(F.collect_list(held)).alias("turns"))
+    first = F.col("turns")[0]["start"]
+    trained = F.filter("turns", lambda t: t["mask_start"].isNotNull())
+    masks = F.transform(trained, lambda t: F.struct((t["mask_start"] - first).alias("start"), (t["mask_end"] - first).alias("end")))
+    text = F.array_join(F.transform("turns", lambda t: t["segment"]), "")
+    return rows.select("conv_id", "perspective", "chunk", text.alias("text"), masks.alias("masks"))
+
+
 def perspectives(
     turns: DataFrame,
     conversation: str = "conv_id",
@@ -50,7 +73,7 @@ def perspectives(
         .when(F.col("speaker") == F.col("perspective"), "assistant")
         .otherwise("user")
     )
-    name = F.when(F.col("part") == "user", F.concat(F.lit(" name="), plain(F.col("speaker")))).otherwise("")
+    name = F.when(F.col("part") == "user", F.concat(F.lit(" name="), plain_name(F.col("speaker")))).otherwise("")
     rotated = (
         said.join(people, "conv")
         .withColumn("part", part)
