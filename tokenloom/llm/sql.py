@@ -92,5 +92,67 @@ WHERE rank <= 2000
 """
 
 
+CHAT = """
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text FROM conversations),
+people AS (SELECT DISTINCT conv_id, speaker AS perspective FROM said WHERE speaker <> 'system'),
+rotated AS (
+    SELECT s.*, perspective, CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = perspective THEN 'assistant' ELSE 'user' END AS part
+    FROM said s JOIN people p ON p.conv_id IS NOT DISTINCT FROM s.conv_id),
+headed AS (
+    SELECT *, '<|' || part || CASE WHEN part = 'user' THEN ' name=' || regexp_replace(replace(replace(
+        regexp_replace(speaker, '[\\p{Cc}\\p{Zl}\\p{Zp}]', ' ', 'g'), '<|', '< |'), '|>', '| >'), '([<|])$', '\\1 ') ELSE '' END || '|>' || chr(10) AS head,
+        replace(text, '<|', '< |') AS body FROM rotated),
+placed AS (
+    SELECT *, head || body || '<|end|>' || chr(10) AS segment, coalesce(sum(length(head) + length(body) + 8) OVER (
+        PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+    FROM headed)
+SELECT conv_id, perspective, turn, part, segment, start, CASE WHEN part = 'assistant' THEN start + length(head) END AS mask_start,
+    CASE WHEN part = 'assistant' THEN start + length(head) + length(body) + 7 END AS mask_end FROM placed
+"""
+
+REPEATS = """
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS (SELECT r, h, unnest(range(length(h) // 2 - 199)) AS s FROM texts WHERE length(h) >= 400),
+windows AS (SELECT r, s, md5_number(substr(h, 2 * s + 1, 400)) AS w FROM starts),
+twice AS (SELECT w FROM windows GROUP BY w HAVING count(*) > 1),
+found AS (SELECT r, s, lag(s) OVER (PARTITION BY r ORDER BY s) AS last FROM windows WHERE w IN (SELECT w FROM twice)),
+numbered AS (SELECT r, s, sum(CASE WHEN last IS NULL OR s > last + 200 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY s) AS run FROM found),
+runs AS (SELECT r, run, min(s) AS a, max(s) + 200 AS b FROM numbered GROUP BY r, run),
+gaps AS (SELECT r, run, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM runs),
+kept AS (
+    SELECT t.r, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS k,
+        sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans
+    FROM gaps g JOIN texts t USING (r) GROUP BY t.r)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM texts LEFT JOIN kept USING (r)
+"""
+
+NEAR = """
+WITH RECURSIVE worded AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents),
+shingled AS (
+    SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS e FROM worded),
+sized AS MATERIALIZED (SELECT doc_id, len(e) AS n, e FROM shingled),
+elements AS MATERIALIZED (SELECT doc_id, n, unnest(e) AS x FROM sized),
+links AS MATERIALIZED (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM elements a JOIN elements b ON a.x = b.x AND a.doc_id < b.doc_id
+        AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+    GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (SELECT doc_id, doc_id AS t FROM sized UNION SELECT r.doc_id, l.b FROM reached r JOIN both_ways l ON l.a = r.t),
+lowest AS (SELECT doc_id, min(t) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM sized JOIN lowest USING (doc_id)
+"""
+
+
 def registry() -> dict[str, str]:
-    return {"op11_spelling": SPELLING, "op12_embeddings": EMBEDDINGS, "op13_collocations": COLLOCATIONS}
+    return {
+        "op4_chat": CHAT,
+        "op8_repeats": REPEATS,
+        "op9_near": NEAR,
+        "op11_spelling": SPELLING,
+        "op12_embeddings": EMBEDDINGS,
+        "op13_collocations": COLLOCATIONS,
+    }
