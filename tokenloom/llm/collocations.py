@@ -39,12 +39,12 @@ ID_BITS = 21
 FAN_BITS, DEEP = 6, 4
 FAN = 1 << FAN_BITS
 BURST = 32_768
-BUDGET = 1_000_000
+BUDGET = 800_000
 WORDS = 500_000
 PARTS = 8
-SPILL = 200_000
-HELD = 2_000_000
-SLICE_BYTES = 4 << 20
+SPILL = 100_000
+HELD = 1_000_000
+SLICE_BYTES = 2 << 20
 RUNS = "part int, lang string, phrases binary, n binary"
 COUNTS = "lang string, phrase string, words int, f long"
 
