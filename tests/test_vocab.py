@@ -203,3 +203,16 @@ def test_changes_are_counted_in_touched_words_only():
     assert kernels.touched(at, ids, merges).tolist() == [True, False, False]
     (after,) = kernels.merged_words(merges)([batch])
     assert [kernels.unpacked_lists(after.column(0))[1].tolist()] == [[9, 3, 9, 4, 5, 2, 1]]
+
+
+def test_written_files_are_read_by_the_public_library(spark, tmp_path):
+    df = spark.createDataFrame([("".join(LINES),)], "text string")
+    learnt = vocab.learn_merges(vocab.word_counts(df), 300)
+    for _ in range(2):  # written again in place
+        disk.write_json(spark, learnt, str(tmp_path / "out"))
+    files = {p.name for p in (tmp_path / "out").iterdir() if not p.name.startswith(".")}
+    assert files == {"vocab.json", "merges.txt"} and (tmp_path / "out/vocab.json").is_file()
+    tok = ByteLevelBPETokenizer.from_file(str(tmp_path / "out/vocab.json"), str(tmp_path / "out/merges.txt"))
+    lines = spark.createDataFrame([(line,) for line in LINES if "<|" not in line], "text string")
+    got = encode.bpe(lines.withColumn("shown", lines.text), learnt).collect()
+    assert {r.shown: r.input_ids for r in got} == {r.text: tok.encode(r.text).ids for r in lines.collect()}

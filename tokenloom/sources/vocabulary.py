@@ -1,5 +1,7 @@
 """Vocabulary and merges on disk (S4, S5): parquet tables, or the public vocab.json and merges.txt forms."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,15 +22,29 @@ def read_tables(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 
 def write_json(spark: SparkSession, vocabulary: Vocabulary, path: str) -> None:
-    """``vocab.json`` (one object) and ``merges.txt`` folders; both are as small as the vocabulary."""
+    """The files ``vocab.json`` (one object) and ``merges.txt`` below ``path``, as public tools read them."""
     vocab, merges = vocabulary.tables(spark)
     entry = F.struct("token", "token_id")
     whole = vocab.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(entry)))).alias("value"))
-    whole.coalesce(1).write.mode("overwrite").text(f"{path}/vocab.json")
+    _write_file(whole, f"{path}/vocab.json")
     rules = merges.select("rank", F.concat_ws(" ", "left", "right").alias("value"))
     header = spark.createDataFrame([(-1, MERGES_HEADER)], "rank int, value string")
-    lines = header.union(rules).coalesce(1).sortWithinPartitions("rank").select("value")
-    lines.write.mode("overwrite").text(f"{path}/merges.txt")
+    _write_file(header.union(rules).coalesce(1).sortWithinPartitions("rank").select("value"), f"{path}/merges.txt")
+
+
+def _write_file(lines: DataFrame, path: str) -> None:
+    """One text file in place of a folder of parts; what is written is no larger than a vocabulary."""
+    spark = lines.sparkSession
+    parts = f"{path}-{uuid.uuid4().hex}"
+    lines.coalesce(1).write.text(parts)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target, folder = hadoop.Path(path), hadoop.Path(parts)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    (part,) = [s.getPath() for s in system.listStatus(folder) if s.getPath().getName().startswith("part-")]
+    if system.exists(target):
+        system.delete(target, True)
+    system.rename(part, target)
+    system.delete(folder, True)
 
 
 def read_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
