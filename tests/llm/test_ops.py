@@ -125,6 +125,23 @@ def test_languages_of_held_out_documents(spark):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_unequal_samples_compete_fairly(spark):
+    rows_ = [(r.lang, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("lang", "text").collect()]
+    texts = {lang: [t for has, t in rows_ if has == lang and len(t) > 200] for lang in ("en", "fr")}
+    counts = {}
+    for size in (100, 300, 32_000):
+        model = language.Model({"en": [t[:1000] for t in texts["en"][:32]], "fr": ["".join(texts["fr"][:32])[:size]]})
+        right = 0
+        for lang in ("en", "fr"):
+            for text in texts[lang][-40:]:
+                symbols, _ = language._characters(text[:600], model)
+                size_ = np.array([len(symbols)])
+                bits = model.phrases(symbols.astype(np.int64), np.zeros(1, np.int64), size_)[:, 0] * model.bits
+                right += model.languages[bits.argmin()] == lang
+        counts[size] = right / 80
+    assert counts[100] >= 0.9 and min(counts[300], counts[32_000]) >= 0.97
+
+
 def test_language_of_odd_texts(spark):
     got = language.identify(documents(spark, ODD)).collect()
     assert len(got) == len(ODD)

@@ -1,13 +1,15 @@
 """Language identification by cross-parsing entropy.
 
 For each language a suffix automaton is built of labelled text. A text is parsed into phrases, each the longest match in
-that language's text from where the last one ended; the language that needs the fewest phrases for a character wins.
+that language's text from where the last one ended. A phrase is named by its place in a training text of n characters, which
+takes log2(n) bits; the language that needs the fewest bits wins. So languages with more training text, whose phrases are
+longer for that alone, have no advantage.
 
 The training text is a bounded sample: for each language the ``SAMPLE_ROWS`` labelled documents with the least hash of
 their id, ``SAMPLE_CHARS`` characters of each. So the automata have a size set by parameters and are broadcast. Every text
 is parsed whole, in segments of ``SEGMENT`` characters side by side; a phrase ends at the end of a segment.
 
-The score is the runner-up's number of phrases over the sum of the two best (0.5 for a tie up to 1); it is 1 with one
+The score is the runner-up's number of bits over the sum of the two best (0.5 for a tie up to 1); it is 1 with one
 language. Ties go to the language that sorts first.
 
 Edge cases: a text that is null or has no letter is ``und`` with score 0, as is every text where no label was learnt from;
@@ -87,6 +89,7 @@ class Model:
             self.symbol[ord(c)] = i + 1
         self.width = len(alphabet) + 1
         self.tables = [self._table(texts[name]) for name in self.languages]
+        self.bits = np.array([np.log2(max(2, len(texts[name]))) for name in self.languages])
         self.space = int(self.symbol[32])
 
     def _table(self, text: str) -> np.ndarray:
@@ -144,10 +147,10 @@ def _predict(shared):
                 shift = (np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * SEGMENT
                 start = np.repeat(np.cumsum(sizes) - sizes, pieces) + shift
                 counted = model.phrases(symbols, start, np.minimum(SEGMENT, sizes[row] - shift))
-                totals = np.stack([np.bincount(row, c, len(texts)) for c in counted], axis=1)
+                totals = np.stack([np.bincount(row, c, len(texts)) for c in counted], axis=1) * model.bits
                 best = totals.argmin(axis=1)
                 two = np.sort(totals, axis=1)[:, :2]
-                score = two[:, 1] / np.maximum(two.sum(axis=1), 1) if len(model.languages) > 1 else np.ones(len(texts))
+                score = two[:, 1] / np.maximum(two.sum(axis=1), 1e-9) if len(model.languages) > 1 else np.ones(len(texts))
                 known = np.array([letter for _, letter in coded])
                 names = [model.languages[b] if k else UNKNOWN for b, k in zip(best, known)]
                 held = [batch.column(i).slice(part.first, len(texts)) for i in (0, 1)]
