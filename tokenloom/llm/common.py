@@ -1,6 +1,6 @@
 """Arrow and numpy helpers shared by the operators: views of text columns, word spans and hashes of byte ranges.
 
-Texts are handled in slices of whole documents of about a megabyte, so memory in a task follows the slice, not the
+Texts are handled in slices of whole documents of about half a megabyte, so memory in a task follows the slice, not the
 partition. A document larger than a slice makes a slice of its own.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tokenloom.session import ensure_checkpoint_dir
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 U64 = np.uint64
 
 # White space of the query contracts is the blank and the bytes 9 to 13.
@@ -49,11 +49,11 @@ BASE = 0x5851F42D4C957F2B
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    """1, base, base^2, ... modulo the prime: at least n of them."""
+    """1, base, base^2, ... modulo the prime: n of them."""
     out = np.ones(1, U64)
     while len(out) < n:
         out = np.concatenate([out, out * U64(pow(base, len(out), PRIME)) % U64(PRIME)])
-    return out
+    return out[:n].copy()
 
 
 class _Powers:
