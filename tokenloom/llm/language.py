@@ -5,8 +5,10 @@ that language's text from where the last one ended. A phrase is named by its pla
 takes log2(n) bits; the language that needs the fewest bits wins. So languages with more training text, whose phrases are
 longer for that alone, have no advantage.
 
-The training text is a bounded sample: for each language the ``SAMPLE_ROWS`` labelled documents with the least hash of
-their id, ``SAMPLE_CHARS`` characters of each. So the automata have a size set by parameters and are broadcast. Every text
+The training text is a bounded sample of whole labelled documents: for each language those of up to ``SAMPLE_CHARS``
+characters first, then those of up to twice as many, and so on, by the least hash of their id, at most ``SAMPLE_ROWS`` of them
+and ``SAMPLE_ROWS * SAMPLE_CHARS`` characters in all (one document at least). So the automata have a size set by parameters
+and are broadcast. Every text
 is parsed whole, in segments of ``SEGMENT`` characters side by side; a phrase ends at the end of a segment.
 
 The score is the runner-up's number of bits over the sum of the two best (0.5 for a tie up to 1); it is 1 with one
@@ -163,10 +165,19 @@ def samples(docs: DataFrame, key: str, text: str, lang: str, rows: int = SAMPLE_
     """Training text of each language; its size is bounded by the parameters."""
     letters = F.col(text).rlike("\\p{L}")
     learnt = docs.where(F.col(lang).isNotNull() & letters & F.col(key).isNotNull() & ~held_out(F.col(key)))
-    order = Window.partitionBy(lang).orderBy(F.xxhash64(key), key, text)
-    picked = learnt.select(key, lang, F.substring(text, 1, chars).alias(text)).withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= rows)
+    # Documents are chosen by length and id alone; only the chosen ones' texts are fetched.
+    sized = learnt.select(F.col(key).alias("__key"), F.col(lang).alias("__lang"), F.char_length(text).alias("__length"))
+    doublings = F.ceil(F.log2(F.greatest("__length", F.lit(chars)) / chars))
+    order = Window.partitionBy("__lang").orderBy(doublings, F.xxhash64("__key"), "__key", "__length")
+    first = sized.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= rows)
+    upto = F.sum("__length").over(Window.partitionBy("__lang").orderBy("__n"))
+    chosen = first.withColumn("__upto", upto).where((F.col("__upto") <= rows * chars) | (F.col("__n") == 1))
+    # At most ``rows`` rows of a language, of at most MOST_LANGUAGES languages.
+    chosen = F.broadcast(chosen.orderBy("__lang", "__n").limit(rows * MOST_LANGUAGES + 1))
+    same = (F.col(key) == F.col("__key")) & (F.col(lang) == F.col("__lang")) & (F.char_length(text) == F.col("__length"))
+    picked = learnt.join(chosen, same).groupBy("__lang", "__n").agg(F.min(text).alias("__text"))
     found: dict[str, list[str]] = {}
-    for name, body in picked.select(lang, text).orderBy(lang, "__n").limit(rows * MOST_LANGUAGES + 1).collect():
+    for name, body in picked.orderBy("__lang", "__n").select("__lang", "__text").collect():
         found.setdefault(name, []).append(body)
     if len(found) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages; train on fewer labels")
