@@ -664,6 +664,18 @@ scored as (select part, sum(n)::bigint as n_pairs, sum(-n * ln(p)) / sum(n) as l
     }
     for name in STAGES:
         found[name] = stage_rows(name)
+    found["blocks_readback"] = found["pack_hash"]
+    found["corpora_readback"] = f"""
+with texts as (
+  select source, string_agg(regexp_replace(text, '\\r\\n?', {NL}, 'g'), {NL} || {NL} order by doc_id) as t
+  from documents where text is not null group by source),
+split_lines as (select source, unnest(string_split(t, {NL})) as line from texts)
+select source, count(*) as n_lines, sum(length(line))::bigint as n_chars,
+  sum(('0x' || substr(md5(line), 1, 8))::bigint)::bigint as line_sum from split_lines group by source"""
+    found["vocab_readback"] = (
+        with_(*merging, "named as (select unnest(toks) as token, unnest(range(len(toks)))::int as token_id from tokens)")
+        + "select token_id, token, case when token_id >= 258 then token_id - 258 end as rank from named"
+    )
     rules = ready_rules(ready_file())
     found["bpe_encode_ready"] = (
         with_recursive(MARKED, rules, ready_words("marked"))

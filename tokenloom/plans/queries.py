@@ -1,5 +1,6 @@
 """The registered queries: each wires operators to the given tables and returns a comparable result."""
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -10,7 +11,8 @@ from tokenloom.functions import alphabet
 from tokenloom.functions.text import byte_codes, hash_number, run_name, shuffle_key, whole_div
 from tokenloom.operators import audit, batches, corpus, encode, generate, ngram, pack, split, vocab
 from tokenloom.operators.ordering import hash_segment, range_segment, row_rank
-from tokenloom.session import cut, spread
+from tokenloom.session import cut, ensure_checkpoint_dir, spread
+from tokenloom.sources import files
 from tokenloom.sources import vocabulary as disk
 
 LINE = ("doc_id", "line_no")
@@ -108,6 +110,22 @@ def compile_summary(spark, sf_dir):
     return corpus.summary(table(spark, sf_dir, "documents"), ["source"])
 
 
+def scratch(spark) -> str:
+    """A new folder below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+
+
+def corpora_readback(spark, sf_dir):
+    """All corpora written by one call and read again by line: lines, characters and a sum over the lines of each source."""
+    path = scratch(spark)
+    files.write_corpora(corpus.compile_corpus(documents(spark, sf_dir), ["source"], "doc_id"), "source", path)
+    lines = spark.read.schema("value string, source string").text(path)
+    number = hash_number(F.md5("value"))
+    return lines.groupBy("source").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum(F.char_length("value")).alias("n_chars"), F.sum(number).alias("line_sum")
+    )
+
+
 # Splits
 
 
@@ -165,6 +183,15 @@ def bpe_encode(spark, sf_dir):
     return encoded.select(*LINE, F.size("input_ids").alias("n_ids"), fingerprint("input_ids").alias("ids_md5"))
 
 
+def vocab_readback(spark, sf_dir):
+    """The learnt vocabulary written as vocab.json and merges.txt and read again: tokens, and the rank of the merge that made each."""
+    path = scratch(spark)
+    disk.write_json(spark, learnt(spark, sf_dir), path)
+    tokens, rules = disk.read_json(spark, path)
+    made = rules.select(F.concat("left", "right").alias("token"), "rank")
+    return tokens.join(made, "token", "left").select("token_id", "token", "rank")
+
+
 def ready(spark) -> vocab.Vocabulary:
     """The ready-made vocabulary of 50,257 ids; it pads with end-of-text."""
     import public_tokenizers
@@ -273,6 +300,15 @@ def pack_hash(spark, sf_dir):
     return block_output(pack.blocks(pack.by_hash(rows), "codes", SHUFFLED, pack.BYTE_BLOCK), "codes")
 
 
+def blocks_readback(spark, sf_dir):
+    """The blocks of ``pack_hash`` written by split for trainers, and read again."""
+    sided = split.hashed(line_table(spark, sf_dir), LINE)
+    rows = sided.select(*LINE, "shuffle_key", "split", byte_codes("text").alias("codes"))
+    path = scratch(spark)
+    files.write_blocks(pack.with_labels(pack.blocks(pack.by_hash(rows), "codes", SHUFFLED, pack.BYTE_BLOCK), "codes"), path)
+    return block_output(spark.read.parquet(path).drop("labels"), "input_ids")
+
+
 def pack_sources(spark, sf_dir):
     """One batch per source, of any size, in shuffled line order."""
     docs = documents(spark, sf_dir)
@@ -531,13 +567,13 @@ def bundle_export(spark, sf_dir):
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     plain = [
-        line_scan, run_names, compile_sources, compile_conversations, compile_summary,
+        line_scan, run_names, compile_sources, compile_conversations, compile_summary, corpora_readback,
         split_exact, split_hash, split_grouped, shuffle_order,
         byte_vocab, special_tokens, word_counts, bpe_merges, bpe_vocab, bpe_encode, bpe_blocks,
-        ready_vocab, bpe_encode_ready,
+        ready_vocab, bpe_encode_ready, vocab_readback,
         byte_encode, special_literals, decode_roundtrip, coverage, inspect_encoding, token_stats,
         id_frequency, frequent_ids, overflow_chunks,
-        pack_blocks, pack_hash, pack_sources, pack_document_order, pack_report, map_batches, collate_pad,
+        pack_blocks, pack_hash, blocks_readback, pack_sources, pack_document_order, pack_report, map_batches, collate_pad,
         next_token_pairs, epoch_manifest, lr_schedule, word_manifest, word_schedule,
         ngram_counts, ngram_probs, heldout_loss, heldout_loss_ready, learning_curve, doc_scores, worst_documents, label_loss,
         prompt_context, sample_step, greedy_step, generate_ids,
