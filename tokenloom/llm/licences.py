@@ -2,9 +2,9 @@
 
 What is compared is every line of a text, wherever it stands, that holds one of ``MARKERS``, and every paragraph that does,
 so headers spread over several lines are seen whole. Of a file named like a licence, every paragraph is compared with
-the opening paragraphs of the licences themselves. A paragraph with more than ``FOREIGN`` distinct terms that no template has
-is running text: each of them weighs as much as the rarest term, so it could come near a template only by repeating that
-one's words dozens of times. Its lines are still compared. Terms are words of letters and digits. A term of a template is weighted by the logarithm of its
+the opening paragraphs of the licences themselves. A paragraph with so many distinct terms that no template has
+that the words of the longest template, each said once, can't make up for them (they weigh no more than the rarest term, as
+those do) is running text, of which only the lines are compared. Terms are words of letters and digits. A term of a template is weighted by the logarithm of its
 rarity among all documents; other terms weigh as much as the rarest, so a line that says more than a template is less like
 it. Template terms are a fixed, small table, so their weights are broadcast; document terms are joined sparsely. A file's
 own licence is its nearest template with a cosine of at least ``THRESHOLD``. A file without one inherits that of the
@@ -104,7 +104,6 @@ TEMPLATES = [
 MARKERS = "(?i)licen[cs]e|copyright|spdx"
 LICENCE_NAMES = "(?i)^(un)?licen[cs]e|^copying|^notice"
 PARAGRAPH = "\n[ \t\r/*#;-]*\n"
-FOREIGN = 200
 THRESHOLD = 0.6
 
 
@@ -148,9 +147,11 @@ def own_licences(files: DataFrame, templates: DataFrame) -> DataFrame:
     paragraphs = F.filter(F.split("text", PARAGRAPH), lambda part: named | says(part))
     # A paragraph of one line is that line.
     known = F.array(*[F.lit(t) for t in vocabulary])
+    longest = counted.groupBy("template").count().agg(F.max("count")).first()[0] or 0
+    foreign = longest * (1 / THRESHOLD**2 - 1)
     several = F.filter(
         paragraphs,
-        lambda part: (F.contains(part, F.lit("\n")) | ~says(part)) & (F.size(F.array_except(terms(part), known)) <= FOREIGN),
+        lambda part: (F.contains(part, F.lit("\n")) | ~says(part)) & (F.size(F.array_except(terms(part), known)) <= foreign),
     )
     said = marked.select("row", F.posexplode(F.concat(lines, several)).alias("line", "said"))
     units = said.select("row", "line", F.explode(terms(F.col("said"))).alias("term"))
