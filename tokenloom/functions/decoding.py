@@ -3,8 +3,12 @@
 The candidates of many prompts lie side by side in flat arrays, and every filter is one pass over them: a segmented sort, a
 segmented running sum, a segmented draw. ``sampling`` has the same filters for one prompt. What is two-dimensional (ids
 seen, histories, running sums) is cut into portions of rows of at most ``CELLS`` cells.
+
+Where prompts run to their end beside a copy of the model, ``Merged`` keeps the merged levels of every context met, and
+the filters run over rows of that matrix.
 """
 
+import hashlib
 import sys
 from dataclasses import dataclass
 
@@ -18,7 +22,9 @@ from tokenloom.functions.sampling import BACKOFF, EOS_ID, STAGES, Options, unifo
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-CELLS = 1 << 24
+CELLS = 1 << 20
+# Of the matrix of merged contexts that is kept from step to step.
+KEPT_CELLS = 1 << 22
 Lists = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
@@ -59,7 +65,7 @@ class Prompts:
     def of(cls, offsets: np.ndarray, items: np.ndarray, n_ids: int, room: int) -> "Prompts":
         length = np.diff(offsets)
         row = np.repeat(np.arange(len(length)), length)
-        ids = np.full((len(length), max(1, length.max(initial=0) + room)), -1, np.int64)
+        ids = np.full((len(length), max(1, length.max(initial=0) + room)), -1, np.int16 if n_ids < 1 << 15 else np.int32)
         ids[row, np.arange(len(items)) - np.repeat(offsets[:-1] - offsets[0], length)] = items
         seen = np.zeros((len(length), n_ids), bool)
         seen[row, items] = True
@@ -68,6 +74,10 @@ class Prompts:
     def some(self, rows: np.ndarray) -> "Prompts":
         return Prompts(self.ids[rows], self.length[rows], self.seen[rows])
 
+    def put(self, rows: np.ndarray, others: "Prompts") -> None:
+        """Take over the histories of ``others`` as ``rows``."""
+        self.ids[rows], self.length[rows] = others.ids, others.length
+
     def append(self, rows: np.ndarray, new: np.ndarray) -> None:
         self.ids[rows, self.length[rows]] = new
         self.seen[rows, new] = True
@@ -103,23 +113,29 @@ def penalise(c: Candidates, prompts: Prompts, penalty: float) -> Candidates:
     return Candidates(c.row, c.ids, np.where(prompts.seen[c.row, c.ids], shrunk, c.scores), c.n)
 
 
-def ban_repeats(c: Candidates, prompts: Prompts, size: int) -> Candidates:
-    """Drop ids that would complete an n-gram the history already holds."""
-    if not size:
-        return c
+def repeats(prompts: Prompts, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Prompts (by row) and ids that would complete an n-gram the history already holds."""
     rows = np.flatnonzero(prompts.length >= size)
-    longest = prompts.length[rows].max(initial=0)
-    if not len(rows):
-        return c
-    ids, length = prompts.ids[rows], prompts.length[rows]
-    starts = np.arange(longest - size + 1)
+    if not size or not len(rows):
+        return rows[:0], rows[:0]
+    some = prompts if len(rows) == len(prompts.length) else prompts.some(rows)
+    ids, length = some.ids, some.length
+    starts = np.arange(length.max() - size + 1)
     same = starts <= (length - size)[:, None]
     for i in range(size - 1):
         last = ids[np.arange(len(rows)), length - size + 1 + i]
         same &= ids[:, i : i + len(starts)] == last[:, None]
     row, start = np.nonzero(same)
+    return rows[row], ids[row, start + size - 1]
+
+
+def ban_repeats(c: Candidates, prompts: Prompts, size: int) -> Candidates:
+    """Drop ids that would complete an n-gram the history already holds."""
+    rows, ids = repeats(prompts, size)
+    if not len(rows):
+        return c
     banned = np.zeros((c.n, prompts.seen.shape[1]), bool)
-    banned[rows[row], ids[row, start + size - 1]] = True
+    banned[rows, ids] = True
     return c.keep(~banned[c.row, c.ids])
 
 
@@ -182,10 +198,13 @@ def next_ids(levels: list[Lists], prompts: Prompts, options: Options, names: np.
 
 def portions(offsets: np.ndarray, n_ids: int, room: int = 0) -> list[tuple[int, int]]:
     """Ranges of rows whose matrices stay below ``CELLS`` cells, as long as a single row does."""
-    widest = max(n_ids, int(np.diff(offsets).max(initial=0)) + room)
-    step = max(1, CELLS // widest)
-    rows = len(offsets) - 1
-    return [(low, min(low + step, rows)) for low in range(0, rows, step)]
+    sizes, low, out = np.diff(offsets), 0, []
+    while low < len(sizes):
+        high = low + max(1, CELLS // max(n_ids, int(sizes[low]) + room))
+        high = low + max(1, CELLS // max(n_ids, int(sizes[low:high].max()) + room))
+        out.append((low, min(high, len(sizes))))
+        low = high
+    return out
 
 
 def cut_lists(lists: Lists, low: int, high: int) -> Lists:
@@ -263,30 +282,131 @@ class Contexts:
         return np.r_[0, np.cumsum(sizes)], self.ids[flat], self.shares[flat]
 
 
+class Merged:
+    """The candidates of every context met, its levels merged once: rows of a matrix with a column for each id of the model.
+
+    Columns are in order of ids, so of equal scores the smaller id stands first. Scores are held as costs, their negatives,
+    so that a sort puts the best first; what is no candidate costs infinitely much.
+    """
+
+    def __init__(self, model: list[Contexts], n_ids: int, penalty: float):
+        self.model, self.n_ids, self.penalty = model, n_ids, penalty
+        self.ids = np.unique(np.concatenate([m.ids for m in model])).astype(np.int64)
+        self.column = np.full(n_ids, -1)
+        self.column[self.ids] = np.arange(len(self.ids))
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[int, int] = {}
+        self.costs = self.penalised = np.empty((0, len(self.ids)))
+
+    def keys(self, prompts: Prompts) -> np.ndarray:
+        """The longest context of each prompt as one number, from which those of all levels follow; negative if it is short."""
+        grams = len(self.model)
+        number = prompts.context(grams, self.n_ids)
+        for length in range(min(grams - 1, prompts.length.min(initial=grams)), grams - 1):
+            short = prompts.length == length
+            number[short] = -1 - sum(self.n_ids**i for i in range(length)) - prompts.context(length + 1, self.n_ids)[short]
+        return number
+
+    def rows(self, prompts: Prompts) -> np.ndarray:
+        """Where the context of each prompt stands in the matrix."""
+        keys, first, back = np.unique(self.keys(prompts), return_index=True, return_inverse=True)
+        if (len(self.known) + len(keys)) * len(self.ids) > KEPT_CELLS and not all(k in self.known for k in keys.tolist()):
+            self.forget()
+        at = np.array([self.known.get(k, -1) for k in keys.tolist()], np.int64)
+        fresh = np.flatnonzero(at < 0)
+        if len(fresh):
+            self.add(prompts.some(first[fresh]))
+            at[fresh] = np.arange(len(self.known), len(self.known) + len(fresh))
+            self.known.update(zip(keys[fresh].tolist(), at[fresh].tolist()))
+        return at[back]
+
+    def add(self, prompts: Prompts) -> None:
+        n, grams = len(prompts.length), len(self.model)
+        c = merge_levels([m.of(prompts.context(grams - k, self.n_ids)) for k, m in enumerate(self.model)], n)
+        costs = np.full((2, n, len(self.ids)), np.inf)
+        costs[0, c.row, self.column[c.ids]] = -c.scores
+        costs[1, c.row, self.column[c.ids]] = -np.where(c.scores > 0, c.scores / self.penalty, c.scores * self.penalty)
+        self.costs, self.penalised = np.concatenate([self.costs, costs[0]]), np.concatenate([self.penalised, costs[1]])
+
+    def next_ids(self, prompts: Prompts, options: Options, u: np.ndarray) -> np.ndarray:
+        """G3-G8 for every prompt: the drawn id, -1 if there is no candidate."""
+        rows, at = self.rows(prompts), np.arange(len(prompts.length))
+        if not len(self.ids):
+            return np.full(len(at), -1, np.int64)
+        costs = self.costs[rows]
+        np.copyto(costs, self.penalised[rows], where=prompts.seen[:, self.ids])
+        banned, ids = repeats(prompts, options.no_repeat_ngram_size)
+        column = self.column[ids]
+        costs[banned[column >= 0], column[column >= 0]] = np.inf
+        if not options.do_sample or options.temperature == 0:
+            column = costs.argmin(axis=1)
+            some = np.isfinite(costs[at, column]) & (options.top_p > 0)
+        else:
+            column, some = drawn(costs, u, options)
+        return np.where(some, self.ids[column], -1)
+
+
+def drawn(costs: np.ndarray, u: np.ndarray, options: Options) -> tuple[np.ndarray, np.ndarray]:
+    """The drawn column of every row, and whether there is one."""
+    at = np.arange(len(costs))
+    ordered = np.sort(costs, axis=1)
+    some = np.isfinite(ordered[:, 0])
+    ordered[~some] = 0
+    shares = np.exp((ordered[:, :1] - ordered) / options.temperature)
+    shares /= np.cumsum(shares, axis=1)[:, -1:]
+    upto = np.cumsum(shares[:, : options.top_k or None], axis=1)
+    # What is kept by top-p is a beginning: the running mass before its last one is the last below the limit.
+    kept = (upto[:, :-1] < options.top_p * upto[:, -1:]).sum(axis=1) + 1
+    some &= options.top_p * upto[:, -1] > 0
+    place = np.minimum((upto <= (u * upto[at, kept - 1])[:, None]).sum(axis=1), kept - 1)
+    cost = ordered[at, place][:, None]
+    same = costs == cost
+    column = same.argmax(axis=1)
+    tied = place - (ordered < cost).sum(axis=1)
+    later = np.flatnonzero(tied)
+    column[later] = (np.cumsum(same[later], axis=1) > tied[later, None]).argmax(axis=1)
+    return column, some
+
+
+def uniforms(seeds: list[bytes], step: int) -> np.ndarray:
+    """``sampling.uniform`` of many prompts; ``seeds`` holds what stands before the step in each one's text."""
+    last = str(step).encode()
+    head = b"".join([b"\0\0" + hashlib.md5(seed + last).digest()[:6] for seed in seeds])
+    return np.frombuffer(head, ">u8") / 16**12
+
+
 def all_steps(options: Options, grams: int, n_ids: int, eos_id: int = EOS_ID):
     """A group of prompts and a copy of a small model -> the prompts' final state."""
 
     def run(start: pa.Table, rows: pa.Table) -> pa.Table:
         model = [Contexts(rows.filter(pc.equal(rows["gram"], g))) for g in range(grams, 0, -1)]
+        merged = Merged(model, n_ids, options.repetition_penalty)
         out = []
-        for batch in start.combine_chunks().to_batches():
+        # Histories of like lengths side by side make narrow matrices.
+        for batch in start.take(pc.sort_indices(pc.list_value_length(start["history"]))).combine_chunks().to_batches():
             names = batch.column("prompt_id").to_numpy()
             offsets, items = batch_lists(batch, "history")
             for low, high in portions(offsets, n_ids, options.max_new_tokens):
                 own, ids = cut_lists((offsets, items), low, high)
                 prompts = Prompts.of(own, ids, n_ids, options.max_new_tokens)
                 n_new, done = np.zeros(high - low, np.int64), np.zeros(high - low, bool)
-                for _ in range(options.max_new_tokens):
-                    going = np.flatnonzero(~done)
+                seeds = [f"{options.seed}:{name}:".encode() for name in names[low:high].tolist()]
+                going, some = np.arange(high - low), prompts
+                for step in range(options.max_new_tokens):
                     if not len(going):
                         break
-                    some = prompts.some(going)
-                    levels = [m.of(some.context(grams - k, n_ids)) for k, m in enumerate(model)]
-                    new = next_ids(levels, some, options, names[low:high][going], n_new[going])
+                    new = merged.next_ids(some, options, uniforms(seeds, step))
                     ended = (new == -1) | (new == eos_id)
-                    done[going[ended]] = True
-                    prompts.append(going[~ended], new[~ended])
                     n_new[going[~ended]] += 1
+                    if ended.any():
+                        done[going[ended]] = True
+                        prompts.put(going[ended], some.some(ended))
+                        going, some, new = going[~ended], some.some(~ended), new[~ended]
+                        seeds = [seed for seed, e in zip(seeds, ended.tolist()) if not e]
+                    some.append(np.arange(len(going)), new)
+                prompts.put(going, some)
                 out.append(state_batch(names[low:high], prompts, n_new, done))
         return pa.Table.from_batches(out) if out else state_table()
 
