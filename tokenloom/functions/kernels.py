@@ -12,6 +12,9 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NO_RANK = np.iinfo(np.int64).max
+# Tokens or bytes worked on at a time, so that working memory follows the slice and not the batch, and words kept merged.
+SLICE = 1 << 19
+CACHED_WORDS = 1 << 17
 
 
 def flat_bytes(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -26,15 +29,25 @@ def flat_bytes(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def flat_lists(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Row offsets and the joined items of a list array of integers (null rows count as empty)."""
+    return list_offsets(values), values.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def list_offsets(values: pa.Array) -> np.ndarray:
+    """Row offsets into ``values.flatten()``."""
     sizes = pc.fill_null(pc.list_value_length(values), 0).to_numpy(zero_copy_only=False)
     offsets = np.zeros(len(values) + 1, np.int64)
     np.cumsum(sizes, out=offsets[1:])
-    return offsets, values.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    return offsets
 
 
 def as_lists(offsets: np.ndarray, items: np.ndarray, like: pa.Array) -> pa.Array:
     mask = like.is_null() if like.null_count else None
-    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(items.astype(np.int32)), mask=mask)
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(items.astype(np.int32, copy=False)), mask=mask)
+
+
+def spans(n: int):
+    """Ranges of at most ``SLICE`` places of ``n``."""
+    return ((low, min(low + SLICE, n)) for low in range(0, n, SLICE))
 
 
 def expand(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -49,7 +62,10 @@ def code_lookup(table: np.ndarray):
 
     def run(codes: pa.Array) -> pa.Array:
         offsets, raw = flat_bytes(codes)
-        return as_lists(offsets, table[raw], codes)
+        ids = np.empty(len(raw), np.int32)
+        for low, high in spans(len(raw)):
+            ids[low:high] = table[raw[low:high]]
+        return as_lists(offsets, ids, codes)
 
     return run
 
@@ -62,14 +78,19 @@ def id_bytes(pieces: list[bytes], skip: tuple[int, ...]):
     raw = np.frombuffer(b"".join(kept), np.uint8)
 
     def run(ids: pa.Array) -> pa.Array:
-        offsets, items = flat_lists(ids)
-        lengths = sizes[items]
-        data = raw[expand(starts[items], lengths)]
-        ends = np.concatenate([[0], np.cumsum(lengths)])[offsets].astype(np.int32)
+        offsets, items = list_offsets(ids), ids.flatten().to_numpy(zero_copy_only=False)
+        ends, parts, total = np.zeros(len(offsets), np.int32), [], 0
+        for low, high in spans(len(items)):
+            some = items[low:high]
+            lengths = sizes[some]
+            upto = total + np.cumsum(lengths)
+            first, last = np.searchsorted(offsets, [low, high], "right")
+            ends[first:last] = upto[offsets[first:last] - low - 1]
+            parts.append(raw[expand(starts[some], lengths)])
+            total = int(upto[-1])
         mask = pc.invert(ids.is_null()).buffers()[1] if ids.null_count else None
-        return pa.BinaryArray.from_buffers(
-            pa.binary(), len(ids), [mask, pa.py_buffer(ends.tobytes()), pa.py_buffer(data.tobytes())]
-        )
+        data = np.concatenate(parts) if parts else raw[:0]
+        return pa.BinaryArray.from_buffers(pa.binary(), len(ids), [mask, pa.py_buffer(ends), pa.py_buffer(data)])
 
     return run
 
@@ -163,7 +184,9 @@ class Literals:
 
     def find(self, offsets: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start, end and id of every match; no match crosses a row."""
-        start = np.flatnonzero(self.next[0][raw] > 0)
+        first = self.next[0] > 0
+        found = [low + np.flatnonzero(first[raw[low:high]]) for low, high in spans(len(raw))]
+        start = np.concatenate([np.empty(0, np.int64), *found])
         limit = offsets[np.searchsorted(offsets, start, "right")] if len(start) else start
         end, found = np.zeros(len(start), np.int64), np.full(len(start), -1, np.int64)
         going, at, state = np.arange(len(start)), start.copy(), np.zeros(len(start), np.int32)
@@ -203,9 +226,13 @@ def literal_splitter(literals: Literals):
         begins[first], begins[~first] = offsets[:-1], end
         ends[last], ends[~last], marks[~last] = offsets[1:], start, found
         lengths = ends - begins
-        data = raw if not len(start) else raw[expand(begins, lengths)]
+        # Literals do not overlap, so one mark at each end tells what lies inside one.
+        inside = np.zeros(len(raw) + 1, np.int8)
+        inside[start] += 1
+        inside[end] -= 1
+        data = raw[np.cumsum(inside[:-1], dtype=np.int8) == 0] if len(start) else np.ascontiguousarray(raw)
         at = np.r_[0, np.cumsum(lengths)].astype(np.int32)
-        pieces = pa.StringArray.from_buffers(len(lengths), pa.py_buffer(at.tobytes()), pa.py_buffer(np.ascontiguousarray(data)))
+        pieces = pa.StringArray.from_buffers(len(lengths), pa.py_buffer(at), pa.py_buffer(data))
         lists = pa.array(bounds.astype(np.int32))
         columns = [pa.ListArray.from_arrays(lists, x) for x in (pieces, pa.array(marks.astype(np.int32)))]
         return pa.StructArray.from_arrays(columns, ["pieces", "marks"])
@@ -213,35 +240,71 @@ def literal_splitter(literals: Literals):
     return run
 
 
+class MergedWords:
+    """Words with their merges applied, kept from batch to batch: most words of a batch were in an earlier one."""
+
+    def __init__(self, byte_table: np.ndarray, merges: Merges):
+        self.byte_table, self.merges = byte_table, merges
+        self.forget()
+
+    def forget(self) -> None:
+        self.known, self.at, self.ids = {}, np.zeros(1, np.int64), np.empty(0, np.int64)
+
+    def of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size in ``ids`` of each of some distinct words."""
+        if len(self.known) + len(words) > CACHED_WORDS:
+            self.forget()
+        names = words.cast(pa.binary()).to_pylist()
+        place = np.fromiter((self.known.get(name, -1) for name in names), np.int64, len(names))
+        fresh = np.flatnonzero(place < 0)
+        if len(fresh):
+            offsets, raw = flat_bytes(words.take(pa.array(fresh)))
+            at, ids = merge_words(offsets, self.byte_table[raw], self.merges)
+            place[fresh] = np.arange(len(self.known), len(self.known) + len(fresh))
+            self.known.update(zip([names[i] for i in fresh.tolist()], place[fresh].tolist()))
+            self.at, self.ids = np.r_[self.at, len(self.ids) + at[1:]], np.r_[self.ids, ids]
+        return self.at[place], self.at[place + 1] - self.at[place]
+
+
 def word_encoder(byte_table: np.ndarray, merges: Merges):
     """list of words per piece and row, and the literal after each piece -> token ids per row.
 
-    Each distinct word of a batch is merged once. Bytes without a token give nothing.
+    Each distinct word is merged once, as long as it is kept. Bytes without a token give nothing.
     """
+    merged = MergedWords(byte_table, merges)
 
-    def run(words: pa.Array, marks: pa.Array) -> pa.Array:
-        piece_at = np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False))]
-        pieces = words.flatten()
-        word_at = np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(pieces), 0).to_numpy(zero_copy_only=False))]
-        coded = pieces.flatten().dictionary_encode()
+    def some_rows(words: pa.Array, word_at: np.ndarray, piece_at: np.ndarray, mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        coded = words.dictionary_encode()
         which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        offsets, raw = flat_bytes(coded.dictionary)
-        at, ids = merge_words(offsets, byte_table[raw], merges)
-        starts, sizes = at[:-1], np.diff(at)
-        mark = marks.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        starts, sizes = merged.of(coded.dictionary)
         # The words of a piece, then its literal.
         order = np.empty(len(which) + len(mark), np.int64)
         piece = np.repeat(np.arange(len(mark)), np.diff(word_at))
         order[np.arange(len(which)) + piece] = which
         order[word_at[1:] + np.arange(len(mark))] = len(sizes) + np.arange(len(mark))
-        starts, sizes = np.r_[starts, len(ids) + np.arange(len(mark))], np.r_[sizes, (mark >= 0).astype(np.int64)]
+        starts, sizes = np.r_[starts, len(merged.ids) + np.arange(len(mark))], np.r_[sizes, (mark >= 0).astype(np.int64)]
         lengths = sizes[order]
-        flat = np.r_[ids, mark][expand(starts[order], lengths)]
+        flat = np.r_[merged.ids, mark][expand(starts[order], lengths)]
         ends = np.r_[0, np.cumsum(lengths)][(word_at + np.arange(len(word_at)))[piece_at]]
         known = flat < merges.n_ids - 1
         if not known.all():
             flat, ends = flat[known], np.r_[0, np.cumsum(known)][ends]
-        return as_lists(ends, flat, words)
+        return np.diff(ends), flat.astype(np.int32)
+
+    def run(words: pa.Array, marks: pa.Array) -> pa.Array:
+        piece_at, pieces = list_offsets(words), words.flatten()
+        word_at, flat = list_offsets(pieces), pieces.flatten()
+        mark = marks.flatten().to_numpy(zero_copy_only=False)
+        sizes, ids = [np.zeros(1, np.int64)], [np.empty(0, np.int32)]
+        for low, high in row_slices(word_at[piece_at] + piece_at, SLICE):
+            first, last = piece_at[low], piece_at[high]
+            begin, end = word_at[first], word_at[last]
+            found = some_rows(
+                flat[begin:end], word_at[first : last + 1] - begin, piece_at[low : high + 1] - first, mark[first:last].astype(np.int64)
+            )
+            sizes.append(found[0])
+            ids.append(found[1])
+        return as_lists(np.cumsum(np.concatenate(sizes)), np.concatenate(ids), words)
 
     return run
 
@@ -270,6 +333,28 @@ def unpacked_lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets // 4, raw.view(np.int32).astype(np.int64)
 
 
+# Stands for a null inside a packed list.
+NO_ID = np.iinfo(np.int32).min
+
+
+def list_packer(values: pa.Array) -> pa.Array:
+    """list of 32-bit ids -> BINARY, four bytes for each id."""
+    offsets, items = list_offsets(values), pc.fill_null(values.flatten(), NO_ID).to_numpy(zero_copy_only=False)
+    mask = pc.invert(values.is_null()).buffers()[1] if values.null_count else None
+    return pa.BinaryArray.from_buffers(
+        pa.binary(), len(values), [mask, pa.py_buffer((offsets * 4).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(items))]
+    )
+
+
+def list_unpacker(packed: pa.Array) -> pa.Array:
+    """BINARY of ``list_packer`` -> list of ids."""
+    offsets, raw = flat_bytes(packed)
+    items = raw.view(np.int32)
+    mask = packed.is_null() if packed.null_count else None
+    values = pa.array(items, mask=items == NO_ID) if (items == NO_ID).any() else pa.array(items)
+    return pa.ListArray.from_arrays(pa.array((offsets // 4).astype(np.int32)), values, mask=mask)
+
+
 def word_ids(byte_table: np.ndarray):
     """(word, n) batches -> (ids, n), one id per byte."""
 
@@ -353,7 +438,7 @@ def counted(keys: list[np.ndarray], sizes: list[int]) -> tuple[list[np.ndarray],
     return [rest, *reversed(out)], counts
 
 
-def row_slices(offsets: np.ndarray, limit: int = 1 << 20):
+def row_slices(offsets: np.ndarray, limit: int = 1 << 18):
     """Ranges of whole rows of about ``limit`` tokens, so that memory follows the slice and not the batch."""
     low, rows = 0, len(offsets) - 1
     while low < rows:
@@ -372,7 +457,7 @@ def token_batches(batches, table: np.ndarray):
         if pa.types.is_binary(tokens.type) or pa.types.is_large_binary(tokens.type):
             whole, raw = flat_bytes(tokens)
         else:
-            table, (whole, raw) = None, flat_lists(tokens)
+            table, whole, raw = None, list_offsets(tokens), tokens.flatten().to_numpy(zero_copy_only=False)
         coded = batch.column(0).dictionary_encode(null_encoding="encode")
         groups = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         for low, high in row_slices(whole):

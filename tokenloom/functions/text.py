@@ -73,6 +73,16 @@ def byte_codes(text: Column | str, eos: bool = True) -> Column:
     return F.concat(codes, F.lit(bytes([alphabet.EOS_CODE]))) if eos else codes
 
 
+def packed_ids(ids: Column | str) -> Column:
+    """ARRAY<INT> -> BINARY with four bytes per token, in which token tables are cut, moved and joined as byte codes are."""
+    return F.arrow_udf(kernels.list_packer, "binary")(as_column(ids))
+
+
+def unpacked_ids(packed: Column | str) -> Column:
+    """BINARY with four bytes per token -> ARRAY<INT>."""
+    return F.arrow_udf(kernels.list_unpacker, "array<int>")(as_column(packed))
+
+
 def code_ids(codes: Column | str) -> Column:
     """Byte codes -> ARRAY<INT> of token ids."""
     return F.arrow_udf(kernels.code_lookup(alphabet.code_ids()), "array<int>")(as_column(codes))

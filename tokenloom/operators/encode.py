@@ -40,6 +40,15 @@ def chunk(df: DataFrame, ids: str = "input_ids", max_length: int = 512, out: str
     return df.select(*others, F.posexplode(parts).alias(out, ids))
 
 
+def chunk_sizes(df: DataFrame, ids: str = "input_ids", max_length: int = 512, out: str = "chunk_no", size: str = "n_ids") -> DataFrame:
+    """The rows of ``chunk`` with the number of ids in place of the ids, so that no list is cut."""
+    last = F.greatest(whole_div(F.size(ids) - 1, max_length), F.lit(0)).cast("int")
+    size_of = lambda i: F.when(F.size(ids) >= 0, F.least(F.size(ids) - i * max_length, F.lit(max_length)))
+    parts = F.transform(F.sequence(F.lit(0), last), size_of)
+    others = [c for c in df.columns if c != ids]
+    return df.select(*others, F.posexplode(parts).alias(out, size))
+
+
 def decoded_bytes(ids: Column | str, vocabulary: Vocabulary | None = None, skip_special: bool = False) -> Column:
     """E5: ids -> the bytes they stand for."""
     vocabulary = vocabulary or Vocabulary()

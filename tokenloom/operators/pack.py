@@ -1,6 +1,7 @@
 """Batching, packing into fixed-length blocks, and collation (K1-K9).
 
-Token columns are either BINARY byte codes (one byte per token) or ARRAY<INT> ids; both pack the same way.
+Token columns are either BINARY byte codes (one byte per token) or ARRAY<INT> ids; both pack the same way. Ids are packed
+as BINARY of four bytes per token, which a caller may do earlier, where the table is written or shuffled.
 """
 
 from collections.abc import Callable, Iterable, Sequence
@@ -11,12 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tokenloom.functions.alphabet import EOS_ID
-from tokenloom.functions.text import code_ids, hash_number, whole_div
+from tokenloom.functions.text import code_ids, hash_number, packed_ids, unpacked_ids, whole_div
 from tokenloom.operators.ordering import hash_segment, prefix_sum, row_rank
 
 BATCH_ROWS = 1000
 BYTE_BLOCK = 256
 WORD_BLOCK = 512
+# Bytes of an id in BINARY of ``packed_ids``.
+ID_BYTES = 4
 
 
 def is_codes(df: DataFrame, ids: str) -> bool:
@@ -72,37 +75,41 @@ def blocks(
     block_size: int,
     keys: Sequence[str] = ("split", "batch_id"),
     segment: Column | None = None,
+    width: int = 1,
 ) -> DataFrame:
     """K2-K6: join the tokens of each batch in order and cut them into blocks of exactly ``block_size``.
 
     Each row gives one fragment per block it touches, so no batch is ever held whole. The remainder of a batch, and
     a batch smaller than one block, give nothing. With ``segment`` a batch may be of any size (one per source, say):
     its offsets are then computed segment by segment. Without it a batch is scanned in one task, and assembling the
-    blocks needs no further shuffle.
+    blocks needs no further shuffle. ``width`` is the number of bytes of a token in a BINARY column.
     """
+    if df.schema[ids].dataType.simpleString() == "array<int>":
+        compact = blocks(df.withColumn(ids, packed_ids(ids)), ids, order, block_size, keys, segment, ID_BYTES)
+        return compact.withColumn(ids, unpacked_ids(ids))
     codes = is_codes(df, ids)
-    size = token_count(df, ids)
+    size = whole_div(token_count(df, ids), width) if codes else token_count(df, ids)
     rows = df.select(*{*keys, *order, ids}).where(size > 0)
     if segment is None:
         run = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         placed = rows.withColumn("upto", F.sum(size).over(run)).withColumn("start", F.col("upto") - size)
     else:
         placed = prefix_sum(rows, size, order, segment, keys).withColumn("upto", F.col("start") + size)
-    return _assemble(placed, ids, codes, block_size, keys)
+    return _assemble(placed, ids, codes, block_size, keys, width)
 
 
-def _assemble(placed: DataFrame, ids: str, codes: bool, block_size: int, keys: Sequence[str]) -> DataFrame:
-    width = F.lit(block_size)
+def _assemble(placed: DataFrame, ids: str, codes: bool, block_size: int, keys: Sequence[str], width: int) -> DataFrame:
+    step = F.lit(block_size)
     first, last = whole_div(F.col("start"), block_size), whole_div(F.col("upto") - 1, block_size)
     touched = placed.select(*keys, "start", "upto", ids, F.explode(F.sequence(first, last)).alias("block_no"))
-    left_edge = F.col("block_no") * width
+    left_edge = F.col("block_no") * step
     skip = F.greatest(left_edge - F.col("start"), F.lit(0))
-    length = F.least(F.col("upto"), left_edge + width) - F.greatest(F.col("start"), left_edge)
-    piece = (F.substring if codes else F.slice)(F.col(ids), (skip + 1).cast("int"), length.cast("int"))
+    length = F.least(F.col("upto"), left_edge + step) - F.greatest(F.col("start"), left_edge)
+    piece = (F.substring if codes else F.slice)(F.col(ids), (skip * width + 1).cast("int"), (length * width).cast("int"))
     pieces = touched.select(*keys, "block_no", "start", piece.alias("piece")).groupBy(*keys, "block_no")
     if codes:
         joined = pieces.agg(F.expr("listagg(piece) within group (order by start)").alias(ids))
-        full = joined.where(F.octet_length(ids) == block_size)
+        full = joined.where(F.octet_length(ids) == block_size * width)
     else:
         parts = F.array_sort(F.collect_list(F.struct("start", "piece")))
         joined = pieces.agg(F.flatten(F.transform(parts, lambda p: p["piece"])).alias(ids))
