@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.functions import alphabet
-from tokenloom.functions.text import byte_codes, hash_number, run_name, shuffle_key, whole_div
+from tokenloom.functions.text import byte_codes, hash_number, packed_ids, run_name, shuffle_key, unpacked_ids, whole_div
 from tokenloom.operators import audit, batches, corpus, encode, generate, ngram, pack, split, vocab
 from tokenloom.operators.ordering import hash_segment, range_segment, row_rank
-from tokenloom.session import cut, ensure_checkpoint_dir, spread
+from tokenloom.session import cut, ensure_checkpoint_dir, spread, written
 from tokenloom.sources import files
 from tokenloom.sources import vocabulary as disk
 
@@ -225,8 +225,10 @@ def bpe_blocks(spark, sf_dir):
     sided = split.exact(line_table(spark, sf_dir), LINE)
     chunks = encode.chunk(encode.bpe(sided, learnt(spark, sf_dir)), max_length=pack.WORD_BLOCK)
     order = (*SHUFFLED, "chunk_no")
-    rows = pack.by_rows(chunks, order)
-    return block_output(pack.blocks(rows, "input_ids", order, pack.WORD_BLOCK), "input_ids")
+    # Batching reads its rows twice; they are written, so that they are encoded once.
+    coded = written(chunks.select(*order, "split", packed_ids("input_ids").alias("packed")))
+    blocks = pack.blocks(pack.by_rows(coded, order), "packed", order, pack.WORD_BLOCK, width=pack.ID_BYTES)
+    return block_output(blocks.withColumn("input_ids", unpacked_ids("packed")).drop("packed"), "input_ids")
 
 
 # Encoding and decoding
@@ -377,9 +379,10 @@ def epoch_manifest(spark, sf_dir):
 def ready_report(spark, sf_dir) -> DataFrame:
     """Blocks of 512 ids of the ready-made vocabulary, over-long lines cut: sizes only."""
     sided = split.exact(line_table(spark, sf_dir), LINE)
-    chunks = encode.chunk(encode.bpe(sided, ready(spark)), max_length=pack.WORD_BLOCK)
+    chunks = encode.chunk_sizes(encode.bpe(sided, ready(spark)), max_length=pack.WORD_BLOCK)
     order = (*SHUFFLED, "chunk_no")
-    rows = pack.by_rows(chunks.select(*order, "split", F.size("input_ids").alias("n_ids")), order)
+    # Batching reads its rows twice; the sizes are written, so that the lines are encoded once.
+    rows = pack.by_rows(written(chunks.select(*order, "split", "n_ids")), order)
     return pack.report(rows, "n_ids", pack.WORD_BLOCK)
 
 
