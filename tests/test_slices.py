@@ -107,3 +107,24 @@ def test_rows_of_blocks_are_encoded_once(spark, tmp_path):
     for name in ("word_manifest", "bpe_blocks"):
         plan = queries.registry()[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
         assert "regexp_extract_all" not in plan, name
+
+
+def test_wide_ngrams_get_small_batches(spark, monkeypatch):
+    """Each of three Python workers held batches of up to 64 MB."""
+    from conftest import SMALL
+    from tokenloom.plans import queries
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    rows = spark.range(4000, numPartitions=1).selectExpr("id", "repeat('x', 5000) text")
+    sizes = lambda: rows.mapInArrow(lambda batches: (pa.record_batch({"n": [b.nbytes]}) for b in batches), "n long").collect()
+    seen, one = [], queries.cut
+
+    def cut(df):
+        seen.append(max(r.n for r in sizes()))
+        return one(df)
+
+    monkeypatch.setattr(queries, "cut", cut)
+    before = spark.conf.get(name)
+    queries.registry()["heldout_loss_ready"](spark, SMALL)
+    assert seen[0] < 4 << 20
+    assert spark.conf.get(name) == before and max(r.n for r in sizes()) > 4 << 20

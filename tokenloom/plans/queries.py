@@ -11,7 +11,7 @@ from tokenloom.functions import alphabet
 from tokenloom.functions.text import byte_codes, hash_number, packed_ids, run_name, shuffle_key, unpacked_ids, whole_div
 from tokenloom.operators import audit, batches, corpus, encode, generate, ngram, pack, split, vocab
 from tokenloom.operators.ordering import hash_segment, range_segment, row_rank
-from tokenloom.session import cut, ensure_checkpoint_dir, spread, written
+from tokenloom.session import cut, ensure_checkpoint_dir, small_batches, spread, written
 from tokenloom.sources import files
 from tokenloom.sources import vocabulary as disk
 
@@ -436,7 +436,9 @@ def heldout_loss_ready(spark, sf_dir):
     """Orders 1, 4 and 6 over the ready-made vocabulary: fit on the train documents, measured on the test ones."""
     words = ready(spark)
     sided = split.hashed(documents(spark, sf_dir).where("text is not null"), ["doc_id"]).select("doc_id", "split", "text")
-    sides = cut(ngram.wide_counts(encode.bpe(sided, words), WIDE_GRAMS, F.col("split")))
+    # Splitting, encoding and counting have a Python worker each.
+    with small_batches(spark):
+        sides = cut(ngram.wide_counts(encode.bpe(sided, words), WIDE_GRAMS, F.col("split")))
     losses = [ngram.evaluate(sides.where(F.col("gram") == g), len(words.tokens)).select(F.lit(g).alias("gram"), "*") for g in WIDE_GRAMS]
     return rounded(reduce(DataFrame.unionByName, losses))
 

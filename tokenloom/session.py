@@ -3,6 +3,8 @@
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,6 +64,21 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "2m") -> Iterator[None]:
+    """Rows go to Python about ``size`` bytes at a time in what is run inside.
+
+    A step that passes several Python workers holds a batch or two in each of them, and as much outside the heap for Arrow.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def discard(df: DataFrame) -> None:
     """Delete the folder of a table that ``written`` gave and nothing reads any more."""
     files = df.inputFiles()
