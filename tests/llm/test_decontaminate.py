@@ -42,6 +42,21 @@ def test_recall_at_the_limit(size, mixed):
     assert sum((i, i) in got for i in range(number)) >= 0.9 * number
 
 
+def test_bits_are_drawn_once_for_each_walk(monkeypatch):
+    """They were drawn anew for every step and length class."""
+    draw = random.Random(5)
+    items = [" ".join(f"w{draw.randrange(50)}" for _ in range(n)) for n in (10, 12, 15, 20, 30, 60)]
+    block = decontaminate.Items(list(range(len(items))), items, decontaminate.PERCENT)
+    drawn, one = [], decontaminate.mix
+    monkeypatch.setattr(decontaminate, "mix", lambda x, seed=0: drawn.append(seed) or one(x, seed))
+    (part,) = slices(pa.array([" ".join(items)], pa.large_string()))
+    row, item, start, far = block.search(part)
+    begins = np.r_[0, np.cumsum([len(i.split()) for i in items])[:-1]].tolist()
+    assert {(i, begins[i], 0) for i in range(len(items))} <= set(zip(item.tolist(), start.tolist(), far.tolist()))
+    steps = [seed for seed in drawn if seed >= 9000]
+    assert len(steps) == len(set(steps)) <= decontaminate.REPETITIONS
+
+
 def far_from(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

@@ -29,6 +29,7 @@ which one row for each document id and item is kept; a null id is a group of its
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +58,7 @@ def size_class(n: int) -> int:
     return low
 
 
+@lru_cache(maxsize=1 << 14)
 def sample_steps(low: int, repetition: int) -> list[int]:
     """Sampled steps of the walk for a length class: one from each of equal parts of about the time its span lasts."""
     length = min(low, SPAN) * 3 // 2
@@ -65,6 +67,7 @@ def sample_steps(low: int, repetition: int) -> list[int]:
     return [int(draw.integers(a, max(b, a + 1))) for a, b in zip(edges, edges[1:])]
 
 
+@lru_cache(maxsize=1 << 14)
 def span_start(low: int, repetition: int) -> int:
     """First word of the span that a repetition walks over."""
     if repetition % 3 == 0 or low <= SPAN:
@@ -72,33 +75,51 @@ def span_start(low: int, repetition: int) -> int:
     return int(np.random.default_rng([low, repetition, 78]).integers(0, low - SPAN + 1))
 
 
+class Text:
+    """Symbols with a 0 behind the last one, and the random bits of each for the steps of one walk at a time."""
+
+    def __init__(self, symbols: np.ndarray) -> None:
+        self.symbols, self.held, self.bits = np.r_[symbols, U64(0)], (-1, -1), np.zeros(0, np.int64)
+
+    def moves(self, repetition: int, block: int) -> np.ndarray:
+        """Bit k of a symbol's number says whether step ``64 * block + k`` goes on from it; none does from the last place."""
+        if self.held != (repetition, block):
+            self.bits = mix(self.symbols, 9000 + 128 * repetition + block).view(np.int64)
+            self.bits[-1], self.held = 0, (repetition, block)
+        return self.bits
+
+
 class Walk:
     """Positions of many walks side by side, over one array of symbols with an end for each walk."""
 
-    def __init__(self, symbols: np.ndarray, at: np.ndarray, end: np.ndarray, repetition: int) -> None:
-        self.symbols, self.at, self.end, self.repetition, self.step = symbols, at.copy(), end, repetition, 0
+    def __init__(self, text: Text, at: np.ndarray, end: np.ndarray, repetition: int) -> None:
+        self.text, self.at, self.end, self.repetition, self.step = text, np.minimum(at, len(text.symbols) - 1), end, repetition, 0
 
     def keep(self, which: np.ndarray) -> None:
         self.at, self.end = self.at[which], self.end[which]
 
     def symbol(self) -> np.ndarray:
         """The symbol written at this step; 0 once the string has ended."""
-        done = self.at >= self.end
-        return np.where(done, U64(0), self.symbols[np.where(done, 0, self.at)])
+        out = self.text.symbols.take(self.at)
+        out[self.at >= self.end] = 0
+        return out
 
     def go_to(self, step: int) -> None:
+        """A walk past its end writes 0 wherever it goes from there."""
         while self.step < step:
-            bits = mix(self.symbol(), 9000 + 128 * self.repetition + self.step // 64) >> U64(self.step % 64)
-            self.at += (bits & U64(1)).astype(np.int64)
+            bits = self.text.moves(self.repetition, self.step // 64).take(self.at)
+            bits >>= self.step % 64
+            bits &= 1
+            self.at += bits
             self.step += 1
 
 
-def signatures(symbols, at, end, low: int, repetition: int, known: list[np.ndarray] | None = None):
+def signatures(text: Text, at, end, low: int, repetition: int, known: list[np.ndarray] | None = None):
     """Hash of the sampled symbols of each window. With ``known``, windows whose samples so far no item has are left out.
 
     Returns the hashes, the places of the windows they belong to, and the hashes after each sample.
     """
-    walk, place = Walk(symbols, at, end, repetition), np.arange(len(at))
+    walk, place = Walk(text, at, end, repetition), np.arange(len(at))
     code, partial = np.zeros(len(at), U64), []
     for k, step in enumerate(sample_steps(low, repetition)):
         walk.go_to(step)
@@ -107,9 +128,11 @@ def signatures(symbols, at, end, low: int, repetition: int, known: list[np.ndarr
         partial.append(code)
         if known is not None:
             here = np.searchsorted(known[k], code)
-            good = known[k][np.minimum(here, len(known[k]) - 1)] == code
+            good = np.flatnonzero(known[k][np.minimum(here, len(known[k]) - 1)] == code)
             code, place = code[good], place[good]
             walk.keep(good)
+            if not len(good):
+                break
     return code, place, partial
 
 
@@ -175,10 +198,11 @@ class Items:
         self.tables = {}
         self.short = {low: of for low, of in self.classes.items() if low < SHORT}
         self.classes = {low: of for low, of in self.classes.items() if low >= SHORT}
-        for low, of in self.classes.items():
-            for r in range(REPETITIONS):
+        text = Text(self.symbols)
+        for r in range(REPETITIONS):
+            for low, of in self.classes.items():
                 skip = span_start(low, r)
-                code, place, partial = signatures(self.symbols, self.start[of] + skip, self.start[of] + self.size[of], low, r)
+                code, place, partial = signatures(text, self.start[of] + skip, self.start[of] + self.size[of], low, r)
                 order = np.argsort(code, kind="stable")
                 self.tables[low, r] = [np.unique(p) for p in partial], code[order], of[order]
 
@@ -190,33 +214,36 @@ class Items:
             return None
         here = np.searchsorted(self.vocabulary, found.hash)
         known = self.vocabulary[np.minimum(here, len(self.vocabulary) - 1)] == found.hash
-        sums = np.r_[0, np.cumsum(known)]
+        # Words that no item has, before each place.
+        foreign = np.r_[0, np.cumsum(~known)]
         first = np.cumsum(found.counts) - found.counts
         stop = (first + found.counts)[found.row]
         hits = [self.short_hits(found.hash, first[found.row], stop, low, of) for low, of in self.short.items()]
+        begin = np.arange(total)
+        windows = {}
         for low, of in self.classes.items():
             # A window at distance t has at most t words of its own, in each of its prefixes too, and lacks at most t.
             shortest, longest = int(self.size[of].min()), int(self.size[of].max())
-            begin = np.arange(total)
-            prefix = np.minimum(begin + shortest, stop)
-            own = prefix - begin - (sums[prefix] - sums[begin])
+            own = foreign[np.minimum(begin + shortest, stop)] - foreign[:-1]
             at = np.flatnonzero((own <= self.limit[of].max()) & (stop - begin >= (self.size[of] - self.limit[of]).min()))
-            if not len(at):
-                continue
-            for r in range(REPETITIONS):
-                partial, codes, items = self.tables[low, r]
+            if len(at):
                 # A window of the class is walked to the document's end or the longest item's; the samples come earlier.
-                skip = span_start(low, r)
-                code, place, _ = signatures(found.hash, at + skip, np.minimum(at + longest, stop[at]), low, r, partial)
-                left, right = np.searchsorted(codes, code, "left"), np.searchsorted(codes, code, "right")
-                many = right - left
-                hits.append(np.stack([np.repeat(at[place], many), items[np.repeat(left, many) + ragged(many)]], axis=1))
+                windows[low] = at, np.minimum(at + longest, stop[at])
+        text = Text(found.hash)
+        for r in range(REPETITIONS):
+            for low, (at, end) in windows.items():
+                partial, codes, items = self.tables[low, r]
+                code, place, _ = signatures(text, at + span_start(low, r), end, low, r, partial)
+                if len(code):
+                    left, right = np.searchsorted(codes, code, "left"), np.searchsorted(codes, code, "right")
+                    many = right - left
+                    hits.append(np.stack([np.repeat(at[place], many), items[np.repeat(left, many) + ragged(many)]], axis=1))
         pairs = np.unique(np.concatenate(hits), axis=0) if hits else np.zeros((0, 2), np.int64)
         if not len(pairs):
             return None
         at, item = pairs[:, 0], pairs[:, 1]
         size = np.minimum(self.size[item], stop[at] - at)
-        near = size - (sums[at + size] - sums[at]) <= self.limit[item]
+        near = foreign[at + size] - foreign[at] <= self.limit[item]
         at, item, size = at[near], item[near], size[near]
         far = distances(self.symbols, self.start[item], self.size[item], found.hash, at, size)
         good = far <= self.limit[item]
