@@ -79,6 +79,41 @@ def test_range_search_meets_every_vector():
     assert len(graph[1]) < 3000 * 6 * embeddings.DEGREE
 
 
+def test_a_step_does_not_read_all_vertices(monkeypatch):
+    """The best vertex of a query was sought among all of them, so each vertex took time in proportion to its region."""
+
+    class Counted(np.ndarray):
+        read = 0
+
+        def argmax(self, *args, **options):
+            Counted.read += self.size
+            return np.asarray(self).argmax(*args, **options)
+
+    full = np.full
+    monkeypatch.setattr(embeddings.np, "full", lambda *args, **options: full(*args, **options).view(Counted))
+    read = {}
+    for n in (1500, 6000):
+        x = np.array(clustered(4, n, 16, n // 10))
+        x = (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32)
+        graph = embeddings.flat_graph(x)
+        Counted.read = 0
+        got = sum(len(a) for a, _ in embeddings.range_search(x, graph, 0.95))
+        assert got >= n
+        read[n] = Counted.read / n
+    assert 0 < read[6000] < 2 * read[1500]
+
+
+@pytest.mark.parametrize("block", [1, 7, 128, 10_000])
+def test_blocks_give_the_same_pairs(monkeypatch, block):
+    x = np.array(clustered(6, 500, 12, 40))
+    x = (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32)
+    graph = embeddings.flat_graph(x)
+    pairs = lambda: {(int(q), int(v)) for a, b in embeddings.range_search(x, graph, 0.95) for q, v in zip(a, b)}
+    want = pairs()
+    monkeypatch.setattr(embeddings, "BLOCK", block)
+    assert pairs() == want and len(want) > 500
+
+
 def test_pruning_keeps_what_no_neighbour_covers():
     angle = np.array([0.0, 0.1, 0.2, 1.5, -0.1])
     x = np.stack([np.cos(angle), np.sin(angle)], 1)

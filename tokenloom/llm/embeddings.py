@@ -42,7 +42,7 @@ SHARD, SHARD_OVERLAP = 1024, 2
 NEAREST, DRAWN, DEGREE, ALPHA = 48, 16, 24, 1.2
 WIDER = 1.3
 AUDIT_ROWS, RECALL, ROUNDS = 1024, 0.99, 3
-QUERIES = 1 << 22
+QUERIES, BLOCK = 1 << 22, 128
 ROWS = "vec_id long, packed binary"
 DEALT = "region int, regions array<int>, node long, many long, packed binary"
 LINKED = "node long, links long, root long"
@@ -157,6 +157,12 @@ def cut_shards(x: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted values, each once; ``np.unique`` hashes them first, which takes longer."""
+    values = np.sort(values)
+    return values[np.r_[True, values[1:] != values[:-1]][: len(values)]]
+
+
 def flat_graph(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The united adjacency lists as offsets and neighbours, and the medoids of the shards."""
     draw = np.random.default_rng(11)
@@ -172,55 +178,73 @@ def flat_graph(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         both = np.take_along_axis(both, np.argsort(-np.take_along_axis(alike, both, 1), axis=1, kind="stable"), 1)
         start, end = robust_prune(alike, both)
         start, end = members[start], members[end]
-        edges.append(np.unique(np.r_[start * len(x) + end, end * len(x) + start]))
+        edges.append(distinct(np.r_[start * len(x) + end, end * len(x) + start]))
     # The medoids are joined in a ring, so that none is cut off from the others.
     medoids = np.unique(medoids)
     ring = np.roll(medoids, 1)
     edges.append(np.r_[medoids * len(x) + ring, ring * len(x) + medoids])
-    joined = np.unique(np.concatenate(edges))
+    joined = distinct(np.concatenate(edges))
     start, end = joined // len(x), joined % len(x)
     start, end = start[start != end], end[start != end]
     return np.searchsorted(start, np.arange(len(x) + 1)), end, medoids
 
 
 def range_search(x: np.ndarray, graph: tuple[np.ndarray, np.ndarray, np.ndarray], least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (query, vertex) at a similarity of ``least`` and more, for every row as a query, some queries at a time."""
+    """Pairs (query, vertex) at a similarity of ``least`` and more, for every row as a query, some queries at a time.
+
+    The greatest similarity of every ``BLOCK`` vertices is kept, so that a step doesn't read all vertices for the best one.
+    """
     offsets, ends, medoids = graph
     n = len(x)
     wide = 1 - WIDER**2 * (1 - least)
-    step = max(1, QUERIES // n)
+    blocks = -(-n // BLOCK)
+    n_all, step = blocks * BLOCK, max(1, QUERIES // n)
     for low in range(0, n, step):
         query = np.arange(low, min(low + step, n))
-        seen = np.zeros((len(query), n), bool)
-        # Similarity of the vertices met and not yet expanded.
-        waiting = np.full((len(query), n), -2, np.float32)
-        seen[:, medoids] = True
-        waiting[:, medoids] = x[query] @ x[medoids].T
-        fresh_q, fresh_v = np.nonzero(waiting >= wide)
+        seen = np.zeros(len(query) * n_all, bool)
+        # Similarity of the vertices met and not yet expanded, and the greatest one of each block.
+        waiting = np.full(len(query) * n_all, -2, np.float32)
+        best = np.full(len(query) * blocks, -2, np.float32)
+        in_blocks, block_best = waiting.reshape(-1, BLOCK), best.reshape(-1, blocks)
+
+        def meet(q: np.ndarray, v: np.ndarray, place: np.ndarray, alike: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            seen[place], waiting[place] = True, alike
+            np.maximum.at(best, place // BLOCK, alike)
+            inside = np.flatnonzero(alike >= wide)
+            return q[inside], v[inside], alike[inside]
+
+        q, v = np.repeat(np.arange(len(query)), len(medoids)), np.tile(medoids, len(query))
+        fresh_q, fresh_v, alike = meet(q, v, q * n_all + v, (x[query] @ x[medoids].T).ravel())
+        itself = np.arange(len(query)) * n_all + query
         while True:
-            close = waiting[fresh_q, fresh_v] >= least
+            close = alike >= least
             yield query[fresh_q[close]], fresh_v[close]
             # What lies within the range is expanded at once, and of each query that has not met itself the best one.
-            going = np.flatnonzero(~seen[np.arange(len(query)), query])
-            top = waiting[going].argmax(1)
-            more = waiting[going, top] > -2
-            q, v = np.r_[fresh_q, going[more]], np.r_[fresh_v, top[more]]
+            going = np.flatnonzero(~seen[itself])
+            block = going * blocks + block_best[going].argmax(1)
+            more = best[block] > -2
+            going, block = going[more], block[more]
+            top = block * BLOCK + in_blocks[block].argmax(1) - going * n_all
+            q, v = np.r_[fresh_q, going], np.r_[fresh_v, top]
             if not len(q):
                 break
-            waiting[q, v] = -2
+            place = q * n_all + v
+            waiting[place] = -2
+            block = place // BLOCK
+            best[block] = in_blocks[block].max(1)
             size = offsets[v + 1] - offsets[v]
+            # A vertex has each neighbour once, so only queries with several vertices can meet one twice.
+            once = np.repeat(np.bincount(q, minlength=len(query))[q] == 1, size)
             q, v = np.repeat(q, size), ends[np.repeat(offsets[v], size) + ragged(size)]
-            new = ~seen[q, v]
-            pair = np.unique(q[new] * n + v[new])
-            q, v = pair // n, pair % n
-            seen[q, v] = True
+            place = q * n_all + v
+            new = ~seen[place]
+            place = np.r_[place[new & once], distinct(place[new & ~once])]
+            q, v = place // n_all, place % n_all
             alike = np.empty(len(q), np.float32)
             for at in range(0, len(q), 1 << 18):
                 some = slice(at, at + (1 << 18))
                 alike[some] = np.einsum("ij,ij->i", x[query[q[some]]], x[v[some]])
-            waiting[q, v] = alike
-            inside = alike >= wide
-            fresh_q, fresh_v = q[inside], v[inside]
+            fresh_q, fresh_v, alike = meet(q, v, place, alike)
 
 
 def lowest_linked(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -253,13 +277,15 @@ def _region(least: float):
         exact = units(group["packed"].to_pylist())
         rough = exact.astype(np.float32)
         n = len(node)
-        links, kept = np.zeros(n, np.int64), [np.zeros(0, np.int64)]
+        links, kept, held = np.zeros(n, np.int64), [np.zeros(0, np.int64)], 0
         for q, v in range_search(rough, flat_graph(rough), least - 1e-4) if n > 1 else ():
             some = q != v
             kept.append(np.minimum(q, v)[some] * n + np.maximum(q, v)[some])
-            if sum(map(len, kept)) > 1 << 23:
-                kept = [np.unique(np.concatenate(kept))]
-        pairs = np.unique(np.concatenate(kept))
+            held += len(kept[-1])
+            if held > 1 << 23:
+                kept = [distinct(np.concatenate(kept))]
+                held = len(kept[0])
+        pairs = distinct(np.concatenate(kept))
         good = np.zeros(len(pairs), bool)
         for low in range(0, len(pairs), 1 << 17):
             a, b = pairs[low : low + (1 << 17)] // n, pairs[low : low + (1 << 17)] % n
