@@ -1,5 +1,6 @@
 """Arrow-batch helpers. Each works on whole batches with numpy; Spark does the partitioning and the shuffles."""
 
+import itertools
 import math
 import sys
 
@@ -452,19 +453,24 @@ def token_batches(batches, table: np.ndarray):
 
     Tokens are id lists, or byte codes that ``table`` turns into ids.
     """
+    for names, groups, offsets, ids in token_rows(batches, table):
+        sizes = np.diff(offsets)
+        yield names, np.repeat(groups, sizes), np.arange(len(ids)) - np.repeat(offsets[:-1], sizes), ids.astype(np.int64)
+
+
+def token_rows(batches, table: np.ndarray, *limit: int):
+    """(key, tokens) batches -> (keys, group of each row, row offsets, ids), a slice of ``row_slices`` at a time."""
     for batch in batches:
         tokens = batch.column(1)
         if pa.types.is_binary(tokens.type) or pa.types.is_large_binary(tokens.type):
-            whole, raw = flat_bytes(tokens)
+            codes, (whole, raw) = table, flat_bytes(tokens)
         else:
-            table, whole, raw = None, list_offsets(tokens), tokens.flatten().to_numpy(zero_copy_only=False)
+            codes, whole, raw = None, list_offsets(tokens), tokens.flatten().to_numpy(zero_copy_only=False)
         coded = batch.column(0).dictionary_encode(null_encoding="encode")
         groups = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        for low, high in row_slices(whole):
+        for low, high in row_slices(whole, *limit):
             offsets, ids = whole[low : high + 1] - whole[low], raw[whole[low] : whole[high]]
-            ids = (ids if table is None else table[ids]).astype(np.int64)
-            sizes = np.diff(offsets)
-            yield coded.dictionary, np.repeat(groups[low:high], sizes), np.arange(len(ids)) - np.repeat(offsets[:-1], sizes), ids
+            yield coded.dictionary, groups[low:high], offsets, ids if codes is None else codes[ids]
 
 
 def ngram_counter(orders: tuple[int, ...], n_ids: int, table: np.ndarray):
@@ -519,6 +525,324 @@ def wide_ngram_counter(orders: tuple[int, ...], table: np.ndarray):
     return run
 
 
+# Small batches are joined to so many tokens before their n-grams are packed, and so many n-grams are summed at a time.
+PACKED_TOKENS = 1 << 21
+SUMMED_NGRAMS = 1 << 17
+# Single ids have no context to be dealt by.
+NO_BUCKET = -1
+ZSTD = "zstd"
+
+
+def scrambled(numbers: np.ndarray) -> np.ndarray:
+    numbers = (numbers ^ numbers >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+    return numbers ^ numbers >> np.uint64(32)
+
+
+def hashed(columns: list[np.ndarray]) -> np.ndarray:
+    """A 64-bit hash of each row."""
+    total = np.zeros(len(columns[0]), np.uint64)
+    for column in columns:
+        total = scrambled(total + column + np.uint64(0x9E3779B97F4A7C15))
+    return total
+
+
+def changes(columns: list[np.ndarray]) -> np.ndarray:
+    """Rows that differ from the one before, the first among them."""
+    fresh = np.zeros(len(columns[0]), bool)
+    fresh[:1] = True
+    for column in columns:
+        fresh[1:] |= column[1:] != column[:-1]
+    return fresh
+
+
+def ranks(numbers: np.ndarray) -> np.ndarray:
+    """Numbers in the order of the given ones, from 0 on and without gaps."""
+    order = np.argsort(numbers)
+    out = np.empty(len(order), np.uint64)
+    out[order] = np.cumsum(changes([numbers[order]])) - 1
+    return out
+
+
+def most_bits(numbers: np.ndarray) -> int:
+    return int(numbers.max(initial=0)).bit_length()
+
+
+def wider(number: np.ndarray, bits: int, column: np.ndarray) -> tuple[np.ndarray, int]:
+    """Numbers of ``bits`` bits with a column added below; the numbers are given anew where that takes more than 64 bits."""
+    more = most_bits(column)
+    if bits + more > 64:
+        number = ranks(number)
+        bits = most_bits(number)
+    return number << np.uint64(more) | column.astype(np.uint64), bits + more
+
+
+def written_numbers(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 on in as few bytes as they need."""
+    return numbers.astype(np.min_scalar_type(int(numbers.max(initial=0)))).tobytes()
+
+
+def read_numbers(raw: bytes, count: int) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{len(raw) // count}")
+
+
+def joined_batches(batches, limit: int):
+    """Batches, small ones joined to about ``limit`` bytes."""
+    held, size = [], 0
+    for batch in batches:
+        if held and size + batch.nbytes > limit:
+            joined, held, size = pa.concat_batches(held), [], 0
+            yield joined
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
+def distinct(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers that occur, and the place among them of each given one."""
+    most = int(numbers.max(initial=0)) + 1
+    if most > len(numbers):
+        found, place = np.unique(numbers, return_inverse=True)
+        return found, place.astype(np.uint32)
+    seen = np.zeros(most, bool)
+    seen[numbers] = True
+    return np.flatnonzero(seen), (np.cumsum(seen, dtype=np.uint32) - np.uint32(1))[numbers]
+
+
+def squeezed(columns: list[np.ndarray]) -> tuple[int, bytes]:
+    """The bytes a number has, and the columns: the first bytes of a column's numbers, then the second ones and so on, compressed."""
+    width = next(w for w in (2, 4, 8) if max(map(most_bits, columns)) <= 8 * w)
+    planes = [(column >> column.dtype.type(8 * i)).astype(np.uint8) for column in columns for i in range(min(width, column.itemsize))]
+    return width, pa.Codec(ZSTD).compress(np.concatenate(planes), asbytes=True)
+
+
+def unsqueezed(raw: bytes, width: int, sizes: list[int]) -> list[np.ndarray]:
+    planes, at, columns = np.frombuffer(pa.Codec(ZSTD).decompress(raw, width * sum(sizes), asbytes=True), np.uint8), 0, []
+    for size in sizes:
+        columns.append(planes[at : at + size].astype(f"u{width}"))
+        for i in range(1, width):
+            columns[-1] |= planes[at + i * size : at + (i + 1) * size].astype(f"u{width}") << np.uint8(8 * i)
+        at += width * size
+    return columns
+
+
+def packed_block(columns: list[np.ndarray], low: int) -> tuple[int, int, int, bytes]:
+    """Rows of numbers, equal ones counted, as (rows, contexts, width, block). The first ``low`` columns are the context.
+
+    A context is written once and in order, its first number as the step from the last one's.
+    """
+    number, bits = np.zeros(len(columns[0]), np.uint64), 0
+    for column in columns[:low]:
+        number, bits = wider(number, bits, column)
+    if bits > 48:
+        number = ranks(number)
+    # Equal rows of a context stand side by side, but for some of equal hash.
+    room = np.uint64(64 - max(1, most_bits(number)))
+    order = np.argsort(number << room | hashed(columns[low:]) >> np.uint64(64) - room)
+    number, columns = number[order], [column[order] for column in columns]
+    starts = np.flatnonzero(changes([number, *columns[low:]]))
+    heads = np.flatnonzero(changes([number[starts]]))
+    first, *others = [column[starts[heads]] for column in columns[:low]]
+    sizes, total = np.diff(np.r_[heads, len(starts)]), np.diff(np.r_[starts, len(order)])
+    steps = np.diff(first, prepend=first.dtype.type(0))
+    return len(starts), len(heads), *squeezed([steps, *others, sizes, *(column[starts] for column in columns[low:]), total])
+
+
+def unpacked_block(size: int, contexts: int, width: int, block: bytes, low: int, columns: int) -> list[np.ndarray]:
+    """The rows of a block, column by column, and their totals."""
+    steps, *found = unsqueezed(block, width, [contexts] * (low + 1) + [size] * (columns - low + 1))
+    found.insert(0, np.cumsum(steps, dtype=np.uint32))
+    return [*(np.repeat(column, found[low]) for column in found[:low]), *found[low + 1 :]]
+
+
+def ngram_packer(orders: tuple[int, ...], table: np.ndarray, buckets: int):
+    """(key, tokens) batches -> partial counts as rows (bucket, keys, size, contexts, width, block).
+
+    An n-gram of the highest order is written once for all orders above 1: the ids of its context, newest first, the id that
+    follows, the number of its key, and how often it occurs. Ids are one higher than they are, and 0 stands for those before the
+    beginning of a row. The bucket is a hash of the lowest order's context, so n-grams that share a context meet, whatever their order.
+    Single ids are summed over many slices.
+    """
+    wide = [order for order in orders if order > 1]
+
+    def rows(found: list[tuple], names: pa.Array) -> pa.RecordBatch:
+        bucket, used, size, contexts, width, block = zip(*found)
+        bounds = np.cumsum([0, *map(len, used)]).astype(np.int32)
+        keys = pa.ListArray.from_arrays(pa.array(bounds), names.take(pa.array(np.concatenate(used))))
+        numbers = [pa.array(x, pa.int32()) for x in (bucket, size, contexts, width)]
+        columns = [numbers[0], keys, *numbers[1:], pa.array(block, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=["bucket", "keys", "size", "contexts", "width", "block"])
+
+    def contexts(group: np.ndarray, offsets: np.ndarray, ids: np.ndarray):
+        low, high = min(wide), max(wide)
+        starts, sizes = offsets[:-1], np.diff(offsets)
+        place = np.full(len(ids), high, np.min_scalar_type(high))
+        for i in range(high):
+            place[starts[sizes > i] + i] = i
+        padded = np.zeros(high - 1 + len(ids), np.uint16 if int(ids.max()) < 65535 else np.uint32)
+        padded[high - 1 :] = ids
+        padded[high - 1 :] += 1
+        # The places of a span sorted by bucket, and where each bucket ends there.
+        sorted_spans = []
+        for a, b in spans(len(ids)):
+            bucket = hashed([padded[high - 1 - back + a : high - 1 - back + b] for back in range(1, low)]) % np.uint64(buckets)
+            bucket[place[a:b] < low - 1] = buckets
+            order = np.argsort(bucket.astype(np.uint16 if buckets < 1 << 16 else np.uint32), kind="stable")
+            ends = np.cumsum(np.r_[0, np.bincount(bucket.astype(np.int64), minlength=buckets + 1)[:buckets]])
+            sorted_spans.append((order.astype(np.int32) + np.int32(a), ends))
+        for number in np.flatnonzero(sum(np.diff(ends) for _, ends in sorted_spans)).tolist():
+            at = np.concatenate([order[ends[number] : ends[number + 1]] for order, ends in sorted_spans]).astype(np.int64)
+            columns, begun = [padded[at + (high - 1 - back)] for back in [*range(1, high), 0]], place[at]
+            if begun.min() < high - 1:
+                for back in range(low, high):
+                    columns[back - 1][begun < back] = 0
+            used, key = distinct(group[at])
+            yield number, used, *packed_block([*columns, key], low - 1)
+
+    def singles(sums: dict, kind: pa.DataType) -> pa.RecordBatch:
+        ids, total = (np.concatenate(x) for x in zip(*sums.values()))
+        key = np.repeat(np.arange(len(sums)), [len(x[0]) for x in sums.values()])
+        return rows([(NO_BUCKET, np.arange(len(sums)), len(ids), 0, *squeezed([ids, key, total]))], pa.array(list(sums), kind))
+
+    def run(batches):
+        sums, kind = {}, None
+        for names, group, offsets, ids in token_rows(joined_batches(batches, 4 * PACKED_TOKENS), table, PACKED_TOKENS):
+            group = np.repeat(group.astype(np.min_scalar_type(len(names))), np.diff(offsets))
+            for low, high in spans(len(ids) if 1 in orders else 0):
+                kind = names.type
+                (g, some), total = counted([group[low:high], ids[low:high].astype(np.int64)], [len(names), 1 << 32])
+                add_singles(sums, names.to_pylist(), g, some, total)
+            if sum(len(x[0]) for x in sums.values()) > PACKED_TOKENS:
+                yield singles(sums, kind)
+                sums = {}
+            found = contexts(group, offsets, ids) if wide and len(ids) else iter(())
+            while some := list(itertools.islice(found, 64)):
+                yield rows(some, names)
+        if sums:
+            yield singles(sums, kind)
+
+    return run
+
+
+def add_singles(sums: dict, keys: list, group: np.ndarray, ids: np.ndarray, total: np.ndarray) -> None:
+    """Add counts of ids to those kept by key as (ids, totals); groups, the places of their keys, are sorted."""
+    at = np.flatnonzero(changes([group])).tolist()
+    for first, last in zip(at, [*at[1:], len(group)]):
+        key = keys[group[first]]
+        seen = sums.get(key, (np.empty(0, np.int64),) * 2)
+        (some,), n = summed([np.r_[seen[0], ids[first:last].astype(np.int64)]], np.r_[seen[1], total[first:last].astype(np.int64)])
+        sums[key] = some, n
+
+
+def whole_buckets(batches):
+    """Batches sorted by bucket -> batches with all rows of each bucket, of about ``SUMMED_NGRAMS`` n-grams or more."""
+    held, total = [], 0
+    for batch in batches:
+        sizes = np.concatenate([[0], np.cumsum(batch.column(2).to_numpy())])
+        for low, high in row_slices(sizes, SUMMED_NGRAMS):
+            some, bucket = batch[low:high], batch.column(0).to_numpy()[low:high]
+            # Rows of the last bucket may go on in the next batch.
+            last = int(np.searchsorted(bucket, bucket[-1]))
+            ended = last or held and held[-1].column(0)[-1].as_py() != bucket[-1]
+            if ended and total + sizes[low + last] - sizes[low] > SUMMED_NGRAMS:
+                yield pa.concat_batches([*held, some[:last]])
+                held, total, some, low = [], 0, some[last:], low + last
+            held.append(some)
+            total += sizes[high] - sizes[low]
+    if held:
+        yield pa.concat_batches(held)
+
+
+def ngram_summer(orders: tuple[int, ...]):
+    """Rows of ``ngram_packer``, sorted by bucket -> packed counts, the n-grams of a context in one row.
+
+    A row has n-grams sorted by context, next id and key; their ids stand column after column, oldest first.
+    """
+    wide = sorted(order for order in orders if order > 1)
+
+    def counts(keys: pa.Array, number: np.ndarray, bits: int, ids: list[np.ndarray], key: np.ndarray, total: np.ndarray) -> pa.RecordBatch:
+        """``number`` tells the contexts apart."""
+        number, bits = wider(number, bits, ids[-1])
+        number, bits = wider(number, bits, key)
+        order = np.argsort(number)
+        starts = np.flatnonzero(changes([number[order]]))
+        first, total = order[starts], np.add.reduceat(total[order].astype(np.int64), starts)
+        values = [written_numbers(x) for x in (np.concatenate([x[first] for x in ids]), key[first], total)]
+        columns = [pa.array([len(ids)], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys), pa.array([len(total)], pa.int32())]
+        return pa.RecordBatch.from_arrays([*columns, *(pa.array([x], pa.binary()) for x in values)], names=["gram", "keys", "size", "ids", "key_no", "n"])
+
+    def contexts(keys: pa.Array, columns: list[np.ndarray]):
+        number, bits, done = np.zeros(len(columns[0]), np.uint64), 0, 0
+        for order in wide:
+            whole = columns[order - 2] > 0
+            if not whole.all():
+                number, columns = number[whole], [x[whole] for x in columns]
+            if not len(number):
+                return
+            for column in columns[done : order - 1]:
+                number, bits = wider(number, bits, column)
+            number, done = ranks(number), order - 1
+            bits = most_bits(number)
+            ids = [x - x.dtype.type(1) for x in [*columns[order - 2 :: -1], columns[-3]]]
+            yield counts(keys, number, bits, ids, *columns[-2:])
+
+    def blocks(batch: pa.RecordBatch):
+        """The keys of some rows, and the columns of all their blocks."""
+        numbers, found = {}, []
+        for row in batch.to_pylist():
+            found.append(unpacked_block(*(row[x] for x in ("size", "contexts", "width", "block")), wide[0] - 1, wide[-1] + 1))
+            found[-1][-2] = np.array([numbers.setdefault(key, len(numbers)) for key in row["keys"]], np.uint32)[found[-1][-2]]
+        columns = [np.concatenate(x) for x in zip(*found)]
+        return pa.array(list(numbers), batch.schema.field("keys").type.value_type), columns
+
+    def run(batches):
+        sums, kind = {}, []
+
+        def others():
+            for batch in batches:
+                n = int(np.searchsorted(batch.column(0).to_numpy(), NO_BUCKET, "right"))
+                for row in batch[:n].to_pylist():
+                    ids, key, total = unsqueezed(row["block"], row["width"], [row["size"]] * 3)
+                    add_singles(sums, row["keys"], key, ids, total)
+                kind.append(batch.schema.field("keys").type.value_type)
+                yield batch[n:]
+
+        for batch in whole_buckets(others()):
+            keys, columns = blocks(batch)
+            parts = -(-len(columns[0]) // (2 * SUMMED_NGRAMS))
+            part = (hashed(columns[: wide[0] - 1]) >> np.uint64(32)) % np.uint64(parts) if parts > 1 else None
+            for i in range(parts):
+                yield from contexts(keys, columns if part is None else [x[part == i] for x in columns])
+        if sums:
+            ids, total = (np.concatenate(x) for x in zip(*sums.values()))
+            key = np.repeat(np.arange(len(sums)), [len(x[0]) for x in sums.values()])
+            yield counts(pa.array(list(sums), kind[0]), np.zeros(len(ids), np.uint64), 0, [ids], key, total)
+
+    return run
+
+
+def count_losses(n_ids: int, k: float):
+    """Packed counts with the keys ``train`` and ``test`` -> (gram, n_pairs, loss): the test side's pairs and their summed loss, add-k smoothed."""
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                size, order = row["size"], row["gram"]
+                ids = read_numbers(row["ids"], size * order).reshape(order, size)
+                key, total = read_numbers(row["key_no"], size), read_numbers(row["n"], size).astype(np.int64)
+                train, test = (np.where(np.array([x == side for x in row["keys"]])[key], total, 0) for side in ("train", "test"))
+                context = changes([np.zeros(size, bool), *ids[:-1]])
+                starts = np.flatnonzero(context | changes([ids[-1]]))
+                held, seen = np.add.reduceat(test, starts), np.add.reduceat(train, starts)
+                whole = np.add.reduceat(train, np.flatnonzero(context))[np.cumsum(context)[starts] - 1]
+                some = held > 0
+                held, p = held[some], (seen[some] + k) / (whole[some] + k * n_ids)
+                sums = [pa.array([order], pa.int32()), pa.array([int(held.sum())], pa.int64()), pa.array([float(-(held * np.log(p)).sum())], pa.float64())]
+                yield pa.RecordBatch.from_arrays(sums, names=["gram", "n_pairs", "loss"])
+
+    return run
+
+
 def segments(edges: np.ndarray, widths: np.ndarray, inner: int):
     """order value -> number of its range, each of the ranges that begin at ``edges`` cut into ``inner`` equal widths."""
 

@@ -2,7 +2,7 @@
 
 A context is one LONG: its ids as digits in base ``n_ids``, oldest first. ``gram`` is the n of an n-gram, so unigrams
 have gram 1 and context 0. Where that does not fit, ``wide_counts`` writes contexts as BINARY, four bytes for each id; all
-other functions take either.
+other functions take either. Counts can also be packed: a row of ``PACKED`` holds many n-grams, and all of a context.
 """
 
 from collections.abc import Sequence
@@ -15,6 +15,9 @@ from tokenloom.functions.alphabet import BYTE_VOCAB_SIZE, code_ids
 from tokenloom.operators.lookup import is_small, left_lookup
 
 ADD_K = 0.01
+# Packed n-grams are dealt out to so many buckets, or as many as there are shuffle partitions.
+BUCKETS = 512
+PACKED = "gram int, keys array<{key}>, size int, ids binary, key_no binary, n binary"
 
 
 def counts(
@@ -38,10 +41,19 @@ def counts(
     return total.drop("key") if by is None else total
 
 
-def wide_counts(df: DataFrame, grams: Sequence[int], by: Column | None = None, ids: str = "input_ids") -> DataFrame:
-    """L1 for n-grams of any order over any vocabulary: (gram, ctx binary, nxt, n), per value of ``by`` (as ``key``)."""
+def wide_counts(df: DataFrame, grams: Sequence[int], by: Column | None = None, ids: str = "input_ids", packed: bool = False) -> DataFrame:
+    """L1 for n-grams of any order over any vocabulary: (gram, ctx binary, nxt, n), per value of ``by`` (as ``key``).
+
+    ``packed`` gives the same counts as ``PACKED`` rows. A place of the text then goes through the shuffle once for all orders
+    above 1, dealt by the lowest order's context, in compressed blocks; n-grams are sorted and summed as flat numbers, a few buckets at a time.
+    """
     source = df.select((F.lit(0) if by is None else by).alias("key"), F.col(ids).alias("ids"))
     key_type = source.schema["key"].dataType.simpleString()
+    if packed:
+        buckets = max(BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        packer, summer = kernels.ngram_packer(tuple(grams), code_ids(), buckets), kernels.ngram_summer(tuple(grams))
+        partial = source.mapInArrow(packer, f"bucket int, keys array<{key_type}>, size int, contexts int, width int, block binary")
+        return partial.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(summer, PACKED.format(key=key_type))
     counter = kernels.wide_ngram_counter(tuple(grams), code_ids())
     partial = source.mapInArrow(counter, f"key {key_type}, gram int, ctx binary, nxt int, n long")
     total = partial.groupBy("key", "gram", "ctx", "nxt").agg(F.sum("n").alias("n"))
@@ -74,10 +86,15 @@ def loss(weight: Column, p: Column) -> list[Column]:
 
 
 def evaluate(sides: DataFrame, n_ids: int = BYTE_VOCAB_SIZE, k: float = ADD_K) -> DataFrame:
-    """L3: held-out loss from counts of one gram whose ``key`` is ``train`` or ``test``.
+    """L3: held-out loss from counts of one gram whose ``key`` is ``train`` or ``test``; of packed counts, for each ``gram``.
 
     Both sides are summed together, so the data is read once and nothing is joined.
     """
+    if "keys" in sides.columns:
+        losses = sides.mapInArrow(kernels.count_losses(n_ids, k), "gram int, n_pairs long, loss double")
+        summed = losses.groupBy("gram").agg(F.sum("n_pairs").alias("n_pairs"), F.sum("loss").alias("loss")).where("n_pairs > 0")
+        mean = F.col("loss") / F.col("n_pairs")
+        return summed.select("gram", "n_pairs", mean.alias("loss"), F.exp(mean).alias("perplexity"))
     return _curve(sides, [F.col("key") == "train"], F.col("key") == "test", n_ids, k).drop("part")
 
 

@@ -438,9 +438,9 @@ def heldout_loss_ready(spark, sf_dir):
     sided = split.hashed(documents(spark, sf_dir).where("text is not null"), ["doc_id"]).select("doc_id", "split", "text")
     # Splitting, encoding and counting have a Python worker each.
     with small_batches(spark):
-        sides = cut(ngram.wide_counts(encode.bpe(sided, words), WIDE_GRAMS, F.col("split")))
-    losses = [ngram.evaluate(sides.where(F.col("gram") == g), len(words.tokens)).select(F.lit(g).alias("gram"), "*") for g in WIDE_GRAMS]
-    return rounded(reduce(DataFrame.unionByName, losses))
+        sides = ngram.wide_counts(encode.bpe(sided, words), WIDE_GRAMS, F.col("split"), packed=True)
+        losses = cut(ngram.evaluate(sides, len(words.tokens)))
+    return rounded(losses)
 
 
 def learning_curve(spark, sf_dir):
